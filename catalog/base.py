@@ -75,7 +75,7 @@ def query(key: str, sql: str | None = None) -> Callable:
     def register(job: Callable[[Tables], DataFrame]) -> Callable:
         QUERIES[key] = lambda spark, folder: job(Tables(spark, folder))
         if sql is not None:
-            ORACLES[key] = duck_sql(sql)
+            ORACLES[key] = sql
         return job
 
     return register

@@ -33,7 +33,7 @@ def nullish_text(c: Column) -> Column:
 
 def split_semi(c: Column) -> Column:
     """``;`` list with trimmed, non-empty items; blank, ``nan`` and item-less text is null."""
-    items = F.filter(F.transform(F.split(c, ";"), F.trim), lambda x: x != "")
+    items = F.filter(F.transform(F.split(c, ";"), lambda x: F.trim(x)), lambda x: x != "")
     return F.when(nullish_text(c).isNotNull() & (F.size(items) > 0), items)
 
 
