@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import math
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import Column
@@ -36,3 +38,70 @@ def payload_bound(payload: Column, depth_limit: int = 3, text_limit: int = 200,
         return column.map(one)
 
     return run(payload)
+
+
+def bleu4(candidate: Column, reference: Column) -> Column:
+    """Sentence BLEU-4 with brevity penalty, no smoothing; takes token arrays."""
+
+    def one(cand, ref):
+        if cand is None or ref is None:
+            return None
+        cand, ref = list(cand), list(ref)
+        if len(cand) < 4 or not ref:
+            return 0.0
+        log_sum = 0.0
+        for n in (1, 2, 3, 4):
+            ours = Counter(zip(*(cand[i:] for i in range(n))))
+            theirs = Counter(zip(*(ref[i:] for i in range(n))))
+            matched = sum(min(count, theirs[gram]) for gram, count in ours.items())
+            if matched == 0:
+                return 0.0
+            log_sum += math.log(matched / (len(cand) - n + 1))
+        penalty = 1.0 if len(cand) >= len(ref) else math.exp(1 - len(ref) / len(cand))
+        return penalty * math.exp(log_sum / 4)
+
+    @F.pandas_udf("double")
+    def run(cand: pd.Series, ref: pd.Series) -> pd.Series:
+        return pd.Series([one(c, r) for c, r in zip(cand, ref)], dtype="float64")
+
+    return run(candidate, reference)
+
+
+def lcs_length(a, b) -> int:
+    """Longest common in-order subsequence; one big-integer step per token of ``a``.
+
+    Bit i of the state is 0 where the best match of the prefix grows at ``b[i]``, so whole machine
+    words advance at once and texts of many thousand tokens stay cheap.
+    """
+    where: dict = {}
+    for i, token in enumerate(b):
+        where[token] = where.get(token, 0) | (1 << i)
+    full = (1 << len(b)) - 1
+    state = full
+    for token in a:
+        match = where.get(token)
+        if match:
+            taken = state & match
+            state = ((state + taken) | (state - taken)) & full
+    return len(b) - state.bit_count()
+
+
+def rouge_l(candidate: Column, reference: Column) -> Column:
+    """ROUGE-L F1 of two token arrays; 0 when nothing is common."""
+
+    def one(cand, ref):
+        if cand is None or ref is None:
+            return None
+        if len(cand) == 0 or len(ref) == 0:
+            return 0.0
+        common = lcs_length(cand, ref)
+        if common == 0:
+            return 0.0
+        precision, recall = common / len(cand), common / len(ref)
+        return 2 * precision * recall / (precision + recall)
+
+    @F.pandas_udf("double")
+    def run(cand: pd.Series, ref: pd.Series) -> pd.Series:
+        return pd.Series([one(c, r) for c, r in zip(cand, ref)], dtype="float64")
+
+    return run(candidate, reference)
