@@ -1,5 +1,116 @@
 """Exported conversations, interactions and plugin calls to trace rows."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from spanquarry.functions.normalize import agent_name, first_field
+from spanquarry.functions.times import latency_ms
+
 # Name and id formats of this source.
 NAME_PREFIX = "moveworks-"
 DEFAULT_NAME = "moveworks-assistant"
+FRAMEWORK = "moveworks"
+SPAN_PREFIX = "mw:"
+SESSION_PREFIX = "mw_"
+DEFAULT_TOOL = "moveworks-plugin"
+# Candidate columns in order.
+TEXT_FIELDS = ("utterance", "user_input", "text", "message", "query", "content")
+RESPONSE_FIELDS = ("response", "bot_response", "reply", "answer")
+
+
+def enrich_conversation(interactions: DataFrame, conversations: DataFrame) -> DataFrame:
+    """Domain and route of an interaction, else of its conversation.
+
+    The conversation side is as large as the traffic, so the strategy is left to the optimizer.
+    """
+    c = conversations.select(
+        F.col("conversation_id").cast("string").alias("c_id"),
+        first_field(conversations.columns, "domain").alias("c_domain"),
+        first_field(conversations.columns, "route").alias("c_route"),
+    )
+    joined = interactions.join(c, F.col("conversation_id").cast("string") == F.col("c_id"), "left")
+    keep = [x for x in interactions.columns if x not in ("domain", "route")]
+    return joined.select(
+        *keep,
+        F.coalesce(first_field(interactions.columns, "domain"), "c_domain").alias("domain"),
+        F.coalesce(first_field(interactions.columns, "route"), "c_route").alias("route"),
+    )
+
+
+def call_key(calls: DataFrame) -> DataFrame:
+    """A call is indexed by its interaction, or else by its conversation."""
+    return calls.withColumn("calls_key", first_field(calls.columns, "interaction_id", "conversation_id")).where("calls_key IS NOT NULL")
+
+
+def attach_calls(interactions: DataFrame, calls: DataFrame, max_nested: int = 1000) -> DataFrame:
+    """Interactions with the key and number of their plugin calls, nested where they are few.
+
+    An interaction takes its own calls, or else those of its conversation, which several interactions
+    may share. Shared calls are therefore referred to by ``calls_key`` and stored once; only groups
+    of at most ``max_nested`` calls are copied into ``tool_calls`` (the array is null above that).
+    """
+    keyed = call_key(calls)
+    sizes = keyed.groupBy("calls_key").agg(F.count("*").alias("n_calls"))
+    small = keyed.join(sizes.where(F.col("n_calls") <= max_nested), "calls_key", "left_semi")
+    name = F.coalesce(first_field(calls.columns, "plugin_name", "name"), F.lit(DEFAULT_TOOL))
+    # served and used say whether a result was shown, not whether the call succeeded
+    flags = [F.col(c).alias(c) if c in calls.columns else F.lit(None).cast("boolean").alias(c) for c in ("served", "used")]
+    nested = small.groupBy("calls_key").agg(F.array_sort(F.collect_list(F.struct("pos", name.alias("name"), *flags))).alias("tool_calls"))
+    groups = sizes.join(nested, "calls_key", "left")
+
+    own = sizes.select(F.col("calls_key").alias("own_key"))
+    pick = interactions.join(own, F.col("interaction_id").cast("string") == F.col("own_key"), "left").withColumn(
+        "calls_key", F.coalesce(F.col("own_key"), F.col("conversation_id").cast("string"))
+    )
+    out = pick.join(groups, "calls_key", "left")
+    return out.select(
+        *interactions.columns,
+        F.when(F.col("n_calls").isNotNull(), F.col("calls_key")).alias("calls_key"),
+        F.coalesce("n_calls", F.lit(0)).alias("n_calls"),
+        "tool_calls",
+    )
+
+
+def import_conversations(interactions: DataFrame, conversations: DataFrame, calls: DataFrame, override: str | None = None) -> DataFrame:
+    """Trace rows of the interactions that have a time; the others are skipped."""
+    timed = interactions.where("created_time IS NOT NULL")
+    rich = attach_calls(enrich_conversation(timed, conversations), calls)
+    columns = rich.columns
+    conversation = F.nullif(F.col("conversation_id").cast("string"), F.lit(""))
+    interaction = F.nullif(F.col("interaction_id").cast("string"), F.lit(""))
+    kind = first_field(columns, "interaction_type", "type")
+    ended = F.coalesce(*[F.col(c).cast("timestamp") for c in ("resolved_time", "completed_time", "end_time", "updated_time") if c in columns], F.lit(None).cast("timestamp"))
+    return rich.select(
+        agent_name(override, F.col("domain"), NAME_PREFIX, DEFAULT_NAME).alias("name"),
+        F.lit(FRAMEWORK).alias("framework"),
+        F.concat(F.lit(SPAN_PREFIX), interaction).alias("span_id"),
+        F.concat(F.lit(SESSION_PREFIX), conversation).alias("session_id"),
+        (F.unix_micros("created_time") * 1000).alias("started_at_ns"),
+        latency_ms(F.col("created_time"), ended).alias("latency_ms"),
+        F.coalesce(
+            first_field(columns, *TEXT_FIELDS), F.to_json(F.struct(F.coalesce(kind, F.lit("unknown")).alias("interaction_type")))
+        ).alias("input"),
+        first_field(columns, *RESPONSE_FIELDS).alias("output"),
+        "domain",
+        "route",
+        "calls_key",
+        "n_calls",
+        "tool_calls",
+    )
+
+
+def sync_report(raw: DataFrame, imported: DataFrame, existing: DataFrame) -> DataFrame:
+    """Counters of an import: read, skipped, stored, deduplicated, calls attached, sessions."""
+    known = existing.select("span_id").distinct().withColumn("__known", F.lit(True))
+    stored = imported.join(known, "span_id", "left").agg(
+        F.count_if(F.col("__known").isNull()).alias("ingested"),
+        F.count_if(F.col("__known").isNotNull()).alias("deduped"),
+        F.sum("n_calls").alias("calls_attached"),
+        F.countDistinct("session_id").alias("sessions"),
+    )
+    read = raw.agg(F.count("*").alias("interactions"), F.count_if(F.col("created_time").isNull()).alias("skipped_no_time"))
+    # both sides are single rows
+    one = F.lit(1)
+    return read.withColumn("__one", one).join(stored.withColumn("__one", one), "__one").drop("__one")
