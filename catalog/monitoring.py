@@ -90,9 +90,9 @@ def priced(t):
 
 PRICED_SQL = """
 SELECT s.*, e.trace_id IS NOT NULL AS is_eval,
-  greatest((greatest(input_tokens - cache_read_tokens, 0) * coalesce(p.input_usd, 0)
-    + cache_read_tokens * coalesce(p.cache_read_usd, p.input_usd, 0) + output_tokens * coalesce(p.output_usd, 0)) / 1000000.0, 0)
-  + CASE WHEN span_kind = 'tool' THEN 0.01 ELSE 0 END AS cost_usd
+  greatest(greatest(input_tokens - cache_read_tokens, 0) * CAST(coalesce(p.input_usd, 0) AS DECIMAL(14, 6))
+    + cache_read_tokens * CAST(coalesce(p.cache_read_usd, p.input_usd, 0) AS DECIMAL(14, 6)) + output_tokens * CAST(coalesce(p.output_usd, 0) AS DECIMAL(14, 6)), 0)
+  + CASE WHEN span_kind = 'tool' THEN 10000 ELSE 0 END AS micro
 FROM {spans} s LEFT JOIN {prices} p ON s.model = p.model
 LEFT JOIN (SELECT trace_id FROM {spans} WHERE source = 'eval-run') e ON s.trace_id = e.trace_id
 """
@@ -307,9 +307,9 @@ def kpi_delta(t):
     return M.kpi_delta(facts(t), NOW, 7 * DAY)
 
 
-@query("price_join", f"SELECT span_id, round(cost_usd, 9) AS cost_usd FROM ({PRICED_SQL})")
+@query("price_join", f"SELECT span_id, CAST(micro AS DOUBLE) AS cost_micro FROM ({PRICED_SQL})")
 def price_join(t):
-    return priced(t).select("span_id", F.round("cost_usd", 9).alias("cost_usd"))
+    return priced(t).select("span_id", F.col("cost_micro_usd").cast("double").alias("cost_micro"))
 
 
 @query("metrics_grid", f"""
@@ -319,7 +319,7 @@ SELECT CAST(floor(epoch(started_at) / 86400) AS BIGINT) * 86400000 AS ts, lower(
   count(*) FILTER (span_kind = 'retrieval') AS retrieval_spans, count(*) FILTER (span_kind = 'memory') AS memory_spans,
   count(*) FILTER (span_kind = 'tool' AND error IS NOT NULL) AS tool_failures,
   CAST(sum(input_tokens) AS BIGINT) AS input_tokens, CAST(sum(output_tokens) AS BIGINT) AS output_tokens,
-  round(sum(cost_usd), 6) AS cost_usd, round(quantile_cont(latency_ms, 0.5), 6) AS p50_latency_ms,
+  round(CAST(sum(micro) AS DOUBLE) / 1000000, 6) AS cost_usd, round(quantile_cont(latency_ms, 0.5), 6) AS p50_latency_ms,
   round(quantile_cont(latency_ms, 0.95), 6) AS p95_latency_ms
 FROM ({PRICED_SQL}) WHERE {WEEK} AND trace_id IN (SELECT trace_id FROM {{spans}} WHERE {PROD}) GROUP BY 1, 2""")
 def metrics_grid(t):
@@ -327,8 +327,8 @@ def metrics_grid(t):
 
 
 @query("cost_trend", f"""
-SELECT ts, segment, round(sum(cost_usd), 6) AS cost_usd FROM (
-  SELECT CAST(floor(epoch(started_at) / 86400) AS BIGINT) * 86400000 AS ts, cost_usd,
+SELECT ts, segment, round(CAST(sum(micro) AS DOUBLE) / 1000000, 6) AS cost_usd FROM (
+  SELECT CAST(floor(epoch(started_at) / 86400) AS BIGINT) * 86400000 AS ts, micro,
     CASE WHEN is_eval THEN 'eval runs' WHEN span_kind = 'tool' THEN 'tool calls' ELSE coalesce(model, 'unpriced') END AS segment
   FROM ({PRICED_SQL}) WHERE {WEEK}) GROUP BY ROLLUP (ts, segment)""")
 def cost_trend(t):
@@ -337,8 +337,8 @@ def cost_trend(t):
 
 @query("alert_metric", f"""
 WITH k AS ({kpis_sql(WEEK.replace('7 DAY', '1440 MINUTE'), WEEK_FB.replace('7 DAY', '1440 MINUTE'))}),
-c AS (SELECT agent, sum(cost_usd) AS cost FROM ({PRICED_SQL}) WHERE {WEEK.replace('7 DAY', '1440 MINUTE')} AND NOT is_eval GROUP BY agent),
-w AS (SELECT k.agent, failure_rate, tool_failure_rate, downvote_rate, p95_latency_ms, CAST(total_runs AS DOUBLE) AS n, round(cost, 6) AS cost
+c AS (SELECT agent, sum(micro) AS cost FROM ({PRICED_SQL}) WHERE {WEEK.replace('7 DAY', '1440 MINUTE')} AND NOT is_eval GROUP BY agent),
+w AS (SELECT k.agent, failure_rate, tool_failure_rate, downvote_rate, p95_latency_ms, CAST(total_runs AS DOUBLE) AS n, round(CAST(cost AS DOUBLE) / 1000000, 6) AS cost
   FROM k LEFT JOIN c ON k.agent = c.agent)
 SELECT agent, 'failureRate' AS metric, failure_rate AS value FROM w UNION ALL SELECT agent, 'toolFailureRate', tool_failure_rate FROM w
 UNION ALL SELECT agent, 'downvoteRate', downvote_rate FROM w UNION ALL SELECT agent, 'p95LatencyMs', p95_latency_ms FROM w

@@ -298,25 +298,36 @@ def metrics_filter(
     return out
 
 
-def cost_usd(input_tokens: Column, output_tokens: Column, read: Column, write: Column, prices: dict[str, Column]) -> Column:
-    """Price per million tokens; cache tokens are part of the input and priced apart if a rate is set.
-    A missing price counts 0."""
+MONEY = "decimal(38,6)"
+
+
+def cost_micro_usd(input_tokens: Column, output_tokens: Column, read: Column, write: Column, prices: dict[str, Column]) -> Column:
+    """Cost in millionths of a dollar as an exact decimal, so sums do not depend on their order.
+
+    Prices are per million tokens. Cache tokens are part of the input and priced apart if a rate is
+    set; a missing price counts 0.
+    """
     zero = F.lit(0)
-    n_in, n_out = F.coalesce(input_tokens, zero), F.coalesce(output_tokens, zero)
-    n_read, n_write = F.coalesce(read, zero), F.coalesce(write, zero)
-    plain = F.greatest(n_in - n_read - n_write, zero)
-    rate_in = F.coalesce(prices["input"], F.lit(0.0))
-    total = (
-        plain * rate_in
-        + n_read * F.coalesce(prices["cache_read"], rate_in)
-        + n_write * F.coalesce(prices["cache_write"], rate_in)
-        + n_out * F.coalesce(prices["output"], F.lit(0.0))
-    )
-    return F.greatest(total / F.lit(1_000_000.0), F.lit(0.0))
+
+    def rate(name: str, *fallback: Column) -> Column:
+        return F.coalesce(prices[name].cast("decimal(14,6)"), *fallback, F.lit(0).cast("decimal(14,6)"))
+
+    def n(tokens: Column) -> Column:
+        return F.coalesce(tokens, zero).cast("decimal(18,0)")
+
+    plain = F.greatest(n(input_tokens) - n(read) - n(write), zero.cast("decimal(18,0)")).cast("decimal(18,0)")
+    rate_in = rate("input")
+    total = plain * rate_in + n(read) * rate("cache_read", rate_in) + n(write) * rate("cache_write", rate_in) + n(output_tokens) * rate("output")
+    return F.greatest(total, zero).cast(MONEY)
+
+
+def usd(micro: Column) -> Column:
+    """Dollars of a sum of millionths."""
+    return F.round(micro.cast("double") / 1_000_000.0, 6)
 
 
 def price_join(spans: DataFrame, prices: DataFrame, tool_price: float = 0.0) -> DataFrame:
-    """Add ``cost_usd``. The price list joins on model with a left join; Catalyst broadcasts it when
+    """Add ``cost_micro_usd``. The price list joins on model with a left join; Catalyst broadcasts it when
     its measured size is under the threshold and sorts otherwise."""
     p = prices.select(
         F.col("model").alias("p_model"), "input_usd", "output_usd", "cache_read_usd", "cache_write_usd"
@@ -328,10 +339,10 @@ def price_join(spans: DataFrame, prices: DataFrame, tool_price: float = 0.0) ->
         "cache_write": F.col("cache_write_usd"),
     }
     write = F.col("cache_write_tokens") if "cache_write_tokens" in spans.columns else F.lit(None).cast("long")
-    tokens = cost_usd(F.col("input_tokens"), F.col("output_tokens"), F.col("cache_read_tokens"), write, rates)
-    call = F.when(F.col("span_kind") == "tool", F.lit(float(tool_price))).otherwise(F.lit(0.0))
+    tokens = cost_micro_usd(F.col("input_tokens"), F.col("output_tokens"), F.col("cache_read_tokens"), write, rates)
+    call = F.when(F.col("span_kind") == "tool", F.lit(round(tool_price * 1_000_000))).otherwise(F.lit(0))
     return spans.join(p, F.col("model") == F.col("p_model"), "left").select(
-        *spans.columns, (tokens + call).alias("cost_usd")
+        *spans.columns, (tokens + call).cast(MONEY).alias("cost_micro_usd")
     )
 
 
@@ -348,7 +359,7 @@ def metrics_grid(priced: DataFrame, now: str, window_seconds: int) -> DataFrame:
             F.count_if((F.col("span_kind") == "tool") & F.col("error").isNotNull()).alias("tool_failures"),
             F.sum("input_tokens").alias("input_tokens"),
             F.sum("output_tokens").alias("output_tokens"),
-            F.sum("cost_usd").alias("cost"),
+            F.sum("cost_micro_usd").alias("cost"),
         )
     )
     sums = ["n", *[f"{k}_spans" for k in kinds], "tool_failures", "input_tokens", "output_tokens"]
@@ -360,14 +371,14 @@ def metrics_grid(priced: DataFrame, now: str, window_seconds: int) -> DataFrame:
             "ts",
             "framework",
             *[F.col(f"{c}_").alias("spans" if c == "n" else c) for c in sums],
-            F.round("cost", 6).alias("cost_usd"),
+            usd(F.col("cost")).alias("cost_usd"),
             F.round(F.col("p")[0], 6).alias("p50_latency_ms"),
             F.round(F.col("p")[1], 6).alias("p95_latency_ms"),
         )
     )
 
 
-def cost_trend(priced: DataFrame, now: str, window_seconds: int, tool_price: float = 0.0) -> DataFrame:
+def cost_trend(priced: DataFrame, now: str, window_seconds: int) -> DataFrame:
     """Spend per bucket and segment with totals: models, and the reserved segments ``eval runs`` and
     ``tool calls``. ``priced`` carries ``is_eval`` per span."""
     width = bucket_seconds(window_seconds)
@@ -378,9 +389,9 @@ def cost_trend(priced: DataFrame, now: str, window_seconds: int, tool_price: flo
     )
     return (
         priced.where(in_window("started_at", now, window_seconds))
-        .select(bucket_ms("started_at", width).alias("ts"), segment.alias("segment"), "cost_usd")
+        .select(bucket_ms("started_at", width).alias("ts"), segment.alias("segment"), "cost_micro_usd")
         .rollup("ts", "segment")
-        .agg(F.round(F.sum("cost_usd"), 6).alias("cost_usd"))
+        .agg(usd(F.sum("cost_micro_usd")).alias("cost_usd"))
     )
 
 
@@ -419,7 +430,7 @@ def alert_metrics(facts: DataFrame, feedback: DataFrame, costs: DataFrame, now:
     """Current value per agent and metric over the last minutes; a rate without data is null."""
     seconds = minutes * 60
     base = kpis(facts, feedback, now, seconds)
-    spend = costs.where(in_window("started_at", now, seconds)).groupBy("agent").agg(F.sum("cost_usd").alias("cost"))
+    spend = costs.where(in_window("started_at", now, seconds)).groupBy("agent").agg(F.sum("cost_micro_usd").alias("cost"))
     wide = base.join(spend, "agent", "left").select(
         "agent",
         F.col("failure_rate").alias("failureRate"),
@@ -427,7 +438,7 @@ def alert_metrics(facts: DataFrame, feedback: DataFrame, costs: DataFrame, now:
         F.col("downvote_rate").alias("downvoteRate"),
         F.col("p95_latency_ms").alias("p95LatencyMs"),
         F.col("total_runs").cast("double").alias("traceCount"),
-        F.round("cost", 6).alias("estimatedCostUsd"),
+        usd(F.col("cost")).alias("estimatedCostUsd"),
     )
     names = ["failureRate", "toolFailureRate", "downvoteRate", "p95LatencyMs", "traceCount", "estimatedCostUsd"]
     return wide.unpivot("agent", names, "metric", "value")
