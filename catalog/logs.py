@@ -168,30 +168,29 @@ def sliding_kpi(t):
 ISLANDS = f"""
 WITH b AS (SELECT *, coalesce(last_value(CASE WHEN runs >= 2 THEN value > 0.4 END IGNORE NULLS) OVER (PARTITION BY subject ORDER BY tick ROWS UNBOUNDED PRECEDING), false) AS st FROM ({TICKS})),
 c AS (SELECT *, sum(CASE WHEN st AND NOT coalesce(was, false) THEN 1 ELSE 0 END) OVER (PARTITION BY subject ORDER BY tick ROWS UNBOUNDED PRECEDING) AS incident FROM (SELECT *, lag(st) OVER (PARTITION BY subject ORDER BY tick) AS was FROM b)),
-i AS (SELECT subject, CAST(incident AS BIGINT) AS incident, min(tick) FILTER (st) AS started_at, max(tick) FILTER (st) AS last_firing_at, count(*) FILTER (st) AS firing_ticks, min(tick) FILTER (NOT st) AS resolved_at FROM c WHERE incident > 0 GROUP BY subject, incident)"""
+i AS (SELECT subject, CAST(incident AS BIGINT) AS incident, min(tick) FILTER (st) AS started_at, max(tick) FILTER (st) AS last_firing_at, count(*) FILTER (st) AS firing_ticks, min(tick) FILTER (NOT st) AS resolved_at FROM c WHERE incident > 0 GROUP BY subject, incident),
+e AS (SELECT subject, incident, CASE WHEN k = 0 THEN 'triggered' ELSE 'repeat' END AS kind, min(tick) AS due FROM (SELECT c.subject, i.incident, c.tick, CAST(epoch(c.tick) - epoch(i.started_at) AS BIGINT) // 7200 AS k
+    FROM c JOIN i ON c.subject = i.subject AND c.incident = i.incident WHERE st) GROUP BY subject, incident, k UNION ALL SELECT subject, incident, 'resolved', resolved_at FROM i WHERE resolved_at IS NOT NULL)"""
 
 
-def incidents(t):
+def states(t):
     enough = F.when(F.col("runs") >= 2, F.col("value"))
-    return L.breach_islands(L.sliding_kpi(facts(t), 360, 60).withColumn("value", enough), "gt", 0.4)
+    return L.alert_states(L.sliding_kpi(facts(t), 360, 60).withColumn("value", enough), "gt", 0.4)
 
 
 @query("breach_islands", f"{ISLANDS} SELECT * FROM i")
 def breach_islands(t):
-    return incidents(t)
+    return L.breach_islands(states(t))
 
 
-@query("alert_events", f"""{ISLANDS}
-SELECT subject, incident, CASE WHEN due = started_at THEN 'triggered' ELSE 'repeat' END AS kind, due AS "at" FROM (SELECT *, unnest(generate_series(started_at, last_firing_at, INTERVAL 120 MINUTE)) AS due FROM i)
-UNION ALL SELECT subject, incident, 'resolved', resolved_at FROM i WHERE resolved_at IS NOT NULL""")
+@query("alert_events", f"""{ISLANDS} SELECT subject, incident, kind, due AS "at" FROM e""")
 def alert_events(t):
-    return L.alert_events(incidents(t), 120)
+    return L.alert_events(states(t), 120)
 
 
-@query("alert_events_newest", f"""{ISLANDS}, e AS (SELECT subject, CASE WHEN due = started_at THEN 'triggered' ELSE 'repeat' END AS kind, due FROM (SELECT *, unnest(generate_series(started_at, last_firing_at, INTERVAL 120 MINUTE)) AS due FROM i)
-UNION ALL SELECT subject, 'resolved', resolved_at FROM i WHERE resolved_at IS NOT NULL) SELECT subject, kind, due AS "at" FROM e ORDER BY due DESC, concat(subject, kind) DESC LIMIT 50""")
+@query("alert_events_newest", f"""{ISLANDS} SELECT subject, kind, due AS "at" FROM e ORDER BY due DESC, concat(subject, kind) DESC LIMIT 50""")
 def alert_events_newest(t):
     from spanquarry.operators.rankings import newest_first
 
-    events = L.alert_events(incidents(t), 120).withColumn("k", F.concat("subject", "kind"))
+    events = L.alert_events(states(t), 120).withColumn("k", F.concat("subject", "kind"))
     return newest_first(events, "at", "k", 50).select("subject", "kind", "at")

@@ -262,44 +262,51 @@ def norm_plugin_log(events: DataFrame) -> DataFrame:
     return m.unionByName(t)
 
 
-def breach_islands(ticks: DataFrame, operator: str, threshold: float, slice_seconds: int = 86400) -> DataFrame:
-    """Incidents of a rule per subject: consecutive breach ticks; a null value holds the state.
+def alert_states(ticks: DataFrame, operator: str, threshold: float, slice_seconds: int = 86400) -> DataFrame:
+    """Ticks with the rule's state and the number of the incident they belong to.
 
-    ``ticks(subject, tick, value)``. ``resolved_at`` is the first tick back in bounds, null while firing.
+    ``ticks(subject, tick, value)``; a null value holds the state.
     """
     v = F.col("value")
     breach = {"gt": v > threshold, "gte": v >= threshold, "lt": v < threshold, "lte": v <= threshold}[operator]
     by = sliced.time_slice(F.col("tick"), slice_seconds)
     held = sliced.sliced_window(
         ticks.withColumn("__b", breach), ["subject"], by, ["tick"], [sliced.last_known("__state", F.col("__b"))]
-    ).withColumn("__state", F.coalesce("__state", F.lit(False)))
-    stepped = sliced.sliced_window(held, ["subject"], by, ["tick"], [sliced.previous("__was", F.col("__state"))])
-    begins = F.col("__state") & ~F.coalesce("__was", F.lit(False))
-    numbered = sliced.sliced_window(
-        stepped, ["subject"], by, ["tick"], [sliced.running_sum("incident", F.when(begins, 1).otherwise(0).cast("long"))]
-    )
-    on = F.col("__state")
-    return (
-        numbered.where(F.col("incident") > 0)
-        .groupBy("subject", "incident")
-        .agg(
-            F.min(F.when(on, F.col("tick"))).alias("started_at"),
-            F.max(F.when(on, F.col("tick"))).alias("last_firing_at"),
-            F.count_if(on).alias("firing_ticks"),
-            F.min(F.when(~on, F.col("tick"))).alias("resolved_at"),
-        )
+    ).withColumn("firing", F.coalesce("__state", F.lit(False)))
+    stepped = sliced.sliced_window(held, ["subject"], by, ["tick"], [sliced.previous("__was", F.col("firing"))])
+    begins = F.col("firing") & ~F.coalesce("__was", F.lit(False))
+    return sliced.sliced_window(
+        stepped.select("subject", "tick", "firing", F.when(begins, 1).otherwise(0).cast("long").alias("begins")),
+        ["subject"], by, ["tick"], [sliced.running_sum("incident", F.col("begins"))],
+    ).where(F.col("incident") > 0).select("subject", "tick", "firing", "incident")
+
+
+def breach_islands(states: DataFrame) -> DataFrame:
+    """Incidents: ``resolved_at`` is the first tick back in bounds, null while firing."""
+    on = F.col("firing")
+    return states.groupBy("subject", "incident").agg(
+        F.min(F.when(on, F.col("tick"))).alias("started_at"),
+        F.max(F.when(on, F.col("tick"))).alias("last_firing_at"),
+        F.count_if(on).alias("firing_ticks"),
+        F.min(F.when(~on, F.col("tick"))).alias("resolved_at"),
     )
 
 
-def alert_events(incidents: DataFrame, cooldown_minutes: int = 60) -> DataFrame:
-    """Triggered, repeat each cooldown while firing, resolved."""
-    step = F.make_dt_interval(mins=F.lit(cooldown_minutes))
-    due = F.sequence(F.col("started_at"), F.col("last_firing_at"), step)
-    fired = F.transform(due, lambda t, i: F.struct(F.when(i == 0, "triggered").otherwise("repeat").alias("kind"), t.alias("at")))
-    resolved = F.when(F.col("resolved_at").isNotNull(), F.struct(F.lit("resolved").alias("kind"), F.col("resolved_at").alias("at")))
-    return incidents.select("subject", "incident", F.explode(F.array_compact(F.concat(fired, F.array(resolved)))).alias("e")).select(
-        "subject", "incident", "e.*"
+def alert_events(states: DataFrame, cooldown_minutes: int = 60) -> DataFrame:
+    """Triggered at the first firing tick, repeat at the first tick of every further cooldown
+    period while firing, resolved at the first tick back in bounds."""
+    incidents = breach_islands(states)
+    begun = incidents.select("subject", "incident", "started_at")
+    seconds = F.unix_seconds("tick") - F.unix_seconds("started_at")
+    fired = (
+        states.where("firing")
+        .join(begun, ["subject", "incident"])
+        .groupBy("subject", "incident", F.floor(seconds / (cooldown_minutes * 60)).alias("k"))
+        .agg(F.min("tick").alias("at"))
+        .select("subject", "incident", F.when(F.col("k") == 0, "triggered").otherwise("repeat").alias("kind"), "at")
     )
+    resolved = incidents.where("resolved_at IS NOT NULL").select("subject", "incident", F.lit("resolved").alias("kind"), F.col("resolved_at").alias("at"))
+    return fired.unionByName(resolved)
 
 
 def sliding_kpi(facts: DataFrame, minutes: int, slide_minutes: int = 1) -> DataFrame:
