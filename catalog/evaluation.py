@@ -119,6 +119,19 @@ def precomputed_match(t):
     return EV.precomputed_match(run_cases(t), t.sql(OUTPUTS))
 
 
+@query("precomputed_source", f"""
+SELECT case_id, run_number, raw_output AS text, CASE WHEN trim(raw_output) = '' THEN 'EmptyOutput' END AS error_type FROM (SELECT e.case_id, e.run_number, coalesce(nullif(a.value, ''), b.value, '') AS raw_output FROM ({EXPANDED} UNION ALL {SMOKE}) e
+LEFT JOIN ({OUTPUTS}) a ON e.case_id = a.key LEFT JOIN ({OUTPUTS}) b ON CAST(e.question_index AS STRING) = b.key)""")
+def precomputed_source(t):
+    """Stored answers as a source of results: a case without one is a failed row."""
+    from spanquarry.functions.normalize import normalize_result
+
+    found = EV.precomputed_match(run_cases(t), t.sql(OUTPUTS))
+    raw = found.select("case_id", "run_number", F.to_json(F.struct(F.col("raw_output").alias("output"))).alias("raw"))
+    raw = raw.select("case_id", "run_number", normalize_result("raw").alias("r"))
+    return raw.select("case_id", "run_number", "r.text", "r.error_type")
+
+
 @query("batch_no", "SELECT doc_id, (row_number() OVER (PARTITION BY run_id ORDER BY question_index, doc_id) - 1) // 10 AS batch_no FROM {results}")
 def batch_no(t):
     return EV.batch_no(t.results, "run_id", ["question_index", "doc_id"], slice_size=100).select("doc_id", "batch_no")
