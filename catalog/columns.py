@@ -37,13 +37,13 @@ SELECT event_id, CASE k WHEN 0 THEN 'plain ' || event_id WHEN 1 THEN 'answer ' |
   CASE WHEN k = 2 THEN event_id WHEN k = 8 THEN 12 END AS output_tokens
 FROM (SELECT *, event_id % 10 AS k FROM {raw_outputs})""")
 def normalize_result(t):
-    return t.raw_outputs.select("event_id", N.normalize_result("raw").alias("r")).select("event_id", "r.*")
+    return N.normalize_result(t.raw_outputs).select("event_id", "r.*")
 
 
 @query("empty_output_fail", """
 SELECT event_id FROM {raw_outputs} WHERE event_id % 10 IN (7, 8) OR (event_id % 10 = 4 AND false)""")
 def empty_output_fail(t):
-    r = t.raw_outputs.select("event_id", N.normalize_result("raw").alias("r"))
+    r = N.normalize_result(t.raw_outputs).select("event_id", "r")
     keys = F.when(F.col("r.extra_keys"), F.array(F.lit("text"), F.lit("other"))).otherwise(F.array(F.lit("text")))
     given = F.when(F.col("r.error_type") != "EmptyOutput", F.col("r.error_type"))
     return r.where(N.empty_output_fail(F.col("r.text"), given, keys)).select("event_id")
@@ -72,9 +72,7 @@ def error_coerce(t):
 SELECT event_id, CASE WHEN event_id % 10 = 1 THEN user_id WHEN event_id % 10 = 2 THEN nullif(user_id, 0) END AS input_tokens,
   CASE WHEN event_id % 10 = 2 THEN event_id WHEN event_id % 10 = 8 THEN 12 END AS output_tokens FROM {raw_outputs}""")
 def token_ladder(t):
-    return t.raw_outputs.select("event_id", N.normalize_result("raw").alias("r")).select(
-        "event_id", "r.input_tokens", "r.output_tokens"
-    )
+    return N.normalize_result(t.raw_outputs).select("event_id", "r.input_tokens", "r.output_tokens")
 
 
 @query("response_lift", """

@@ -128,8 +128,7 @@ def precomputed_source(t):
 
     found = EV.precomputed_match(run_cases(t), t.sql(OUTPUTS))
     raw = found.select("case_id", "run_number", F.to_json(F.struct(F.col("raw_output").alias("output"))).alias("raw"))
-    raw = raw.select("case_id", "run_number", normalize_result("raw").alias("r"))
-    return raw.select("case_id", "run_number", "r.text", "r.error_type")
+    return normalize_result(raw).select("case_id", "run_number", "r.text", "r.error_type")
 
 
 @query("batch_no", "SELECT doc_id, (row_number() OVER (PARTITION BY run_id ORDER BY question_index, doc_id) - 1) // 10 AS batch_no FROM {results}")

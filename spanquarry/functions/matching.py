@@ -33,10 +33,11 @@ class Pattern:
     source: str = "custom"
 
 
-def contains_phrase(text: Column, phrase: str, case_sensitive: bool = False) -> Column:
+def contains_phrase(text: Column, phrase: str, case_sensitive: bool = False, lowered: Column | None = None) -> Column:
+    """``lowered`` is the lower-cased text where the caller has it already."""
     if case_sensitive:
         return F.contains(text, F.lit(phrase))
-    return F.contains(F.lower(text), F.lower(F.lit(phrase)))
+    return F.contains(F.lower(text) if lowered is None else lowered, F.lower(F.lit(phrase)))
 
 
 def match_contains(
@@ -71,7 +72,7 @@ def match_condition(condition: Condition, sources: dict[str, Column]) -> Column:
         if condition.detector == "regex":
             hit = hit | match_regex(text, condition.value, condition.case_sensitive)
         else:
-            hit = hit | contains_phrase(text, condition.value, condition.case_sensitive)
+            hit = hit | contains_phrase(text, condition.value, condition.case_sensitive, sources.get(f"{name}.lower"))
     return ~hit if condition.negate else hit
 
 

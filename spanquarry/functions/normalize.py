@@ -1,6 +1,6 @@
 """Normalising column expressions."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Chain runs that are plumbing, not agent structure.
@@ -73,55 +73,97 @@ def truthy(v: Column) -> Column:
     return F.coalesce(v.isNotNull() & ~empty, F.lit(False))
 
 
+def _plain_as(v: Column, kind: Column) -> Column:
+    """Text of a value of known kind; booleans read as Python prints them."""
+    return F.when(kind == "BOOLEAN", F.initcap(_get(v, "$"))).otherwise(_get(v, "$"))
+
+
 def _plain(v: Column) -> Column:
-    """Text of a value; booleans read as Python prints them."""
-    return F.when(_kind(v) == "BOOLEAN", F.initcap(_get(v, "$"))).otherwise(_get(v, "$"))
+    return _plain_as(v, _kind(v))
+
+
+# JSON texts that are false as Python sees them, next to the zeros.
+FALSY = ("null", '""', "false", "[]", "{}")
+
+
+def _json_truthy(json_text: Column) -> Column:
+    return F.coalesce(~json_text.isin(*FALSY) & ~json_text.rlike(r"^-?0(\.0*)?([eE].*)?$"), F.lit(False))
+
+
+def _json_plain(json_text: Column) -> Column:
+    """Text of a JSON value: strings unquoted, booleans as Python prints them."""
+    return F.when(json_text.isin("true", "false"), F.initcap(json_text)).otherwise(F.get_json_object(json_text, "$"))
+
+
+WHOLE = r"^\s*[+-]?\d+(\.\d+)?\s*$"
 
 
 def to_int(*candidates: Column) -> Column:
     """First truthy candidate as a whole number; what does not parse is null."""
     text = F.coalesce(*[F.nullif(F.nullif(c, F.lit("")), F.lit("0")) for c in candidates])
-    return F.when(text.rlike(r"^\s*[+-]?\d+(\.\d+)?\s*$"), F.trim(text).try_cast("double").try_cast("bigint"))
+    return F.when(text.rlike(WHOLE), F.trim(text).try_cast("double").try_cast("bigint"))
 
 
-def normalize_result(raw: str = "raw") -> Column:
-    """Struct ``text, extra_keys, error_type, error_message, input_tokens, output_tokens`` of a raw answer.
+def normalize_result(df: DataFrame, raw: str = "raw", out: str = "r") -> DataFrame:
+    """Add struct ``text, extra_keys, error_type, error_message, input_tokens, output_tokens`` of a raw answer.
 
     ``raw`` holds the JSON of what the agent returned: a string, an object, or anything else. The
     text is the first truthy of output, text, response. A blank answer without an error becomes an
     explicit ``EmptyOutput`` failure, unless the output object carries other keys than ``text``.
+
+    The steps are separate projections on purpose: each value is parsed once and read many times,
+    and the optimizer does not merge projections that would repeat an expensive expression.
     """
-    v = F.try_parse_json(F.col(raw))
-    kind = _kind(v)
-    is_object = F.coalesce(kind == "OBJECT", F.lit(False))
-
-    ladder = [_get(v, f"$.{k}", "variant") for k in ("output", "text", "response")]
-    chosen = F.coalesce(*[F.when(truthy(c), c) for c in ladder])
-    nested = F.coalesce(_kind(chosen) == "OBJECT", F.lit(False))
-    object_text = F.when(nested, _get(chosen, "$.text")).otherwise(_plain(chosen))
-    other = F.when(v.isNull() | (kind == "VOID"), "").otherwise(_plain(v))
+    ladder = ("output", "text", "response")
+    parsed = df.withColumn("__v", F.try_parse_json(F.col(raw)))
+    v = F.col("__v")
+    fields = parsed.select(
+        "*",
+        F.to_json(v).alias("__j"),
+        *[F.to_json(_get(v, f"$.{k}", "variant")).alias(f"__j_{k}") for k in (*ladder, "error")],
+    )
+    chosen = F.coalesce(*[F.when(_json_truthy(F.col(f"__j_{k}")), F.col(f"__j_{k}")) for k in ladder])
+    picked = fields.select("*", chosen.alias("__chosen"))
+
+    is_object = F.coalesce(F.col("__j").startswith("{"), F.lit(False))
+    chosen, err = F.col("__chosen"), F.col("__j_error")
+    nested = F.coalesce(chosen.startswith("{"), F.lit(False))
+    object_text = F.when(nested, F.get_json_object(chosen, "$.text")).otherwise(_json_plain(chosen))
+    other = F.when(F.coalesce(F.col("__j"), F.lit("null")) == "null", "").otherwise(_json_plain(F.col("__j")))
     text = F.when(is_object, object_text).otherwise(other)
-    keys = F.json_object_keys(F.when(nested, _get(chosen, "$")))
-    extra = is_object & nested & (F.size(F.array_except(F.coalesce(keys, F.array().cast("array<string>")), F.array(F.lit("text")))) > 0)
-
-    err = F.when(is_object, _get(v, "$.error", "variant"))
-    has_err = truthy(err)
-    err_type = F.when(has_err, F.coalesce(F.when(_kind(err) == "OBJECT", _get(err, "$.type")), F.lit("Exception")))
-    err_message = F.when(has_err, F.coalesce(F.when(_kind(err) == "OBJECT", _get(err, "$.message")), _plain(err)))
-    blank = ~has_err & ~F.coalesce(extra, F.lit(False)) & (F.trim(F.coalesce(text, F.lit(""))) == "")
+    keys = F.json_object_keys(F.when(is_object & nested, chosen))
+    extra = F.size(F.array_except(keys, F.array(F.lit("text")))) > 0
+    has_err = is_object & _json_truthy(err)
+    err_object = err.startswith("{")
+    err_type = F.when(has_err, F.coalesce(F.when(err_object, F.get_json_object(err, "$.type")), F.lit("Exception")))
+    err_message = F.when(has_err, F.coalesce(F.when(err_object, F.get_json_object(err, "$.message")), _json_plain(err)))
 
     def tokens(top: str, *fallback: str) -> Column:
         own = _get(v, f"$.{top}")
-        own_int = F.when(own.rlike(r"^\s*[+-]?\d+(\.\d+)?\s*$"), F.trim(own).try_cast("double").try_cast("bigint"))
+        own_int = F.when(own.rlike(WHOLE), F.trim(own).try_cast("double").try_cast("bigint"))
         return F.when(is_object, F.coalesce(own_int, to_int(*[_get(v, f"$.metadata.{k}") for k in fallback])))
 
-    return F.struct(
-        F.coalesce(text, F.lit("")).alias("text"),
-        F.coalesce(extra, F.lit(False)).alias("extra_keys"),
-        F.when(blank, "EmptyOutput").otherwise(err_type).alias("error_type"),
-        F.when(blank, "Agent returned no output").otherwise(err_message).alias("error_message"),
-        tokens("input_tokens", "input_tokens", "prompt_tokens").alias("input_tokens"),
-        tokens("output_tokens", "output_tokens", "completion_tokens").alias("output_tokens"),
+    final = picked.select(
+        *df.columns,
+        F.coalesce(text, F.lit("")).alias("__text"),
+        F.coalesce(extra, F.lit(False)).alias("__extra"),
+        has_err.alias("__has_err"),
+        err_type.alias("__err_type"),
+        err_message.alias("__err_message"),
+        tokens("input_tokens", "input_tokens", "prompt_tokens").alias("__in"),
+        tokens("output_tokens", "output_tokens", "completion_tokens").alias("__out"),
+    )
+    blank = ~F.col("__has_err") & ~F.col("__extra") & (F.trim("__text") == "")
+    return final.select(
+        *df.columns,
+        F.struct(
+            F.col("__text").alias("text"),
+            F.col("__extra").alias("extra_keys"),
+            F.when(blank, "EmptyOutput").otherwise(F.col("__err_type")).alias("error_type"),
+            F.when(blank, "Agent returned no output").otherwise(F.col("__err_message")).alias("error_message"),
+            F.col("__in").alias("input_tokens"),
+            F.col("__out").alias("output_tokens"),
+        ).alias(out),
     )
 
 

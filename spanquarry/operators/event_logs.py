@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from spanquarry.functions.messages import chain_input_text, chain_output_text
 from spanquarry.functions.normalize import is_noise_chain
+from spanquarry.lineage import cut_lineage
 from spanquarry.operators import sliced
 from spanquarry.operators.trees import climb
 
@@ -68,7 +69,7 @@ def norm_chain_log(events: DataFrame) -> DataFrame:
     nearest kept chain, or on the root. Model calls and retrievals are numbered when unnamed; an
     unnamed tool is ``Tool call``; a failed tool keeps its output as its error.
     """
-    runs = pair_events(events)
+    runs = cut_lineage(pair_events(events))  # read by two climbs and the joins below
     top = (F.col("kind") == "chain") & F.col("parent_id").isNull()
     roots = climb(runs, "run_id", "parent_id", top).select(F.col("id").alias("run_id"), F.col("found").alias("root_found"))
     kept = (F.col("kind") == "chain") & (F.col("parent_id").isNull() | ~is_noise_chain(F.col("name")))
@@ -79,6 +80,7 @@ def norm_chain_log(events: DataFrame) -> DataFrame:
         .where(F.col("root_id").isNotNull() & ((F.col("kind") != "chain") | kept))
         .withColumn("parent_span_id", F.when(~top, F.coalesce("kept_parent", "root_id")))
     )
+    placed = cut_lineage(placed)  # read once per span kind
     chains = placed.where("kind = 'chain'").withColumn("input", chain_input_text(F.col("input"))).withColumn("output", chain_output_text(F.col("output")))
     tools = (
         placed.where("kind = 'tool'")
@@ -96,12 +98,13 @@ def norm_query_log(events: DataFrame) -> DataFrame:
     A root is the first root-type event on its chain; every model call, retrieval and function below
     it becomes a direct child. A failed step says so in its output.
     """
-    runs = pair_events(events)
+    runs = cut_lineage(pair_events(events))
     rooting = F.col("kind").isin(*ROOT_KINDS)
     above = climb(runs, "run_id", "parent_id", rooting).select(F.col("id").alias("run_id"), F.col("found").alias("rooting_above"))
     marked = runs.join(above, "run_id").withColumn("is_root", rooting & F.col("rooting_above").isNull())
     found = climb(marked, "run_id", "parent_id", F.col("is_root")).select(F.col("id").alias("run_id"), F.col("found").alias("root_above"))
     placed = marked.join(found, "run_id").withColumn("root_id", F.when(F.col("is_root"), F.col("run_id")).otherwise(F.col("root_above"))).where("root_id IS NOT NULL")
+    placed = cut_lineage(placed)
 
     failed = F.concat(F.lit("ERROR: "), F.col("error"))
     llm = _numbered(placed, "llm", "LLM Call").withColumn("output", F.coalesce(F.nullif("output", F.lit("")), failed))
@@ -182,8 +185,8 @@ def active_span(calls: DataFrame, spans: DataFrame, slice_seconds: int = 60) ->
 
     Time is cut into slices. A span is sent to the slice it starts in and the one it ends in; of the
     spans that cover a whole slice only the one that started last can matter, and that is found by a
-    map-side combined maximum. Each (scope, slice) is then swept once with a heap. No pairs are
-    built, and a busy scope is spread over its slices.
+    map-side combined maximum. Sorted slices then stream through one sweep that holds only the spans
+    open at the time. No pairs are built, and a busy scope is spread over its slices.
     """
     width = slice_seconds * 1_000_000
     s = spans.select("scope", "span_id", F.unix_micros("start_at").alias("a"), F.unix_micros("end_at").alias("b")).where("b > a")
@@ -201,26 +204,27 @@ def active_span(calls: DataFrame, spans: DataFrame, slice_seconds: int = 60) ->
         ends.select("scope", "slice", "a", "b", F.lit(None).cast(calls.schema["call_id"].dataType).alias("call_id"), "span_id")
     )
 
-    def sweep(pdf: pd.DataFrame) -> pd.DataFrame:
-        is_call = pdf["call_id"].notna()
-        # spans open before calls made at the same moment
-        ordered = pdf.assign(call=is_call).sort_values(["a", "call"], kind="stable")
-        open_spans: list = []
-        found = []
-        for a, b, call, span_id, call_id in zip(ordered["a"], ordered["b"], ordered["call"], ordered["span_id"], ordered["call_id"]):
-            if not call:
-                heapq.heappush(open_spans, (-a, -int(span_id), b))
-                continue
-            while open_spans and open_spans[0][2] <= a:
-                heapq.heappop(open_spans)
-            top = open_spans[0] if open_spans else None
-            found.append((call_id, -top[0] if top else None, -top[1] if top else None))
-        out = pd.DataFrame(found, columns=["call_id", "a", "span_id"])
-        out["scope"], out["slice"] = pdf["scope"].iloc[0], pdf["slice"].iloc[0]
-        return out.astype({"call_id": "Int64", "a": "Int64", "span_id": "Int64", "slice": "int64"})[["call_id", "scope", "slice", "a", "span_id"]]
+    def sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, open_spans = None, []
+        for pdf in batches:
+            found = []
+            for scope, slice_no, a, b, span_id, call_id in zip(*(pdf[c] for c in ("scope", "slice", "a", "b", "span_id", "call_id"))):
+                if (scope, slice_no) != group:
+                    group, open_spans = (scope, slice_no), []
+                if pd.isna(call_id):
+                    heapq.heappush(open_spans, (-a, -int(span_id), b))
+                    continue
+                while open_spans and open_spans[0][2] <= a:
+                    heapq.heappop(open_spans)
+                top = open_spans[0] if open_spans else None
+                found.append((int(call_id), scope, slice_no, -top[0] if top else None, -top[1] if top else None))
+            out = pd.DataFrame(found, columns=["call_id", "scope", "slice", "a", "span_id"])
+            yield out.astype({"call_id": "Int64", "slice": "Int64", "a": "Int64", "span_id": "Int64"})
 
     scope = calls.schema["scope"].dataType.simpleString()
-    near = rows.groupBy("scope", "slice").applyInPandas(sweep, f"call_id BIGINT, scope {scope}, slice BIGINT, a BIGINT, span_id BIGINT")
+    # spans come before calls of the same moment; a batch may hold many slices and a slice many batches
+    ordered = rows.repartition("scope", "slice").sortWithinPartitions("scope", "slice", "a", F.col("call_id").asc_nulls_first())
+    near = ordered.mapInPandas(sweep, f"call_id BIGINT, scope {scope}, slice BIGINT, a BIGINT, span_id BIGINT")
     best = F.greatest(F.when(F.col("a").isNotNull(), F.struct("a", "span_id")), F.col("c"))
     return near.join(cover, ["scope", "slice"], "left").select("call_id", best["span_id"].alias("span_id"))
 

@@ -77,7 +77,10 @@ def span_pattern(
     All patterns become one array expression, so the texts are scanned once however many patterns
     there are, and nothing is shuffled.
     """
+    # texts are lower-cased once, in their own projection, and read by every pattern
+    roots = roots.select("*", *[F.lower(F.coalesce(F.col(c), F.lit(""))).alias(f"__lower_{name}") for name, c in sources.items()])
     columns = {name: F.col(c) for name, c in sources.items()}
+    columns |= {f"{name}.lower": F.col(f"__lower_{name}") for name in sources}
     hits = []
     for p in patterns:
         ids = F.col(pattern_ids) if pattern_ids else F.lit(None).cast("array<string>")

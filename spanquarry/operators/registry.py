@@ -36,12 +36,27 @@ def register_if_absent(registry: DataFrame, incoming: DataFrame) -> DataFrame:
 def version_lookup(versions: DataFrame, wanted: DataFrame) -> DataFrame:
     """``wanted(request_id, key, version)`` to one version row: a name match comes before an id match,
     the version asked for or else the latest."""
-    by_name = wanted.join(versions, wanted["key"] == versions["name"]).select("request_id", F.lit(0).alias("p"), wanted["version"].alias("asked"), versions["version"], "text")
-    by_id = wanted.join(versions, wanted["key"] == versions["prompt_id"]).select("request_id", F.lit(1).alias("p"), wanted["version"].alias("asked"), versions["version"], "text")
-    both = by_name.unionByName(by_id)
-    first_kind = both.groupBy("request_id").agg(F.min("p").alias("p"))
-    hits = both.join(first_kind, ["request_id", "p"]).where(F.col("asked").isNull() | (F.col("asked") == F.col("version")))
-    return hits.groupBy("request_id").agg(F.max("version").alias("version"), F.max_by("text", "version").alias("text"))
+    def side(key: str, prefix: str) -> tuple[DataFrame, DataFrame]:
+        exact = versions.groupBy(F.col(key).alias("key"), "version").agg(F.max("text").alias("text"))
+        latest = exact.groupBy("key").agg(
+            F.max("version").alias(f"{prefix}_version"), F.max_by("text", "version").alias(f"{prefix}_text")
+        )
+        return exact, latest
+
+    exact_name, latest_name = side("name", "n")
+    exact_id, latest_id = side("prompt_id", "i")
+    # one row per request from here on: the version lists are reduced before they are joined
+    r = wanted.withColumnRenamed("version", "asked").join(latest_name, "key", "left").join(latest_id, "key", "left")
+    r = r.withColumn("by_name", F.col("n_version").isNotNull()).where("n_version IS NOT NULL OR i_version IS NOT NULL")
+    newest = r.where("asked IS NULL").select(
+        "request_id", F.coalesce("n_version", "i_version").alias("version"), F.when(F.col("by_name"), F.col("n_text")).otherwise(F.col("i_text")).alias("text")
+    )
+    named = r.where("asked IS NOT NULL AND by_name").select("request_id", "key", F.col("asked").alias("version"))
+    by_id = r.where("asked IS NOT NULL AND NOT by_name").select("request_id", "key", F.col("asked").alias("version"))
+    return (
+        newest.unionByName(named.join(exact_name, ["key", "version"]).select("request_id", "version", "text"))
+        .unionByName(by_id.join(exact_id, ["key", "version"]).select("request_id", "version", "text"))
+    )
 
 
 def version_number(log: DataFrame, slice_seconds: int = 30 * 86400) -> DataFrame:
