@@ -160,9 +160,9 @@ def match_conditions(t):
 
 @query("match_targets", """
 SELECT trace_id FROM {doc_roots} GROUP BY trace_id
-HAVING bool_or(contains(lower(response), 'thank')) AND bool_or(contains(lower(response), 'license'))""")
+HAVING bool_or(contains(lower(response), 'license')) AND bool_or(contains(lower(response), 'que')) AND bool_or(contains(lower(response), 'the'))""")
 def match_targets(t):
-    return M.trace_term_match(t.doc_roots, "response", ["thank", "LICENSE"])
+    return M.trace_term_match(t.doc_roots, "response", ["LICENSE", "que", "the"])
 
 
 @query("match_semantic", """
