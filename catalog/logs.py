@@ -30,7 +30,7 @@ def chain_timing(t):
 
 PAIRED = f"""
 SELECT e.run_id, e.pos, coalesce(r.call_name, e.call_name) AS name, r.call_args AS input, CASE WHEN e.is_error THEN 'ERROR: ' || e.text ELSE e.text END AS output, NOT e.is_error AS success, coalesce(r.start_at, e.start_at) AS start_at, e.end_at
-FROM ({TIMED}) e LEFT JOIN ({TIMED}) r ON r.kind = 'request' AND e.run_id = r.run_id AND e.call_id = r.call_id WHERE e.kind = 'execution' AND (e.call_id <> 'zz' OR true)"""
+FROM ({TIMED}) e LEFT JOIN ({TIMED}) r ON r.kind = 'request' AND e.run_id = r.run_id AND e.call_id = r.call_id WHERE e.kind = 'execution'"""
 
 
 @query("pair_tool_calls", f"SELECT run_id, pos, name, input, output, success, start_at, end_at FROM ({PAIRED})")
