@@ -78,8 +78,8 @@ def doc_hits(t):
     return M.span_pattern(t.doc_roots, PATTERNS, SOURCES)
 
 
-def facts(t):
-    return M.run_facts(t.spans)
+def facts(t, since=None):
+    return M.run_facts(t.spans, since=since)
 
 
 def priced(t):
@@ -122,7 +122,7 @@ LEFT JOIN (SELECT agent, round(count(*) FILTER (rating = 'down') / count(*), 6)
 
 @query("kpis", kpis_sql(WEEK, WEEK_FB))
 def kpis(t):
-    return M.kpis(facts(t), t.feedback, NOW, 7 * DAY)
+    return M.kpis(facts(t, "2024-01-24 00:00:00"), t.feedback, NOW, 7 * DAY)
 
 
 @query("production_roots", f"SELECT span_id, agent FROM {{spans}} WHERE {PROD}")
@@ -304,7 +304,7 @@ g AS (SELECT agent, CAST(count(*) FILTER (cur = 1) AS BIGINT) AS current_runs, C
   round(quantile_cont(latency_ms, 0.95) FILTER (cur = 0), 6) AS prior_p95 FROM f GROUP BY agent)
 SELECT *, round(current_failure_rate - prior_failure_rate, 6) AS failure_rate_delta, round(current_p95 - prior_p95, 6) AS p95_delta FROM g""")
 def kpi_delta(t):
-    return M.kpi_delta(facts(t), NOW, 7 * DAY)
+    return M.kpi_delta(facts(t, "2024-01-17 00:00:00"), NOW, 7 * DAY)
 
 
 @query("price_join", f"SELECT span_id, CAST(micro AS DOUBLE) AS cost_micro FROM ({PRICED_SQL})")

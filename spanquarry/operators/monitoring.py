@@ -169,8 +169,14 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part.cast("double") / whole.cast("double"))
 
 
-def run_facts(spans: DataFrame, failure_hits: DataFrame | None = None) -> DataFrame:
-    """One row per production root: failed flag and the outcome counts of its tool calls."""
+def run_facts(spans: DataFrame, failure_hits: DataFrame | None = None, since: str | None = None) -> DataFrame:
+    """One row per production root: failed flag and the outcome counts of its tool calls.
+
+    ``since`` limits the scan to spans that started at or after it. A call starts inside its root, so
+    no call of a root in the window is lost, and old partitions are not read.
+    """
+    if since is not None:
+        spans = spans.where(F.col("started_at") >= at(since))
     roots = production_roots(spans).select("span_id", "trace_id", "agent", "started_at", "latency_ms", "error")
     tools = (
         spans.where(F.col("span_kind") == "tool")
