@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spanquarry.llm.packing import best_fit_pack
+from spanquarry.llm.substrings import drop_repeats
 from spanquarry.llm.tables import shared_folder
 from spanquarry.llm.token_files import read_token_files, token_digest, write_token_files
 
@@ -34,3 +36,9 @@ def op8_token_files(spark, sf_dir):
     path = shared_folder(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
     return token_digest(read_token_files(spark, path))
+
+
+@query
+def op10_substring_dedup(spark, sf_dir):
+    out = drop_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
