@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanquarry.llm.near_dups import near_duplicates
 from spanquarry.llm.packing import best_fit_pack
 from spanquarry.llm.substrings import drop_repeats
 from spanquarry.llm.tables import shared_folder
@@ -42,3 +43,8 @@ def op8_token_files(spark, sf_dir):
 def op10_substring_dedup(spark, sf_dir):
     out = drop_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op1_near_dedup(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"))
