@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanquarry.llm.decontaminate import contaminated_pairs
+from spanquarry.llm.decontaminate import oracle as decontaminate_oracle
 from spanquarry.llm.near_dups import near_duplicates
 from spanquarry.llm.packing import best_fit_pack
 from spanquarry.llm.substrings import drop_repeats
@@ -48,3 +50,11 @@ def op10_substring_dedup(spark, sf_dir):
 @query
 def op1_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_decontaminate(spark, sf_dir):
+    return contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op5_decontaminate"] = decontaminate_oracle()
