@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanquarry.llm import languages
 from spanquarry.llm.decontaminate import contaminated_pairs
 from spanquarry.llm.decontaminate import oracle as decontaminate_oracle
 from spanquarry.llm.near_dups import near_duplicates
@@ -58,3 +59,10 @@ def op5_decontaminate(spark, sf_dir):
 
 
 ORACLES["op5_decontaminate"] = decontaminate_oracle()
+
+
+@query
+def op4_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", languages.held_out().alias("held_out"))
+    model = languages.fit(docs.where("NOT held_out").select("text", "lang"))
+    return languages.predict(docs.select("doc_id", "held_out", "text"), model).drop("text")
