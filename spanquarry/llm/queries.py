@@ -13,6 +13,7 @@ from spanquarry.llm.decontaminate import contaminated_pairs
 from spanquarry.llm.decontaminate import oracle as decontaminate_oracle
 from spanquarry.llm.near_dups import near_duplicates
 from spanquarry.llm.packing import best_fit_pack
+from spanquarry.llm.pages import extract_text
 from spanquarry.llm.substrings import drop_repeats
 from spanquarry.llm.tables import shared_folder
 from spanquarry.llm.token_files import read_token_files, token_digest, write_token_files
@@ -66,3 +67,8 @@ def op4_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", languages.held_out().alias("held_out"))
     model = languages.fit(docs.where("NOT held_out").select("text", "lang"))
     return languages.predict(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
+@query
+def op3_html_extraction(spark, sf_dir):
+    return extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
