@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from spanquarry.llm import languages
 from spanquarry.llm.decontaminate import contaminated_pairs
 from spanquarry.llm.decontaminate import oracle as decontaminate_oracle
+from spanquarry.llm.licenses import license_scan
 from spanquarry.llm.near_dups import near_duplicates
 from spanquarry.llm.packing import best_fit_pack
 from spanquarry.llm.pages import extract_text
 from spanquarry.llm.substrings import drop_repeats
 from spanquarry.llm.tables import shared_folder
+from spanquarry.llm.token_counts import token_counts
 from spanquarry.llm.token_files import read_token_files, token_digest, write_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +74,19 @@ def op4_language_id(spark, sf_dir):
 @query
 def op3_html_extraction(spark, sf_dir):
     return extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@query
+def op7_token_counts(spark, sf_dir):
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op9_license_scan(spark, sf_dir):
+    """Documents as files of their source: two levels of directories, every twentieth document a licence file of the upper one."""
+    docs = table(spark, sf_dir, "documents")
+    upper = F.concat(F.lit("d"), (F.col("doc_id") % 7).cast("string"))
+    name = F.when(F.col("doc_id") % 20 == 0, F.concat(F.lit("LICENSE."), "doc_id")).otherwise(
+        F.concat(F.lit("e"), (F.col("doc_id") % 13).cast("string"), F.lit("/"), "doc_id", F.lit(".txt"))
+    )
+    return license_scan(docs.select("doc_id", F.concat_ws("/", "source", upper, name).alias("path"), "text"))
