@@ -13,6 +13,7 @@ from spanquarry.llm.decontaminate import contaminated_pairs
 from spanquarry.llm.decontaminate import oracle as decontaminate_oracle
 from spanquarry.llm.licenses import license_scan
 from spanquarry.llm.near_dups import near_duplicates
+from spanquarry.llm.neighbours import nearest
 from spanquarry.llm.packing import best_fit_pack
 from spanquarry.llm.pages import extract_text
 from spanquarry.llm.substrings import drop_repeats
@@ -90,3 +91,9 @@ def op9_license_scan(spark, sf_dir):
         F.concat(F.lit("e"), (F.col("doc_id") % 13).cast("string"), F.lit("/"), "doc_id", F.lit(".txt"))
     )
     return license_scan(docs.select("doc_id", F.concat_ws("/", "source", upper, name).alias("path"), "text"))
+
+
+@query
+def op6_nearest_neighbours(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"))
