@@ -1,13 +1,14 @@
 """Near-duplicate classes: improved consistent weighted sampling over TF-IDF shingles, banded, verified.
 
 A shingle is five consecutive words (lower case, letters and digits; a shorter text is one shingle). Its weight is its
-count in the text times the mean inverse document frequency of its words, scaled to 1..2. Document frequencies are
+count in the text times one plus half the mean inverse document frequency of its words, the latter scaled to 0..1. Document frequencies are
 exact counts over all documents of hashed words, so the table has a fixed size whatever the corpus.
 
 Texts that are equal form one class first; the rest works on one representative of each. In every band bucket
-the members are verified against the bucket's first document only, so a bucket of n gives n - 1 pairs. Members that the first
-document does not match are compared by their signatures, block by block, with the members of other classes in the
-bucket, and the closest of each class is verified, until no class grows.
+the members are verified against the bucket's leader only, so a bucket of n gives n - 1 pairs. The leader is the member with the
+most bucket mates over all bands: of an original and its copies that is the original. Members that do not match the
+leader are compared by their signatures, block by block, with the bucket's members of other classes, and the most
+similar few are verified, until a round links nothing more.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ SHINGLE = 5
 SAMPLES, ROWS = 64, 4
 #: Hashed words in the document-frequency table (4 MB whatever the corpus).
 FREQUENCIES = 1 << 20
-#: Members in a block when a bucket is compared by signatures.
-BLOCK = 512
+#: Members in a block when a bucket is compared by signatures, and how many partners each tries in a round.
+BLOCK, TRIES = 512, 4
 
 SEPARATORS = bytes(b for b in range(128) if not chr(b).isalnum())
 _U = np.uint64
@@ -90,7 +91,7 @@ def shingles(texts: pa.Array, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     first = np.flatnonzero(new)
     count = np.diff(np.append(first, len(key)))
     key = key[first]
-    weight = count.astype(np.float32) * (1 + (key & _U(255)).astype(np.float32) / np.float32(255))
+    weight = count.astype(np.float32) * (1 + (key & _U(255)).astype(np.float32) / np.float32(510))
     return (key >> _U(44)).astype(np.int64), (key >> _U(8)) & _U((1 << 36) - 1), weight
 
 
@@ -213,8 +214,8 @@ def _verify(idf, threshold: float):
     return verify
 
 
-def components(nodes: DataFrame, edges: DataFrame, name: str) -> DataFrame:
-    """(rep, label): the smallest node that each node is linked to, by min-label rounds with pointer jumping."""
+def components(edges: DataFrame, name: str) -> DataFrame:
+    """(rep, label): the smallest node linked to each node of ``edges`` (a, b), by min-label rounds with pointer jumping."""
     both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-edges")
     labels = stored(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("rep"), F.least("a", "b").alias("label")), f"{name}-labels")
     while True:
@@ -224,7 +225,16 @@ def components(nodes: DataFrame, edges: DataFrame, name: str) -> DataFrame:
         step = stored(low.join(to, "label").select("rep", "old", F.least("label", "next").alias("label")), f"{name}-labels")
         labels = step.select("rep", "label")
         if step.where("label <> old").isEmpty():
-            return nodes.join(labels, "rep", "left").select("rep", F.coalesce("label", "rep").alias("label"))
+            return labels
+
+
+def joined_classes(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Class labels after more links: components of the classes, not of their members."""
+    of = labels.select(F.col("rep").alias("x"), F.col("label").alias("to"))
+    pairs = links.select("a", "b").join(of, F.col("a") == F.col("x")).select(F.col("to").alias("a"), "b")
+    pairs = pairs.join(of, F.col("b") == F.col("x")).select("a", F.col("to").alias("b")).where("a <> b").distinct()
+    new = components(pairs, "classes").select(F.col("rep").alias("label"), F.col("label").alias("low"))
+    return stored(labels.join(new, "label", "left").select("rep", F.coalesce("low", "label").alias("label")), "classes")
 
 
 def _closest(margin: float):
@@ -234,23 +244,20 @@ def _closest(margin: float):
     def closest(mine: pa.Table, others: pa.Table) -> pa.Table:
         def arrays(t):
             raw = b"".join(t.column("samples").to_pylist())
-            return t.column("rep").to_numpy(), t.column("label").to_numpy(), np.frombuffer(raw, np.float32).reshape(-1, SAMPLES)
+            return t.column("rep").to_numpy(), t.column("label").to_numpy(), np.frombuffer(raw, np.uint32).reshape(-1, SAMPLES)
 
         if not mine.num_rows or not others.num_rows:
             return schema.empty_table()
         rep, label, samples = arrays(mine)
         other, other_label, other_samples = arrays(others)
-        order = np.argsort(other_label, kind="stable")
-        other, other_label, other_samples = other[order], other_label[order], other_samples[order]
-        first = np.flatnonzero(np.diff(other_label, prepend=other_label[0] - 1))
-        pairs = []
+        columns = np.ascontiguousarray(other_samples.T)
+        pairs = set()
         for x, own, s in zip(rep.tolist(), label.tolist(), samples):
-            same = (other_samples == s).sum(axis=1, dtype=np.int32) * 2**20 + np.arange(len(other))
-            best = np.maximum.reduceat(same, first)
-            ok = (best >> 20 >= margin * SAMPLES) & (other_label[first] != own)
-            pairs += [(min(x, y), max(x, y)) for y in other[best[ok] & (2**20 - 1)].tolist()]
-        pairs = sorted(set(pairs))
-        return pa.table([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], schema=schema)
+            same = (columns == s[:, None]).sum(axis=0, dtype=np.int32)
+            same[other_label == own] = -1
+            best = np.argsort(-same, kind="stable")[:TRIES]
+            pairs |= {(min(x, y), max(x, y)) for y in other[best[same[best] >= margin * SAMPLES]].tolist()}
+        return pa.table([pa.array([p[i] for p in sorted(pairs)], pa.int64()) for i in (0, 1)], schema=schema)
 
     return closest
 
@@ -281,44 +288,40 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     sketches = stored(keyed.mapInArrow(_sketch(table), "doc_id bigint, h1 bigint, h2 bigint, samples binary"), "sketches")
     texts = stored(sketches.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.min_by("samples", "doc_id").alias("samples")), "texts")
     bands = stored(texts.where("samples IS NOT NULL").select("rep", "samples").mapInArrow(_bands(), "rep bigint, band bigint"), "bands")
-    leaders = bands.groupBy("band").agg(F.min("rep").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    buckets = stored(bands.join(leaders, "band"), "buckets")
-
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        of = docs.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-        first = docs.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-        both = of.join(pairs.hint("shuffle_hash"), "b").join(first.join(pairs.select("a").distinct().hint("shuffle_hash"), "a", "left_semi"), "a")
-        ok = both.select("a", "b", "text_a", "text_b").mapInArrow(_verify(table, threshold), "a bigint, b bigint, similarity double")
-        return stored(ok, name)
-
-    tried = stored(buckets.where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
-    links = verified(tried, "links")
-    reps = texts.select("rep")
-    labels = stored(components(reps, links, "classes"), "classes")
+    shared = stored(bands.join(bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "band"), "shared")
+    mates = stored(shared.groupBy("rep").agg(F.sum("n").alias("mates")), "mates")
+    ranked = shared.select("band", "rep").join(mates, "rep")
+    leaders = ranked.groupBy("band").agg((-F.max(F.struct("mates", (-F.col("rep")).alias("low")))["low"]).alias("leader"))
+    buckets = stored(shared.select("band", "rep").join(leaders, "band"), "buckets")
+    # texts of documents that share a band: all that verification reads
+    some = stored(docs.join(mates.select(F.col("rep").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "candidates")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        left = some.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+        right = some.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+        both = right.join(pairs, "b").join(left, "a").select("a", "b", "text_a", "text_b")
+        return stored(both.mapInArrow(_verify(table, threshold), "a bigint, b bigint, similarity double"), "links")
+
+    to_leader = buckets.where("rep <> leader").select(F.least("leader", "rep").alias("a"), F.greatest("leader", "rep").alias("b"))
+    tried = stored(to_leader.distinct(), "pairs")
+    links = verified(tried)
+    labels = joined_classes(texts.select("rep", F.col("rep").alias("label")), links)
+    margin = threshold - 3 * (threshold * (1 - threshold) / SAMPLES) ** 0.5
     while True:
-        placed = buckets.join(labels, "rep")
-        mixed = placed.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("band")
-        if mixed.isEmpty():
-            break
-        lead = labels.select(F.col("rep").alias("first"), F.col("label").alias("lead"))
-        open_ = placed.join(mixed, "band").join(lead, "first").join(texts.select("rep", "samples"), "rep")
-        open_ = stored(open_.select("band", "rep", "label", "lead", "samples"), "open")
-        mine = open_.where("label <> lead").withColumn("block", F.abs(F.hash("rep")))
-        blocks = mine.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-        mine = mine.join(blocks, "band").withColumn("block", F.col("block") % F.col("blocks"))
-        others = open_.join(blocks, "band").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        placed = buckets.join(labels, "rep").join(labels.select(F.col("rep").alias("leader"), F.col("label").alias("lead")), "leader")
+        mine = placed.where("label <> lead")
+        blocks = stored(mine.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "blocks")
+        members = stored(placed.join(blocks, "band").join(texts.select("rep", "samples"), "rep"), "open")
         cols = ["band", "block", "rep", "label", "samples"]
-        margin = threshold - 4 * (threshold * (1 - threshold) / SAMPLES) ** 0.5
+        mine = members.where("label <> lead").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+        others = members.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         near = mine.select(cols).groupBy("band", "block").cogroup(others.select(cols).toDF(*cols).groupBy("band", "block"))
         pairs = stored(near.applyInArrow(_closest(margin), "a bigint, b bigint").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            break
-        more = verified(pairs, "links")
-        tried = tried.unionByName(pairs)
+        more = verified(pairs)
         if more.isEmpty():
-            continue
-        links = links.unionByName(more)
-        labels = stored(components(reps, links, "classes"), "classes")
+            break
+        tried, links = tried.unionByName(pairs), links.unionByName(more)
+        labels = joined_classes(labels, more)
     ends = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
     known = texts.select("h1", "h2", "rep").join(labels, "rep").join(ends, "rep", "left")
     return sketches.join(known, ["h1", "h2"]).select(
