@@ -197,6 +197,20 @@ def _both(packed: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*packed.columns, *none], schema=_STEP)
 
 
+def _joined(rows: np.ndarray) -> np.ndarray:
+    """Single windows of one text that follow each other as one run."""
+    if not len(rows):
+        return rows
+    rows = rows[np.lexsort((rows["start"], rows["twin"], rows["doc"]))]
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows["doc"][1:] != rows["doc"][:-1]) | (rows["twin"][1:] != rows["twin"][:-1]) | (np.diff(rows["start"]) > 1)
+    head = np.flatnonzero(new)
+    out = rows[head].copy()
+    last = np.append(head[1:], len(rows)) - 1
+    out["n"] = rows["start"][last] - out["start"] + 1
+    return out
+
+
 def _told(rows: np.ndarray):
     """Runs that are copies of an earlier one."""
     if len(rows):
@@ -269,7 +283,7 @@ def _windows(length: int, buckets: int):
                 rows["key"] = words.grams(length)[place]
                 rows["doc"], rows["twin"], rows["start"], rows["n"] = doc[begin + of], twin[begin + of], at, 1
                 rows, lead = _lowest(rows)
-                yield from _told(rows[~lead])
+                yield from _told(_joined(rows[~lead]))
                 yield _both(_packed(rows[lead], buckets))
 
     return cut
@@ -309,8 +323,11 @@ def repeated_spans(docs: DataFrame, length: int = 20) -> tuple[DataFrame, DataFr
     """The documents with keys ``doc`` and ``twin``, and the repeated stretches (doc, twin, start, n) of window starts."""
     spark = docs.sparkSession
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = docs.withColumns(
-        {"doc": F.coalesce("doc_id", F.lit(_NO_ID)), "twin": F.hash(F.coalesce("text", F.lit(""))), "text": F.coalesce("text", F.lit(""))}
+    keyed = docs.select(
+        F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc"),
+        F.hash(F.coalesce("text", F.lit(""))).alias("twin"),
+        "text",
+        F.struct(*(c for c in docs.columns if c != "text")).alias("row"),
     )
 
     def settled(step: DataFrame, name: str) -> DataFrame:
@@ -330,7 +347,7 @@ def repeated_spans(docs: DataFrame, length: int = 20) -> tuple[DataFrame, DataFr
     spans = asked(REFERENCE).mapInArrow(cut, ddl).repartition("key").sortWithinPartitions("key", "doc", "start")
     stream, stream_ddl = _stream(length)
     streamed = spans.select("key", "doc", "twin", "start", "words").mapInArrow(stream, stream_ddl)
-    fine = settled(asked(HOT).mapInArrow(_windows(length, buckets), _STEP_DDL), "windows").where(F.col("kind") == COVERED)
+    fine = settled(asked(HOT).mapInArrow(_windows(length, max(1, buckets // 4)), _STEP_DDL), "windows").where(F.col("kind") == COVERED)
     names = ["doc", "twin", "start", "n"]
     copies = found.where(F.col("kind") == COVERED).select(names)
     return keyed, copies.unionByName(streamed).unionByName(fine.select(names))
@@ -341,7 +358,8 @@ def drop_repeats(docs: DataFrame, length: int = 20) -> DataFrame:
 
     Earlier means a smaller doc_id, or the same doc_id and an earlier start; windows are judged on the input.
     Returns every column of ``docs`` (text: the kept words joined by one space, or the text itself where nothing is
-    removed) with ``n_words``, ``n_removed`` and ``kept`` (always the kept words joined by one space).
+    removed) with ``n_words``, ``n_removed`` and ``kept`` (always the kept words joined by one space), which replace columns of
+    these names.
 
     Null text has no words and stays null; a null doc_id comes before all others; rows of one doc_id and one start
     do not remove each other; empty tables give no rows.
@@ -350,13 +368,12 @@ def drop_repeats(docs: DataFrame, length: int = 20) -> DataFrame:
     lists = spans.groupBy("doc", "twin").agg(F.collect_list(F.struct("start", "n")).alias("asked"))
     joined = keyed.join(lists.hint("shuffle_hash"), ["doc", "twin"], "left")
     extra = pa.schema([("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
-    columns = docs.columns
 
     def clean(batches):
         for batch in batches:
             out = []
             for text, runs in zip(batch.column("text"), batch.column("asked")):
-                words = _WORD.findall(text.as_py())
+                words = _WORD.findall(text.as_py() or "")
                 n, cover = len(words), runs.as_py()
                 if cover:
                     edge = np.zeros(n + 1, np.int32)
@@ -365,12 +382,12 @@ def drop_repeats(docs: DataFrame, length: int = 20) -> DataFrame:
                         edge[run["start"] + run["n"] + length - 1] -= 1
                     words = [words[i] for i in np.flatnonzero(np.cumsum(edge[:n]) == 0).tolist()]
                 out.append((n, n - len(words), " ".join(words)))
-            cols = zip(*out) if out else [[]] * 3
-            made = batch_of(extra, *cols)
+            made = batch_of(extra, *(zip(*out) if out else [[]] * 3))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in columns), *made.columns], names=[*columns, *extra.names]
+                [batch.column("row"), batch.column("text"), *made.columns], names=["row", "text", *extra.names]
             )
 
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    out = joined.mapInArrow(clean, ddl + ", n_words bigint, n_removed bigint, kept string")
-    return out.withColumn("text", F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text")))
+    kind = joined.schema["row"].dataType.simpleString()
+    out = joined.select("row", "text", "asked").mapInArrow(clean, f"row {kind}, text string, n_words bigint, n_removed bigint, kept string")
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text")).alias("text")
+    return out.select(*(text if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c not in extra.names), *extra.names)
