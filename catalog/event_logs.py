@@ -5,12 +5,12 @@ from pyspark.sql import functions as F
 from catalog.base import query, view
 from spanquarry.operators import event_logs as E
 
-# Callback runs: chains, model calls, tools and retrievals; some chains are plumbing, some parents are lost.
+# Callback runs: chains, model calls, tools and retrievals; some chains are plumbing, some parents are lost, some never end.
 view("runs_log", """
 SELECT c.span_id AS run_id, CASE WHEN c.parent_span_id > 0 OR c.parent_span_id = c.trace_id THEN c.parent_span_id WHEN c.parent_span_id IS NOT NULL THEN -1 END AS parent_id,
        CASE WHEN s.parent_span_id IS NULL OR s.span_kind = 'memory' OR c.span_id % 8 < 4 THEN 'chain' ELSE s.span_kind END AS kind,
-       CASE WHEN c.span_id % 3 <> 0 OR s.parent_span_id IS NULL THEN c.name END AS name, s.started_at AS start_at, s.started_at + s.latency_ms * INTERVAL 1 MILLISECOND AS end_at,
-       s.model, s.input_tokens, s.output_tokens, s.error
+       CASE WHEN c.span_id % 3 <> 0 OR s.parent_span_id IS NULL THEN c.name END AS name, s.started_at AS start_at, CASE WHEN c.span_id % 11 <> 5 THEN s.started_at + s.latency_ms * INTERVAL 1 MILLISECOND END AS end_at,
+       s.model, CASE WHEN c.span_id % 11 <> 5 THEN s.input_tokens END AS input_tokens, CASE WHEN c.span_id % 11 <> 5 THEN s.output_tokens END AS output_tokens, CASE WHEN c.span_id % 11 <> 5 THEN s.error END AS error
 FROM {chains} c JOIN {spans} s ON c.span_id = s.span_id
 """)
 
@@ -28,7 +28,7 @@ def events(t, runs):
         F.col("end_at").alias("at"), none.cast("string").alias("name"), F.when(~failed, F.concat(F.lit("out "), F.col("run_id").cast("string"))).alias("payload"),
         none.cast("string").alias("model"), "input_tokens", "output_tokens", "error",
     )
-    return start.unionByName(end)
+    return start.unionByName(end.where("at IS NOT NULL"))
 
 
 NOISE = "(coalesce(name, '') = 'RunnableSequence' OR starts_with(coalesce(name, ''), 'ChannelWrite'))"
@@ -37,31 +37,33 @@ WITH RECURSIVE r AS (SELECT *, kind = 'chain' AND (parent_id IS NULL OR NOT {NOI
 w AS (SELECT r.*, CASE WHEN kind = 'chain' AND parent_id IS NULL THEN run_id END AS root_id, CAST(NULL AS BIGINT) AS kept_parent FROM r WHERE parent_id IS NULL
   UNION ALL SELECT r.*, w.root_id, CASE WHEN w.kept THEN w.run_id ELSE w.kept_parent END FROM r JOIN w ON r.parent_id = w.run_id)
 SELECT run_id, root_id, CASE WHEN parent_id IS NOT NULL THEN coalesce(kept_parent, root_id) END AS parent_span_id, CASE WHEN parent_id IS NULL THEN 'agent' ELSE kind END AS span_kind,
-  CASE WHEN name IS NOT NULL OR kind = 'chain' THEN name WHEN kind = 'tool' THEN 'Tool call' ELSE CASE kind WHEN 'llm' THEN 'LLM Call ' ELSE 'Retrieval ' END || n END AS name, error, model, latency_ms
-FROM (SELECT *, row_number() OVER (PARTITION BY root_id, kind ORDER BY end_at, run_id) AS n, CAST(floor((epoch_us(end_at) - epoch_us(start_at)) / 1000) AS BIGINT) AS latency_ms FROM w WHERE root_id IS NOT NULL AND (kind <> 'chain' OR kept))"""
+  CASE WHEN name IS NOT NULL OR kind = 'chain' THEN name WHEN kind = 'tool' THEN 'Tool call' ELSE CASE kind WHEN 'llm' THEN 'LLM Call ' ELSE 'Retrieval ' END || n END AS name, error, model, latency_ms,
+  'in ' || run_id AS input, CASE WHEN error IS NULL AND end_at IS NOT NULL THEN 'out ' || run_id END AS output, input_tokens, output_tokens
+FROM (SELECT *, row_number() OVER (PARTITION BY root_id, kind ORDER BY end_at, run_id) AS n, CAST(floor((epoch_us(coalesce(end_at, start_at)) - epoch_us(start_at)) / 1000) AS BIGINT) AS latency_ms FROM w WHERE root_id IS NOT NULL AND CASE WHEN kind = 'chain' THEN kept ELSE end_at IS NOT NULL END)"""
 
 
 @query("norm_chain_log", TREE)
 def norm_chain_log(t):
     out = E.norm_chain_log(events(t, t.runs_log))
-    return out.select("run_id", "root_id", "parent_span_id", "span_kind", "name", "error", "model", "latency_ms")
+    return out.select("run_id", "root_id", "parent_span_id", "span_kind", "name", "error", "model", "latency_ms", "input", "output", "input_tokens", "output_tokens")
 
 
 view("query_log", """
 SELECT span_id AS run_id, parent_span_id AS parent_id, CASE WHEN parent_span_id IS NULL AND span_id % 24 = 0 THEN 'synthesize' WHEN parent_span_id IS NULL THEN 'query'
          WHEN span_kind = 'tool' THEN 'function' WHEN span_kind = 'memory' THEN 'chunking' ELSE span_kind END AS kind,
-       CASE WHEN span_kind = 'tool' AND span_id % 3 <> 0 THEN 'search' END AS name, started_at AS start_at, started_at + latency_ms * INTERVAL 1 MILLISECOND AS end_at, model, input_tokens, output_tokens, error
+       CASE WHEN span_kind = 'tool' AND span_id % 3 <> 0 THEN 'search' END AS name, started_at AS start_at, CASE WHEN span_id % 9 <> 4 THEN started_at + latency_ms * INTERVAL 1 MILLISECOND END AS end_at, model,
+       CASE WHEN span_id % 9 <> 4 THEN input_tokens END AS input_tokens, CASE WHEN span_id % 9 <> 4 THEN output_tokens END AS output_tokens, CASE WHEN span_id % 9 <> 4 THEN error END AS error
 FROM {spans}
 """)
 
 QUERY_TREE = """
 WITH RECURSIVE w AS (SELECT q.*, CASE WHEN kind IN ('query', 'llm', 'retrieval') THEN run_id END AS root_id FROM {query_log} q WHERE parent_id IS NULL
   UNION ALL SELECT q.*, coalesce(w.root_id, CASE WHEN q.kind IN ('query', 'llm', 'retrieval') THEN q.run_id END) FROM {query_log} q JOIN w ON q.parent_id = w.run_id),
-k AS (SELECT *, row_number() OVER (PARTITION BY root_id, kind ORDER BY end_at, CAST(run_id AS STRING)) AS n FROM w WHERE root_id IS NOT NULL)
+k AS (SELECT *, row_number() OVER (PARTITION BY root_id, kind ORDER BY end_at NULLS LAST, CAST(run_id AS STRING)) AS n FROM w WHERE root_id IS NOT NULL)
 SELECT CASE WHEN run_id = root_id THEN concat(CAST(run_id AS STRING), ':step') ELSE CAST(run_id AS STRING) END AS run_id, CAST(root_id AS STRING) AS parent_span_id, CASE kind WHEN 'function' THEN 'tool' ELSE kind END AS span_kind,
   CASE WHEN kind = 'llm' THEN 'LLM Call ' || n WHEN kind = 'retrieval' THEN 'Retrieval ' || n ELSE coalesce(name, 'unknown') END AS name, CASE WHEN error IS NOT NULL THEN 'ERROR: ' || error ELSE 'out ' || run_id END AS output,
-  input_tokens::BIGINT AS input_tokens FROM k WHERE kind IN ('llm', 'retrieval', 'function')
-UNION ALL SELECT CAST(root_id AS STRING), NULL, 'agent', 'query', arg_max(CASE WHEN error IS NULL THEN 'out ' || run_id END, struct_pack(a := end_at, b := CAST(run_id AS STRING))) FILTER (kind IN ('query', 'llm') AND error IS NULL),
+  input_tokens::BIGINT AS input_tokens FROM k WHERE end_at IS NOT NULL AND kind IN ('llm', 'retrieval', 'function')
+UNION ALL SELECT CAST(root_id AS STRING), NULL, 'agent', 'query', arg_max(CASE WHEN error IS NULL THEN 'out ' || run_id END, struct_pack(a := end_at, b := CAST(run_id AS STRING))) FILTER (kind IN ('query', 'llm') AND error IS NULL AND end_at IS NOT NULL),
   nullif(CAST(sum(input_tokens) FILTER (kind = 'llm') AS BIGINT), 0) FROM k GROUP BY root_id"""
 
 
@@ -90,8 +92,8 @@ def norm_agents_log(t):
     return E.norm_agents_log(t.agent_log)
 
 
-CALLS = "SELECT span_id AS call_id, agent AS scope, started_at AS happened FROM {spans} WHERE span_kind = 'llm'"
-SCOPES = "SELECT span_id, agent AS scope, started_at AS start_at, started_at + latency_ms * 40 * INTERVAL 1 MILLISECOND AS end_at FROM {spans} WHERE span_kind = 'agent'"
+CALLS = "SELECT concat('mw:', CAST(span_id AS STRING)) AS call_id, agent AS scope, started_at AS happened FROM {spans} WHERE span_kind = 'llm'"
+SCOPES = "SELECT concat('dbx:', CAST(span_id AS STRING)) AS span_id, agent AS scope, started_at AS start_at, started_at + latency_ms * (CASE WHEN span_id % 5 = 0 THEN 40000 ELSE 40 END) * INTERVAL 1 MILLISECOND AS end_at FROM {spans} WHERE span_kind = 'agent'"
 
 
 @query("norm_call_log", f"""

@@ -62,8 +62,11 @@ SELECT user_id AS run_id, event_id, ts AS happened, CASE event_type WHEN 'view'
 
 def fifo_sql(start, end, keys):
     return f"""
-SELECT s.*, e.happened AS end_at, e.payload AS end_payload, e.error AS end_error, s.n AS nn FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY happened, event_id) AS n FROM ({PLUGIN}) WHERE event = '{start}') s
-JOIN (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY happened, event_id) AS n FROM ({PLUGIN}) WHERE event = '{end}') e USING ({keys}, n)"""
+WITH u AS (SELECT *, coalesce(max(greatest(ne - ns, 0)) OVER (PARTITION BY {keys} ORDER BY happened, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lost FROM (
+  SELECT *, CAST(count(*) FILTER (event = '{end}') OVER w AS BIGINT) AS ne, CAST(count(*) FILTER (event = '{start}') OVER w AS BIGINT) AS ns FROM ({PLUGIN}) WHERE event IN ('{start}', '{end}') WINDOW w AS (PARTITION BY {keys} ORDER BY happened, event_id)))
+SELECT e.run_id, e.tool, e.ne AS n, e.happened AS end_at, e.payload AS end_payload, e.error AS end_error, s.happened, s.event_id, s.payload
+FROM (SELECT *, CASE WHEN ne - ns <= lost THEN ne - lost END AS k FROM u WHERE event = '{end}') e
+LEFT JOIN (SELECT {keys}, ns AS k, happened, event_id, payload FROM u WHERE event = '{start}') s USING ({keys}, k)"""
 
 
 @query("pair_fifo", f"SELECT run_id, tool, n, event_id AS start_event_id, end_payload FROM ({fifo_sql('tool_start', 'tool_end', 'run_id, tool')})")

@@ -122,7 +122,7 @@ LEFT JOIN (SELECT agent, round(count(*) FILTER (rating = 'down') / count(*), 6)
 
 @query("kpis", kpis_sql(WEEK, WEEK_FB))
 def kpis(t):
-    return M.kpis(facts(t, "2024-01-24 00:00:00"), t.feedback, NOW, 7 * DAY)
+    return M.kpis(facts(t, "2024-01-24 00:00:00"), t.feedback, NOW, 7 * DAY, M.production_roots(t.spans))
 
 
 @query("production_roots", f"SELECT span_id, agent FROM {{spans}} WHERE {PROD}")

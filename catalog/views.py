@@ -64,7 +64,7 @@ FROM {conversations}
 """)
 
 view("feedback", """
-SELECT event_id AS trace_id, CASE WHEN event_id % 5 = 0 THEN 'down' ELSE 'up' END AS rating, ts AS created_at
+SELECT event_id AS trace_id, CASE WHEN event_id % 5 = 0 THEN 'down' ELSE 'up' END AS rating, ts + (event_id % 97) * INTERVAL 3 HOUR AS created_at
 FROM {events} WHERE event_id % 24 = 0
 """)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +24,10 @@ ROOT_KINDS = ("query", "agent_step", "llm", "retrieval")
 
 
 def pair_events(events: DataFrame) -> DataFrame:
-    """One row per run: start fields joined with its end or error. Runs without an end are dropped."""
+    """One row per run that started: start fields joined with its end or error.
+
+    A run without an end (``ended`` is false) ends where it starts, so what ran under it keeps its place.
+    """
     start = F.col("event") == "start"
     end = F.col("event").isin("end", "error")
 
@@ -43,7 +46,9 @@ def pair_events(events: DataFrame) -> DataFrame:
             at_end("payload", "output"), at_end("error"), F.coalesce(F.max(F.when(start, F.col("model"))), F.max("model")).alias("model"),
             at_end("input_tokens"), at_end("output_tokens"), *docs,
         )
-        .where("start_at IS NOT NULL AND end_at IS NOT NULL")
+        .where("start_at IS NOT NULL")
+        .withColumn("ended", F.col("end_at").isNotNull())
+        .withColumn("end_at", F.coalesce("end_at", "start_at"))
     )
 
 
@@ -67,7 +72,8 @@ def norm_chain_log(events: DataFrame) -> DataFrame:
 
     The root is the top-level chain; plumbing chains vanish and what ran under them hangs on the
     nearest kept chain, or on the root. Model calls and retrievals are numbered when unnamed; an
-    unnamed tool is ``Tool call``; a failed tool keeps its output as its error.
+    unnamed tool is ``Tool call``; a failed tool keeps its output as its error. A chain that never
+    ended stays, ending where it starts; calls and tools are spans once they have ended.
     """
     runs = cut_lineage(pair_events(events))  # read by two climbs and the joins below
     top = (F.col("kind") == "chain") & F.col("parent_id").isNull()
@@ -77,7 +83,7 @@ def norm_chain_log(events: DataFrame) -> DataFrame:
     placed = (
         runs.join(roots, "run_id").join(parents, "run_id")
         .withColumn("root_id", F.when(top, F.col("run_id")).otherwise(F.col("root_found")))
-        .where(F.col("root_id").isNotNull() & ((F.col("kind") != "chain") | kept))
+        .where(F.col("root_id").isNotNull() & F.when(F.col("kind") == "chain", kept).otherwise(F.col("ended")))
         .withColumn("parent_span_id", F.when(~top, F.coalesce("kept_parent", "root_id")))
     )
     placed = cut_lineage(placed)  # read once per span kind
@@ -96,7 +102,8 @@ def norm_query_log(events: DataFrame) -> DataFrame:
     """Query-engine callbacks to a root and its steps.
 
     A root is the first root-type event on its chain; every model call, retrieval and function below
-    it becomes a direct child. A failed step says so in its output.
+    it becomes a direct child once it has ended. A failed step says so in its output; a root that never
+    ended ends where it starts.
     """
     runs = cut_lineage(pair_events(events))
     rooting = F.col("kind").isin(*ROOT_KINDS)
@@ -105,11 +112,12 @@ def norm_query_log(events: DataFrame) -> DataFrame:
     found = climb(marked, "run_id", "parent_id", F.col("is_root")).select(F.col("id").alias("run_id"), F.col("found").alias("root_above"))
     placed = marked.join(found, "run_id").withColumn("root_id", F.when(F.col("is_root"), F.col("run_id")).otherwise(F.col("root_above"))).where("root_id IS NOT NULL")
     placed = cut_lineage(placed)
+    ended = placed.where("ended")
 
     failed = F.concat(F.lit("ERROR: "), F.col("error"))
-    llm = _numbered(placed, "llm", "LLM Call").withColumn("output", F.coalesce(F.nullif("output", F.lit("")), failed))
-    retrieval = _numbered(placed, "retrieval", "Retrieval").withColumn("output", F.coalesce(failed, "output"))
-    function = placed.where("kind = 'function'").withColumn("name", F.coalesce("name", F.lit("unknown"))).withColumn("output", F.coalesce(failed, "output"))
+    llm = _numbered(ended, "llm", "LLM Call").withColumn("output", F.coalesce(F.nullif("output", F.lit("")), failed))
+    retrieval = _numbered(ended, "retrieval", "Retrieval").withColumn("output", F.coalesce(failed, "output"))
+    function = ended.where("kind = 'function'").withColumn("name", F.coalesce("name", F.lit("unknown"))).withColumn("output", F.coalesce(failed, "output"))
     steps = llm.unionByName(retrieval).unionByName(function)
     kind = F.when(F.col("kind") == "function", "tool").otherwise(F.col("kind"))
     # a root-type event that is itself a step appears both as the trace and as its own step
@@ -177,56 +185,80 @@ def norm_agents_log(spans: DataFrame) -> DataFrame:
     return root.unionByName(calls).unionByName(tools)
 
 
+def _covered(first: str, last: str, levels: int = 9) -> Column:
+    """The slices first..last - 1 as an array of blocks (level, block) of 8^level slices.
+
+    At most 14 blocks a level, so a span adds rows by the logarithm of its duration.
+    """
+    out = []
+    for level in range(levels):
+        x, y = ((f(F.col(c) / 8**level)).cast("long") for f, c in ((F.ceil, first), (F.floor, last)))
+        up, down = ((f(F.col(c) / 8 ** (level + 1)) * 8).cast("long") for f, c in ((F.ceil, first), (F.floor, last)))
+        split = F.lit(level + 1 < levels) & (up < down)
+        for a, b in ((x, F.when(split, up).otherwise(y)), (F.when(split, down).otherwise(y), y)):
+            blocks = F.when(a < b, F.sequence(a, b - 1)).otherwise(F.array().cast("array<bigint>"))
+            out.append(F.transform(blocks, lambda n: F.struct(F.lit(level).alias("level"), n.alias("block"))))  # noqa: B023  called at once
+    return F.flatten(F.array(*out))
+
+
 def active_span(calls: DataFrame, spans: DataFrame, slice_seconds: int = 60) -> DataFrame:
     """Innermost span of the same scope that was running when a call was made: ``(call_id, span_id)``.
 
-    ``calls(call_id, scope, at)``, ``spans(span_id, scope, start_at, end_at)``, half-open intervals; the
-    innermost is the one that started last.
+    ``calls(call_id, scope, at)``, ``spans(span_id, scope, start_at, end_at)``, half-open intervals, ids of any
+    type that can be ordered; the innermost is the one that started last (ties: the largest id).
 
-    Time is cut into slices. A span is sent to the slice it starts in and the one it ends in; of the
-    spans that cover a whole slice only the one that started last can matter, and that is found by a
-    map-side combined maximum. Sorted slices then stream through one sweep that holds only the spans
-    open at the time. No pairs are built, and a busy scope is spread over its slices.
+    Time is cut into slices. A span is sent to the slice it starts in and the one it ends in; the slices between are
+    covered by few blocks of 8^n slices, and of the spans that cover a block only the one that started last can matter, which
+    is found by a map-side combined maximum. Sorted slices then stream through one sweep that holds only the
+    spans open at the time. No pairs are built, and a busy scope is spread over its slices.
     """
-    width = slice_seconds * 1_000_000
+    width, levels = slice_seconds * 1_000_000, 9
     s = spans.select("scope", "span_id", F.unix_micros("start_at").alias("a"), F.unix_micros("end_at").alias("b")).where("b > a")
     s = s.withColumn("sa", F.floor(F.col("a") / width)).withColumn("sb", F.floor(F.col("b") / width))
     ends = s.withColumn("slice", F.explode(F.array_distinct(F.array("sa", "sb"))))
     cover = (
         s.where("sb - sa > 1")
-        .withColumn("slice", F.explode(F.sequence(F.col("sa") + 1, F.col("sb") - 1)))
-        .groupBy("scope", "slice")
+        .withColumn("from", F.col("sa") + 1)
+        .select("scope", "a", "span_id", F.inline(_covered("from", "sb", levels)))
+        .groupBy("scope", "level", "block")
         .agg(F.max(F.struct("a", "span_id")).alias("c"))
     )
     c = calls.select("scope", "call_id", F.unix_micros("at").alias("a")).withColumn("slice", F.floor(F.col("a") / width))
-    span_type = spans.schema["span_id"].dataType
-    rows = c.select("scope", "slice", "a", F.lit(None).cast("long").alias("b"), "call_id", F.lit(None).cast(span_type).alias("span_id")).unionByName(
-        ends.select("scope", "slice", "a", "b", F.lit(None).cast(calls.schema["call_id"].dataType).alias("call_id"), "span_id")
+    span_type, call_type = spans.schema["span_id"].dataType, calls.schema["call_id"].dataType
+    rows = c.select("scope", "slice", "a", F.lit(None).cast("long").alias("b"), F.lit(True).alias("is_call"), "call_id", F.lit(None).cast(span_type).alias("span_id")).unionByName(
+        ends.select("scope", "slice", "a", "b", F.lit(False).alias("is_call"), F.lit(None).cast(call_type).alias("call_id"), "span_id")
     )
 
-    def sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group, open_spans = None, []
-        for pdf in batches:
-            found = []
-            for scope, slice_no, a, b, span_id, call_id in zip(*(pdf[c] for c in ("scope", "slice", "a", "b", "span_id", "call_id"))):
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, open_spans, seen = None, [], 0
+        for batch in batches:
+            found, names = [], ("scope", "slice", "a", "b", "is_call", "call_id", "span_id")
+            for scope, slice_no, a, b, is_call, call_id, span_id in zip(*(batch.column(n).to_pylist() for n in names)):
                 if (scope, slice_no) != group:
                     group, open_spans = (scope, slice_no), []
-                if pd.isna(call_id):
-                    heapq.heappush(open_spans, (-a, -int(span_id), b))
+                if not is_call:
+                    seen += 1  # rows come in ascending order of start and id
+                    heapq.heappush(open_spans, (-seen, a, b, span_id))
                     continue
                 while open_spans and open_spans[0][2] <= a:
                     heapq.heappop(open_spans)
-                top = open_spans[0] if open_spans else None
-                found.append((int(call_id), scope, slice_no, -top[0] if top else None, -top[1] if top else None))
-            out = pd.DataFrame(found, columns=["call_id", "scope", "slice", "a", "span_id"])
-            yield out.astype({"call_id": "Int64", "slice": "Int64", "a": "Int64", "span_id": "Int64"})
-
-    scope = calls.schema["scope"].dataType.simpleString()
+                top = open_spans[0] if open_spans else (None, None, None, None)
+                found.append((call_id, scope, slice_no, top[1], top[3]))
+            kinds = [batch.schema.field(n).type for n in ("call_id", "scope", "slice", "a", "span_id")]
+            columns = zip(*found) if found else [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds)], names=["call_id", "scope", "slice", "a", "span_id"])
+
+    kinds = {"call_id": call_type, "scope": calls.schema["scope"].dataType, "span_id": span_type}
+    ddl = {k: v.simpleString() for k, v in kinds.items()}
     # spans come before calls of the same moment; a batch may hold many slices and a slice many batches
-    ordered = rows.repartition("scope", "slice").sortWithinPartitions("scope", "slice", "a", F.col("call_id").asc_nulls_first())
-    near = ordered.mapInPandas(sweep, f"call_id BIGINT, scope {scope}, slice BIGINT, a BIGINT, span_id BIGINT")
+    ordered = rows.repartition("scope", "slice").sortWithinPartitions("scope", "slice", "a", "is_call", "span_id")
+    near = ordered.mapInArrow(sweep, f"call_id {ddl['call_id']}, scope {ddl['scope']}, slice BIGINT, a BIGINT, span_id {ddl['span_id']}")
+    blocks = F.array(*[F.struct(F.lit(n).alias("level"), F.floor(F.col("slice") / 8**n).alias("block")) for n in range(levels)])
+    over = (
+        c.select("scope", "call_id", F.inline(blocks)).join(cover, ["scope", "level", "block"]).groupBy("call_id").agg(F.max("c").alias("c"))
+    )
     best = F.greatest(F.when(F.col("a").isNotNull(), F.struct("a", "span_id")), F.col("c"))
-    return near.join(cover, ["scope", "slice"], "left").select("call_id", best["span_id"].alias("span_id"))
+    return near.join(over, "call_id", "left").select("call_id", best["span_id"].alias("span_id"))
 
 
 def norm_call_log(calls: DataFrame, spans: DataFrame) -> DataFrame:

@@ -40,14 +40,28 @@ def pair_tool_calls(requests: DataFrame, responses: DataFrame) -> DataFrame:
 
 
 def pair_fifo(starts: DataFrame, ends: DataFrame, keys: Sequence[str], slice_seconds: int = 3600) -> DataFrame:
-    """The n-th end pairs with the n-th start of its key. Each side has ``keys, at, event_id``."""
+    """Every end with the earliest start of its key that no end before it took; ``n`` numbers the ends of a key.
+
+    Each side has ``keys, at, event_id`` and the same other columns, returned as ``start_...`` and ``end_...``. An end
+    that finds no start open keeps null start fields and shifts no later pair: the ends lost so far are the running maximum of
+    ends less starts (at least 0), and an end's start has the number of the end less those.
+    """
     order = ["at", "event_id"]
     by = sliced.time_slice(F.col("at"), slice_seconds)
-    s = sliced.sliced_window(starts, keys, by, order, [sliced.row_number("n")])
-    e = sliced.sliced_window(ends, keys, by, order, [sliced.row_number("n")])
-    s = s.withColumnsRenamed({c: f"start_{c}" for c in starts.columns if c not in keys})
-    e = e.withColumnsRenamed({c: f"end_{c}" for c in ends.columns if c not in keys})
-    return s.join(e, [*keys, "n"])
+    both = starts.withColumn("__end", F.lit(0).cast("long")).unionByName(ends.withColumn("__end", F.lit(1).cast("long")))
+    counted = sliced.sliced_window(
+        both, keys, by, order, [sliced.running_sum("__ends", F.col("__end")), sliced.running_sum("__starts", 1 - F.col("__end"))]
+    )
+    excess = F.greatest(F.col("__ends") - F.col("__starts"), F.lit(0))
+    lost = sliced.sliced_window(counted, keys, by, order, [sliced.running_max("__lost", excess, inclusive=False)])
+    lost = lost.withColumn("__lost", F.coalesce("__lost", F.lit(0).cast("long")))
+    fields = [c for c in starts.columns if c not in keys]
+    s = lost.where("__end = 0").select(*keys, F.col("__starts").alias("__n"), *[F.col(c).alias(f"start_{c}") for c in fields])
+    found = F.when(F.col("__ends") - F.col("__starts") <= F.col("__lost"), F.col("__ends") - F.col("__lost"))
+    e = lost.where("__end = 1").select(
+        *keys, F.col("__ends").alias("n"), found.alias("__n"), *[F.col(c).alias(f"end_{c}") for c in fields]
+    )
+    return e.join(s, [*keys, "__n"], "left").drop("__n")
 
 
 def chain_timing(messages: DataFrame, slice_size: int = 10_000) -> DataFrame:
@@ -243,7 +257,7 @@ def norm_plugin_log(events: DataFrame) -> DataFrame:
     """Plugin callbacks ``(run_id, event, tool, at, event_id, payload, error)`` to model and tool spans.
 
     Model ends pair with model starts per run, tool ends with tool starts per run and tool, first in
-    first out; a failed tool has success = false.
+    first out; an end without a start has no start time and latency; a failed tool has success = false.
     """
 
     def side(event: str, keys: list[str]) -> DataFrame:

@@ -201,9 +201,12 @@ def run_facts(spans: DataFrame, failure_hits: DataFrame | None = None, since: st
     )
 
 
-def kpis(facts: DataFrame, feedback: DataFrame, now: str, window_seconds: int) -> DataFrame:
+def kpis(facts: DataFrame, feedback: DataFrame, now: str, window_seconds: int, roots: DataFrame | None = None) -> DataFrame:
     """KPIs per agent over the window before ``now``.
 
+    A vote counts in the window it was cast in, however old its trace: where ``facts`` are pruned to the window, ``roots``
+    (trace_id, agent) are the roots of all time.
+
     The first aggregation is per (agent, latency value): it combines on the map side and leaves one
     row per distinct millisecond, so the exact percentile of a hot agent is a weighted one over few
     rows instead of a buffer of all its latencies.
@@ -225,7 +228,7 @@ def kpis(facts: DataFrame, feedback: DataFrame, now: str, window_seconds: int) -
     votes = (
         feedback.where(in_window("created_at", now, window_seconds))
         .select("trace_id", "rating")
-        .join(facts.select("trace_id", "agent"), "trace_id")
+        .join((facts if roots is None else roots).select("trace_id", "agent"), "trace_id")
         .groupBy("agent")
         .agg(F.count_if(F.col("rating") == "down").alias("downs"), F.count("*").alias("votes"))
     )

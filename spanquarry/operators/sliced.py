@@ -34,6 +34,11 @@ def running_sum(out: str, value: Column) -> Spec:
     return Spec("sum", out, value)
 
 
+def running_max(out: str, value: Column, inclusive: bool = True) -> Spec:
+    """Largest value up to this row (or strictly before it)."""
+    return Spec("max", out, value, inclusive)
+
+
 def previous(out: str, value: Column) -> Spec:
     return Spec("previous", out, value)
 
@@ -65,6 +70,8 @@ def _local(spec: Spec, window) -> Column:
     after = window.rowsBetween(0 if spec.inclusive else 1, Window.unboundedFollowing)
     if spec.kind == "sum":
         return F.sum(spec.value).over(before)
+    if spec.kind == "max":
+        return F.max(spec.value).over(before)
     if spec.kind == "previous":
         return F.lag(F.struct(spec.value.alias("v"))).over(window)
     if spec.kind == "following":
@@ -78,6 +85,7 @@ def _summary(spec: Spec, rank: Column) -> Column:
     known = F.when(spec.value.isNotNull(), rank)
     return {
         "sum": lambda: F.sum(spec.value),
+        "max": lambda: F.max(spec.value),
         "previous": lambda: F.max_by(F.struct(spec.value.alias("v")), rank),
         "following": lambda: F.min_by(F.struct(spec.value.alias("v")), rank),
         "last_known": lambda: F.max_by(spec.value, known),
@@ -90,6 +98,8 @@ def _carry(spec: Spec, column: str, window) -> Column:
     after = window.rowsBetween(1, Window.unboundedFollowing)
     if spec.kind == "sum":
         return F.sum(column).over(before)
+    if spec.kind == "max":
+        return F.max(column).over(before)
     if spec.kind == "previous":
         return F.lag(column).over(window)
     if spec.kind == "following":
@@ -103,6 +113,8 @@ def _combine(spec: Spec) -> Column:
     local, carry = F.col(f"__l_{spec.out}"), F.col(f"__c_{spec.out}")
     if spec.kind == "sum":
         return F.coalesce(local + carry, local, carry)
+    if spec.kind == "max":
+        return F.greatest(local, carry)
     if spec.kind in ("previous", "following"):
         return F.coalesce(local, carry)["v"]
     return F.coalesce(local, carry)

@@ -22,4 +22,4 @@ def monitor(
     recent = M.production_roots(spans).where(M.in_window("started_at", now, window_seconds))
     hits = M.span_pattern(recent.join(texts, "span_id"), patterns, sources)
     facts = M.run_facts(spans, hits, since)
-    return {"hits": hits, "signals": M.signal_rollup(hits), "kpis": M.kpis(facts, feedback, now, window_seconds)}
+    return {"hits": hits, "signals": M.signal_rollup(hits), "kpis": M.kpis(facts, feedback, now, window_seconds, M.production_roots(spans))}

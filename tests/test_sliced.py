@@ -57,3 +57,41 @@ def test_no_window_is_keyed_by_the_bare_key_alone(rows):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "[key#" in plan and "__slice" in plan
     assert out.count() == rows.count()
+
+
+def test_fifo_pairs_like_a_queue(spark):
+    import random
+
+    from spanquarry.operators.logs import pair_fifo
+
+    r, rows, want = random.Random(5), [], []
+    for key in ("a", "b", "c"):
+        queue, ends = [], 0
+        for n in range(120):
+            at, is_end = f"2024-01-01 0{n // 30}:{n % 30:02d}:00", r.random() < 0.55
+            rows.append((key, at, n, is_end))
+            if is_end:
+                ends += 1
+                want.append((key, ends, queue.pop(0) if queue else None, n))
+            else:
+                queue.append(n)
+    df = spark.createDataFrame(rows, "k string, at string, event_id bigint, is_end boolean").selectExpr("k", "cast(at as timestamp) at", "event_id", "is_end")
+    got = pair_fifo(df.where("NOT is_end").drop("is_end"), df.where("is_end").drop("is_end"), ["k"], 900)
+    assert sorted(tuple(x) for x in got.select("k", "n", "start_event_id", "end_event_id").collect()) == sorted(want)
+    assert got.where("start_at > end_at").isEmpty()
+
+
+def test_late_vote_counts_in_its_window(spark):
+    from spanquarry.operators.monitoring import kpis, production_roots, run_facts
+
+    spans = spark.sql(
+        "SELECT i AS span_id, CAST(NULL AS BIGINT) AS parent_span_id, i AS trace_id, 'a' AS agent, ts AS started_at, 'agent' AS span_kind, CAST(NULL AS STRING) AS error, 5L AS latency_ms, CAST(NULL AS STRING) AS source "
+        "FROM VALUES (1L, TIMESTAMP '2024-01-01 00:00:00'), (2L, TIMESTAMP '2024-01-30 00:00:00') AS t(i, ts)"
+    )
+    votes = spark.sql("SELECT i AS trace_id, r AS rating, TIMESTAMP '2024-01-30 10:00:00' AS created_at FROM VALUES (1L, 'down'), (2L, 'up') AS t(i, r)")
+    now = "2024-01-31 00:00:00"
+    rates = [
+        kpis(run_facts(spans, since=since), votes, now, 7 * 86400, production_roots(spans)).first()["downvote_rate"]
+        for since in (None, "2024-01-24 00:00:00")
+    ]
+    assert rates == [0.5, 0.5]
