@@ -111,10 +111,13 @@ def trace_budget_prefix(t):
     return t.documents.select("doc_id", F.size(kept).cast("long").alias("kept"))
 
 
-@query("payload_bound")
+@query("payload_bound", """
+SELECT doc_id, text AS words_kept_text, array_to_string(string_split(text, ' ')[1:30], ' ') AS words, len(string_split(text, ' ')) > 30 AS truncated FROM {documents}""")
 def payload_bound_query(t):
     payload = F.to_json(F.struct(F.col("text"), F.split("text", " ").alias("words")))
-    return t.documents.select("doc_id", payload_bound(payload).alias("payload"))
+    out = t.documents.select("doc_id", payload_bound(payload, 3, 200, 30).alias("p"))
+    kept = F.from_json("p.bounded", "text string, words array<string>")
+    return out.select("doc_id", kept["text"].alias("words_kept_text"), F.array_join(kept["words"], " ").alias("words"), "p.truncated")
 
 
 @query("split_semi", """

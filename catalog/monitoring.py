@@ -249,8 +249,8 @@ def span_pattern(t):
 
 SIGNALS_SQL = f"""
 SELECT pattern_key, agent, min(started_at) AS first_seen, max(started_at) AS last_seen, count(*) AS n,
-  max(span_id) AS representative, max(polarity) AS polarity, max(severity) AS severity,
-  CASE WHEN max(polarity) = 'proper' THEN 'healthy' ELSE 'open' END AS status
+  max(span_id) AS representative, arg_max(polarity, struct_pack(a := started_at, b := span_id)) AS polarity, arg_max(severity, struct_pack(a := started_at, b := span_id)) AS severity,
+  CASE WHEN arg_max(polarity, struct_pack(a := started_at, b := span_id)) = 'proper' THEN 'healthy' ELSE 'open' END AS status
 FROM ({HITS_SQL}) GROUP BY pattern_key, agent
 """
 
@@ -263,7 +263,7 @@ def signal_rollup(t):
 @query("signals_filter", f"""
 SELECT pattern_key, agent, n FROM ({SIGNALS_SQL}) s WHERE polarity = 'failure' AND status = 'open' AND severity = 'medium'
   AND (agent = 'agent-1' OR pattern_key IN (SELECT pattern_key FROM ({HITS_SQL}) WHERE agent = 'agent-1'))
-ORDER BY last_seen DESC, pattern_key, agent LIMIT 50""")
+ORDER BY last_seen DESC, pattern_key, agent""")
 def signals_filter(t):
     hits = doc_hits(t)
     out = M.signals_filter(M.signal_rollup(hits), status="open", severity="medium", agent="agent-1", occurrences=hits)

@@ -260,7 +260,7 @@ def worst_first(t):
 
 @query("low_scoring", "SELECT doc_id, rating FROM {results} WHERE rating <= 5 ORDER BY doc_id LIMIT 5")
 def low_scoring(t):
-    return R.low_scoring(t.results, "doc_id").select("doc_id", "rating")
+    return R.low_scoring(t.results, "doc_id", 5.0, 5).select("doc_id", "rating")
 
 
 @query("recs_by_priority", """

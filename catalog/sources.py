@@ -119,11 +119,15 @@ INTER = """
 SELECT interaction_id, conversation_id, CASE WHEN interaction_id % 50 = 7 THEN NULL ELSE created_time END AS created_time, domain, CASE WHEN interaction_id % 3 = 0 THEN 'r1' END AS route,
   CASE WHEN interaction_id % 4 <> 0 THEN concat('ask ', CAST(interaction_id AS STRING)) ELSE '' END AS utterance, CASE WHEN interaction_id % 5 <> 0 THEN 'done' END AS reply,
   created_time + (interaction_id % 9 - 2) * INTERVAL 1 SECOND AS resolved_time FROM {interactions}"""
-CONV = "SELECT c_custkey AS conversation_id, lower(c_mktsegment) AS domain, CASE WHEN c_custkey % 2 = 0 THEN 'route-c' END AS route FROM {customer} WHERE c_custkey % 3 <> 0"
+CONV = "SELECT c_custkey AS conversation_id, lower(c_mktsegment) AS domain, CASE WHEN c_custkey % 2 = 0 THEN 'route-c' END AS route FROM {customer} WHERE c_custkey % 3 <> 0 UNION ALL SELECT c_custkey, 'zz-last', 'zz-route' FROM {customer} WHERE c_custkey % 12 = 1"
+
+
+# of two export rows of a conversation the larger values count
+CONV_LAST = f"SELECT conversation_id, max(domain) AS domain, CASE WHEN max(domain) = 'zz-last' THEN 'zz-route' ELSE max(route) END AS route FROM ({CONV}) GROUP BY conversation_id"
 
 
 @query("enrich_conversation", f"""
-SELECT interaction_id, coalesce(nullif(i.domain, ''), c.domain) AS domain, coalesce(i.route, c.route) AS route FROM ({INTER}) i LEFT JOIN ({CONV}) c ON i.conversation_id = c.conversation_id""")
+SELECT interaction_id, coalesce(nullif(i.domain, ''), c.domain) AS domain, coalesce(i.route, c.route) AS route FROM ({INTER}) i LEFT JOIN ({CONV_LAST}) c ON i.conversation_id = c.conversation_id""")
 def enrich_conversation(t):
     return CV.enrich_conversation(t.sql(INTER), t.sql(CONV)).select("interaction_id", "domain", "route")
 
@@ -134,16 +138,19 @@ SELECT interaction_id, CASE WHEN o.k IS NOT NULL THEN o.k ELSE c.k END AS calls_
 LEFT JOIN ({SIZES}) o ON CAST(i.interaction_id AS STRING) = o.k LEFT JOIN ({SIZES}) c ON CAST(i.conversation_id AS STRING) = c.k"""
 
 
-@query("attach_calls", f"SELECT *, n_calls AS nested FROM ({ATTACHED})")
+@query("attach_calls", f"""
+SELECT a.interaction_id, a.calls_key, a.n_calls, c.pos, c.plugin_name AS called FROM ({ATTACHED}) a
+LEFT JOIN (SELECT *, CAST(coalesce(interaction_id, conversation_id) AS STRING) AS k FROM {{plugin_calls}}) c ON a.calls_key = c.k""")
 def attach_calls(t):
     out = CV.attach_calls(t.interactions, t.plugin_calls)
-    return out.select("interaction_id", "calls_key", "n_calls", F.coalesce(F.size("tool_calls"), F.lit(0)).cast("long").alias("nested"))
+    calls = CV.named_calls(t.plugin_calls).select("calls_key", F.col("pos").cast("int").alias("pos"), F.col("name").alias("called"))
+    return out.select("interaction_id", "calls_key", "n_calls").join(calls, "calls_key", "left")
 
 
 @query("import_conversations", f"""
 SELECT 'moveworks-' || coalesce(nullif(i.domain, ''), c.domain) AS named, concat('mw:', CAST(i.interaction_id AS STRING)) AS span_id, concat('mw_', CAST(i.conversation_id AS STRING)) AS session_id, epoch_us(created_time) * 1000 AS started_at_ns,
   CASE WHEN resolved_time >= created_time THEN (i.interaction_id % 9 - 2) * 1000 END AS latency_ms, CASE WHEN utterance <> '' THEN utterance ELSE '{{{{"interaction_type":"unknown"}}}}' END AS input, reply AS output, a.n_calls
-FROM ({INTER}) i LEFT JOIN ({CONV}) c ON i.conversation_id = c.conversation_id JOIN ({ATTACHED}) a ON i.interaction_id = a.interaction_id WHERE created_time IS NOT NULL""")
+FROM ({INTER}) i LEFT JOIN ({CONV_LAST}) c ON i.conversation_id = c.conversation_id JOIN ({ATTACHED}) a ON i.interaction_id = a.interaction_id WHERE created_time IS NOT NULL""")
 def import_conversations(t):
     out = CV.import_conversations(t.sql(INTER), t.sql(CONV), t.plugin_calls)
     named = F.when(F.col("name") != CV.DEFAULT_NAME, F.col("name"))

@@ -99,12 +99,13 @@ def tool_call_mirror(t):
 
 
 @query("tool_call_nested", """
-SELECT trace_id, count(*) AS n_calls, string_agg(CAST(span_id AS STRING), ',' ORDER BY started_at, span_id) AS calls, false AS kept_long
-FROM {spans} WHERE span_kind = 'tool' AND parent_span_id IS NOT NULL GROUP BY trace_id""")
+SELECT trace_id, CAST(floor((pos - 1) / 2) AS BIGINT) AS block, count(*) AS n_calls, string_agg(CAST(span_id AS STRING), ',' ORDER BY pos) AS calls FROM (
+  SELECT *, row_number() OVER (PARTITION BY trace_id ORDER BY started_at, span_id) AS pos FROM {spans} WHERE span_kind = 'tool' AND parent_span_id IS NOT NULL)
+GROUP BY trace_id, floor((pos - 1) / 2)""")
 def tool_call_nested(t):
-    nested = trees.nest_calls(trees.tool_call_mirror(t.spans), "trace_id")
+    nested = trees.nest_calls(trees.tool_call_mirror(t.spans), "trace_id", 2)
     ids = F.array_join(F.transform("tool_calls", lambda c: c["span_id"].cast("string")), ",")
-    return nested.select("trace_id", "n_calls", ids.alias("calls"), "kept_long")
+    return nested.select("trace_id", "block", "n_calls", ids.alias("calls"))
 
 
 @query("root_summary", """

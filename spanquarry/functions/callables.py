@@ -105,7 +105,7 @@ def external_scorer(spans: DataFrame, handler: Callable[[Iterator[dict]], Any],
     return spans.groupBy("trace_id").applyInPandas(run, f"trace_id {kind}, score DOUBLE, matched BOOLEAN")
 
 
-def dry_run(rows: DataFrame, handler: Callable[..., Any], n: int = 10, alert_below: float | None = None) -> DataFrame:
+def dry_run(rows: DataFrame, handler: Callable[..., Any], n: int, alert_below: float | None = None) -> DataFrame:
     """Score a small sample; the caller writes nothing."""
     return code_scorer(rows.limit(n), handler, alert_below)
 

@@ -11,33 +11,44 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def payload_bound(payload: Column, depth_limit: int = 3, text_limit: int = 200, item_limit: int = 30) -> Column:
-    """Bound a JSON column: values nested below the limit become short strings, objects and lists
-    keep their first items, scalars stay as they are."""
-
-    def bound(value, depth):
-        if depth > depth_limit:
-            return str(value)[:text_limit]
-        if isinstance(value, dict):
-            return {k: bound(v, depth + 1) for k, v in list(value.items())[:item_limit]}
-        if isinstance(value, list):
-            return [bound(v, depth + 1) for v in value[:item_limit]]
-        return value
-
-    def one(text):
-        if text is None:
-            return None
-        try:
-            parsed = json.loads(text)
-        except ValueError:
-            return text[:text_limit]
-        return json.dumps(bound(parsed, 0), ensure_ascii=False)
+def _shortened(text: str, levels: int | None, chars: int | None, items: int | None) -> tuple[str, bool]:
+    """A JSON text within the limits, and whether anything was shortened. Works on the parsed tree in place."""
+    try:
+        tree = [json.loads(text)]
+    except ValueError:
+        return text[:chars], len(text[:chars]) < len(text)
+    cut, open_places = False, [(tree, 0, 0)]
+    while open_places:
+        holder, place, level = open_places.pop()
+        value = holder[place]
+        if levels is not None and level > levels:
+            short = str(value)[:chars]
+            cut |= not isinstance(value, str) or len(short) < len(value)
+            holder[place] = short
+        elif isinstance(value, (dict, list)):
+            places = list(value) if isinstance(value, dict) else list(range(len(value)))
+            for extra in reversed(places[items:] if items is not None else []):
+                del value[extra]
+                cut = True
+            open_places += [(value, kept, level + 1) for kept in places[:items]]
+    return json.dumps(tree[0], ensure_ascii=False), cut
+
+
+def payload_bound(payload: Column, depth_limit: int | None = None, text_limit: int | None = None, item_limit: int | None = None) -> Column:
+    """A JSON column as struct (original, bounded, truncated).
+
+    In ``bounded`` values nested deeper than ``depth_limit`` are strings of at most ``text_limit`` characters, objects and lists
+    keep their first ``item_limit`` items, and text that is not JSON keeps its first characters. A limit of None, the
+    default, leaves everything; ``truncated`` tells whether something was shortened.
+    """
 
-    @F.pandas_udf("string")
-    def run(column: pd.Series) -> pd.Series:
-        return column.map(one)
+    @F.pandas_udf("struct<bounded: string, truncated: boolean>")
+    def run(column: pd.Series) -> pd.DataFrame:
+        rows = [(None, False) if t is None else _shortened(t, depth_limit, text_limit, item_limit) for t in column]
+        return pd.DataFrame(rows, columns=["bounded", "truncated"])
 
-    return run(payload)
+    out = run(payload)
+    return F.struct(payload.alias("original"), out["bounded"].alias("bounded"), out["truncated"].alias("truncated"))
 
 
 def bleu4(candidate: Column, reference: Column) -> Column:

@@ -112,20 +112,23 @@ def trace_term_match(spans: DataFrame, text: str, terms: Sequence[str]) -> DataF
 
 
 def signal_rollup(hits: DataFrame) -> DataFrame:
-    """Hits to signals keyed by (pattern, agent): first and last seen, count, latest trace, status."""
+    """Hits to signals keyed by (pattern, agent): first and last seen, count, latest trace, status.
+
+    Polarity and severity are those of the latest hit, as in the stream that keeps signals up to date.
+    """
     last = F.struct("started_at", "span_id")
     return hits.groupBy("pattern_key", "agent").agg(
         F.min("started_at").alias("first_seen"),
         F.max("started_at").alias("last_seen"),
         F.count("*").alias("n"),
         F.max_by("span_id", last).alias("representative"),
-        F.max("polarity").alias("polarity"),
-        F.max("severity").alias("severity"),
-        F.when(F.max("polarity") == "proper", "healthy").otherwise("open").alias("status"),
+        F.max_by("polarity", last).alias("polarity"),
+        F.max_by("severity", last).alias("severity"),
+        F.when(F.max_by("polarity", last) == "proper", "healthy").otherwise("open").alias("status"),
     )
 
 
-def recent_occurrences(hits: DataFrame, n: int = 50) -> DataFrame:
+def recent_occurrences(hits: DataFrame, n: int) -> DataFrame:
     """The last ``n`` hits of each signal. The row-number filter is applied before the shuffle too
     (window group limit), so a hot signal sends at most ``n`` rows per task."""
     from pyspark.sql import Window
@@ -141,9 +144,9 @@ def signals_filter(
     severity: str | None = None,
     agent: str | None = None,
     occurrences: DataFrame | None = None,
-    limit: int = 50,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Most recent signals; an agent matches as representative or through any occurrence."""
+    """Most recent signals first (all, or the first ``limit``); an agent matches as representative or through any occurrence."""
     out = signals
     if polarity not in ("all", "both"):
         out = out.where(F.col("polarity") == polarity)
@@ -158,7 +161,8 @@ def signals_filter(
             out = out.join(seen, F.col("pattern_key") == F.col("o_key"), "left").where(own | F.col("o_key").isNotNull()).drop("o_key")
         else:
             out = out.where(own)
-    return out.orderBy(F.desc("last_seen"), "pattern_key", "agent").limit(min(limit, 100))
+    newest = out.orderBy(F.desc("last_seen"), "pattern_key", "agent")
+    return newest if limit is None else newest.limit(limit)
 
 
 # -- KPIs and metrics --------------------------------------------------------------------------

@@ -21,8 +21,8 @@ def worst_first(verdicts: DataFrame, k: int, row_id: str = "trace_id") -> DataFr
     return verdicts.where("rating IS NOT NULL").orderBy("rating", row_id).limit(k)
 
 
-def low_scoring(results: DataFrame, order: str, threshold: float = 5.0, k: int = 5) -> DataFrame:
-    """The first rows in list order rated at or below the threshold."""
+def low_scoring(results: DataFrame, order: str, threshold: float, k: int) -> DataFrame:
+    """The first ``k`` rows in list order rated at or below the threshold."""
     return results.where(F.col("rating") <= threshold).orderBy(order).limit(k)
 
 
@@ -32,7 +32,7 @@ def recs_by_priority(recommendations: DataFrame) -> DataFrame:
     return recommendations.withColumn("rank", rank.cast("long")).orderBy("rank", "pos")
 
 
-def traces_page(roots: DataFrame, limit: int = 50, cursor: tuple | None = None) -> DataFrame:
+def traces_page(roots: DataFrame, limit: int, cursor: tuple | None = None) -> DataFrame:
     """Newest first after a keyset cursor ``(started_at, span_id)``.
 
     The time part of the cursor is a plain comparison, which prunes partitions and row groups. The

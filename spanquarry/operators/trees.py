@@ -149,8 +149,8 @@ def root_token_sum(spans: DataFrame) -> DataFrame:
 def tool_call_mirror(spans: DataFrame, slice_seconds: int = 3600) -> DataFrame:
     """The flat tool list of each root, one row per call with its position.
 
-    Long form on purpose: a root that owns a third of all calls is spread over many tasks. Nest it
-    with :func:`nest_calls` where the calls per root are known to be few.
+    Long form on purpose: a root that owns a third of all calls is spread over many tasks;
+    :func:`nest_calls` makes arrays of bounded blocks of it.
     """
     calls = spans.where((F.col("span_kind") == "tool") & F.col("parent_span_id").isNotNull()).select(
         "trace_id",
@@ -168,20 +168,14 @@ def tool_call_mirror(spans: DataFrame, slice_seconds: int = 3600) -> DataFrame:
     )
 
 
-def nest_calls(calls: DataFrame, key: str, max_calls: int = 10_000) -> DataFrame:
-    """One row per root with its ordered call array.
-
-    Only roots of at most ``max_calls`` calls are nested; the second flag column tells the others
-    apart, whose calls stay in the long table in full.
-    """
-    size = calls.groupBy(key).agg(F.count("*").alias("n_calls"))
+def nest_calls(calls: DataFrame, key: str, block: int = 1_000) -> DataFrame:
+    """Ordered call arrays of each root, one row per ``block`` consecutive calls: every call is nested, and no array or
+    task holds more than a block of a hot root."""
     fields = [c for c in calls.columns if c not in (key, "pos")]
-    nested = (
-        calls.join(size.where(F.col("n_calls") <= max_calls), key, "left_semi")
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("pos", *fields))).alias("tool_calls"))
+    blocked = calls.withColumn("block", F.floor((F.col("pos") - 1) / block))
+    return blocked.groupBy(key, "block").agg(
+        F.count("*").alias("n_calls"), F.array_sort(F.collect_list(F.struct("pos", *fields))).alias("tool_calls")
     )
-    return size.join(nested, key, "left").withColumn("kept_long", F.col("n_calls") > max_calls)
 
 
 def root_summary(spans: DataFrame) -> DataFrame:

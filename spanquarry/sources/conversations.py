@@ -18,17 +18,22 @@ DEFAULT_TOOL = "moveworks-plugin"
 # Candidate columns in order.
 TEXT_FIELDS = ("utterance", "user_input", "text", "message", "query", "content")
 RESPONSE_FIELDS = ("response", "bot_response", "reply", "answer")
+END_FIELDS = ("resolved_time", "completed_time", "end_time", "updated_time")
 
 
 def enrich_conversation(interactions: DataFrame, conversations: DataFrame) -> DataFrame:
     """Domain and route of an interaction, else of its conversation.
 
-    The conversation side is as large as the traffic, so the strategy is left to the optimizer.
+    Of several rows of one conversation the last counts: the one of the largest ``pos`` where there is such a column, else of the
+    largest values. The conversation side is as large as the traffic, so the strategy is left to the optimizer.
     """
-    c = conversations.select(
-        F.col("conversation_id").cast("string").alias("c_id"),
-        first_field(conversations.columns, "domain").alias("c_domain"),
-        first_field(conversations.columns, "route").alias("c_route"),
+    fields = F.struct(first_field(conversations.columns, "domain").alias("c_domain"), first_field(conversations.columns, "route").alias("c_route"))
+    last = F.struct(F.col("pos"), fields) if "pos" in conversations.columns else fields
+    c = (
+        conversations.where("conversation_id IS NOT NULL")
+        .groupBy(F.col("conversation_id").cast("string").alias("c_id"))
+        .agg(F.max_by(fields, last).alias("c"))
+        .select("c_id", "c.c_domain", "c.c_route")
     )
     joined = interactions.join(c, F.col("conversation_id").cast("string") == F.col("c_id"), "left")
     keep = [x for x in interactions.columns if x not in ("domain", "route")]
@@ -44,32 +49,30 @@ def call_key(calls: DataFrame) -> DataFrame:
     return calls.withColumn("calls_key", first_field(calls.columns, "interaction_id", "conversation_id")).where("calls_key IS NOT NULL")
 
 
-def attach_calls(interactions: DataFrame, calls: DataFrame, max_nested: int = 1000) -> DataFrame:
-    """Interactions with the key and number of their plugin calls, nested where they are few.
-
-    An interaction takes its own calls, or else those of its conversation, which several interactions
-    may share. Shared calls are therefore referred to by ``calls_key`` and stored once; only groups
-    of at most ``max_nested`` calls are copied into ``tool_calls`` (the array is null above that).
-    """
-    keyed = call_key(calls)
-    sizes = keyed.groupBy("calls_key").agg(F.count("*").alias("n_calls"))
-    small = keyed.join(sizes.where(F.col("n_calls") <= max_nested), "calls_key", "left_semi")
+def named_calls(calls: DataFrame) -> DataFrame:
+    """The long table of calls: ``calls_key``, position, name, and whether the result was served and used."""
     name = F.coalesce(first_field(calls.columns, "plugin_name", "name"), F.lit(DEFAULT_TOOL))
     # served and used say whether a result was shown, not whether the call succeeded
-    flags = [F.col(c).alias(c) if c in calls.columns else F.lit(None).cast("boolean").alias(c) for c in ("served", "used")]
-    nested = small.groupBy("calls_key").agg(F.array_sort(F.collect_list(F.struct("pos", name.alias("name"), *flags))).alias("tool_calls"))
-    groups = sizes.join(nested, "calls_key", "left")
+    flags = [first_field(calls.columns, f"is_{c}", c).cast("boolean").alias(c) for c in ("served", "used")]
+    return call_key(calls).select("calls_key", "pos", name.alias("name"), *flags)
+
 
+def attach_calls(interactions: DataFrame, calls: DataFrame) -> DataFrame:
+    """Interactions with the key and number of their plugin calls.
+
+    An interaction takes its own calls, or else those of its conversation, which several interactions
+    may share. Calls are referred to by ``calls_key`` and stay in the long table of :func:`named_calls`, however many.
+    """
+    sizes = call_key(calls).groupBy("calls_key").agg(F.count("*").alias("n_calls"))
     own = sizes.select(F.col("calls_key").alias("own_key"))
     pick = interactions.join(own, F.col("interaction_id").cast("string") == F.col("own_key"), "left").withColumn(
         "calls_key", F.coalesce(F.col("own_key"), F.col("conversation_id").cast("string"))
     )
-    out = pick.join(groups, "calls_key", "left")
+    out = pick.join(sizes, "calls_key", "left")
     return out.select(
         *interactions.columns,
         F.when(F.col("n_calls").isNotNull(), F.col("calls_key")).alias("calls_key"),
         F.coalesce("n_calls", F.lit(0)).alias("n_calls"),
-        "tool_calls",
     )
 
 
@@ -81,7 +84,7 @@ def import_conversations(interactions: DataFrame, conversations: DataFrame, call
     conversation = F.nullif(F.col("conversation_id").cast("string"), F.lit(""))
     interaction = F.nullif(F.col("interaction_id").cast("string"), F.lit(""))
     kind = first_field(columns, "interaction_type", "type")
-    ended = F.coalesce(*[F.col(c).cast("timestamp") for c in ("resolved_time", "completed_time", "end_time", "updated_time") if c in columns], F.lit(None).cast("timestamp"))
+    ended = F.coalesce(*[F.col(c).cast("timestamp") for c in END_FIELDS if c in columns], F.lit(None).cast("timestamp"))
     return rich.select(
         agent_name(override, F.col("domain"), NAME_PREFIX, DEFAULT_NAME).alias("name"),
         F.lit(FRAMEWORK).alias("framework"),
@@ -97,20 +100,22 @@ def import_conversations(interactions: DataFrame, conversations: DataFrame, call
         "route",
         "calls_key",
         "n_calls",
-        "tool_calls",
     )
 
 
 def sync_report(raw: DataFrame, imported: DataFrame, existing: DataFrame) -> DataFrame:
     """Counters of an import: read, skipped, stored, deduplicated, calls attached, sessions."""
     known = existing.select("span_id").distinct().withColumn("__known", F.lit(True))
-    stored = imported.join(known, "span_id", "left").agg(
-        F.count_if(F.col("__known").isNull()).alias("ingested"),
-        F.count_if(F.col("__known").isNotNull()).alias("deduped"),
+    nil = F.lit(None)
+    stored = imported.join(known, "span_id", "left").select(
+        nil.cast("boolean").alias("timed"), F.col("__known").isNotNull().alias("known"), "n_calls", "session_id"
+    )
+    read = raw.select(F.col("created_time").isNotNull().alias("timed"), nil.cast("boolean").alias("known"), nil.cast("long").alias("n_calls"), nil.cast("string").alias("session_id"))
+    return read.unionByName(stored).agg(
+        F.count("timed").alias("interactions"),
+        F.count_if(~F.col("timed")).alias("skipped_no_time"),
+        F.count_if(~F.col("known")).alias("ingested"),
+        F.count_if("known").alias("deduped"),
         F.sum("n_calls").alias("calls_attached"),
         F.countDistinct("session_id").alias("sessions"),
     )
-    read = raw.agg(F.count("*").alias("interactions"), F.count_if(F.col("created_time").isNull()).alias("skipped_no_time"))
-    # both sides are single rows
-    one = F.lit(1)
-    return read.withColumn("__one", one).join(stored.withColumn("__one", one), "__one").drop("__one")
