@@ -363,7 +363,7 @@ def rating_band(t):
     return t.verdicts.select("trace_id", N.rating_band(r, "rating").alias("band"), N.rating_band(r / 10, "cosine").alias("cosine_band"))
 
 
-@query("sampled")
+@query("sampled", "SELECT span_id FROM {spans} WHERE substr(md5(concat(CAST(span_id AS STRING), ':rule-1')), 1, 8) < '40000000'")
 def sampled_query(t):
     return t.spans.where(sampled(F.col("span_id"), "rule-1", 0.25)).select("span_id")
 

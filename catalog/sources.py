@@ -1,11 +1,11 @@
 """Scans, imports and append-once rules."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
 from catalog.base import query, view
+from spanquarry.lineage import shared_base
 from spanquarry.sources import conversations as CV
 from spanquarry.sources import csv_cases, ndjson, tables, trace_docs
 
@@ -14,8 +14,7 @@ EVENT_ROW = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE"
 
 def scratch(spark, name):
     """A fresh folder on the shared storage the session names, or a local one in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spanquarry-")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_base(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @query("scan_ndjson", "SELECT event_id, user_id, event_type, value, NULL::VARCHAR AS _corrupt_record FROM {events}")

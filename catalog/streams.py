@@ -6,6 +6,7 @@ from catalog.base import Tables, query, view
 from catalog.logs import ISLANDS, states
 from catalog.monitoring import FACTS_SQL, HITS_SQL, PATTERNS, SIGNALS_SQL, SOURCES, facts
 from catalog.sources import scratch
+from catalog.views import NOW
 from spanquarry.functions import callables as K
 from spanquarry.operators import logs as L
 from spanquarry.operators import monitoring as M
@@ -65,11 +66,10 @@ def dedupe_stream(t):
     return finish(t, J.dedupe_stream(stream).select("span_id", "agent"))
 
 
-@query("late_data", "SELECT span_id FROM {spans} WHERE span_id % 5 <> 0")
+@query("late_data", f"SELECT span_id FROM {{spans}} WHERE span_id % 5 <> 0 AND started_at < TIMESTAMP '{NOW}' - INTERVAL 480 HOUR")
 def late_data(t):
-    """All fixture rows are older than the watermark, so every row that is not stored goes to the batch path."""
     spans = t.spans.select("span_id", "started_at")
-    return J.late_data(spans, spans.where("span_id % 5 = 0"), 24).select("span_id")
+    return J.late_data(spans, spans.where("span_id % 5 = 0"), NOW, 480).select("span_id")
 
 
 RATED = "SELECT v.rating, s.started_at AS scored_at FROM {verdicts} v JOIN {spans} s ON v.trace_id = s.span_id"
@@ -215,12 +215,16 @@ def external_scorer(t):
     return K.external_scorer(t.spans.select("trace_id", "span_id", "error"), failing_share, invert_match=True)
 
 
-@query("dry_run")
+@query("dry_run", f"""
+SELECT doc_id, round((length(output) - length(replace(output, 'e', ''))) / nullif(length(output), 0), 6) AS score, coalesce(round((length(output) - length(replace(output, 'e', ''))) / nullif(length(output), 0), 6) < 0.1, false) AS alert
+FROM (SELECT * FROM ({SHARE}) ORDER BY doc_id LIMIT 10)""")
 def dry_run(t):
     return K.dry_run(t.sql(SHARE).orderBy("doc_id"), share_of_letter, 10, 0.1).select("doc_id", "score", "alert")
 
 
-@query("sampled_scoring")
+@query("sampled_scoring", """
+SELECT span_id, round((length(response) - length(replace(response, 'e', ''))) / nullif(length(response), 0), 6) AS score, coalesce(round((length(response) - length(replace(response, 'e', ''))) / nullif(length(response), 0), 6) < 0.1, false) AS alert
+FROM {doc_roots} WHERE substr(md5(concat(CAST(span_id AS STRING), ':scorer-1')), 1, 8) < '4ccccccc'""")
 def sampled_scoring(t):
     roots = t.doc_roots.select("span_id", F.col("response").alias("output"))
     return K.sampled_scoring(roots, "scorer-1", 0.3, share_of_letter, 0.1).select("span_id", "score", "alert")

@@ -5,10 +5,14 @@ from pyspark.sql import functions as F
 
 
 def sampled(row_id: Column, rule_id: str, rate: float | Column) -> Column:
-    """True for a stable share ``rate`` of ids; each rule draws its own sample."""
+    """True for a stable share ``rate`` of ids; each rule draws its own sample.
+
+    The first eight hexadecimal digits of md5(id:rule) are compared with the rate, so any engine draws the same sample.
+    """
     rate = F.lit(rate) if isinstance(rate, (int, float)) else rate
-    bucket = F.pmod(F.xxhash64(row_id.cast("string"), F.lit(rule_id)), F.lit(1_000_000))
-    return bucket.cast("double") < rate * F.lit(1_000_000.0)
+    drawn = F.substring(F.md5(F.concat(row_id.cast("string"), F.lit(f":{rule_id}")).cast("binary")), 1, 8)
+    edge = F.lpad(F.lower(F.hex((rate * F.lit(float(1 << 32))).cast("long"))), 8, "0")
+    return F.when(rate >= 1, row_id.isNotNull()).otherwise(drawn < edge)
 
 
 def monitor_eligible(

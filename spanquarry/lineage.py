@@ -2,7 +2,15 @@
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_base(spark: SparkSession) -> str:
+    """The folder that all executors share; only a local session may do without the setting and gets a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return folder or tempfile.mkdtemp(prefix="spanquarry-ckpt-")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -15,6 +23,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spanquarry-ckpt-"))
+        context.setCheckpointDir(shared_base(spark))
     return df.checkpoint(eager=True)

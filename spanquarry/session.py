@@ -9,6 +9,8 @@ SETTINGS = {
     # AQE splits a hot probe-side partition even when the split costs one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows of one session merge within each task before they are shuffled.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Telemetry timestamps are UTC instants, so un-annotated Parquet times are read as TIMESTAMP.
     "spark.sql.parquet.inferTimestampNTZ.enabled": "false",

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,9 +22,9 @@ def dedupe_stream(spans: DataFrame, watermark: str = "24 hours", ts: str = "star
     return spans.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(list(keys))
 
 
-def late_data(spans: DataFrame, stored: DataFrame, watermark_hours: int = 24) -> DataFrame:
-    """Rows that come later than the stream's watermark, for the batch path: not stored yet."""
-    horizon = F.current_timestamp() - F.make_dt_interval(hours=F.lit(watermark_hours))
+def late_data(spans: DataFrame, stored: DataFrame, now: str, watermark_hours: int = 24) -> DataFrame:
+    """Rows that came later than the stream's watermark at ``now``, for the batch path: not stored yet."""
+    horizon = F.lit(now).cast("timestamp") - F.make_dt_interval(hours=F.lit(watermark_hours))
     return spans.where(F.col("started_at") < horizon).join(stored.select("span_id"), "span_id", "left_anti")
 
 
@@ -190,10 +189,10 @@ def assemble_chunks_stream(chunks: DataFrame, watermark: str = "10 minutes", qui
 
 def _earlier(spark: SparkSession, folder: str, epoch: int) -> DataFrame | None:
     """What epochs before this one stored; all of them are complete when this one runs."""
-    try:
-        return spark.read.parquet(folder).where(F.col("epoch") < epoch)
-    except AnalysisException:  # nothing written yet
-        return None
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    there = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    written = there.exists(path) and any(x.getPath().getName().startswith("epoch=") for x in there.listStatus(path))
+    return spark.read.parquet(folder).where(F.col("epoch") < epoch) if written else None
 
 
 def signal_upsert(folder: str):
