@@ -10,20 +10,24 @@ from pyspark.sql import functions as F
 from spanquarry.operators import sliced
 
 
-def pair_tool_calls(requests: DataFrame, responses: DataFrame) -> DataFrame:
+def pair_tool_calls(requests: DataFrame, responses: DataFrame, slice_size: int = 10_000) -> DataFrame:
     """Responses with the request of their call id.
 
-    Only the first response of an id takes the request, the latest request of an id counts, and an
-    unmatched response keeps its own name and step start. ``requests(run_id, call_id, pos, name, input,
+    A response takes the latest request of its id since the response before, so a call that is asked again is paired
+    again; an unmatched response keeps its own name and step start. ``requests(run_id, call_id, pos, name, input,
     start_at)``, ``responses(run_id, call_id, pos, name, output, is_error, start_at, end_at)``.
     """
-    keys = ["run_id", "call_id"]
-    asked = requests.where("call_id IS NOT NULL").groupBy(*keys).agg(
-        F.max_by(F.struct("name", "input", "start_at"), "pos").alias("req")
+    asked = F.struct("name", "input", "start_at")
+    events = responses.withColumn("__req", F.lit(None).cast(requests.select(asked.alias("r")).schema["r"].dataType)).unionByName(
+        requests.where("call_id IS NOT NULL").select("run_id", "call_id", "pos", asked.alias("__req")), allowMissingColumns=True
     )
-    first = responses.where("call_id IS NOT NULL").groupBy(*keys).agg(F.min("pos").alias("first_pos"))
-    matched = responses.join(first, keys, "left").join(asked, keys, "left")
-    req = F.when(F.col("pos") == F.col("first_pos"), F.col("req"))
+    # requests have no output flag; at one position they come first
+    events = events.withColumn("__side", F.when(F.col("__req").isNull(), 1).otherwise(0))
+    matched = sliced.sliced_window(
+        events, ["run_id", "call_id"], sliced.position_slice(F.col("pos"), slice_size), ["pos", "__side", "name", "output"],
+        [sliced.previous("__before", F.col("__req"))],
+    ).where("__side = 1").drop("__req").withColumn("req", F.when(F.col("call_id").isNotNull(), F.col("__before")))
+    req = F.col("req")
     text = F.when(F.col("is_error"), F.concat(F.lit("ERROR: "), F.coalesce("output", F.lit("None")))).otherwise(F.col("output"))
     start = F.coalesce(req["start_at"], "start_at")
     return matched.select(

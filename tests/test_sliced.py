@@ -95,3 +95,26 @@ def test_late_vote_counts_in_its_window(spark):
         for since in (None, "2024-01-24 00:00:00")
     ]
     assert rates == [0.5, 0.5]
+
+
+def test_tool_calls_pair_like_pending_requests(spark):
+    import random
+
+    from spanquarry.operators.logs import pair_tool_calls
+
+    r, asked, answered, want = random.Random(8), [], [], []
+    for run in range(6):
+        pending = {}
+        for pos in range(60):
+            call = r.choice(["a", "b", "c", None])
+            if r.random() < 0.5:
+                asked.append((run, call, pos, f"q{pos}", f"in{pos}", pos))
+                if call:
+                    pending[call] = f"in{pos}"
+            else:
+                answered.append((run, call, pos, "r", f"out{pos}", False, pos, pos))
+                want.append((run, pos, pending.pop(call, None) if call else None))
+    req = spark.createDataFrame(asked, "run_id int, call_id string, pos bigint, name string, input string, start_at int")
+    res = spark.createDataFrame(answered, "run_id int, call_id string, pos bigint, name string, output string, is_error boolean, start_at int, end_at int")
+    got = pair_tool_calls(req, res, 16).select("run_id", "pos", "input").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
