@@ -355,9 +355,12 @@ def cosine(t):
 
 
 @query("similarity_enabled", f"""
-SELECT doc_id, CASE WHEN coalesce(expected, '') <> '' AND error IS NULL AND model = 'm-small' THEN round({jac('output', 'expected')}, 6) END AS jaccard FROM {{answers}}""")
+SELECT doc_id, CASE WHEN coalesce(expected, '') <> '' AND error IS NULL AND model = 'm-small' THEN round({jac('output', 'expected')}, 6) END AS jaccard,
+  CASE WHEN coalesce(expected, '') <> '' AND error IS NULL AND model = 'm-large' THEN round(list_cosine_similarity(CAST(va AS DOUBLE[]), CAST(vb AS DOUBLE[])), 6) END AS cosine FROM {{answers}} LEFT JOIN {{vec_pairs}} ON vec_id = doc_id""")
 def similarity_enabled(t):
-    return SC.similarity_enabled(t.answers, {"jaccard": F.col("model") == "m-small"}, ("jaccard",)).select("doc_id", "jaccard")
+    vectors = t.vec_pairs.select(F.col("vec_id").alias("doc_id"), F.col("va").alias("output_vector"), F.col("vb").alias("expected_vector"))
+    switches = {"jaccard": F.col("model") == "m-small", "cosine": F.col("model") == "m-large"}
+    return SC.similarity_enabled(t.answers.join(vectors, "doc_id", "left"), switches, ("jaccard", "cosine")).select("doc_id", "jaccard", "cosine")
 
 
 @query("requires_expected", "SELECT doc_id FROM {answers} WHERE trim(coalesce(expected, '')) <> ''")

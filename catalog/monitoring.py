@@ -294,17 +294,23 @@ def rule_filter(t):
     return filter_rule(trees.roots(t.spans).join(texts, "span_id"), rule).select("span_id")
 
 
+def _both(sql):
+    return ", ".join(sql.format(p=p, c=c) for p, c in (("current", 1), ("prior", 0)))
+
+
+DELTAS = ("failure_rate", "health_rate", "tool_failure_rate", "downvote_rate", "p95")
+
+
 @query("kpi_delta", f"""
 WITH f AS (SELECT *, CASE WHEN started_at >= TIMESTAMP '{NOW}' - INTERVAL 7 DAY THEN 1 ELSE 0 END AS cur FROM ({FACTS_SQL})
   WHERE started_at >= TIMESTAMP '{NOW}' - INTERVAL 14 DAY AND started_at < TIMESTAMP '{NOW}'),
-g AS (SELECT agent, CAST(count(*) FILTER (cur = 1) AS BIGINT) AS current_runs, CAST(count(*) FILTER (cur = 0) AS BIGINT) AS prior_runs,
-  round(count(*) FILTER (failed AND cur = 1) / nullif(count(*) FILTER (cur = 1), 0), 6) AS current_failure_rate,
-  round(count(*) FILTER (failed AND cur = 0) / nullif(count(*) FILTER (cur = 0), 0), 6) AS prior_failure_rate,
-  round(quantile_cont(latency_ms, 0.95) FILTER (cur = 1), 6) AS current_p95,
-  round(quantile_cont(latency_ms, 0.95) FILTER (cur = 0), 6) AS prior_p95 FROM f GROUP BY agent)
-SELECT *, round(current_failure_rate - prior_failure_rate, 6) AS failure_rate_delta, round(current_p95 - prior_p95, 6) AS p95_delta FROM g""")
+g AS (SELECT agent, {_both("CAST(count(*) FILTER (cur = {c}) AS BIGINT) AS {p}_runs, round(count(*) FILTER (failed AND cur = {c}) / nullif(count(*) FILTER (cur = {c}), 0), 6) AS {p}_failure_rate, round(1 - count(*) FILTER (failed AND cur = {c}) / nullif(count(*) FILTER (cur = {c}), 0), 6) AS {p}_health_rate, round(sum(tool_failed) FILTER (cur = {c}) / nullif(sum(tool_ok + tool_failed) FILTER (cur = {c}), 0), 6) AS {p}_tool_failure_rate, round(quantile_cont(latency_ms, 0.95) FILTER (cur = {c}), 6) AS {p}_p95")} FROM f GROUP BY agent),
+v AS (SELECT agent, {_both("round(count(*) FILTER (rating = 'down' AND cur = {c}) / nullif(count(*) FILTER (cur = {c}), 0), 6) AS {p}_downvote_rate")} FROM (
+  SELECT r.agent, b.rating, CASE WHEN b.created_at >= TIMESTAMP '{NOW}' - INTERVAL 7 DAY THEN 1 ELSE 0 END AS cur FROM {{feedback}} b JOIN ({FACTS_SQL}) r ON b.trace_id = r.trace_id
+  WHERE b.created_at >= TIMESTAMP '{NOW}' - INTERVAL 14 DAY AND b.created_at < TIMESTAMP '{NOW}') GROUP BY agent)
+SELECT g.*, v.current_downvote_rate, v.prior_downvote_rate, {", ".join(f"round(current_{k} - prior_{k}, 6) AS {k}_delta" for k in DELTAS)} FROM g LEFT JOIN v ON g.agent = v.agent""")
 def kpi_delta(t):
-    return M.kpi_delta(facts(t, "2024-01-17 00:00:00"), NOW, 7 * DAY)
+    return M.kpi_delta(facts(t, "2024-01-17 00:00:00"), NOW, 7 * DAY, t.feedback, M.production_roots(t.spans))
 
 
 @query("price_join", f"SELECT span_id, CAST(micro AS DOUBLE) AS cost_micro FROM ({PRICED_SQL})")

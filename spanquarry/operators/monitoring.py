@@ -249,30 +249,44 @@ def kpis(facts: DataFrame, feedback: DataFrame, now: str, window_seconds: int, r
     )
 
 
-def kpi_delta(facts: DataFrame, now: str, window_seconds: int) -> DataFrame:
-    """Each KPI beside its value in the equal window before; both windows in one pass."""
-    end = at(now)
-    mid = end - F.make_dt_interval(secs=F.lit(window_seconds))
-    spanned = facts.where(in_window("started_at", now, 2 * window_seconds))
-    part = F.when(F.col("started_at") >= mid, "current").otherwise("prior")
-    value_counts = spanned.groupBy("agent", part.alias("part"), "latency_ms").agg(
-        F.count("*").alias("n"), F.count_if("failed").alias("failed")
+def kpi_delta(facts: DataFrame, now: str, window_seconds: int, feedback: DataFrame | None = None, roots: DataFrame | None = None) -> DataFrame:
+    """Each KPI beside its value in the equal window before; both windows in one pass.
+
+    Votes count in the window they were cast in; without ``feedback`` the downvote rates are null.
+    """
+    mid = at(now) - F.make_dt_interval(secs=F.lit(window_seconds))
+
+    def part(ts: str) -> Column:
+        return F.when(F.col(ts) >= mid, "current").otherwise("prior").alias("part")
+
+    value_counts = facts.where(in_window("started_at", now, 2 * window_seconds)).groupBy("agent", part("started_at"), "latency_ms").agg(
+        F.count("*").alias("n"), F.count_if("failed").alias("failed"), F.sum("tool_ok").alias("ok"), F.sum("tool_failed").alias("bad")
     )
     cols = []
     for p in ("current", "prior"):
         only = F.col("part") == p
-        n = F.sum(F.when(only, F.col("n")))
+        n, failed, ok, bad = (F.sum(F.when(only, F.col(c))) for c in ("n", "failed", "ok", "bad"))
         cols += [
             F.coalesce(n, F.lit(0)).alias(f"{p}_runs"),
-            F.round(ratio(F.sum(F.when(only, F.col("failed"))), n), 6).alias(f"{p}_failure_rate"),
+            F.round(ratio(failed, n), 6).alias(f"{p}_failure_rate"),
+            F.round(1 - ratio(failed, n), 6).alias(f"{p}_health_rate"),
+            F.round(ratio(bad, ok + bad), 6).alias(f"{p}_tool_failure_rate"),
             F.round(F.percentile(F.when(only, F.col("latency_ms")), F.lit(0.95), F.col("n")), 6).alias(f"{p}_p95"),
         ]
     wide = value_counts.groupBy("agent").agg(*cols)
-    return wide.select(
-        "*",
-        F.round(F.col("current_failure_rate") - F.col("prior_failure_rate"), 6).alias("failure_rate_delta"),
-        F.round(F.col("current_p95") - F.col("prior_p95"), 6).alias("p95_delta"),
-    )
+    if feedback is None:
+        wide = wide.withColumns({f"{p}_downvote_rate": F.lit(None).cast("double") for p in ("current", "prior")})
+    else:
+        cast = feedback.where(in_window("created_at", now, 2 * window_seconds)).select("trace_id", "rating", part("created_at"))
+        votes = cast.join((facts if roots is None else roots).select("trace_id", "agent"), "trace_id").groupBy("agent").agg(
+            *[
+                F.round(ratio(F.count_if((F.col("part") == p) & (F.col("rating") == "down")), F.count_if(F.col("part") == p)), 6).alias(f"{p}_downvote_rate")
+                for p in ("current", "prior")
+            ]
+        )
+        wide = wide.join(votes, "agent", "left")
+    kpis_ = ("failure_rate", "health_rate", "tool_failure_rate", "downvote_rate", "p95")
+    return wide.select("*", *[F.round(F.col(f"current_{k}") - F.col(f"prior_{k}"), 6).alias(f"{k}_delta") for k in kpis_])
 
 
 def bucket_seconds(window_seconds: int) -> int:

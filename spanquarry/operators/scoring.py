@@ -12,7 +12,7 @@ def similarity_enabled(results: DataFrame, settings: dict[str, bool | Column], w
     """Add each metric where it is switched on, for rows with an expected answer and no error.
 
     The tokens are extracted once per text and feed all metrics; the expensive ones see only the
-    rows they are switched on for.
+    rows they are switched on for. ``cosine`` compares the columns output_vector and expected_vector.
     """
     gradable = (F.coalesce("expected", F.lit("")) != "") & F.col("error").isNull()
     out = results.withColumn("__c", F.when(gradable, text.tokens(F.col("output")))).withColumn(
@@ -25,6 +25,8 @@ def similarity_enabled(results: DataFrame, settings: dict[str, bool | Column], w
         if metric == "jaccard":
             both, either = text.token_overlap(cand, ref)
             value = F.when(either > 0, both / either)
+        elif metric == "cosine":
+            value = F.when(gradable & on, text.cosine(F.col("output_vector"), F.col("expected_vector")))
         else:
             value = {"bleu": python_scoring.bleu4, "rouge": python_scoring.rouge_l}[metric](cand, ref)
         out = out.withColumn(metric, F.round(value, 6))
