@@ -23,7 +23,7 @@ MOST_SAMPLED = 20_000
 BRANCHES, LEAF = 8, 40
 #: Queries by which the number of visits is calibrated, and the share of true neighbours they must find.
 CALIBRATION, RECALL = 100, 0.97
-#: Rows of a leaf compared in one group.
+#: Rows of neighbouring leaves (a shelf) compared in one group; a larger shelf is dealt into blocks.
 BLOCK = 4_096
 
 
@@ -101,15 +101,15 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
 
 
-def top(ids: np.ndarray, rows: np.ndarray, query: np.ndarray, own, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k rows of largest inner product in double precision, ties to the smaller id, without the query's own id."""
-    if own is not None:
-        keep = ids != own
-        ids, rows = ids[keep], rows[keep]
+def top(ids: np.ndarray, rows: np.ndarray, query: np.ndarray, own: int, k: int, rough: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The k rows of largest inner product in double precision, ties to the smaller id, without the query's own id.
+
+    ``rough`` are the products as a matrix product gave them; rows at -inf are left out.
+    """
+    keep = np.flatnonzero((ids != own) & (rough > -np.inf))
+    ids, rows, rough = ids[keep], rows[keep], rough[keep]
     if not len(ids):
         return ids, np.zeros(0)
-    query = query.astype(np.float64)
-    rough = rows @ query
     if len(ids) > k:
         # the matrix product may round equal rows differently, so what is close to the k-th is computed again
         edge = np.partition(rough, -k)[-k]
@@ -138,7 +138,7 @@ def _exact(queries: dict[int, np.ndarray], k: int):
     def search(batches):
         for batch in batches:
             ids, rows = batch.column("vec_id").to_numpy(), _matrix(batch.column("vector")).astype(np.float64)
-            found = [(key, *top(ids, rows, q, key, k)) for key, q in queries.items()]
+            found = [(key, *top(ids, rows, q, key, k, rows @ q)) for key, q in queries.items()]
             yield batch_of(_RESULT, *(zip(*[(a, b.tolist(), c.tolist()) for a, b, c in found]) if found else [[]] * 3))
 
     return search
@@ -174,17 +174,18 @@ def nearest(
     held = spark.sparkContext.broadcast(tree)
 
     def file(batches):
-        schema = pa.schema([("vec_id", pa.int64()), ("leaf", pa.int32()), ("vector", pa.list_(pa.float64()))])
         for batch in batches:
             if batch.num_rows:
-                leaf = held.value.file(_matrix(batch.column("vector")))
-                yield batch_of(schema, batch.column("vec_id"), leaf.astype(np.int32), batch.column("vector").cast(pa.list_(pa.float64())))
+                leaf = held.value.file(_matrix(batch.column("vector"))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(leaf), batch.column("vector")], names=["vec_id", "leaf", "vector"])
 
-    filed = stored(rows.mapInArrow(file, "vec_id bigint, leaf int, vector array<double>"), "filed")
+    kind = rows.schema["vector"].dataType.simpleString()
+    filed = stored(rows.mapInArrow(file, f"vec_id bigint, leaf int, vector {kind}"), "filed")
 
     # the calibration queries, their true neighbours and the leaves these lie in
     some = asked.orderBy(F.xxhash64("vec_id"), "vec_id").limit(CALIBRATION).toArrow()
-    lookup = dict(zip(some.column("vec_id").to_pylist(), _matrix(some.column("vector").combine_chunks()))) if some.num_rows else {}
+    points = _matrix(some.column("vector").combine_chunks()).astype(np.float64) if some.num_rows else []
+    lookup = dict(zip(some.column("vec_id").to_pylist(), points))
     true = _merged(rows.mapInArrow(_exact(lookup, k), RESULT), k)
     homes = true.join(filed.select("vec_id", "leaf"), "vec_id").select("query_id", "leaf").toArrow()
     places = []
@@ -193,28 +194,45 @@ def nearest(
         places.append(orders[q][leaf])
     visits = int(np.sort(places)[int(np.ceil(recall * len(places))) - 1]) + 1 if places else 1
 
-    blocks = filed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = filed.join(blocks, "leaf").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
+    # neighbouring leaves share a group, so a query gives one list per shelf it enters, not one per leaf
+    leaves = max(1, tree.leaves * BLOCK // (2 * size["n"]))
+    shelf = F.floor(F.col("leaf") / leaves).cast("int").alias("shelf")
+    blocks = filed.groupBy(shelf).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    members = filed.withColumn("shelf", shelf).join(blocks, "shelf")
+    members = members.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")).select("shelf", "block", "leaf", "vec_id", "vector")
 
     def walk(batches):
-        schema = pa.schema([("leaf", pa.int32()), ("query_id", pa.int64()), ("query", pa.list_(pa.float64()))])
         for batch in batches:
-            out = []
-            for q, v in zip(batch.column("vec_id").to_pylist(), _matrix(batch.column("vector")) if batch.num_rows else []):
-                out += [(leaf, q, v.tolist()) for leaf in held.value.visits(v, visits)]
-            yield batch_of(schema, *(zip(*out) if out else [[]] * 3))
-
-    walks = asked.mapInArrow(walk, "leaf int, query_id bigint, query array<double>").join(blocks, "leaf")
-    walks = walks.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            found = [held.value.visits(v, visits) for v in _matrix(batch.column("vector"))] if batch.num_rows else []
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("vec_id"), batch.column("vector"), pa.array(found, pa.list_(pa.int32()))], names=["query_id", "query", "found"]
+            )
+
+    walks = asked.mapInArrow(walk, f"query_id bigint, query {kind}, found array<int>")
+    # the leaves of each shelf that a query enters stay together
+    entered = F.array_distinct(F.transform("found", lambda leaf: F.floor(leaf / leaves).cast("int")))
+    walks = walks.withColumn("shelf", F.explode(entered)).withColumn(
+        "wanted", F.filter("found", lambda leaf: F.floor(leaf / leaves).cast("int") == F.col("shelf"))
+    )
+    walks = walks.join(blocks, "shelf").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
 
-    def search(members: pa.Table, wanted: pa.Table) -> pa.Table:
-        if not members.num_rows or not wanted.num_rows:
+    def search(shelved: pa.Table, queries: pa.Table) -> pa.Table:
+        if not shelved.num_rows or not queries.num_rows:
             return _RESULT.empty_table()
-        ids, base = members.column("vec_id").to_numpy(), _matrix(members.column("vector").combine_chunks())
-        keys, points = wanted.column("query_id").to_pylist(), _matrix(wanted.column("query").combine_chunks())
-        found = [(q, *(x.tolist() for x in top(ids, base, p, q, k))) for q, p in zip(keys, points)]
-        return pa.Table.from_batches([batch_of(_RESULT, *zip(*found))])
-
-    members = dealt.select("leaf", "block", "vec_id", "vector").groupBy("leaf", "block")
-    parts = members.cogroup(walks.select("leaf", "block", "query_id", "query").toDF("leaf", "block", "query_id", "query").groupBy("leaf", "block"))
+        ids, base = shelved.column("vec_id").to_numpy(), _matrix(shelved.column("vector").combine_chunks()).astype(np.float64)
+        of_leaf = shelved.column("leaf").to_numpy()
+        out = []
+        for part in queries.to_batches(max_chunksize=256):
+            keys, points = part.column("query_id").to_pylist(), _matrix(part.column("query")).astype(np.float64)
+            wanted = part.column("wanted").to_pylist()
+            rough = np.full((len(keys), len(ids)), -np.inf)
+            for leaf in set().union(*wanted):
+                mine, theirs = [n for n, w in enumerate(wanted) if leaf in w], np.flatnonzero(of_leaf == leaf)
+                rough[np.ix_(mine, theirs)] = points[mine] @ base[theirs].T
+            found = [(q, *(x.tolist() for x in top(ids, base, p, q, k, r))) for q, p, r in zip(keys, points, rough)]
+            out.append(batch_of(_RESULT, *zip(*found)))
+        return pa.Table.from_batches(out)
+
+    walks = walks.select("shelf", "block", "query_id", "query", "wanted")
+    parts = members.groupBy("shelf", "block").cogroup(walks.toDF(*walks.columns).groupBy("shelf", "block"))
     return _merged(parts.applyInArrow(search, RESULT), k)
