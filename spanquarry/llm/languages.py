@@ -9,6 +9,7 @@ is the one with the most letters.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter, defaultdict
 from dataclasses import dataclass
 
@@ -27,7 +28,7 @@ MOST_CHARS = 4_000_000
 #: Distinct n-grams kept per language, the most frequent first.
 MOST_GRAMS = 60_000
 #: Lengths of the character n-grams of a word with its edges marked.
-GRAMS = (1, 2, 3, 4)
+GRAMS = (1, 2, 3)
 #: Log-probability lost by a change of language between neighbouring words.
 SWITCH = 4.0
 #: Share of a language's letters below which it is ruled out for a script.
@@ -43,14 +44,14 @@ SCRIPTS = (
     (0x3100, "Han"), (0x3130, "Hangul"), (0x3190, "Han"), (0xA000, "Other"), (0xAC00, "Hangul"), (0xD7B0, "Other"), (0xF900, "Han"),
     (0xFB00, "Other"), (0xFF66, "Kana"), (0xFFA0, "Hangul"), (0x10000, "Other"), (0x20000, "Han"),
 )
-_STARTS = np.array([s for s, _ in SCRIPTS])
+_STARTS = [s for s, _ in SCRIPTS]
 _NAMES = [n for _, n in SCRIPTS]
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def script(word: str) -> str:
     """The script of a word's first letter."""
-    return _NAMES[max(0, int(np.searchsorted(_STARTS, ord(word[0]), "right")) - 1)]
+    return _NAMES[max(0, bisect_right(_STARTS, ord(word[0])) - 1)]
 
 
 def _grams(word: str):
@@ -63,15 +64,28 @@ def _grams(word: str):
 @dataclass
 class Model:
     languages: list[str]
-    grams: dict[str, np.ndarray]  # log probability by language
-    unseen: np.ndarray
+    grams: dict[str, int]  # row of each n-gram
+    table: np.ndarray  # log probabilities by n-gram and language; row 0 is for unseen n-grams
     scripts: dict[str, np.ndarray]  # script -> which languages may be written in it
 
-    def word(self, word: str) -> np.ndarray:
-        found = [self.grams.get(g, self.unseen) for g in _grams(word)]
-        score = np.sum(found, axis=0, dtype=np.float32) / np.float32(len(GRAMS))
-        may = self.scripts.get(script(word))
-        return score if may is None else np.where(may, score, score.min() - np.float32(20))
+    def score(self, words: list[str]) -> np.ndarray:
+        """One row of scores per word."""
+        get, rows, sizes = self.grams.get, [], []
+        for word in words:
+            m, before = f"<{word}>", len(rows)
+            for n in GRAMS:
+                rows += [get(m[i : i + n], 0) for i in range(len(m) - n + 1)]
+            sizes.append(len(rows) - before)
+        first = np.cumsum(sizes) - sizes
+        out = np.add.reduceat(self.table[rows], first, axis=0) / np.float32(len(GRAMS))
+        by_script = defaultdict(list)
+        for n, word in enumerate(words):
+            by_script[script(word)].append(n)
+        for name, at in by_script.items():
+            may = self.scripts.get(name)
+            if may is not None and not may.all():
+                out[np.ix_(at, ~may)] = out[at].min(axis=1, keepdims=True) - np.float32(20)
+        return out
 
 
 def fit(labelled: DataFrame, most: int = MOST_LABELLED) -> Model:
@@ -104,13 +118,13 @@ def fit(labelled: DataFrame, most: int = MOST_LABELLED) -> Model:
         letters.append(scripts)
     vocabulary = sorted(set().union(*counts)) if counts else []
     totals = np.array([sum(c.values()) + len(vocabulary) + 1 for c in counts] or [1], np.float64)
-    table = {g: np.log(np.array([c.get(g, 0) + 1 for c in counts]) / totals).astype(np.float32) for g in vocabulary}
+    table = np.log(np.array([[1] * max(1, len(counts)), *([c.get(g, 0) + 1 for c in counts] for g in vocabulary)]).reshape(-1, max(1, len(counts))) / totals)
     scripts = {}
     for name in set().union(*letters) if letters else ():
         may = np.array([s[name] >= SCRIPT_SHARE * max(1, sum(s.values())) for s in letters])
         if may.any():
             scripts[name] = may
-    return Model(languages, table, np.log(1 / totals).astype(np.float32), scripts)
+    return Model(languages, {g: n + 1 for n, g in enumerate(vocabulary)}, table.astype(np.float32), scripts)
 
 
 def viterbi(scores: list[np.ndarray], switch: float = SWITCH) -> list[np.ndarray]:
@@ -157,13 +171,14 @@ class Labeller:
     def _rows(self, words: set[str]) -> None:
         if len(self.index) + len(words) > MOST_WORDS:
             self.index.clear()
-        for word in words:
-            if word not in self.index:
-                n = len(self.index)
-                if n == len(self.table):
-                    self.table = np.concatenate([self.table, np.empty_like(self.table)])
-                self.index[word] = n
-                self.table[n] = self.model.word(word)
+        new = list(words.difference(self.index))
+        held = len(self.index)
+        while held + len(new) > len(self.table):
+            self.table = np.concatenate([self.table, np.empty_like(self.table)])
+        for n in range(0, len(new), 20_000):
+            part = new[n : n + 20_000]
+            self.table[held + n : held + n + len(part)] = self.model.score(part)
+        self.index.update(zip(new, range(held, held + len(new))))
 
     def label(self, texts: list[str]) -> list[tuple[str, float, list[tuple[str, int]]]]:
         """(language, share of the letters in it, spans (language, words)) of each text."""
