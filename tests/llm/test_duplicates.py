@@ -25,13 +25,6 @@ def edited(text, seed, share):
 # near-duplicates
 
 
-def weights(texts):
-    """Shingle weights of each text, computed with plain dictionaries."""
-    words = [re.findall(r"[a-z0-9]+", (t or "").lower()) for t in texts]
-    frequency, idf = N.word_frequencies, None
-    return words, frequency, idf
-
-
 def plain_jaccard(a, b):
     def shingles(t):
         w = re.findall(r"[a-z0-9]+", t.lower())
@@ -185,7 +178,7 @@ ITEMS = "item_id bigint, text string, doc_id string"
 
 
 def brute_pairs(rows, items):
-    masks = ("11111111", "110110010111", "011", "")[:2] + ("101011101101", "111100110011")
+    masks = ("11111111", "110110010111", "110101101101", "111100110011")
     words = lambda t: re.split(r"[^\w]+|_", (t or "").lower())
     out = {}
     for key, text in rows:
