@@ -10,11 +10,13 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 
 import numpy as np
 
-#: Characters of words held in the memo before it is emptied.
-MEMO_CHARS = 8_000_000
+#: Characters of words held in a memo before it becomes the old one and the old one goes.
+MEMO_CHARS = 5_000_000
 #: Characters of text worked on at once.
 BATCH_CHARS = 4_000_000
 
@@ -37,7 +39,9 @@ class Encoder:
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
+        self.model.model._resize_cache(0)  # the memo below does its work
         self.memo: dict[str, bytes | None] = {}
+        self.old: dict[str, bytes | None] = {}
         self.firsts: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
         self.held = 0
@@ -54,9 +58,10 @@ class Encoder:
 
     def _learn(self, words: list[str]) -> None:
         memo, glue = self.memo, f" {self.SEPARATOR} "
-        for n in range(0, len(words), 2_000):
-            part = words[n : n + 2_000]
-            ids = np.array(self._ids(f"a{glue}{glue.join(part)}{glue[:-1]}"), np.uint32)
+        parts = [words[n : n + 2_000] for n in range(0, len(words), 2_000)]
+        lines = [f"a{glue}{glue.join(part)}{glue[:-1]}" for part in parts]
+        for part, line in zip(parts, self.model.encode_batch_fast(lines, add_special_tokens=False)):
+            ids = np.array(line.ids, np.uint32)
             at = (np.flatnonzero(ids == self.mark) * 4).tolist()
             if len(at) != len(part) + 1:
                 raise ValueError("separators were lost")
@@ -66,6 +71,10 @@ class Encoder:
     def _meet(self, new: set[str]) -> None:
         """Fill the memo with new words; a word whose ids depend on its neighbours gets None."""
         memo, tails, split, plain = self.memo, self.tails, [], set()
+        known = new.intersection(self.old)
+        memo.update((word, self.old[word]) for word in known)
+        self.held += sum(map(len, known))
+        new = new.difference(known)
         for word in new:
             if not word or word[0].isspace() or word[-1].isspace() or self.SEPARATOR in word:
                 memo[word] = None
@@ -73,7 +82,10 @@ class Encoder:
                 head, tail = m.groups()
                 split.append((word, head, tail))
                 if head not in memo:
-                    plain.add(head)
+                    if head in self.old:
+                        memo[head] = self.old[head]
+                    else:
+                        plain.add(head)
                 if tail not in tails:
                     tails[tail] = np.array(self._ids("a" + tail)[1:], np.uint32).tobytes()
             else:
@@ -85,9 +97,9 @@ class Encoder:
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         if self.held > MEMO_CHARS:
-            for kept in (self.memo, self.firsts, self.tails):
-                kept.clear()
-            self.held = 0
+            self.old, self.memo, self.held = self.memo, {}, 0
+            self.firsts.clear()
+            self.tails.clear()
         cut = [text.split(" ") for text in texts]
         self._meet(set().union(*cut).difference(self.memo))
         get, firsts, out = self.memo.__getitem__, self.firsts, []
@@ -120,6 +132,14 @@ class Encoder:
         return b"".join([*out, self._raw("".join(pending))])
 
 
+def encoder(path: str) -> Encoder:
+    """The encoder of this Python worker, which later tasks of the worker find warm."""
+    held = sys.modules.setdefault("spanquarry_worker_memo", types.ModuleType("spanquarry_worker_memo")).__dict__
+    if path not in held:
+        held[path] = Encoder(path)
+    return held[path]
+
+
 def slices(lengths: list[int], most: int = BATCH_CHARS):
     """Ranges of rows of about so many characters; a longer text is a range of its own."""
     begin = held = 0

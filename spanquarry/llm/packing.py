@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanquarry.llm.encoding import Encoder, slices
+from spanquarry.llm.encoding import encoder, slices
 from spanquarry.llm.tables import batch_of, rows_of, stored
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -99,12 +99,12 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, ke
     end = np.array([end_id], np.uint32).tobytes()
 
     def cut(batches):
-        encoder = Encoder(tokenizer)
+        memo = encoder(tokenizer)
         for keys, texts in rows_of(batches, "doc_id", "text"):
             texts = [t or "" for t in texts]
             for a, b in slices([len(t) for t in texts]):
                 rows = []
-                for key, raw in zip(keys[a:b], encoder.encode_many(texts[a:b])):
+                for key, raw in zip(keys[a:b], memo.encode_many(texts[a:b])):
                     raw += end
                     n = len(raw) // 4
                     ends = [*range(n % capacity or capacity, n + 1, capacity)]

@@ -10,12 +10,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanquarry.llm.encoding import Encoder, slices
+from spanquarry.llm.encoding import encoder, slices
 from spanquarry.llm.tables import batch_of, rows_of
 
 #: Layout of a token file: ``start`` counts ids from the first document of the file's ``part``.
 LAYOUT = "doc_id bigint, part int, start bigint, ids array<int>"
 
+#: Files whose bases are broadcast.
+MOST_FILES = 1_000_000
+
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, stripe_mb: int = 16) -> None:
     """Encode every whole text, append ``end_id`` and write ORC files in ascending doc_id order.
@@ -29,12 +32,12 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     schema = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("start", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def encode(batches):
-        encoder, part, done = Encoder(tokenizer), TaskContext.get().partitionId(), 0
+        memo, part, done = encoder(tokenizer), TaskContext.get().partitionId(), 0
         end = np.array([end_id], np.uint32).tobytes()
         for keys, texts in rows_of(batches, "doc_id", "text"):
             texts = [t or "" for t in texts]
             for a, b in slices([len(t) for t in texts]):
-                raw = [r + end for r in encoder.encode_many(texts[a:b])]
+                raw = [r + end for r in memo.encode_many(texts[a:b])]
                 ends = np.cumsum([len(r) // 4 for r in raw])
                 starts = np.concatenate([[0], ends[:-1]])
                 values = pa.array(np.frombuffer(b"".join(raw), np.int32))
@@ -58,12 +61,15 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """Documents with their ids; ``start`` counts all ids of the documents before.
 
-    Only one row per written file is summed in order; each document adds its file's base to its own start.
+    One row per written file is summed in order (broadcast: a few bytes a file, at most ``MOST_FILES`` of them, else
+    joined); each document adds its file's base to its own start.
     """
     files = spark.read.schema(LAYOUT).orc(path)
     sizes = files.groupBy("part").agg(F.sum(F.size("ids")).alias("held"))
     order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = sizes.select("part", F.coalesce(F.sum("held").over(order), F.lit(0)).alias("base"))
+    if len(files.inputFiles()) <= MOST_FILES:
+        base = F.broadcast(base)
     return files.join(base, "part").select("doc_id", (F.col("base") + F.col("start")).alias("start"), "ids")
 
 
