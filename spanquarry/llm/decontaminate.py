@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Fixed masks (1: the word counts). The first is a plain run of eight words and serves short items.
-MASKS = ("11111111", "110110010111", "101011101101", "111100110011")
+#: Fixed masks (1: the word counts). The first is a plain run of eight words and serves short items. All begin with two words
+#: that count, so windows whose first two words begin no benchmark window need no masked hash.
+MASKS = ("11111111", "110110010111", "110101101101", "111100110011")
 #: Words compared around a hit, and how many of them must be equal.
 OVERLAP, EQUAL = 20, 16
 #: Benchmark hashes that are broadcast (about 40 bytes each); beyond it both sides are shuffled.
@@ -35,11 +36,19 @@ def _seeds(words: str, at: str) -> Column:
     return F.stack(F.lit(len(MASKS)), *[x for n, seed in enumerate(out) for x in (F.lit(n), seed)])
 
 
-def _windows(table: DataFrame, key: str, text: str) -> DataFrame:
-    """Every window of eight words or more: key, place, words, mask, seed."""
+def _pair(words: str, at: str) -> Column:
+    return F.xxhash64(F.get(F.col(words), F.col(at)), F.get(F.col(words), F.col(at) + 1))
+
+
+def _places(table: DataFrame, key: str, text: str) -> DataFrame:
+    """Every place where a window of eight words begins: key, words, at."""
     shortest = min(map(len, MASKS))
     hashed = table.select(F.col(key), _hashes(text).alias("words")).where(F.size("words") >= shortest)
-    placed = hashed.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words") - shortest)))
+    return hashed.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words") - shortest)))
+
+
+def _windows(placed: DataFrame, key: str) -> DataFrame:
+    """The masked windows that begin at each place: key, words, at, mask, seed."""
     return placed.select(key, "words", "at", _seeds("words", "at").alias("mask", "seed"))
 
 
@@ -56,17 +65,20 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, overlap: int = OVE
     items = benchmark.select("item_id", F.col("text").alias("item_text"))
     lengths = F.element_at(F.lit([len(m) for m in MASKS]), F.col("mask") + 1)
     seeds = (
-        _windows(items, "item_id", "item_text")
+        _windows(_places(items, "item_id", "item_text"), "item_id")
         .where(F.col("at") + lengths <= F.size("words"))
         .select("seed", "item_id", F.col("at").alias("item_at"), F.col("words").alias("item_words"))
     )
     seed_keys = seeds.select("seed", "item_id", "item_at").distinct()
+    places = _places(docs.select("doc_id", "text"), "doc_id", "text")
     if seeds.count() <= MOST_SEEDS:
         seed_keys = F.broadcast(seed_keys)
+        pairs = seeds.select(_pair("item_words", "item_at").alias("pair")).distinct()
+        places = places.withColumn("pair", _pair("words", "at")).join(F.broadcast(pairs), "pair", "left_semi")
     known = items.select("item_id", _hashes("item_text").alias("item_words"))
     size = items.count()
     hits = (
-        _windows(docs.select("doc_id", "text"), "doc_id", "text")
+        _windows(places, "doc_id")
         .join(seed_keys, "seed")
         .select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "words")
     )
