@@ -8,7 +8,8 @@ Texts that are equal form one class first; the rest works on one representative
 the members are verified against the bucket's leader only, so a bucket of n gives n - 1 pairs. The leader is the member with the
 most bucket mates over all bands: of an original and its copies that is the original. Members that do not match the
 leader are compared by their signatures, block by block, with the bucket's members of other classes, and the most
-similar few are verified, until a round links nothing more.
+similar few are verified; the next round goes on behind them in the same order, with twice as many, until no member
+has an untried mate of another class above the margin.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ SHINGLE = 5
 SAMPLES, ROWS = 64, 4
 #: Hashed words in the document-frequency table (4 MB whatever the corpus).
 FREQUENCIES = 1 << 20
-#: Members in a block when a bucket is compared by signatures, and how many partners each tries in a round.
+#: Members in a block when a bucket is compared by signatures, and how many partners each tries in the first round.
 BLOCK, TRIES = 512, 4
+#: Standard errors below the threshold down to which an estimate by signatures still leads to verification.
+SIGMAS = 5
 
 SEPARATORS = bytes(b for b in range(128) if not chr(b).isalnum())
 _U = np.uint64
@@ -237,9 +240,10 @@ def joined_classes(labels: DataFrame, links: DataFrame) -> DataFrame:
     return stored(labels.join(new, "label", "left").select("rep", F.coalesce("low", "label").alias("label")), "classes")
 
 
-def _closest(margin: float):
-    """For each unmatched member of one block the most similar members of other classes in the bucket."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _closest(margin: float, tries: int):
+    """For each unmatched member of one block its next members of other classes in the bucket: most equal samples first, then
+    by doc_id, behind the mate of (``seen``, ``last``). ``more`` marks the last one taken where others follow."""
+    schema = pa.schema([("band", pa.int64()), ("rep", pa.int64()), ("mate", pa.int64()), ("same", pa.int32()), ("more", pa.bool_())])
 
     def closest(mine: pa.Table, others: pa.Table) -> pa.Table:
         def arrays(t):
@@ -251,13 +255,15 @@ def _closest(margin: float):
         rep, label, samples = arrays(mine)
         other, other_label, other_samples = arrays(others)
         columns = np.ascontiguousarray(other_samples.T)
-        pairs = set()
-        for x, own, s in zip(rep.tolist(), label.tolist(), samples):
+        found = []
+        for x, own, s, seen, last in zip(rep.tolist(), label.tolist(), samples, mine.column("seen").to_pylist(), mine.column("last").to_pylist()):
             same = (columns == s[:, None]).sum(axis=0, dtype=np.int32)
-            same[other_label == own] = -1
-            best = np.argsort(-same, kind="stable")[:TRIES]
-            pairs |= {(min(x, y), max(x, y)) for y in other[best[same[best] >= margin * SAMPLES]].tolist()}
-        return pa.table([pa.array([p[i] for p in sorted(pairs)], pa.int64()) for i in (0, 1)], schema=schema)
+            at = np.flatnonzero((same >= margin * SAMPLES) & (other_label != own) & ((same < seen) | ((same == seen) & (other > last))))
+            best = at[np.lexsort((other[at], -same[at]))[:tries]]
+            more = len(at) > tries
+            found += [(x, y, n, more and k == tries - 1) for k, (y, n) in enumerate(zip(other[best].tolist(), same[best].tolist()))]
+        band = pa.repeat(mine.column("band")[0], len(found))
+        return pa.table([band, *[pa.array([f[i] for f in found], schema.types[i + 1]) for i in range(4)]], schema=schema)
 
     return closest
 
@@ -306,22 +312,32 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     tried = stored(to_leader.distinct(), "pairs")
     links = verified(tried)
     labels = joined_classes(texts.select("rep", F.col("rep").alias("label")), links)
-    margin = threshold - 3 * (threshold * (1 - threshold) / SAMPLES) ** 0.5
+    margin = threshold - SIGMAS * (threshold * (1 - threshold) / SAMPLES) ** 0.5
+    left, tries = None, TRIES
     while True:
         placed = buckets.join(labels, "rep").join(labels.select(F.col("rep").alias("leader"), F.col("label").alias("lead")), "leader")
-        mine = placed.where("label <> lead")
-        blocks = stored(mine.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "blocks")
+        if left is None:
+            placed = placed.withColumns({"seen": F.lit(SAMPLES + 1), "last": F.lit(0).cast("bigint")})
+        else:
+            placed = placed.join(left, ["band", "rep"], "left")
+        placed = placed.withColumn("apart", (F.col("label") != F.col("lead")) & F.col("seen").isNotNull())
+        blocks = stored(placed.where("apart").groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "blocks")
         members = stored(placed.join(blocks, "band").join(texts.select("rep", "samples"), "rep"), "open")
         cols = ["band", "block", "rep", "label", "samples"]
-        mine = members.where("label <> lead").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-        others = members.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        near = mine.select(cols).groupBy("band", "block").cogroup(others.select(cols).toDF(*cols).groupBy("band", "block"))
-        pairs = stored(near.applyInArrow(_closest(margin), "a bigint, b bigint").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+        mine = members.where("apart").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).select(*cols, "seen", "last")
+        others = members.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(cols).toDF(*cols)
+        near = mine.groupBy("band", "block").cogroup(others.groupBy("band", "block"))
+        found = stored(near.applyInArrow(_closest(margin, tries), "band bigint, rep bigint, mate bigint, same int, more boolean"), "found")
+        pairs = found.select(F.least("rep", "mate").alias("a"), F.greatest("rep", "mate").alias("b")).distinct()
+        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         more = verified(pairs)
-        if more.isEmpty():
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            labels = joined_classes(labels, more)
+        left = found.where("more").select("band", "rep", F.col("same").alias("seen"), F.col("mate").alias("last"))
+        if left.isEmpty():
             break
-        tried, links = tried.unionByName(pairs), links.unionByName(more)
-        labels = joined_classes(labels, more)
+        tried, tries = tried.unionByName(pairs), tries * 2
     ends = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
     known = texts.select("h1", "h2", "rep").join(labels, "rep").join(ends, "rep", "left")
     return sketches.join(known, ["h1", "h2"]).select(

@@ -104,6 +104,45 @@ def test_members_that_miss_the_first_document_are_still_linked(spark):
     assert set(got.values()) == {0}
 
 
+def test_partner_behind_many_similar_mates_is_found(spark):
+    """A family in which only some pairs reach the threshold, each member with dozens of mates just below it."""
+    base = prose(7, 1600).split(" ")
+    r, rows, held = random.Random(8), [], []
+
+    def add(key, shared=()):
+        """A copy with 24 edits; no two copies edit more than nine same places unless they share them."""
+        while True:
+            at = {8 * k + 4 for k in r.sample(range(198), 24 - len(shared))}
+            if all(len((at | set(shared)) & (other - set(shared))) < 10 for other in held) and not at & set(shared):
+                break
+        held.append(at | set(shared))
+        new = {i: f"x{r.randrange(10**9)}" for i in sorted(at)} | dict(shared)
+        rows.append((key, " ".join(new.get(i, w) for i, w in enumerate(base))))
+
+    for k in range(8):
+        shared = {8 * at + 4: f"y{r.randrange(10**9)}" for at in r.sample(range(198), 10)}
+        add(2 * k, shared)
+        add(2 * k + 1, shared)
+    for i in range(80):
+        add(100 + i)
+    assert all(plain_jaccard(rows[2 * k][1], rows[2 * k + 1][1]) > 0.82 for k in range(8))
+    got = {r.doc_id: r.class_id for r in N.near_duplicates(docs(spark, rows)).collect()}
+    assert got == {i: i - i % 2 if i < 16 else i for i, _ in rows}
+
+
+def test_closest_goes_on_behind_the_last_mate():
+    samples = np.arange(N.SAMPLES, dtype=np.uint32)
+    others = [np.where(np.arange(N.SAMPLES) < k, 10**6, samples).astype(np.uint32).tobytes() for k in (5, 3, 3, 9, 30)]
+    others = pa.table({"band": [7] * 5, "block": [0] * 5, "rep": [1, 3, 2, 4, 5], "label": [1, 3, 2, 0, 5], "samples": others})
+    mine = {"band": [7], "block": [0], "rep": [0], "label": [0], "samples": [samples.tobytes()]}
+    seen, last, taken = N.SAMPLES + 1, 0, []
+    for _ in range(3):
+        out = N._closest(0.55, 1)(pa.table(mine | {"seen": [seen], "last": [last]}), others).to_pylist()
+        taken += [(o["mate"], o["more"]) for o in out]
+        seen, last = out[-1]["same"], out[-1]["mate"]
+    assert taken == [(2, True), (3, True), (1, False)]
+
+
 # repeated substrings
 
 
