@@ -42,7 +42,7 @@ def drop_repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), short_items=True)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

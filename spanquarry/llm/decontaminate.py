@@ -1,8 +1,9 @@
-"""Benchmark decontamination by spaced seeds, in DataFrame functions only.
+"""Benchmark decontamination by runs of equal words, in DataFrame functions only.
 
-A mask is a fixed pattern of token positions; the hash of a window under a mask ignores the positions the mask leaves out,
-so a substituted word there does not hide the match. Hashes of all benchmark windows are joined with those of all document
-windows; around every hit the document is laid over the item and words are compared place by place.
+Of ``width`` words of which ``need`` must be equal, the others cut the equal ones into at most width - need + 1 runs, so one of
+them has need / (width - need + 1) words, rounded up (4 of 20 with 16 equal). Hashes of all runs of that length in the
+benchmark are joined with those of all documents, so no alignment within the tolerance is missed; around every hit the
+document is laid over the item and words are compared place by place.
 """
 
 from __future__ import annotations
@@ -10,9 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Fixed masks (1: the word counts). The first is a plain run of eight words and serves short items. All begin with two words
-#: that count, so windows whose first two words begin no benchmark window need no masked hash.
+#: Masks of the SQL in ``oracle`` (1: the word counts); the operator needs none.
 MASKS = ("11111111", "110110010111", "110101101101", "111100110011")
+#: Items of fewer words are short.
+SHORT = 8
 #: Words compared around a hit, and how many of them must be equal.
 OVERLAP, EQUAL = 20, 16
 #: Benchmark hashes that are broadcast (about 40 bytes each); beyond it both sides are shuffled.
@@ -27,84 +29,69 @@ def _hashes(text: str) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _seeds(words: str, at: str) -> Column:
-    """Masked hashes of the window that begins at ``at``, one per mask."""
-    out = []
-    for n, mask in enumerate(MASKS):
-        places = [F.get(F.col(words), F.col(at) + i) for i, bit in enumerate(mask) if bit == "1"]
-        out.append(F.xxhash64(F.lit(n), *places))
-    return F.stack(F.lit(len(MASKS)), *[x for n, seed in enumerate(out) for x in (F.lit(n), seed)])
+def _run(words: str, at: str, run: Column) -> Column:
+    """Hash of the ``run`` words that begin at ``at``."""
+    return F.xxhash64(run, F.slice(F.col(words), F.col(at) + 1, run))
 
 
-def _pair(words: str, at: str) -> Column:
-    return F.xxhash64(F.get(F.col(words), F.col(at)), F.get(F.col(words), F.col(at) + 1))
+def _items(benchmark: DataFrame, overlap: int, equal: int, short_items: bool) -> DataFrame:
+    """item_id, item_words, width compared, words of it that must be equal, and the run that any such stretch has."""
+    table = benchmark.select("item_id", _hashes("text").alias("item_words"))
+    short = F.size("item_words") < SHORT
+    table = table.withColumn("short", short).where(F.lit(short_items) | ~short)
+    # a short item has no words to spare for a break at its begin or end
+    table = table.withColumn("item_words", F.when(F.col("short"), F.array_remove("item_words", F.xxhash64(F.lit("")))).otherwise(F.col("item_words")))
+    table = table.where(F.size("item_words") > 0).withColumn("width", F.least(F.size("item_words"), F.lit(overlap)))
+    need = F.when(F.col("short"), F.col("width")).otherwise(F.ceil(F.col("width") * equal / overlap).cast("int"))
+    run = F.ceil(F.col("need") / (F.col("width") - F.col("need") + 1)).cast("int")
+    return table.withColumn("need", need).withColumn("run", F.greatest(run, F.lit(1))).drop("short")
 
 
-def _places(table: DataFrame, key: str, text: str) -> DataFrame:
-    """Every place where a window of eight words begins: key, words, at."""
-    shortest = min(map(len, MASKS))
-    hashed = table.select(F.col(key), _hashes(text).alias("words")).where(F.size("words") >= shortest)
-    return hashed.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words") - shortest)))
-
-
-def _windows(placed: DataFrame, key: str) -> DataFrame:
-    """The masked windows that begin at each place: key, words, at, mask, seed."""
-    return placed.select(key, "words", "at", _seeds("words", "at").alias("mask", "seed"))
-
-
-def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, overlap: int = OVERLAP, equal: int = EQUAL) -> DataFrame:
+def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, overlap: int = OVERLAP, equal: int = EQUAL, short_items: bool = False) -> DataFrame:
     """(doc_id, item_id, n_equal, n_compared): the best overlap of every document that holds part of an item.
 
-    A pair is reported if some mask matches and, in the same alignment, some ``overlap`` consecutive words of the item
-    (all of them, if it is shorter) have at least ``equal`` (in proportion, if shorter) equal words; ``n_equal`` is the
-    most equal words in such a stretch of ``n_compared``. Case and punctuation do not count.
+    A pair is reported if in some alignment some ``overlap`` consecutive words of the item (all of them, if it is
+    shorter) have at least ``equal`` (in proportion, if shorter) equal words; ``n_equal`` is the most equal words in such a
+    stretch of ``n_compared``. Case and punctuation do not count. Items of fewer than eight words give nothing, or with
+    ``short_items`` only whole exact copies.
 
-    Null and empty texts, and items or documents of fewer than eight words, give nothing; repeated rows of one id are one;
-    other columns are ignored; empty tables give no rows.
+    Null and empty texts give nothing; repeated rows of one id are one; other columns are ignored; empty tables give no rows.
     """
-    items = benchmark.select("item_id", F.col("text").alias("item_text"))
-    lengths = F.element_at(F.lit([len(m) for m in MASKS]), F.col("mask") + 1)
-    seeds = (
-        _windows(_places(items, "item_id", "item_text"), "item_id")
-        .where(F.col("at") + lengths <= F.size("words"))
-        .select("seed", "item_id", F.col("at").alias("item_at"), F.col("words").alias("item_words"))
-    )
-    seed_keys = seeds.select("seed", "item_id", "item_at").distinct()
-    places = _places(docs.select("doc_id", "text"), "doc_id", "text")
+    known = _items(benchmark, overlap, equal, short_items)
+    runs = sorted(r.run for r in known.select("run").distinct().collect()) or [1]
+    begins = known.withColumn("item_at", F.explode(F.sequence(F.lit(0), F.size("item_words") - F.col("run"))))
+    seeds = begins.select(_run("item_words", "item_at", F.col("run")).alias("seed"), "item_id", "item_at").distinct()
     if seeds.count() <= MOST_SEEDS:
-        seed_keys = F.broadcast(seed_keys)
-        pairs = seeds.select(_pair("item_words", "item_at").alias("pair")).distinct()
-        places = places.withColumn("pair", _pair("words", "at")).join(F.broadcast(pairs), "pair", "left_semi")
-    known = items.select("item_id", _hashes("item_text").alias("item_words"))
-    size = items.count()
-    hits = (
-        _windows(places, "doc_id")
-        .join(seed_keys, "seed")
-        .select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "words")
-    )
+        seeds = F.broadcast(seeds)
+    hashed = docs.select("doc_id", _hashes("text").alias("words")).where(F.size("words") >= runs[0])
+    placed = hashed.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words") - runs[0])))
+    hashes = [_run("words", "at", F.lit(n)) for n in runs]
+    windows = placed.select("doc_id", "words", "at", (F.explode(F.array(*hashes)) if len(runs) > 1 else hashes[0]).alias("seed"))
+    hits = windows.join(seeds, "seed").select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "words")
+    size = known.count()
     laid = hits.join(F.broadcast(known) if size * 2 <= MOST_SEEDS else known, "item_id")
     n = F.size("item_words")
     # words of the document under the item's; places before its begin or after its end hold null
     under = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.when(i + F.col("shift") >= 0, F.get(F.col("words"), i + F.col("shift"))))
     same = F.zip_with("item_words", under, lambda a, b: F.when(a == b, 1).otherwise(0))
-    found = laid.select("doc_id", "item_id", "shift", same.alias("same")).distinct()
-    width = F.least(F.size("same"), F.lit(overlap))
+    found = laid.select("doc_id", "item_id", "shift", same.alias("same"), "width", "need").distinct()
+    width = F.col("width")
     sums = F.transform(
         F.sequence(F.lit(1), F.size("same") - width + 1),
         lambda i: F.aggregate(F.slice("same", i, width), F.lit(0), lambda s, x: s + x),
     )
-    scored = found.select("doc_id", "item_id", F.array_max(sums).alias("n_equal"), width.alias("n_compared"))
+    scored = found.select("doc_id", "item_id", F.array_max(sums).alias("n_equal"), width.alias("n_compared"), "need")
     return (
-        scored.where(F.col("n_equal") * overlap >= F.col("n_compared") * equal)
+        scored.where("n_equal >= need")
         .groupBy("doc_id", "item_id")
         .agg(F.max(F.struct("n_equal", "n_compared")).alias("best"))
         .select("doc_id", "item_id", "best.n_equal", "best.n_compared")
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, short_items: bool = False) -> DataFrame:
     """The documents that hold no part of a benchmark item; a null doc_id is never held against another row."""
-    return docs.join(contaminated_pairs(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    return docs.join(contaminated_pairs(docs, benchmark, short_items=short_items).select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
 
 
 def oracle() -> str:

@@ -260,3 +260,43 @@ def test_contaminated_pairs(spark):
     assert kept == {k for k, _ in rows} - {k for k, *_ in got}
     assert contaminated_pairs(docs(spark, []), bench).count() == 0
     assert contaminated_pairs(table, bench.where("false")).count() == 0
+
+
+def every_pair(rows, items):
+    """Overlaps of every alignment, without seeds."""
+    words = lambda t: re.split(r"[^\w]+|_", (t or "").lower())
+    out = set()
+    for key, text in rows:
+        d = words(text)
+        for item, passage in items:
+            b = words(passage)
+            n, best = min(20, len(b)), 0
+            for s in range(1 - len(b), len(d)):
+                same = [int(0 <= j + s < len(d) and d[j + s] == b[j]) for j in range(len(b))]
+                best = max(best, max(sum(same[i : i + n]) for i in range(len(same) - n + 1)))
+            if best * 20 >= n * 16:
+                out.add((key, item, best, n))
+    return out
+
+
+def test_no_substitution_within_the_tolerance_hides_an_item(spark):
+    """Patterns that masks of eight words miss, among them every fourth word replaced."""
+    items, rows, r = [], [], random.Random(5)
+    for item, (n, k) in enumerate([(20, 4), (18, 3), (16, 3), (15, 3), (12, 2), (10, 2), (9, 1), (8, 1), (26, 5)]):
+        words = prose(700 + item, n, 10**6).split(" ")
+        items.append((item, " ".join(words)))
+        for at in [tuple(range(3, 4 * k, 4)), *(r.sample(range(n), k) for _ in range(12))]:
+            rows.append((len(rows), " ".join([prose(len(rows), 9), *("zz" if i in at else w for i, w in enumerate(words)), "end"])))
+    rows.append((999, " ".join(items[7][1].split(" ")[:7])))
+    bench = spark.createDataFrame([(i, t, "z") for i, t in items], ITEMS)
+    got = {tuple(x) for x in contaminated_pairs(docs(spark, rows), bench).collect()}
+    assert got == every_pair(rows, items)
+    assert {(13 * i + k, i) for i in range(8) for k in range(13)} | {(999, 7)} <= {x[:2] for x in got}
+
+
+def test_short_items_match_as_whole_exact_copies(spark):
+    items = [(1, "What is it?"), (2, "one two three four five six seven"), (3, ""), (4, None), (5, "!")]
+    rows = [(1, "So what is it then"), (2, "what was it"), (3, "zero One two, three four five six seven"), (4, "one two three four five six eight"), (5, ""), (6, None)]
+    bench = spark.createDataFrame([(i, t, "z") for i, t in items], ITEMS)
+    assert {tuple(x) for x in contaminated_pairs(docs(spark, rows), bench, short_items=True).collect()} == {(1, 1, 3, 3), (3, 2, 7, 7)}
+    assert contaminated_pairs(docs(spark, rows), bench).count() == 0
