@@ -209,7 +209,7 @@ def kpis(facts: DataFrame, feedback: DataFrame, now: str, window_seconds: int, r
     """KPIs per agent over the window before ``now``.
 
     A vote counts in the window it was cast in, however old its trace: where ``facts`` are pruned to the window, ``roots``
-    (trace_id, agent) are the roots of all time.
+    (trace_id, agent) are the roots of all time. An agent that only has votes in the window has 0 runs and null rates.
 
     The first aggregation is per (agent, latency value): it combines on the map side and leaves one
     row per distinct millisecond, so the exact percentile of a hot agent is a weighted one over few
@@ -237,10 +237,10 @@ def kpis(facts: DataFrame, feedback: DataFrame, now: str, window_seconds: int, r
         .agg(F.count_if(F.col("rating") == "down").alias("downs"), F.count("*").alias("votes"))
     )
     failure = ratio(F.col("failed_runs"), F.col("total_runs"))
-    return runs.join(votes, "agent", "left").select(
+    return runs.join(votes.where("agent IS NOT NULL"), "agent", "full").select(
         "agent",
-        "total_runs",
-        "failed_runs",
+        F.coalesce("total_runs", F.lit(0)).alias("total_runs"),
+        F.coalesce("failed_runs", F.lit(0)).alias("failed_runs"),
         F.round(failure, 6).alias("failure_rate"),
         F.round(1 - failure, 6).alias("health_rate"),
         F.round(ratio(F.col("failed_calls"), F.col("ok_calls") + F.col("failed_calls")), 6).alias("tool_failure_rate"),
@@ -252,7 +252,8 @@ def kpis(facts: DataFrame, feedback: DataFrame, now: str, window_seconds: int, r
 def kpi_delta(facts: DataFrame, now: str, window_seconds: int, feedback: DataFrame | None = None, roots: DataFrame | None = None) -> DataFrame:
     """Each KPI beside its value in the equal window before; both windows in one pass.
 
-    Votes count in the window they were cast in; without ``feedback`` the downvote rates are null.
+    Votes count in the window they were cast in; without ``feedback`` the downvote rates are null. An agent that only has votes
+    has 0 runs.
     """
     mid = at(now) - F.make_dt_interval(secs=F.lit(window_seconds))
 
@@ -284,7 +285,7 @@ def kpi_delta(facts: DataFrame, now: str, window_seconds: int, feedback: DataFra
                 for p in ("current", "prior")
             ]
         )
-        wide = wide.join(votes, "agent", "left")
+        wide = wide.join(votes.where("agent IS NOT NULL"), "agent", "full").fillna(0, ["current_runs", "prior_runs"])
     kpis_ = ("failure_rate", "health_rate", "tool_failure_rate", "downvote_rate", "p95")
     return wide.select("*", *[F.round(F.col(f"current_{k}") - F.col(f"prior_{k}"), 6).alias(f"{k}_delta") for k in kpis_])
 

@@ -1,0 +1,23 @@
+"""Agents that got votes in the window and started no run in it."""
+
+from pyspark.sql import functions as F
+
+from spanquarry.operators import monitoring as M
+
+NOW, DAY = "2024-01-31 00:00:00", 86400
+
+
+def test_agent_with_late_votes_only_keeps_its_row(spark):
+    facts = spark.createDataFrame(
+        [("t1", "a", "2024-01-30 00:00:00", 10, False, 1, 0), ("t2", "b", "2024-01-02 00:00:00", 20, True, 0, 1)],
+        "trace_id string, agent string, started_at string, latency_ms bigint, failed boolean, tool_ok bigint, tool_failed bigint",
+    ).withColumn("started_at", F.to_timestamp("started_at"))
+    votes = [("t2", "down", "2024-01-29 00:00:00"), ("t2", "up", "2024-01-30 00:00:00")]
+    feedback = spark.createDataFrame(votes, "trace_id string, rating string, created_at string").withColumn("created_at", F.to_timestamp("created_at"))
+    got = {r.agent: r for r in M.kpis(facts, feedback, NOW, 7 * DAY).collect()}
+    assert set(got) == {"a", "b"} and got["a"].downvote_rate is None and got["a"].total_runs == 1
+    assert (got["b"].total_runs, got["b"].failed_runs, got["b"].failure_rate, got["b"].p95_latency_ms) == (0, 0, None, None)
+    assert got["b"].downvote_rate == 0.5
+    delta = {r.agent: r for r in M.kpi_delta(facts, NOW, 7 * DAY, feedback).collect()}
+    assert set(delta) == {"a", "b"} and (delta["b"].current_runs, delta["b"].prior_runs) == (0, 0)
+    assert delta["b"].current_downvote_rate == 0.5 and delta["b"].current_failure_rate is None
