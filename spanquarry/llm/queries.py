@@ -16,6 +16,7 @@ from spanquarry.llm.near_dups import near_duplicates
 from spanquarry.llm.neighbours import nearest
 from spanquarry.llm.packing import best_fit_pack
 from spanquarry.llm.pages import extract_text
+from spanquarry.llm.simhash import simhash_classes
 from spanquarry.llm.substrings import drop_repeats
 from spanquarry.llm.tables import shared_folder
 from spanquarry.llm.token_counts import token_counts
@@ -97,3 +98,8 @@ def op9_license_scan(spark, sf_dir):
 def op6_nearest_neighbours(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+@query
+def op11_simhash_dedup(spark, sf_dir):
+    return simhash_classes(table(spark, sf_dir, "documents"))
