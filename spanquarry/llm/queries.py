@@ -16,6 +16,8 @@ from spanquarry.llm.near_dups import near_duplicates
 from spanquarry.llm.neighbours import nearest
 from spanquarry.llm.packing import best_fit_pack
 from spanquarry.llm.pages import extract_text
+from spanquarry.llm.prefix_trie import oracle as trie_oracle
+from spanquarry.llm.prefix_trie import trie_report
 from spanquarry.llm.simhash import simhash_classes
 from spanquarry.llm.substrings import drop_repeats
 from spanquarry.llm.tables import shared_folder
@@ -103,3 +105,11 @@ def op6_nearest_neighbours(spark, sf_dir):
 @query
 def op11_simhash_dedup(spark, sf_dir):
     return simhash_classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_prefix_trie(spark, sf_dir):
+    return trie_report(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op12_prefix_trie"] = trie_oracle()
