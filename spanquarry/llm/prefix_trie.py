@@ -103,6 +103,7 @@ def rebuilt(keys: DataFrame, family: int = 100, variants: int = 6) -> DataFrame:
     Conversation c takes the first h turns of c - c % ``family`` (all if fewer), then its own behind its first h;
     h = crc32(decimal c) % ``variants``. Returns conv_id, part, at, digest, n_chars; a row of part 0 stands for each conversation itself.
     """
+    keys = stored(keys, "turn-keys")  # read three times below
     head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % variants
     ids = keys.where("at = 1").select("conv_id", head.alias("h"), (F.col("conv_id") - F.col("conv_id") % family).alias("source"))
     lent = keys.where((F.col("at") < variants) & (F.col("conv_id") % family == 0)).withColumnRenamed("conv_id", "source")
@@ -172,7 +173,8 @@ def prefix_trie(turns: DataFrame, limit: int = LIMIT, held: int = HELD) -> tuple
     Ends: node, conv_id of every member that has no further turn. Without conversations there is no node.
     """
     kind = turns.schema["conv_id"].dataType.simpleString()
-    ordered = turns.repartition("conv_id").sortWithinPartitions("conv_id", "part", "at").select("conv_id", "digest", "n_chars")
+    # a hash of its own: an exchange on the bare column may be planned away where a union is thought to have it already
+    ordered = turns.repartition(F.xxhash64("conv_id")).sortWithinPartitions("conv_id", "part", "at").select("conv_id", "digest", "n_chars")
     paths = stored(
         ordered.mapInArrow(_chains(), f"conv_id {kind}, depth int, node binary, parent binary, n_chars bigint, last boolean"), "trie-paths"
     )
