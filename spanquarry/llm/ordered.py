@@ -37,3 +37,12 @@ def joined_sha256(rows: DataFrame, key: str, order: list[str], value: str, separ
 
     ordered = rows.select(key, *order, value).repartition(key).sortWithinPartitions(key, *order)
     return ordered.select(key, value).mapInArrow(fold, f"{key} {kind}, sha256 string")
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII string in DuckDB: each character is one step of its code and eight of -1, a shift by one bit."""
+    return (
+        f"(xor(list_reduce(flatten(list_transform(range(1, length({text}) + 1), "
+        f"lambda i: [ascii(({text})[i])::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])), "
+        "lambda acc, x: CASE WHEN x >= 0 THEN xor(acc, x) ELSE xor(acc >> 1, 3988292384 * (acc & 1)) END, 4294967295::BIGINT), 4294967295))"
+    )

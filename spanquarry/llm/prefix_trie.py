@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanquarry.llm.ordered import EMPTY_SHA256, joined_sha256
+from spanquarry.llm.ordered import EMPTY_SHA256, crc32_sql, joined_sha256
 from spanquarry.llm.tables import stored
 
 #: Members of a shard at most, in the first round; messages that a queue holds before it spills.
@@ -228,17 +228,12 @@ def trie_report(conversations: DataFrame) -> DataFrame:
 
 def oracle() -> str:
     """DuckDB: members are rows, subtrees are found by the ancestors of each node's smallest member."""
-    crc = (
-        "(xor(list_reduce(flatten(list_transform(range(1, length(conv_id::VARCHAR) + 1), "
-        "lambda i: [ascii((conv_id::VARCHAR)[i])::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])), "
-        "lambda acc, x: CASE WHEN x >= 0 THEN xor(acc, x) ELSE xor(acc >> 1, 3988292384 * (acc & 1)) END, 4294967295::BIGINT), 4294967295))"
-    )
     return f"""
 WITH t AS (
   SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
     row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
   FROM conversations WHERE conv_id IS NOT NULL),
-c AS (SELECT conv_id, {crc} % 6 AS h, conv_id - conv_id % 100 AS source FROM (SELECT DISTINCT conv_id FROM t)),
+c AS (SELECT conv_id, {crc32_sql('conv_id::VARCHAR')} % 6 AS h, conv_id - conv_id % 100 AS source FROM (SELECT DISTINCT conv_id FROM t)),
 r AS (
   SELECT c.conv_id, 1 AS part, t.pos, t.role, t.text FROM c JOIN t ON t.conv_id = c.source AND t.pos <= c.h
   UNION ALL SELECT c.conv_id, 2, t.pos, t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos > c.h),

@@ -19,6 +19,7 @@ from spanquarry.llm.pages import extract_text
 from spanquarry.llm.prefix_trie import oracle as trie_oracle
 from spanquarry.llm.prefix_trie import trie_report
 from spanquarry.llm.simhash import simhash_classes
+from spanquarry.llm.structure import oracle as repair_oracle
 from spanquarry.llm.structure import repair_report
 from spanquarry.llm.substrings import drop_repeats
 from spanquarry.llm.tables import shared_folder
@@ -119,3 +120,6 @@ ORACLES["op12_prefix_trie"] = trie_oracle()
 @query
 def op13_structure_repair(spark, sf_dir):
     return repair_report(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op13_structure_repair"] = repair_oracle()

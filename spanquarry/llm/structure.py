@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanquarry.llm.ordered import EMPTY_SHA256, joined_sha256
+from spanquarry.llm.ordered import EMPTY_SHA256, crc32_sql, joined_sha256
 from spanquarry.llm.tables import batch_of, stored
 
 #: White space of the word rule `[^\x20\x09-\x0D]+`.
@@ -270,3 +270,62 @@ def repair_report(conversations: DataFrame) -> DataFrame:
     return out.drop("conv").withColumns({"repaired_sha256": F.coalesce("sha256", F.lit(EMPTY_SHA256))}).select(
         "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"
     )
+
+
+def oracle() -> str:
+    """DuckDB: cheapest (cost, audit) of each ending and state by recursion from the last row."""
+    key = "(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))"
+    moved = lambda s, cost, letter: f"{{'c': ({s}).c + {cost}, 'a': '{letter}' || ({s}).a}}"
+
+    def taken(state: int) -> str:
+        kept = [f"CASE WHEN f.letter = '{x}' THEN {moved(f's{to[state]}', 'f.stay', 'K')} END" for x, to in KEPT.items() if state in to]
+        rerole = f"CASE WHEN f.letter <> 'x' THEN {moved(f's{GIVEN[state]}', f'f.stay + {REROLE}', 'R')} END"
+        return f"least({', '.join([moved(f's{state}', DELETE, 'D'), *kept, rerole])}) AS t{state}"
+
+    best = {2: "t3", 3: "t2", 0: "l2", 1: "l2"}
+    late = [f"least(t{s}, {moved(best[s], INSERT, 'I')}) AS l{s}" for s in (2, 3, 0, 1)]
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc32_sql(key)} % 20 AS how FROM conversations),
+e AS (
+  SELECT conv_id, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role,
+    CASE how WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN how = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM d WHERE how <> 0),
+o AS (
+  SELECT *, coalesce(conv_id::VARCHAR, '-') AS ck, left(role, 1) AS ini, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS cut,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(length(role)::VARCHAR || ':' || role || text), copy) AS pos
+  FROM e),
+q AS (
+  SELECT *, cut = '' AS blank, cut <> '' AND row_number() OVER (PARTITION BY ck, role, text ORDER BY pos) > 1 AS again,
+    lag(ini) OVER (PARTITION BY ck ORDER BY pos) || ini NOT IN ('su', 'ua', 'au') AS odd
+  FROM o),
+f AS (
+  SELECT *, CASE WHEN blank OR again THEN 'x' WHEN ini IN ('s', 'u', 'a') THEN ini ELSE 'o' END AS letter,
+    CASE WHEN NOT blank AND NOT again AND right(cut, 1) NOT IN ('.', '!', '?') THEN {TRUNCATED} ELSE 0 END AS stay
+  FROM q),
+k AS (
+  SELECT ck, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (again) AS duplicate, count(*) FILTER (stay > 0) AS truncated, count(*) FILTER (odd) AS illegal
+  FROM f GROUP BY ck),
+g AS (
+  SELECT ck, n + 1 AS pos, {{'c': 0, 'a': ''}} AS s0, {{'c': 6, 'a': 'II'}} AS s1, {{'c': 3, 'a': 'I'}} AS s2, {{'c': 0, 'a': ''}} AS s3 FROM k
+  UNION ALL
+  SELECT ck, pos, l0, l1, l2, l3 FROM (
+    SELECT f.ck, f.pos, {', '.join(taken(s) for s in range(4))}, {', '.join(late)}
+    FROM g JOIN f ON f.ck = g.ck AND f.pos = g.pos - 1)),
+w AS (SELECT ck, s0.c AS cost, s0.a AS audit FROM g WHERE pos = 1),
+x AS (SELECT ck, unnest(range(1, length(audit) + 1)) AS i, audit[i] AS edit, i - length(replace(audit[1:i], 'I', '')) AS ins FROM w),
+y AS (
+  SELECT x.ck, x.i, x.edit, f.ini, f.role, f.text, row_number() OVER (PARTITION BY x.ck ORDER BY i) AS j
+  FROM x LEFT JOIN f ON f.ck = x.ck AND f.pos = x.i - x.ins AND x.edit <> 'I' WHERE x.edit <> 'D'),
+z AS (
+  SELECT y.ck, y.i, CASE WHEN y.edit = 'K' THEN y.role WHEN (y.j - (h.ck IS NOT NULL)::INT) % 2 = 1 THEN 'user' ELSE 'assistant' END AS role,
+    CASE WHEN y.edit = 'I' THEN '' ELSE y.text END AS text
+  FROM y LEFT JOIN (SELECT ck FROM y WHERE j = 1 AND edit = 'K' AND ini = 's') h USING (ck)),
+r AS (SELECT ck, sha256(string_agg(role || ':' || text, chr(10) ORDER BY i)) AS digest FROM z GROUP BY ck)
+SELECT c.conv_id, coalesce(k.gaps, 0)::BIGINT AS gaps, coalesce(k.blank, 0)::BIGINT AS blank, coalesce(k.duplicate, 0)::BIGINT AS duplicate,
+  coalesce(k.truncated, 0)::BIGINT AS truncated, coalesce(k.illegal, 0)::BIGINT AS illegal, coalesce(w.cost, 0)::BIGINT AS cost,
+  coalesce(w.audit, '') AS audit, coalesce(r.digest, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce(conv_id::VARCHAR, '-') AS ck FROM conversations) c
+LEFT JOIN k USING (ck) LEFT JOIN w USING (ck) LEFT JOIN r USING (ck)"""
