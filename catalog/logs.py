@@ -137,12 +137,15 @@ SELECT call_id, seq, CASE WHEN seq % 3 = 2 THEN 1 ELSE 0 END AS choice, CASE WHE
   CAST(NULL AS BIGINT) AS input_tokens, usage_output AS output_tokens, usage_output IS NOT NULL AS has_usage, CASE WHEN call_id % 5 = 0 AND seq = 1 THEN 'cut' END AS error FROM {chunks}"""
 
 
-@query("assemble_chunks", f"""
+ASSEMBLED = f"""
 WITH l AS ({CHUNK_LOG}),
 x AS (SELECT call_id, string_agg(c, chr(10) ORDER BY choice) AS txt FROM (SELECT call_id, choice, string_agg(delta, '' ORDER BY seq) AS c FROM l WHERE delta <> '' GROUP BY call_id, choice) GROUP BY call_id),
 y AS (SELECT call_id, '[tool call] ' || string_agg(coalesce(nm, 'unknown') || '(' || a || ')', ', ' ORDER BY tool_index) AS tl FROM (SELECT call_id, tool_index, arg_max(tool_name, seq) FILTER (tool_name IS NOT NULL) AS nm, string_agg(tool_args, '' ORDER BY seq) AS a FROM l WHERE tool_index IS NOT NULL GROUP BY call_id, tool_index) GROUP BY call_id),
 f AS (SELECT call_id, arg_min(model, seq) FILTER (model IS NOT NULL) AS model, NULL::BIGINT AS input_tokens, arg_max(output_tokens, seq) FILTER (has_usage) AS output_tokens, max(error) AS error FROM l GROUP BY call_id)
-SELECT f.call_id, coalesce(x.txt, y.tl) AS output, f.model, f.input_tokens, f.output_tokens, f.error FROM f LEFT JOIN x ON f.call_id = x.call_id LEFT JOIN y ON f.call_id = y.call_id""")
+SELECT f.call_id, coalesce(x.txt, y.tl) AS output, f.model, f.input_tokens, f.output_tokens, f.error FROM f LEFT JOIN x ON f.call_id = x.call_id LEFT JOIN y ON f.call_id = y.call_id"""
+
+
+@query("assemble_chunks", ASSEMBLED)
 def assemble_chunks(t):
     log = t.sql(CHUNK_LOG).withColumn("output_tokens", F.col("output_tokens").cast("long"))
     return L.assemble_chunks(log, slice_size=2)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog.base import Tables, query, view
-from catalog.logs import ISLANDS, states
+from catalog.logs import ASSEMBLED, CHUNK_LOG, ISLANDS, states
 from catalog.monitoring import FACTS_SQL, HITS_SQL, PATTERNS, SIGNALS_SQL, SOURCES, facts
 from catalog.sources import scratch
 from catalog.views import NOW
@@ -12,7 +12,12 @@ from spanquarry.operators import logs as L
 from spanquarry.operators import monitoring as M
 from spanquarry.operators import trees
 from spanquarry.operators.routing import Rule
+from spanquarry.session import SETTINGS
 from spanquarry.streaming import jobs as J
+from spanquarry.streaming import processors as P
+
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
 class Streamed(Tables):
@@ -34,6 +39,7 @@ class Streamed(Tables):
 def finish(t, stream, mode="append", sink=None):
     """Run a stream over everything available and return what it stored."""
     folder = scratch(t.spark, "stream")
+    t.spark.conf.set(STATE_STORE, SETTINGS[STATE_STORE])
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
     out = f"{folder}/out"
     if sink is not None:
@@ -53,6 +59,11 @@ def streamed_copy(t, df):
     return t.spark.readStream.schema(df.schema).parquet(folder)
 
 
+def ended_copy(t, df, event_time):
+    """The same with the row that ends the input."""
+    return streamed_copy(t, df.unionByName(P.end_marker(t.spark, df.schema, event_time)))
+
+
 @query("monitor_stream", HITS_SQL)
 def monitor_stream(t):
     roots = Streamed(t).doc_roots.withColumn("parent_span_id", F.lit(None).cast("long"))
@@ -88,18 +99,13 @@ def sliding_kpi_stream(t):
     return finish(t, J.sliding_kpi_stream(streamed_copy(t, facts(t)), 360, 60), "complete")
 
 
-IDLE_SQL = """
+@query("idle_sessions", """
 SELECT session_id, started_at + INTERVAL 12 HOUR AS idle_at, turns FROM (SELECT user_id AS session_id, started_at, row_number() OVER w AS turns, lead(started_at) OVER w AS next_at
   FROM {spans} WHERE parent_span_id IS NULL WINDOW w AS (PARTITION BY user_id ORDER BY started_at, span_id))
-WHERE turns >= 2 AND (next_at IS NULL OR next_at > started_at + INTERVAL 12 HOUR)
-  AND started_at + INTERVAL 12 HOUR <= (SELECT max(started_at) FROM {spans} WHERE parent_span_id IS NULL) - INTERVAL 10 MINUTE"""
-
-
-@query("idle_sessions", IDLE_SQL)
+WHERE turns >= 2 AND (next_at IS NULL OR next_at >= started_at + INTERVAL 12 HOUR)""")
 def idle_sessions(t):
-    turns = trees.roots(Streamed(t).spans).select(F.col("user_id").alias("session_id"), "started_at")
-    bursts = finish(t, J.idle_bursts(turns, 12 * 3600))
-    return finish(t, J.idle_sessions(streamed_copy(t, bursts)))
+    turns = trees.roots(t.spans).select(F.col("user_id").alias("session_id"), "started_at")
+    return finish(t, P.idle_sessions(ended_copy(t, turns, "started_at"), 12 * 3600))
 
 
 @query("alert_stream", f'{ISLANDS} SELECT subject, kind, due AS "at" FROM e')
@@ -112,22 +118,40 @@ def alert_stream(t):
     return finish(t, J.alert_stream(streamed_copy(t, ticks))).select("subject", "kind", "at")
 
 
-@query("assemble_chunks_stream")
+@query("assemble_chunks_stream", ASSEMBLED)
 def assemble_chunks_stream(t):
-    """Calls are spread over time so that all but the last ones close."""
-    log = t.chunks.select(
-        "call_id", "seq", (F.timestamp_seconds(F.lit(1704067200) + F.col("call_id") * 3600 + F.col("seq"))).alias("at"),
-        F.lit(0).alias("choice"), "delta", F.lit("m").alias("model"), F.lit(None).cast("long").alias("input_tokens"), F.col("usage_output").cast("long").alias("output_tokens"),
-    )
-    return finish(t, J.assemble_chunks_stream(streamed_copy(t, log)))
+    """Every second chunk is delivered twice; of two thirds of the calls no chunk says that it is the last."""
+    final = t.chunks.groupBy("call_id").agg(F.max("seq").alias("final"))
+    log = t.sql(CHUNK_LOG).join(final, "call_id").withColumns({
+        "at": F.timestamp_seconds(F.lit(1704067200) + F.col("call_id") * 3600 + F.col("seq") * 400),
+        "last": F.when(F.col("call_id") % 3 == 0, F.col("seq") == F.col("final")),
+        "output_tokens": F.col("output_tokens").cast("long"),
+    }).drop("final")
+    out = finish(t, P.assemble_chunks_stream(ended_copy(t, log.unionByName(log.where("seq % 2 = 0")), "at"), slice_size=2))
+    return out.select("call_id", "output", "model", "input_tokens", "output_tokens", "error")
 
 
-@query("ttl_sweep_stream")
+SWEPT = """
+SELECT s.span_id AS run_id, s.started_at FROM {spans} s WHERE s.span_kind = 'tool' AND NOT EXISTS (
+  SELECT 1 FROM {spans} c WHERE c.parent_span_id = s.span_id AND c.started_at BETWEEN s.started_at AND s.started_at + INTERVAL 3600 SECOND)"""
+
+
+def swept(t):
+    starts = t.spans.where("span_kind = 'tool'").select(F.col("span_id").alias("run_id"), "started_at")
+    ends = t.spans.where("parent_span_id IS NOT NULL").select(F.col("parent_span_id").alias("run_id"), F.col("started_at").alias("ended_at"))
+    return P.ttl_sweep_stream(ended_copy(t, starts, "started_at"), ended_copy(t, ends, "ended_at"))
+
+
+@query("ttl_sweep_stream", SWEPT)
 def ttl_sweep_stream(t):
-    s = Streamed(t).spans
-    starts = s.where("span_kind = 'tool'").select(F.col("span_id").alias("run_id"), "started_at")
-    ends = s.where("parent_span_id IS NOT NULL").select(F.col("parent_span_id").alias("run_id"), F.col("started_at").alias("ended_at"))
-    return finish(t, J.ttl_sweep_stream(starts, ends))
+    return finish(t, swept(t)).select("run_id", "started_at")
+
+
+@query("ttl_sweep_counts", f"""
+SELECT CAST(floor(epoch(started_at + INTERVAL 3600 SECOND) / 86400) AS BIGINT) * 86400000 AS ts, count(*) AS n FROM ({SWEPT}) GROUP BY 1""")
+def ttl_sweep_counts(t):
+    """Dropped runs counted per day of their drop, in one stream behind the sweep."""
+    return finish(t, P.dropped_counts(swept(t)))
 
 
 RULES = [

@@ -192,9 +192,17 @@ def assemble_chunks(chunks: DataFrame, slice_size: int = 1000) -> DataFrame:
 
 
 def ttl_sweep(starts: DataFrame, ends: DataFrame, now: str, ttl_seconds: int = 3600) -> DataFrame:
-    """Runs older than the limit whose end never came."""
-    cutoff = F.lit(now).cast("timestamp") - F.make_dt_interval(secs=F.lit(ttl_seconds))
-    return starts.where(F.col("started_at") < cutoff).join(ends.select("run_id"), "run_id", "left_anti")
+    """Runs older than the limit whose end never came.
+
+    Where ``ends`` has ``ended_at``, an end later than the limit finds the run dropped already, so it does not count.
+    """
+    limit = F.make_dt_interval(secs=F.lit(ttl_seconds))
+    old = starts.where(F.col("started_at") < F.lit(now).cast("timestamp") - limit)
+    if "ended_at" not in ends.columns:
+        return old.join(ends.select("run_id"), "run_id", "left_anti")
+    came = ends.select(F.col("run_id").alias("r"), "ended_at")
+    within = (F.col("run_id") == F.col("r")) & F.col("ended_at").between(F.col("started_at"), F.col("started_at") + limit)
+    return old.join(came, within, "left_anti")
 
 
 def norm_team_log(messages: DataFrame) -> DataFrame:

@@ -11,6 +11,10 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Rows of one session merge within each task before they are shuffled.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    # Processors with state and timers need it.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # A union whose sides were dealt by one key is dealt again: adaptive reads may have regrouped one side alone.
+    "spark.sql.unionOutputPartitioning": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Telemetry timestamps are UTC instants, so un-annotated Parquet times are read as TIMESTAMP.
     "spark.sql.parquet.inferTimestampNTZ.enabled": "false",

@@ -1,4 +1,4 @@
-"""Structured Streaming jobs. Each uses the same column functions as its batch twin."""
+"""Structured Streaming jobs. Each uses the same column functions as its batch twin; those with timers are in ``processors``."""
 
 from __future__ import annotations
 
@@ -47,44 +47,6 @@ def sliding_kpi_stream(facts: DataFrame, minutes: int, slide_minutes: int, water
     )
 
 
-def idle_bursts(turns: DataFrame, idle_seconds: int = 120, watermark: str = "10 minutes") -> DataFrame:
-    """Bursts of activity of each session and the moment it had then been quiet long enough.
-
-    The built-in session window finds the quiet gaps, merging rows within each task before the
-    shuffle, so a hot session is one row per task. Append its output to a table; :func:`idle_sessions`
-    reads that table as a stream.
-    """
-    return (
-        turns.withWatermark("started_at", watermark)
-        .groupBy(F.session_window("started_at", f"{idle_seconds} seconds"), "session_id")
-        .agg(F.count("*").alias("n"))
-        .select("session_id", F.col("session_window.end").alias("idle_at"), "n")
-    )
-
-
-def idle_sessions(bursts: DataFrame) -> DataFrame:
-    """Idle moments of sessions with at least two turns, counted over the whole session.
-
-    The state is one running count per session that outlives the quiet gaps: a resumed session is
-    scored again as a whole. Its input is one row per burst, not per turn.
-    """
-
-    def total(key, batches, state):
-        import pandas as pd
-
-        seen = state.get[0] if state.exists else 0
-        rows = pd.concat(list(batches)).sort_values("idle_at")
-        turns = rows["n"].cumsum() + seen
-        state.update((int(turns.iloc[-1]),))
-        out = pd.DataFrame({"session_id": key[0], "idle_at": rows["idle_at"], "turns": turns})
-        yield out[out["turns"] >= 2]
-
-    kind = bursts.schema["session_id"].dataType.simpleString()
-    return bursts.groupBy("session_id").applyInPandasWithState(
-        total, f"session_id {kind}, idle_at TIMESTAMP, turns BIGINT", "turns BIGINT", "append", "NoTimeout"
-    )
-
-
 def alert_stream(inputs: DataFrame) -> DataFrame:
     """Alert state machine per (rule, subject).
 
@@ -134,19 +96,6 @@ def alert_stream(inputs: DataFrame) -> DataFrame:
     )
 
 
-def ttl_sweep_stream(starts: DataFrame, ends: DataFrame, ttl_seconds: int = 3600, watermark: str = "10 minutes") -> DataFrame:
-    """Runs whose end did not come within the limit: the unmatched side of a stream-stream join,
-    emitted and forgotten once the watermark passes the limit."""
-    s = starts.withWatermark("started_at", watermark)
-    e = ends.select(F.col("run_id").alias("e_run"), F.col("ended_at")).withWatermark("ended_at", watermark)
-    within = (
-        (F.col("run_id") == F.col("e_run"))
-        & (F.col("ended_at") >= F.col("started_at"))
-        & (F.col("ended_at") <= F.col("started_at") + F.expr(f"INTERVAL {ttl_seconds} SECONDS"))
-    )
-    return s.join(e, within, "leftOuter").where("e_run IS NULL").select("run_id", "started_at")
-
-
 def downvote_stream(feedback: DataFrame, roots: DataFrame) -> DataFrame:
     """Each down vote becomes a signal with the comment as summary; roots are a table."""
     r = roots.select(F.col("span_id").alias("trace_id"), "agent")
@@ -155,35 +104,6 @@ def downvote_stream(feedback: DataFrame, roots: DataFrame) -> DataFrame:
     )
 
 
-def assemble_chunks_stream(chunks: DataFrame, watermark: str = "10 minutes", quiet: str = "5 minutes") -> DataFrame:
-    """Chunks to one row per call once the call has been quiet, in append mode.
-
-    ``chunks(call_id, seq, at, choice, delta, model, input_tokens, output_tokens)``. The session window
-    closes a call that stopped, finished or not; fragments are ordered by sequence inside it.
-    """
-    part = F.struct(F.col("seq"), F.coalesce("choice", F.lit(0)).alias("choice"), F.coalesce("delta", F.lit("")).alias("delta"), "model", "input_tokens", "output_tokens")
-    calls = (
-        chunks.withWatermark("at", watermark)
-        .groupBy(F.session_window("at", quiet), "call_id")
-        .agg(F.array_sort(F.collect_list(part)).alias("parts"), F.min("at").alias("first_at"), F.max("at").alias("end_at"))
-    )
-    parts = F.col("parts")
-    choices = F.array_sort(F.array_distinct(F.transform(F.filter(parts, lambda p: p["delta"] != ""), lambda p: p["choice"])))
-    texts = F.transform(choices, lambda c: F.array_join(F.transform(F.filter(parts, lambda p: p["choice"] == c), lambda p: p["delta"]), ""))
-    used = F.filter(parts, lambda p: p["output_tokens"].isNotNull() | p["input_tokens"].isNotNull())
-    named = F.filter(parts, lambda p: F.coalesce(p["model"], F.lit("")) != "")
-    last, first = F.try_element_at(used, F.lit(-1)), F.try_element_at(named, F.lit(1))
-    return calls.select(
-        "call_id",
-        F.nullif(F.array_join(texts, "\n"), F.lit("")).alias("output"),
-        first["model"].alias("model"),
-        last["input_tokens"].alias("input_tokens"),
-        last["output_tokens"].alias("output_tokens"),
-        "first_at",
-        "end_at",
-    )
-
-
 # -- sinks -------------------------------------------------------------------------------------
 
 

@@ -5,8 +5,10 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from spanquarry.functions.matching import Condition, Pattern
+from spanquarry.operators import logs as L
 from spanquarry.operators import monitoring as M
 from spanquarry.streaming import jobs as J
+from spanquarry.streaming import processors as P
 
 T0 = datetime(2024, 1, 1)
 
@@ -31,23 +33,72 @@ def drain(stream, folder, sink=None):
     return stream.sparkSession.read.parquet(str(folder / "out"))
 
 
+def ended(spark, batches, schema, column):
+    """The batches, and one with the row that ends the input."""
+    empty = spark.createDataFrame([], schema)
+    return [*batches, [tuple(r) for r in P.end_marker(spark, empty.schema, column).collect()]]
+
+
 def test_idle_sessions_resume_as_a_whole(spark, tmp_path):
-    schema = "session_id STRING, started_at TIMESTAMP, span_id BIGINT"
+    schema = "session_id BIGINT, started_at TIMESTAMP, span_id BIGINT"
+    big = 2**60 + 1  # no float holds it
     batches = [
-        [("s", minutes(0), 1), ("s", minutes(1), 2), ("one", minutes(0), 3)],
-        [("s", minutes(60), 4), ("other", minutes(61), 5)],
-        [("end", minutes(600), 6)],
+        [(big, minutes(1), 2), (big, minutes(0), 1), (7, minutes(0), 3), (None, minutes(3), 9)],
+        [(big, minutes(60), 4), (8, minutes(61), 5)],
+        [(8, minutes(58), 7), (8, minutes(60), 8), (8, minutes(63), 6)],  # out of order; exactly the idle time later
+        [(8, minutes(600), 10)],
     ]
     (tmp_path / "in").mkdir()
-    stream = feed(spark, tmp_path / "in", batches, schema)
-    bursts = drain(J.idle_bursts(stream, 120), tmp_path / "a")
-    (tmp_path / "c").mkdir()
-    again = feed(spark, tmp_path / "c", [[tuple(r) for r in bursts.orderBy("idle_at").collect()]], bursts.schema)
-    got = drain(J.idle_sessions(again), tmp_path / "b")
-    everything = spark.createDataFrame([r for b in batches for r in b], schema)
-    want = M.idle_points(everything, 120, now="2024-01-01 10:00:00")
+    got = drain(P.idle_sessions(feed(spark, tmp_path / "in", ended(spark, batches, schema, "started_at"), schema), 120), tmp_path)
+    everything = spark.createDataFrame([r for b in batches for r in b if r[0] is not None], schema)
+    want = M.idle_points(everything, 120, now="2024-01-02 10:00:00")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
-    assert ("s", minutes(62), 3) in [tuple(r) for r in got.collect()]
+    assert (big, minutes(62), 3) in [tuple(r) for r in got.collect()]
+
+
+CHUNK = "call_id BIGINT, seq BIGINT, at TIMESTAMP, choice INT, delta STRING, tool_index INT, tool_name STRING, tool_args STRING, model STRING, input_tokens BIGINT, output_tokens BIGINT, has_usage BOOLEAN, error STRING, last BOOLEAN"
+
+
+def chunk(call, seq, at, text=None, choice=None, tool=None, model=None, usage=None, error=None, last=None):
+    return (call, seq, minutes(at), choice, text, *(tool or (None, None, None)), model, usage, usage, usage is not None, error, last)
+
+
+def test_calls_are_assembled_over_batches_and_pauses(spark, tmp_path):
+    batches = [
+        [chunk(1, 1, 1, "b"), chunk(1, 0, 0, "a", model="m"), chunk(2, 0, 0, tool=(0, "find", "{")), chunk(3, 0, 0, "half")],
+        [chunk(1, 1, 1, "b"), chunk(1, 4, 200, usage=9, last=True), chunk(2, 1, 201, tool=(1, None, "[1")), chunk(2, 2, 201, tool=(0, "find", "}"))],
+        [chunk(1, 3, 202, "d", choice=1), chunk(1, 2, 202, "c", choice=1), chunk(2, 3, 202, tool=(1, "rank", "]"), usage=3)],  # the pause is longer than the watermark
+        [chunk(1, 2, 203, "c", choice=1), chunk(3, 1, 203, error="cut"), chunk(4, 0, 203, "", model="n")],
+    ]
+    (tmp_path / "in").mkdir()
+    stream = P.assemble_chunks_stream(feed(spark, tmp_path / "in", ended(spark, batches, CHUNK, "at"), CHUNK), slice_size=2)
+    got = drain(stream, tmp_path)
+    everything = spark.createDataFrame([r for b in batches for r in b], CHUNK).dropDuplicates(["call_id", "seq"])
+    want = L.assemble_chunks(everything, slice_size=2)
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    rows = {r.call_id: r for r in got.collect()}
+    assert rows[1].output == "ab\ncd" and rows[1].complete and rows[1].end_at == minutes(202)
+    assert rows[2].output == "[tool call] find({}), rank([1])" and not rows[2].complete
+    assert rows[3].output == "half" and rows[3].error == "cut" and rows[4].output is None
+
+
+def test_open_runs_are_swept_and_counted(spark, tmp_path):
+    starts = [[(1, minutes(0)), (2, minutes(0)), (3, minutes(5))], [(4, minutes(300)), (1, minutes(0))], [(5, minutes(1500))]]
+    ends = [[(1, minutes(30))], [(2, minutes(61)), (4, minutes(310))], [(3, minutes(65))]]
+    frames = []
+    for name, column, rows in (("starts", "started_at", starts), ("ends", "ended_at", ends)):
+        schema = f"run_id BIGINT, {column} TIMESTAMP"
+        (tmp_path / name).mkdir()
+        frames.append(feed(spark, tmp_path / name, ended(spark, rows, schema, column), schema))
+    (tmp_path / "a").mkdir()
+    got = drain(P.ttl_sweep_stream(*frames), tmp_path / "a")
+    flat = [spark.createDataFrame([r for b in rows for r in b], f"run_id BIGINT, {c} TIMESTAMP") for c, rows in (("started_at", starts), ("ended_at", ends))]
+    want = L.ttl_sweep(flat[0].distinct(), flat[1], "2024-01-05 00:00:00")
+    # the end of run 3 came in time, but when the watermark had passed its limit
+    assert {r.run_id for r in got.collect()} == {r.run_id for r in want.collect()} | {3} == {2, 3, 5}
+    (tmp_path / "b").mkdir()
+    counts = drain(P.dropped_counts(P.ttl_sweep_stream(*frames)), tmp_path / "b")
+    assert sum(r.n for r in counts.collect()) == got.count()
 
 
 def test_alert_states_across_batches(spark, tmp_path):
