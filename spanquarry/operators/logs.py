@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanquarry.operators import sliced
@@ -289,22 +289,49 @@ def norm_plugin_log(events: DataFrame) -> DataFrame:
 
 
 def alert_states(ticks: DataFrame, operator: str, threshold: float, slice_seconds: int = 86400) -> DataFrame:
-    """Ticks with the rule's state and the number of the incident they belong to.
+    """Ticks of incidents: (subject, tick, firing, was, previous_tick, incident, started_at).
 
-    ``ticks(subject, tick, value)``; a null value holds the state.
+    ``ticks(subject, tick, value)``; a null value holds the state. ``was`` is the state at the previous tick, ``started_at`` the first tick of
+    the incident; from the first incident on, quiet ticks belong to the incident before them.
+
+    Each slice of time is windowed once and says how it changes the state: the last known breach, the incidents that begin within it, the start
+    of the latest, and its first known tick if that breaches, which begins an incident only where the slice is entered quiet. These
+    transitions are composed slice by slice, and each tick combines its own part with the state its slice is entered in.
     """
     v = F.col("value")
     breach = {"gt": v > threshold, "gte": v >= threshold, "lt": v < threshold, "lte": v <= threshold}[operator]
-    by = sliced.time_slice(F.col("tick"), slice_seconds)
-    held = sliced.sliced_window(
-        ticks.withColumn("__b", breach), ["subject"], by, ["tick"], [sliced.last_known("__state", F.col("__b"))]
-    ).withColumn("firing", F.coalesce("__state", F.lit(False)))
-    stepped = sliced.sliced_window(held, ["subject"], by, ["tick"], [sliced.previous("__was", F.col("firing"))])
-    begins = F.col("firing") & ~F.coalesce("__was", F.lit(False))
-    return sliced.sliced_window(
-        stepped.select("subject", "tick", "firing", F.when(begins, 1).otherwise(0).cast("long").alias("begins")),
-        ["subject"], by, ["tick"], [sliced.running_sum("incident", F.col("begins"))],
-    ).where(F.col("incident") > 0).select("subject", "tick", "firing", "incident")
+    tick = F.col("tick")
+    own = Window.partitionBy("subject", "slice").orderBy("tick")
+    before, upto = (own.rowsBetween(Window.unboundedPreceding, n) for n in (-1, 0))
+    known = ticks.select("subject", "tick", breach.alias("breach"), sliced.time_slice(tick, slice_seconds).alias("slice")).withColumns(
+        {"held": F.last("breach", ignorenulls=True).over(before), "own_previous": F.lag("tick").over(own)}
+    )
+    local = known.withColumns(
+        {
+            "begins": F.count(F.when(F.col("breach") & ~F.col("held"), tick)).over(upto),
+            "began": F.last(F.when(F.col("breach") & ~F.col("held"), tick), ignorenulls=True).over(upto),
+            "lead": F.max(F.when(F.col("breach") & F.col("held").isNull(), tick)).over(upto),
+        }
+    )
+    last = F.max(F.struct("tick", F.coalesce("breach", "held").alias("held"), "begins", "began", "lead")).alias("last")
+    slices = local.groupBy("subject", "slice").agg(last).select("subject", "slice", "last.*")
+    across = Window.partitionBy("subject").orderBy("slice")
+    past = across.rowsBetween(Window.unboundedPreceding, -1)
+    entered = slices.withColumn("entered", F.coalesce(F.last("held", ignorenulls=True).over(past), F.lit(False)))
+    led = F.col("lead").isNotNull() & ~F.col("entered")
+    start = F.coalesce("began", F.when(led, F.col("lead")))
+    carried = entered.select(
+        F.col("subject").alias("s"), F.col("slice").alias("n"), "entered",
+        F.coalesce(F.sum(F.col("begins") + led.cast("long")).over(past), F.lit(0)).alias("incidents"),
+        F.last(start, ignorenulls=True).over(past).alias("since"),
+        F.lag("tick").over(across).alias("tick_before"),
+    )
+    was = F.coalesce("held", "entered")
+    return local.join(carried, F.col("subject").eqNullSafe(F.col("s")) & (F.col("slice") == F.col("n"))).select(
+        "subject", "tick", F.coalesce(F.col("breach"), was).alias("firing"), was.alias("was"),
+        F.coalesce("own_previous", "tick_before").alias("previous_tick"),
+        (F.col("incidents") + F.col("begins") + led.cast("long")).alias("incident"), F.coalesce(start, "since").alias("started_at"),
+    ).where("incident > 0")
 
 
 def breach_islands(states: DataFrame) -> DataFrame:
@@ -320,19 +347,14 @@ def breach_islands(states: DataFrame) -> DataFrame:
 
 def alert_events(states: DataFrame, cooldown_minutes: int = 60) -> DataFrame:
     """Triggered at the first firing tick, repeat at the first tick of every further cooldown
-    period while firing, resolved at the first tick back in bounds."""
-    incidents = breach_islands(states)
-    begun = incidents.select("subject", "incident", "started_at")
-    seconds = F.unix_seconds("tick") - F.unix_seconds("started_at")
-    fired = (
-        states.where("firing")
-        .join(begun, ["subject", "incident"])
-        .groupBy("subject", "incident", F.floor(seconds / (cooldown_minutes * 60)).alias("k"))
-        .agg(F.min("tick").alias("at"))
-        .select("subject", "incident", F.when(F.col("k") == 0, "triggered").otherwise("repeat").alias("kind"), "at")
+    period while firing, resolved at the first tick back in bounds. Each tick tells by itself and the one before it."""
+    period = lambda c: F.floor((F.unix_seconds(c) - F.unix_seconds("started_at")) / (cooldown_minutes * 60))
+    kind = (
+        F.when(F.col("firing") & ~F.col("was"), "triggered")
+        .when(F.col("firing") & (period("tick") > period("previous_tick")), "repeat")
+        .when(~F.col("firing") & F.col("was"), "resolved")
     )
-    resolved = incidents.where("resolved_at IS NOT NULL").select("subject", "incident", F.lit("resolved").alias("kind"), F.col("resolved_at").alias("at"))
-    return fired.unionByName(resolved)
+    return states.select("subject", "incident", kind.alias("kind"), F.col("tick").alias("at")).where("kind IS NOT NULL")
 
 
 def sliding_kpi(facts: DataFrame, minutes: int, slide_minutes: int = 1) -> DataFrame:
