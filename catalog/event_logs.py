@@ -93,7 +93,7 @@ def norm_agents_log(t):
 
 
 CALLS = "SELECT concat('mw:', CAST(span_id AS STRING)) AS call_id, agent AS scope, started_at AS happened FROM {spans} WHERE span_kind = 'llm'"
-SCOPES = "SELECT concat('dbx:', CAST(span_id AS STRING)) AS span_id, agent AS scope, started_at AS start_at, started_at + latency_ms * (CASE WHEN span_id % 5 = 0 THEN 40000 ELSE 40 END) * INTERVAL 1 MILLISECOND AS end_at FROM {spans} WHERE span_kind = 'agent'"
+SCOPES = "SELECT concat('dbx:', CAST(span_id AS STRING)) AS span_id, agent AS scope, started_at AS start_at, CASE WHEN span_id % 5 = 0 THEN started_at + latency_ms * 40 * INTERVAL 1 SECOND ELSE started_at + latency_ms * 40 * INTERVAL 1 MILLISECOND END AS end_at FROM {spans} WHERE span_kind = 'agent'"
 
 
 @query("norm_call_log", f"""

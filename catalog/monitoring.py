@@ -34,6 +34,13 @@ SELECT 'm-small' AS model, CAST(0.15 AS DOUBLE) AS input_usd, CAST(0.60 AS DOUBL
 UNION ALL SELECT 'm-large', CAST(2.50 AS DOUBLE), CAST(10.00 AS DOUBLE), CAST(1.25 AS DOUBLE), CAST(NULL AS DOUBLE)
 """)
 
+# Prices of tools change over the month; the last of nine tools has none, and the others none before their first.
+view("tool_prices", """
+SELECT concat('tool-', CAST(n_nationkey % 8 AS STRING)) AS tool, CAST(n_nationkey + 1 AS DOUBLE) / 1000 AS price_usd,
+       CASE WHEN n_nationkey > 1 THEN TIMESTAMP '2024-01-02 00:00:00' + n_nationkey * INTERVAL 1 DAY END AS valid_from
+FROM {nation}
+""")
+
 # Per-agent limits: three agents set their own, the others use the default.
 view("profiles", """
 SELECT DISTINCT concat('agent-', CAST(user_id % 7 AS STRING)) AS agent,
@@ -82,9 +89,13 @@ def facts(t, since=None):
     return M.run_facts(t.spans, since=since)
 
 
+def with_tool(spans):
+    return spans.withColumn("tool", F.when(F.col("span_kind") == "tool", F.concat(F.lit("tool-"), (F.col("span_id") % 9).cast("string"))))
+
+
 def priced(t):
     evals = t.spans.where("source = 'eval-run'").select(F.col("trace_id").alias("e"))
-    p = M.price_join(t.spans, t.prices, 0.01)
+    p = M.price_join(with_tool(t.spans), t.prices, t.tool_prices)
     return p.join(evals, F.col("trace_id") == F.col("e"), "left").withColumn("is_eval", F.col("e").isNotNull()).drop("e")
 
 
@@ -92,8 +103,9 @@ PRICED_SQL = """
 SELECT s.*, e.trace_id IS NOT NULL AS is_eval,
   greatest(greatest(input_tokens - cache_read_tokens, 0) * CAST(coalesce(p.input_usd, 0) AS DECIMAL(14, 6))
     + cache_read_tokens * CAST(coalesce(p.cache_read_usd, p.input_usd, 0) AS DECIMAL(14, 6)) + output_tokens * CAST(coalesce(p.output_usd, 0) AS DECIMAL(14, 6)), 0)
-  + CASE WHEN span_kind = 'tool' THEN 10000 ELSE 0 END AS micro
-FROM {spans} s LEFT JOIN {prices} p ON s.model = p.model
+  + coalesce(q.call_micro, 0) AS micro, CASE WHEN span_kind = 'tool' THEN concat('tool-', CAST(span_id % 9 AS STRING)) END AS tool
+FROM {spans} s LEFT JOIN (SELECT tool AS q_tool, valid_from, lead(valid_from) OVER (PARTITION BY tool ORDER BY valid_from NULLS FIRST) AS valid_until, CAST(round(price_usd * 1000000) AS BIGINT) AS call_micro FROM {tool_prices}) q
+  ON s.span_kind = 'tool' AND q.q_tool = concat('tool-', CAST(span_id % 9 AS STRING)) AND (valid_from IS NULL OR started_at >= valid_from) AND (valid_until IS NULL OR started_at < valid_until) LEFT JOIN {prices} p ON s.model = p.model
 LEFT JOIN (SELECT trace_id FROM {spans} WHERE source = 'eval-run') e ON s.trace_id = e.trace_id
 """
 
@@ -108,15 +120,20 @@ WHERE {PROD}
 
 def kpis_sql(condition, votes):
     return f"""
-SELECT f.*, downvote_rate FROM (
-  SELECT agent, count(*) AS total_runs, CAST(count(*) FILTER (failed) AS BIGINT) AS failed_runs,
+SELECT CASE WHEN coalesce(f.whole, v.whole) = 1 THEN 'project' ELSE 'agent' END AS scope, coalesce(f.agent, v.agent) AS agent,
+  {", ".join(f"coalesce({c}, 0) AS {c}" for c in ("total_runs", "failed_runs", "ok_runs", "error_runs", "flagged_runs", "tool_failure_runs"))},
+  failure_rate, health_rate, tool_failure_rate, downvote_rate, p95_latency_ms FROM (
+  SELECT grouping(agent) AS whole, agent, count(*) AS total_runs, CAST(count(*) FILTER (failed) AS BIGINT) AS failed_runs,
+    count(*) FILTER (NOT failed AND tool_failed = 0) AS ok_runs, count(*) FILTER (failed) AS error_runs, 0::BIGINT AS flagged_runs,
+    count(*) FILTER (NOT failed AND tool_failed > 0) AS tool_failure_runs,
     round(count(*) FILTER (failed) / count(*), 6) AS failure_rate,
     round(1 - count(*) FILTER (failed) / count(*), 6) AS health_rate,
     round(sum(tool_failed) / nullif(sum(tool_ok) + sum(tool_failed), 0), 6) AS tool_failure_rate,
     round(quantile_cont(latency_ms, 0.95), 6) AS p95_latency_ms
-  FROM ({FACTS_SQL}) WHERE {condition} GROUP BY agent) f
-LEFT JOIN (SELECT agent, round(count(*) FILTER (rating = 'down') / count(*), 6) AS downvote_rate
-  FROM {{feedback}} v JOIN ({FACTS_SQL}) x ON v.trace_id = x.trace_id WHERE {votes} GROUP BY agent) v ON f.agent = v.agent
+  FROM ({FACTS_SQL}) WHERE {condition} GROUP BY GROUPING SETS ((agent), ())) f
+FULL JOIN (SELECT grouping(agent) AS whole, agent, round(count(*) FILTER (rating = 'down') / count(*), 6) AS downvote_rate
+  FROM {{feedback}} v JOIN ({FACTS_SQL}) x ON v.trace_id = x.trace_id WHERE {votes} GROUP BY GROUPING SETS ((agent), ())) v
+ON f.whole = v.whole AND f.agent IS NOT DISTINCT FROM v.agent
 """
 
 
@@ -308,7 +325,7 @@ g AS (SELECT agent, {_both("CAST(count(*) FILTER (cur = {c}) AS BIGINT) AS {p}_r
 v AS (SELECT agent, {_both("round(count(*) FILTER (rating = 'down' AND cur = {c}) / nullif(count(*) FILTER (cur = {c}), 0), 6) AS {p}_downvote_rate")} FROM (
   SELECT r.agent, b.rating, CASE WHEN b.created_at >= TIMESTAMP '{NOW}' - INTERVAL 7 DAY THEN 1 ELSE 0 END AS cur FROM {{feedback}} b JOIN ({FACTS_SQL}) r ON b.trace_id = r.trace_id
   WHERE b.created_at >= TIMESTAMP '{NOW}' - INTERVAL 14 DAY AND b.created_at < TIMESTAMP '{NOW}') GROUP BY agent)
-SELECT g.*, v.current_downvote_rate, v.prior_downvote_rate, {", ".join(f"round(current_{k} - prior_{k}, 6) AS {k}_delta" for k in DELTAS)} FROM g LEFT JOIN v ON g.agent = v.agent""")
+SELECT g.* REPLACE (coalesce(g.agent, v.agent) AS agent, coalesce(g.current_runs, 0) AS current_runs, coalesce(g.prior_runs, 0) AS prior_runs), v.current_downvote_rate, v.prior_downvote_rate, {", ".join(f"round(current_{k} - prior_{k}, 6) AS {k}_delta" for k in DELTAS)} FROM g FULL JOIN v ON g.agent = v.agent""")
 def kpi_delta(t):
     return M.kpi_delta(facts(t, "2024-01-17 00:00:00"), NOW, 7 * DAY, t.feedback, M.production_roots(t.spans))
 
@@ -329,14 +346,14 @@ SELECT CAST(floor(epoch(started_at) / 86400) AS BIGINT) * 86400000 AS ts, lower(
   round(quantile_cont(latency_ms, 0.95), 6) AS p95_latency_ms
 FROM ({PRICED_SQL}) WHERE {WEEK} AND trace_id IN (SELECT trace_id FROM {{spans}} WHERE {PROD}) GROUP BY 1, 2""")
 def metrics_grid(t):
-    return M.metrics_grid(M.price_join(M.production_spans(t.spans), t.prices, 0.01), NOW, 7 * DAY)
+    return M.metrics_grid(M.price_join(with_tool(M.production_spans(t.spans)), t.prices, t.tool_prices), NOW, 7 * DAY)
 
 
 @query("cost_trend", f"""
-SELECT ts, segment, round(CAST(sum(micro) AS DOUBLE) / 1000000, 6) AS cost_usd FROM (
-  SELECT CAST(floor(epoch(started_at) / 86400) AS BIGINT) * 86400000 AS ts, micro,
+SELECT ts, segment, tool, round(CAST(sum(micro) AS DOUBLE) / 1000000, 6) AS cost_usd FROM (
+  SELECT CAST(floor(epoch(started_at) / 86400) AS BIGINT) * 86400000 AS ts, micro, CASE WHEN NOT is_eval THEN tool END AS tool,
     CASE WHEN is_eval THEN 'eval runs' WHEN span_kind = 'tool' THEN 'tool calls' ELSE coalesce(model, 'unpriced') END AS segment
-  FROM ({PRICED_SQL}) WHERE {WEEK}) GROUP BY ROLLUP (ts, segment)""")
+  FROM ({PRICED_SQL}) WHERE {WEEK}) GROUP BY GROUPING SETS ((ts, segment), (ts), (), (tool)) HAVING grouping(tool) = 1 OR tool IS NOT NULL""")
 def cost_trend(t):
     return M.cost_trend(priced(t), NOW, 7 * DAY)
 
@@ -345,12 +362,13 @@ def cost_trend(t):
 WITH k AS ({kpis_sql(WEEK.replace('7 DAY', '1440 MINUTE'), WEEK_FB.replace('7 DAY', '1440 MINUTE'))}),
 c AS (SELECT agent, sum(micro) AS cost FROM ({PRICED_SQL}) WHERE {WEEK.replace('7 DAY', '1440 MINUTE')} AND NOT is_eval GROUP BY agent),
 w AS (SELECT k.agent, failure_rate, tool_failure_rate, downvote_rate, p95_latency_ms, CAST(total_runs AS DOUBLE) AS n, round(CAST(cost AS DOUBLE) / 1000000, 6) AS cost
-  FROM k LEFT JOIN c ON k.agent = c.agent)
+  FROM k LEFT JOIN c ON k.agent = c.agent WHERE k.scope = 'agent')
 SELECT agent, 'failureRate' AS metric, failure_rate AS value FROM w UNION ALL SELECT agent, 'toolFailureRate', tool_failure_rate FROM w
 UNION ALL SELECT agent, 'downvoteRate', downvote_rate FROM w UNION ALL SELECT agent, 'p95LatencyMs', p95_latency_ms FROM w
 UNION ALL SELECT agent, 'traceCount', n FROM w UNION ALL SELECT agent, 'estimatedCostUsd', cost FROM w""")
 def alert_metric(t):
-    return M.alert_metrics(facts(t), t.feedback, priced(t).where(~F.col("is_eval")), NOW, 1440)
+    recent = facts(t, "2024-01-30 00:00:00")
+    return M.alert_metrics(recent, t.feedback, priced(t).where(~F.col("is_eval")), NOW, 1440, M.production_roots(t.spans))
 
 
 @query("latency_percentiles", """

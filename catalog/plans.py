@@ -31,4 +31,4 @@ SELECT agent, count(*) AS total_runs, CAST(count(*) FILTER (error IS NOT NULL OR
 def monitoring_job(t):
     texts = t.documents.select(F.col("doc_id").alias("span_id"), F.col("text").alias("response"))
     out = monitoring.monitor(t.spans, texts, t.feedback, PATTERNS[:2], {"response": "response"}, NOW, 7 * 86400)
-    return out["kpis"].select("agent", "total_runs", "failed_runs")
+    return out["kpis"].where("scope = 'agent'").select("agent", "total_runs", "failed_runs")

@@ -10,7 +10,7 @@ SELECT event_id AS span_id,
             ELSE event_id - event_id % 8 + CAST(floor((event_id % 8) / 2) AS BIGINT) END AS parent_span_id,
        event_id - event_id % 8 AS trace_id,
        user_id,
-       concat('agent-', CAST(user_id % 7 AS STRING)) AS agent,
+       CASE WHEN user_id % 11 = 0 AND ts < TIMESTAMP '2024-01-17 00:00:00' THEN 'agent-retired' ELSE concat('agent-', CAST(user_id % 7 AS STRING)) END AS agent,
        ts AS started_at,
        CASE WHEN event_id % 8 = 0 THEN 'agent' WHEN event_type = 'view' THEN 'retrieval'
             WHEN event_type = 'purchase' THEN 'llm' WHEN event_type = 'signup' THEN 'memory' ELSE 'tool' END AS span_kind,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanquarry.functions import matching
@@ -174,7 +174,10 @@ def ratio(part: Column, whole: Column) -> Column:
 
 
 def run_facts(spans: DataFrame, failure_hits: DataFrame | None = None, since: str | None = None) -> DataFrame:
-    """One row per production root: failed flag and the outcome counts of its tool calls.
+    """One row per production root: failed flag, its outcome and the outcome counts of its tool calls.
+
+    The outcome is the first that holds of ``error`` (the root carries one), ``flagged`` (a failure pattern hit), ``tool_failure`` (a
+    call failed) and ``ok``.
 
     ``since`` limits the scan to spans that started at or after it. A call starts inside its root, so
     no call of a root in the window is lost, and old partitions are not read.
@@ -188,7 +191,8 @@ def run_facts(spans: DataFrame, failure_hits: DataFrame | None = None, since: st
         .agg(F.count_if(F.col("error").isNull()).alias("tool_ok"), F.count_if(F.col("error").isNotNull()).alias("tool_failed"))
     )
     facts = roots.join(tools, "trace_id", "left")
-    failed = F.col("error").isNotNull()
+    error = F.col("error").isNotNull()
+    failed = error
     if failure_hits is not None:
         hit = failure_hits.where("polarity = 'failure'").select(F.col("span_id").alias("h_id")).distinct()
         facts = facts.join(hit, F.col("span_id") == F.col("h_id"), "left")
@@ -200,20 +204,26 @@ def run_facts(spans: DataFrame, failure_hits: DataFrame | None = None, since: st
         "started_at",
         "latency_ms",
         failed.alias("failed"),
+        F.when(error, "error").when(failed, "flagged").when(F.col("tool_failed") > 0, "tool_failure").otherwise("ok").alias("outcome"),
         F.coalesce("tool_ok", F.lit(0)).alias("tool_ok"),
         F.coalesce("tool_failed", F.lit(0)).alias("tool_failed"),
     )
 
 
+OUTCOMES = ("ok", "error", "flagged", "tool_failure")
+
+
 def kpis(facts: DataFrame, feedback: DataFrame, now: str, window_seconds: int, roots: DataFrame | None = None) -> DataFrame:
-    """KPIs per agent over the window before ``now``.
+    """KPIs over the window before ``now``: one row per agent (scope ``agent``) and one of all (scope ``project``, agent null).
 
     A vote counts in the window it was cast in, however old its trace: where ``facts`` are pruned to the window, ``roots``
     (trace_id, agent) are the roots of all time. An agent that only has votes in the window has 0 runs and null rates.
+    Runs are broken down by outcome (``ok_runs`` and so on; see :func:`run_facts`).
 
     The first aggregation is per (agent, latency value): it combines on the map side and leaves one
     row per distinct millisecond, so the exact percentile of a hot agent is a weighted one over few
-    rows instead of a buffer of all its latencies.
+    rows instead of a buffer of all its latencies. Grouping sets over these rows give the project's row, its percentile included,
+    without a second scan.
     """
     recent = facts.where(in_window("started_at", now, window_seconds))
     per_value = recent.groupBy("agent", "latency_ms").agg(
@@ -221,26 +231,33 @@ def kpis(facts: DataFrame, feedback: DataFrame, now: str, window_seconds: int, r
         F.count_if("failed").alias("failed"),
         F.sum("tool_ok").alias("tool_ok"),
         F.sum("tool_failed").alias("tool_failed"),
+        *[F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES],
     )
-    runs = per_value.groupBy("agent").agg(
+    sets, whole = [["agent"], []], F.grouping("agent").alias("whole")
+    runs = per_value.groupingSets(sets, "agent").agg(
+        whole,
         F.sum("n").alias("total_runs"),
         F.sum("failed").alias("failed_runs"),
         F.sum("tool_ok").alias("ok_calls"),
         F.sum("tool_failed").alias("failed_calls"),
         F.percentile("latency_ms", F.lit(0.95), F.col("n")).alias("p95"),
+        *[F.sum(o).alias(f"{o}_runs") for o in OUTCOMES],
     )
     votes = (
         feedback.where(in_window("created_at", now, window_seconds))
         .select("trace_id", "rating")
-        .join((facts if roots is None else roots).select("trace_id", "agent"), "trace_id")
-        .groupBy("agent")
-        .agg(F.count_if(F.col("rating") == "down").alias("downs"), F.count("*").alias("votes"))
+        .join((facts if roots is None else roots).select("trace_id", F.col("agent").alias("voted")), "trace_id")
+        .groupingSets([["voted"], []], "voted")
+        .agg(F.grouping("voted").alias("v_whole"), F.count_if(F.col("rating") == "down").alias("downs"), F.count("*").alias("votes"))
+        .where("v_whole = 1 OR voted IS NOT NULL")
     )
     failure = ratio(F.col("failed_runs"), F.col("total_runs"))
-    return runs.join(votes.where("agent IS NOT NULL"), "agent", "full").select(
-        "agent",
-        F.coalesce("total_runs", F.lit(0)).alias("total_runs"),
-        F.coalesce("failed_runs", F.lit(0)).alias("failed_runs"),
+    both = runs.join(votes, F.col("agent").eqNullSafe(F.col("voted")) & (F.col("whole") == F.col("v_whole")), "full")
+    counts = ["total_runs", "failed_runs", *[f"{o}_runs" for o in OUTCOMES]]
+    return both.select(
+        F.when(F.coalesce("whole", "v_whole") == 1, "project").otherwise("agent").alias("scope"),
+        F.coalesce("agent", "voted").alias("agent"),
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
         F.round(failure, 6).alias("failure_rate"),
         F.round(1 - failure, 6).alias("health_rate"),
         F.round(ratio(F.col("failed_calls"), F.col("ok_calls") + F.col("failed_calls")), 6).alias("tool_failure_rate"),
@@ -357,9 +374,23 @@ def usd(micro: Column) -> Column:
     return F.round(micro.cast("double") / 1_000_000.0, 6)
 
 
-def price_join(spans: DataFrame, prices: DataFrame, tool_price: float = 0.0) -> DataFrame:
-    """Add ``cost_micro_usd``. The price list joins on model with a left join; Catalyst broadcasts it when
-    its measured size is under the threshold and sorts otherwise."""
+def price_periods(tool_prices: DataFrame) -> DataFrame:
+    """Tool prices (tool, price_usd, valid_from) with the moment the next one takes over; a null ``valid_from`` holds from the beginning.
+
+    Of several prices from one moment on the highest holds. The table is configuration, a few rows per tool.
+    """
+    one = tool_prices.groupBy("tool", "valid_from").agg(F.max("price_usd").alias("price_usd"))
+    until = F.lead("valid_from").over(Window.partitionBy("tool").orderBy(F.col("valid_from").asc_nulls_first()))
+    return one.select("tool", "valid_from", until.alias("valid_until"), F.round(F.col("price_usd") * 1_000_000).cast("long").alias("call_micro_usd"))
+
+
+def price_join(spans: DataFrame, prices: DataFrame, tool_prices: DataFrame | None = None) -> DataFrame:
+    """Add ``cost_micro_usd``: tokens by the model's price, and each tool call, failed ones included, by the price its ``tool`` had
+    when it started. Models and tools without a price cost nothing.
+
+    Both lists join from the left on equality (a call and its tool's period by one more comparison), so the
+    spans are not dealt anew where Catalyst measures the list as small, and sorted and split by skew otherwise.
+    """
     p = prices.select(
         F.col("model").alias("p_model"), "input_usd", "output_usd", "cache_read_usd", "cache_write_usd"
     )
@@ -371,10 +402,16 @@ def price_join(spans: DataFrame, prices: DataFrame, tool_price: float = 0.0) ->
     }
     write = F.col("cache_write_tokens") if "cache_write_tokens" in spans.columns else F.lit(None).cast("long")
     tokens = cost_micro_usd(F.col("input_tokens"), F.col("output_tokens"), F.col("cache_read_tokens"), write, rates)
-    call = F.when(F.col("span_kind") == "tool", F.lit(round(tool_price * 1_000_000))).otherwise(F.lit(0))
-    return spans.join(p, F.col("model") == F.col("p_model"), "left").select(
-        *spans.columns, (tokens + call).cast(MONEY).alias("cost_micro_usd")
-    )
+    priced, call = spans.join(p, F.col("model") == F.col("p_model"), "left"), F.lit(0)
+    if tool_prices is not None:
+        periods = price_periods(tool_prices).withColumnRenamed("tool", "p_tool")
+        holds = (
+            (F.when(F.col("span_kind") == "tool", F.col("tool")) == F.col("p_tool"))
+            & (F.col("valid_from").isNull() | (F.col("started_at") >= F.col("valid_from")))
+            & (F.col("valid_until").isNull() | (F.col("started_at") < F.col("valid_until")))
+        )
+        priced, call = priced.join(periods, holds, "left"), F.coalesce("call_micro_usd", F.lit(0))
+    return priced.select(*spans.columns, (tokens + call).cast(MONEY).alias("cost_micro_usd"))
 
 
 def metrics_grid(priced: DataFrame, now: str, window_seconds: int) -> DataFrame:
@@ -410,19 +447,27 @@ def metrics_grid(priced: DataFrame, now: str, window_seconds: int) -> DataFrame:
 
 
 def cost_trend(priced: DataFrame, now: str, window_seconds: int) -> DataFrame:
-    """Spend per bucket and segment with totals: models, and the reserved segments ``eval runs`` and
-    ``tool calls``. ``priced`` carries ``is_eval`` per span."""
+    """Spend per bucket and segment, per bucket, in total, and per tool (ts, segment, tool; null where summed over).
+
+    Segments are models and the reserved ``eval runs`` and ``tool calls``; only the latter are split by tool. ``priced``
+    carries ``is_eval`` per span. All levels come from one scan by grouping sets.
+    """
     width = bucket_seconds(window_seconds)
     segment = (
         F.when(F.col("is_eval"), "eval runs")
         .when(F.col("span_kind") == "tool", "tool calls")
         .otherwise(F.coalesce("model", F.lit("unpriced")))
     )
-    return (
+    spent = (
         priced.where(in_window("started_at", now, window_seconds))
-        .select(bucket_ms("started_at", width).alias("ts"), segment.alias("segment"), "cost_micro_usd")
-        .rollup("ts", "segment")
-        .agg(usd(F.sum("cost_micro_usd")).alias("cost_usd"))
+        .select(bucket_ms("started_at", width).alias("ts"), segment.alias("segment"), "tool", "cost_micro_usd")
+        .withColumn("tool", F.when(F.col("segment") == "tool calls", F.col("tool")))
+    )
+    return (
+        spent.groupingSets([["ts", "segment"], ["ts"], [], ["tool"]], "ts", "segment", "tool")
+        .agg(usd(F.sum("cost_micro_usd")).alias("cost_usd"), F.grouping("tool").alias("over_tools"))
+        .where("over_tools = 1 OR tool IS NOT NULL")
+        .drop("over_tools")
     )
 
 
@@ -457,10 +502,10 @@ def framework_totals(spans: DataFrame, bucket: int = 86400) -> DataFrame:
     )
 
 
-def alert_metrics(facts: DataFrame, feedback: DataFrame, costs: DataFrame, now: str, minutes: int) -> DataFrame:
-    """Current value per agent and metric over the last minutes; a rate without data is null."""
+def alert_metrics(facts: DataFrame, feedback: DataFrame, costs: DataFrame, now: str, minutes: int, roots: DataFrame | None = None) -> DataFrame:
+    """Current value per agent and metric over the last minutes; a rate without data is null. ``roots``: see :func:`kpis`."""
     seconds = minutes * 60
-    base = kpis(facts, feedback, now, seconds)
+    base = kpis(facts, feedback, now, seconds, roots).where("scope = 'agent'")
     spend = costs.where(in_window("started_at", now, seconds)).groupBy("agent").agg(F.sum("cost_micro_usd").alias("cost"))
     wide = base.join(spend, "agent", "left").select(
         "agent",
