@@ -3,11 +3,12 @@
 from pyspark.sql import functions as F
 
 from catalog.base import query, view
+from catalog.sources import scratch
 from catalog.views import NOW
 from spanquarry.functions import matching, sampling
 from spanquarry.functions.matching import Condition, Pattern
 from spanquarry.operators import monitoring as M
-from spanquarry.operators import trees
+from spanquarry.operators import sketches, trees
 
 DAY = 86400
 MONTH = 30 * DAY
@@ -379,9 +380,26 @@ def latency_percentiles(t):
     return M.latency_percentiles(t.spans, ["agent", "span_kind"])
 
 
-@query("latency_percentiles_approx")
+def day_sketches(t):
+    """Sketches per agent and day, stored by two jobs of which the second brings late rows of the same days."""
+    folder = scratch(t.spark, "sketches")
+    write = sketches.sketch_sink(folder)
+    for epoch in (0, 1):
+        write(t.spans.where(F.col("span_id") % 2 == epoch), epoch)
+    return sketches.read_sketches(t.spark, folder)
+
+
+@query("latency_percentiles_approx", """
+SELECT agent, count(*) AS n, true AS p50_within, true AS p95_within FROM {spans} WHERE latency_ms IS NOT NULL GROUP BY agent""")
 def latency_percentiles_approx(t):
-    return M.latency_percentiles_approx(t.spans, ["agent"])
+    """Percentiles from merged sketches, each with whether its exact rank is within the stated error."""
+    found = sketches.estimates(day_sketches(t), ["agent"]).select(F.col("agent").alias("a"), "p50", "p95")
+    values = t.spans.where("latency_ms IS NOT NULL").join(found, F.col("agent") == F.col("a"))
+    counts = [F.count_if(F.col("latency_ms") < F.col(p)).alias(f"{p}_below") for p in ("p50", "p95")]
+    counts += [F.count_if(F.col("latency_ms") <= F.col(p)).alias(f"{p}_upto") for p in ("p50", "p95")]
+    ranks = values.groupBy("agent").agg(F.count("*").alias("n"), *counts)
+    within = [sketches.within_rank(F.col(f"{p}_below"), F.col(f"{p}_upto"), F.col("n"), q).alias(f"{p}_within") for p, q in (("p50", 0.5), ("p95", 0.95))]
+    return ranks.select("agent", "n", *within)
 
 
 @query("tool_quality", """
@@ -442,9 +460,15 @@ def distinct_sessions(t):
     return M.distinct_sessions(session_turns(t))
 
 
-@query("approx_users")
+@query("approx_users", """
+SELECT coalesce(agent, 'all') AS agent, count(*) AS n, count(DISTINCT user_id) AS users, true AS within FROM {spans} GROUP BY GROUPING SETS ((agent), ())""")
 def approx_users(t):
-    return t.spans.groupBy("agent").agg(F.approx_count_distinct("user_id", 0.02).alias("users"))
+    """Distinct users per agent and in all from merged sketches, beside the exact number and whether the estimate is within its error."""
+    days = day_sketches(t)
+    each = sketches.estimates(days, ["agent"]).unionByName(sketches.estimates(days.withColumn("agent", F.lit("all")), ["agent"]))
+    exact = t.spans.groupingSets([["agent"], []], "agent").agg(F.count_distinct("user_id").alias("exact")).select(F.coalesce("agent", F.lit("all")).alias("agent"), "exact")
+    within = sketches.within_count(F.col("users"), F.col("exact")).alias("within")
+    return each.join(exact, "agent").select("agent", "n", F.col("exact").alias("users"), within)
 
 
 @query("topic_counts", """

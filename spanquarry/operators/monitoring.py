@@ -480,11 +480,6 @@ def latency_percentiles(spans: DataFrame, keys: Sequence[str], probs: Sequence[f
     return out.select(*keys, "n", *[F.round(F.col("p")[i], 6).alias(f"p{int(p * 100)}") for i, p in enumerate(probs)])
 
 
-def latency_percentiles_approx(spans: DataFrame, keys: Sequence[str], probs=(0.5, 0.95), accuracy: int = 10000) -> DataFrame:
-    out = spans.groupBy(*keys).agg(F.percentile_approx("latency_ms", list(probs), accuracy).alias("p"))
-    return out.select(*keys, *[F.col("p")[i].alias(f"p{int(p * 100)}") for i, p in enumerate(probs)])
-
-
 def tool_quality(calls: DataFrame) -> DataFrame:
     """Per tool: calls, failures, failure rate (unknown outcomes excluded) and mean latency."""
     failed, ok = F.count_if(F.col("success") == F.lit(False)), F.count_if("success")

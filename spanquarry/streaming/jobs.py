@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from spanquarry.functions.matching import Pattern
 from spanquarry.operators import monitoring as M
 from spanquarry.operators.routing import Rule, route_rules
+from spanquarry.streaming import epochs
 
 
 def monitor_stream(spans: DataFrame, patterns: Sequence[Pattern], sources: dict[str, str]) -> DataFrame:
@@ -107,29 +108,24 @@ def downvote_stream(feedback: DataFrame, roots: DataFrame) -> DataFrame:
 # -- sinks -------------------------------------------------------------------------------------
 
 
-def _earlier(spark: SparkSession, folder: str, epoch: int) -> DataFrame | None:
-    """What epochs before this one stored; all of them are complete when this one runs."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    there = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    written = there.exists(path) and any(x.getPath().getName().startswith("epoch=") for x in there.listStatus(path))
-    return spark.read.parquet(folder).where(F.col("epoch") < epoch) if written else None
+#: What a person may set a signal or a review to; signals are ``open`` and reviews ``pending`` until then.
+SIGNAL_STATES, REVIEW_STATES = ("open", "acknowledged", "resolved", "muted"), ("pending", "labelled", "dismissed")
 
 
 def signal_upsert(folder: str):
     """``foreachBatch`` writer that merges the hits of a micro-batch into the signals table.
 
     Every epoch writes a new complete version from the latest earlier one, so a retried batch
-    produces the same table. Signals are one row per (pattern, agent), whatever the traffic.
+    produces the same table. Signals are one row per (pattern, agent), whatever the traffic. Hits never touch what people said of a signal:
+    that is in the table of :func:`set_states`, which :func:`read_signals` joins.
     """
 
     def write(hits: DataFrame, epoch: int) -> None:
         merged = M.signal_rollup(hits)
-        stored = _earlier(hits.sparkSession, folder, epoch)
-        latest = None if stored is None else stored.agg(F.max("epoch")).first()[0]
-        if latest is not None:
+        stored = epochs.version_before(hits.sparkSession, folder, epoch)
+        if stored is not None:
             newest = F.struct("last_seen", "representative")
-            both = stored.where(F.col("epoch") == latest).drop("epoch").unionByName(merged)
-            merged = both.groupBy("pattern_key", "agent").agg(
+            merged = stored.unionByName(merged).groupBy("pattern_key", "agent").agg(
                 F.min("first_seen").alias("first_seen"),
                 F.max("last_seen").alias("last_seen"),
                 F.sum("n").alias("n"),
@@ -143,22 +139,62 @@ def signal_upsert(folder: str):
     return write
 
 
-def read_signals(spark: SparkSession, folder: str) -> DataFrame:
-    stored = spark.read.parquet(folder)
-    return stored.where(F.col("epoch") == stored.agg(F.max("epoch")).first()[0]).drop("epoch")
+def set_states(folder: str, changes: DataFrame, epoch: int, allowed: Sequence[str]) -> None:
+    """Log state changes (keys, status, changed_at) as one epoch; an unknown status fails before anything is stored."""
+    known = F.col("status").isin(*allowed)
+    checked = changes.withColumn("status", F.when(known, F.col("status")).otherwise(F.raise_error(F.concat(F.lit("unknown status "), F.col("status")))))
+    checked.write.mode("overwrite").parquet(f"{folder}/epoch={epoch}")
+
+
+def latest_states(spark: SparkSession, folder: str | None, keys: Sequence[str]) -> DataFrame | None:
+    """keys, set_to, changed_at of the latest change of each; None where nothing was ever changed."""
+    logged = epochs.epochs(spark, folder) if folder else []
+    if not logged:
+        return None
+    last = F.max_by("status", F.struct("changed_at", "status")).alias("set_to")
+    return epochs.read(spark, folder, logged).groupBy(*keys).agg(last, F.max("changed_at").alias("changed_at"))
 
 
-def route_sink(folder: str, rules: list[Rule]):
+def read_signals(spark: SparkSession, folder: str, states: str | None = None) -> DataFrame:
+    """The latest version; with ``states``, a signal has the status it was last set to, and ``recurred`` says whether a hit came after that.
+
+    A resolved signal that is hit again stays resolved and recurred: opening it is for the people who closed it.
+    """
+    signals = epochs.latest(spark, folder)
+    if states is None:
+        return signals
+    changed = latest_states(spark, states, ["pattern_key", "agent"])
+    if changed is None:
+        return signals.withColumn("recurred", F.lit(False))
+    changed = changed.select(F.col("pattern_key").alias("k"), F.col("agent").alias("a"), "set_to", "changed_at")
+    both = signals.join(changed, (F.col("pattern_key") == F.col("k")) & F.col("agent").eqNullSafe(F.col("a")), "left")
+    recurred = F.coalesce((F.col("set_to") == "resolved") & (F.col("last_seen") > F.col("changed_at")), F.lit(False))
+    kept = [F.coalesce("set_to", "status").alias(c) if c == "status" else F.col(c) for c in signals.columns]
+    return both.select(*kept, recurred.alias("recurred"))
+
+
+def pending_reviews(spark: SparkSession, folder: str, states: str | None, before: int | None = None) -> DataFrame | None:
+    """Queued reviews (span_id, epoch) that wait: not labelled or dismissed. A change names the span and the epoch it was queued in."""
+    some = [e for e in epochs.epochs(spark, folder) if before is None or e < before]
+    if not some:
+        return None
+    queued = epochs.read(spark, folder, some).where("action = 'review'").select("span_id", "epoch").distinct()
+    changed = latest_states(spark, states, ["span_id", "queued_in"])
+    if changed is None:
+        return queued
+    done = changed.where("set_to <> 'pending'").select("span_id", F.col("queued_in").alias("epoch"))
+    return queued.join(done, ["span_id", "epoch"], "left_anti")
+
+
+def route_sink(folder: str, rules: list[Rule], states: str | None = None):
     """``foreachBatch`` writer: matches of every rule, one partition per epoch and action.
 
-    Reviews already queued in an earlier epoch are not queued again.
+    A trace whose review waits is not queued again; one that was labelled or dismissed (``states``, by :func:`set_states`) is, when it matches anew.
     """
 
     def write(roots: DataFrame, epoch: int) -> None:
-        stored = _earlier(roots.sparkSession, folder, epoch)
-        queued = None
-        if stored is not None:
-            queued = stored.where("action = 'review'").select("span_id", F.lit("pending").alias("status"))
+        waiting = pending_reviews(roots.sparkSession, folder, states, epoch)
+        queued = None if waiting is None else waiting.select("span_id", F.lit("pending").alias("status"))
         routed = route_rules(roots, rules, queued)
         routed.write.mode("overwrite").partitionBy("action").parquet(f"{folder}/epoch={epoch}")
 
