@@ -15,7 +15,7 @@ FROM {chains} c JOIN {spans} s ON c.span_id = s.span_id
 """)
 
 
-def events(t, runs):
+def events(t, runs, docs=False):
     start = runs.select(
         "run_id", "parent_id", "kind", F.lit("start").alias("event"), F.col("start_at").alias("at"), "name",
         F.concat(F.lit("in "), F.col("run_id").cast("string")).alias("payload"), "model", F.lit(None).cast("long").alias("input_tokens"),
@@ -28,6 +28,14 @@ def events(t, runs):
         F.col("end_at").alias("at"), none.cast("string").alias("name"), F.when(~failed, F.concat(F.lit("out "), F.col("run_id").cast("string"))).alias("payload"),
         none.cast("string").alias("model"), "input_tokens", "output_tokens", "error",
     )
+    if docs:
+        # none to three texts, the second one empty; every fifth retrieval says nothing of its documents
+        text = lambda i: F.when(i == 2, "").otherwise(F.concat(F.lit("doc "), F.col("run_id").cast("string"), F.lit("-"), i.cast("string")))
+        some = F.transform(F.sequence(F.lit(1), F.lit(3)), text)
+        given = (F.col("event") == "end") & (F.col("k") == "retrieval") & (F.col("run_id") % 5 != 0)
+        end = end.join(runs.select(F.col("run_id").alias("r"), F.col("kind").alias("k")), F.col("run_id") == F.col("r"))
+        end = end.withColumn("docs", F.when(given, F.slice(some, F.lit(1), (F.col("run_id") % 4).cast("int")))).drop("r", "k")
+        start = start.withColumn("docs", F.lit(None).cast("array<string>"))
     return start.unionByName(end.where("at IS NOT NULL"))
 
 
@@ -38,14 +46,21 @@ w AS (SELECT r.*, CASE WHEN kind = 'chain' AND parent_id IS NULL THEN run_id END
   UNION ALL SELECT r.*, w.root_id, CASE WHEN w.kept THEN w.run_id ELSE w.kept_parent END FROM r JOIN w ON r.parent_id = w.run_id)
 SELECT run_id, root_id, CASE WHEN parent_id IS NOT NULL THEN coalesce(kept_parent, root_id) END AS parent_span_id, CASE WHEN parent_id IS NULL THEN 'agent' ELSE kind END AS span_kind,
   CASE WHEN name IS NOT NULL OR kind = 'chain' THEN name WHEN kind = 'tool' THEN 'Tool call' ELSE CASE kind WHEN 'llm' THEN 'LLM Call ' ELSE 'Retrieval ' END || n END AS name, error, model, latency_ms,
-  'in ' || run_id AS input, CASE WHEN error IS NULL AND end_at IS NOT NULL THEN 'out ' || run_id END AS output, input_tokens, output_tokens
-FROM (SELECT *, row_number() OVER (PARTITION BY root_id, kind ORDER BY end_at, run_id) AS n, CAST(floor((epoch_us(coalesce(end_at, start_at)) - epoch_us(start_at)) / 1000) AS BIGINT) AS latency_ms FROM w WHERE root_id IS NOT NULL AND CASE WHEN kind = 'chain' THEN kept ELSE end_at IS NOT NULL END)"""
+  'in ' || run_id AS input, CASE WHEN docs IS NOT NULL THEN CASE docs WHEN 0 THEN NULL WHEN 3 THEN 'doc ' || run_id || '-1' || chr(10) || chr(10) || '---' || chr(10) || chr(10) || 'doc ' || run_id || '-3' ELSE 'doc ' || run_id || '-1' END
+    WHEN error IS NULL AND end_at IS NOT NULL THEN 'out ' || run_id END AS output, input_tokens, output_tokens, docs AS doc_count, end_at
+FROM (SELECT *, CASE WHEN kind = 'retrieval' AND error IS NULL AND end_at IS NOT NULL AND run_id % 5 <> 0 THEN run_id % 4 END AS docs, row_number() OVER (PARTITION BY root_id, kind ORDER BY end_at, run_id) AS n, CAST(floor((epoch_us(coalesce(end_at, start_at)) - epoch_us(start_at)) / 1000) AS BIGINT) AS latency_ms FROM w WHERE root_id IS NOT NULL AND CASE WHEN kind = 'chain' THEN kept ELSE end_at IS NOT NULL END)"""
 
 
-@query("norm_chain_log", TREE)
+@query("norm_chain_log", f"SELECT * EXCLUDE (end_at) FROM ({TREE})")
 def norm_chain_log(t):
-    out = E.norm_chain_log(events(t, t.runs_log))
-    return out.select("run_id", "root_id", "parent_span_id", "span_kind", "name", "error", "model", "latency_ms", "input", "output", "input_tokens", "output_tokens")
+    return E.norm_chain_log(events(t, t.runs_log, docs=True)).drop("start_at", "end_at")
+
+
+@query("chain_tool_calls", f"""
+SELECT root_id, run_id, name, input, coalesce(error, output) AS output, error IS NULL AS success, latency_ms, row_number() OVER (PARTITION BY root_id ORDER BY end_at, run_id) AS pos
+FROM ({TREE}) WHERE span_kind = 'tool'""")
+def chain_tool_calls(t):
+    return E.chain_tool_calls(E.norm_chain_log(events(t, t.runs_log))).drop("end_at")
 
 
 view("query_log", """

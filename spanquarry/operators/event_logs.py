@@ -14,10 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanquarry.functions.messages import chain_input_text, chain_output_text
-from spanquarry.functions.normalize import is_noise_chain
+from spanquarry.functions.normalize import is_noise_chain, retrieval_join_text
 from spanquarry.lineage import cut_lineage
 from spanquarry.operators import sliced
-from spanquarry.operators.trees import climb
+from spanquarry.operators.trees import climb, climb_all
 
 # Event kinds that can open a trace.
 ROOT_KINDS = ("query", "agent_step", "llm", "retrieval")
@@ -67,35 +67,60 @@ def _numbered(runs: DataFrame, kind: str, label: str) -> DataFrame:
 SPAN_FIELDS = ("run_id", "root_id", "parent_span_id", "span_kind", "name", "input", "output", "error", "model", "input_tokens", "output_tokens", "start_at", "latency_ms")
 
 
+CHAIN_FIELDS = (*SPAN_FIELDS, "end_at", "doc_count")
+
+
 def norm_chain_log(events: DataFrame) -> DataFrame:
     """Chain callbacks to a span tree.
 
     The root is the top-level chain; plumbing chains vanish and what ran under them hangs on the
     nearest kept chain, or on the root. Model calls and retrievals are numbered when unnamed; an
     unnamed tool is ``Tool call``; a failed tool keeps its output as its error. A chain that never
-    ended stays, ending where it starts; calls and tools are spans once they have ended.
+    ended stays, ending where it starts; calls and tools are spans once they have ended. A retrieval that returned
+    documents (``docs``, an array of texts) has their joined text as output and their number as ``doc_count``.
     """
-    runs = cut_lineage(pair_events(events))  # read by two climbs and the joins below
+    runs = cut_lineage(pair_events(events))  # read by the climb and the join below
     top = (F.col("kind") == "chain") & F.col("parent_id").isNull()
-    roots = climb(runs, "run_id", "parent_id", top).select(F.col("id").alias("run_id"), F.col("found").alias("root_found"))
     kept = (F.col("kind") == "chain") & (F.col("parent_id").isNull() | ~is_noise_chain(F.col("name")))
-    parents = climb(runs, "run_id", "parent_id", kept).select(F.col("id").alias("run_id"), F.col("found").alias("kept_parent"))
+    above = climb_all(runs, "run_id", "parent_id", {"root_found": top, "kept_parent": kept}).withColumnRenamed("id", "run_id")
     placed = (
-        runs.join(roots, "run_id").join(parents, "run_id")
+        runs.join(above, "run_id")
         .withColumn("root_id", F.when(top, F.col("run_id")).otherwise(F.col("root_found")))
         .where(F.col("root_id").isNotNull() & F.when(F.col("kind") == "chain", kept).otherwise(F.col("ended")))
         .withColumn("parent_span_id", F.when(~top, F.coalesce("kept_parent", "root_id")))
+        .withColumn("span_kind", F.when(top, "agent").otherwise(F.col("kind")))
     )
-    placed = cut_lineage(placed)  # read once per span kind
-    chains = placed.where("kind = 'chain'").withColumn("input", chain_input_text(F.col("input"))).withColumn("output", chain_output_text(F.col("output")))
-    tools = (
-        placed.where("kind = 'tool'")
-        .withColumn("name", F.coalesce("name", F.lit("Tool call")))
-        .withColumn("error", F.when(F.col("error").isNotNull(), F.coalesce("output", "error")))
+    is_kind = lambda kind: F.col("kind") == kind
+    docs = F.col("docs") if "docs" in runs.columns else F.lit(None).cast("array<string>")
+    found = is_kind("retrieval") & docs.isNotNull()
+    text = retrieval_join_text(docs)[0]
+    fields = {
+        "name": F.when(is_kind("tool"), F.coalesce("name", F.lit("Tool call"))).otherwise(F.col("name")),
+        "input": F.when(is_kind("chain"), chain_input_text(F.col("input"))).otherwise(F.col("input")),
+        "error": F.when(is_kind("tool") & F.col("error").isNotNull(), F.coalesce("output", "error")).otherwise(F.col("error")),
+        "output": F.when(is_kind("chain"), chain_output_text(F.col("output"))).when(found, text).otherwise(F.col("output")),
+        "doc_count": F.when(found, F.size(docs).cast("bigint")),
+        "latency_ms": _took(),
+    }
+    placed = cut_lineage(placed.select(*[c for c in placed.columns if c not in fields], *[c.alias(n) for n, c in fields.items()]))
+    counted = placed.where(is_kind("llm") | is_kind("retrieval"))
+    label = F.when(is_kind("llm"), "LLM Call").otherwise("Retrieval")
+    steps = sliced.sliced_window(
+        counted, ["root_id", "kind"], sliced.time_slice(F.col("end_at"), 3600), ["end_at", "run_id"], [sliced.row_number("number")]
+    ).withColumn("name", F.coalesce("name", F.concat(label, F.lit(" "), F.col("number").cast("string"))))
+    others = placed.where(is_kind("chain") | is_kind("tool"))
+    return others.select(*CHAIN_FIELDS).unionByName(steps.select(*CHAIN_FIELDS))
+
+
+def chain_tool_calls(spans: DataFrame) -> DataFrame:
+    """The tool calls mirrored on each root of a normalised chain log, in the order they ended: one row per call with its position.
+
+    Long form, as :func:`~spanquarry.operators.trees.tool_call_mirror`; ``nest_calls`` makes arrays of bounded blocks.
+    """
+    calls = spans.where("span_kind = 'tool'").select(
+        "root_id", "run_id", "name", "input", F.coalesce("error", "output").alias("output"), F.col("error").isNull().alias("success"), "latency_ms", "end_at"
     )
-    both = chains.unionByName(tools).unionByName(_numbered(placed, "llm", "LLM Call")).unionByName(_numbered(placed, "retrieval", "Retrieval"))
-    kind = F.when(F.col("parent_span_id").isNull(), "agent").otherwise(F.col("kind"))
-    return both.withColumn("span_kind", kind).withColumn("latency_ms", _took()).select(*SPAN_FIELDS)
+    return sliced.sliced_window(calls, ["root_id"], sliced.time_slice(F.col("end_at"), 3600), ["end_at", "run_id"], [sliced.row_number("pos")])
 
 
 def norm_query_log(events: DataFrame) -> DataFrame:

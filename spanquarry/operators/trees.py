@@ -56,6 +56,38 @@ def climb(nodes: DataFrame, node_id: str, parent_id: str, stop: Column) -> DataF
     return state.select("id", "found", F.when(F.col("found").isNotNull(), F.col("steps")).alias("steps"))
 
 
+def climb_all(nodes: DataFrame, node_id: str, parent_id: str, stops: dict[str, Column]) -> DataFrame:
+    """Nearest strict ancestor for several conditions in one climb: ``id`` and one column per name, null where there is none.
+
+    As :func:`climb`, but the pointer goes on until every target is found, so n targets take the joins and checkpoints of one.
+    """
+    key = nodes.schema[node_id].dataType
+    state = nodes.select(
+        F.col(node_id).alias("id"),
+        F.col(parent_id).cast(key).alias("ptr"),
+        *[F.coalesce(stop, F.lit(False)).alias(f"stop_{n}") for n, stop in stops.items()],
+        *[F.lit(None).cast(key).alias(n) for n in stops],
+    )
+    missing = F.lit(False)
+    for n in stops:
+        missing = missing | F.col(n).isNull()
+    pending, left = F.col("ptr").isNotNull() & missing, None
+    while True:
+        target = state.select(
+            F.col("id").alias("t_id"), F.col("ptr").alias("t_ptr"),
+            *[F.when(F.col(f"stop_{n}"), F.col("id")).otherwise(F.col(n)).alias(f"t_{n}") for n in stops],
+        )
+        moved = state.where(pending).join(target, F.col("ptr") == F.col("t_id"), "left").select(
+            "id", F.col("t_ptr").alias("ptr"), *[f"stop_{n}" for n in stops], *[F.coalesce(n, f"t_{n}").alias(n) for n in stops]
+        )
+        state = cut_lineage(state.where(~pending).unionByName(moved))
+        now_left = state.where(pending).count()
+        if now_left == 0 or now_left == left:
+            break
+        left = now_left
+    return state.select("id", *stops)
+
+
 def root_of(spans: DataFrame) -> DataFrame:
     """``span_id, root_id, depth``; a root is its own root at depth 0, orphans and cycles get null."""
     found = climb(spans, "span_id", "parent_span_id", F.col("parent_span_id").isNull())
