@@ -12,14 +12,16 @@ OUTPUT_KEYS = ("output", "text", "answer", "result", "response")
 PART = "STRUCT<type: STRING, text: STRING, name: STRING, input: STRING>"
 
 
-def _field(payload: Column, key: str) -> Column:
-    """A string field of an object; other kinds do not count."""
-    v = F.try_variant_get(F.try_parse_json(payload), f"$.{key}", "variant")
+def _field(parsed: Column, key: str) -> Column:
+    """A string field of a parsed object; other kinds do not count."""
+    v = F.try_variant_get(parsed, f"$.{key}", "variant")
     return F.when(F.schema_of_variant(v) == "STRING", F.nullif(F.try_variant_get(v, "$", "string"), F.lit("")))
 
 
 def _ladder(payload: Column, keys) -> Column:
-    return F.coalesce(*[_field(payload, k) for k in keys])
+    """The first string field there is. The payload is parsed once for all keys, and only where it can be an object: a failed parse costs most."""
+    parsed = F.when(F.ltrim(payload, F.lit(" \t\n\r")).startswith("{"), F.try_parse_json(payload))
+    return F.element_at(F.transform(F.array(parsed), lambda v: F.coalesce(*[_field(v, k) for k in keys])), 1)
 
 
 def _messages(payload: Column, path: str = "$.messages") -> Column:

@@ -96,9 +96,8 @@ def norm_chain_log(events: DataFrame) -> DataFrame:
     text = retrieval_join_text(docs)[0]
     fields = {
         "name": F.when(is_kind("tool"), F.coalesce("name", F.lit("Tool call"))).otherwise(F.col("name")),
-        "input": F.when(is_kind("chain"), chain_input_text(F.col("input"))).otherwise(F.col("input")),
         "error": F.when(is_kind("tool") & F.col("error").isNotNull(), F.coalesce("output", "error")).otherwise(F.col("error")),
-        "output": F.when(is_kind("chain"), chain_output_text(F.col("output"))).when(found, text).otherwise(F.col("output")),
+        "output": F.when(found, text).otherwise(F.col("output")),
         "doc_count": F.when(found, F.size(docs).cast("bigint")),
         "latency_ms": _took(),
     }
@@ -108,8 +107,9 @@ def norm_chain_log(events: DataFrame) -> DataFrame:
     steps = sliced.sliced_window(
         counted, ["root_id", "kind"], sliced.time_slice(F.col("end_at"), 3600), ["end_at", "run_id"], [sliced.row_number("number")]
     ).withColumn("name", F.coalesce("name", F.concat(label, F.lit(" "), F.col("number").cast("string"))))
-    others = placed.where(is_kind("chain") | is_kind("tool"))
-    return others.select(*CHAIN_FIELDS).unionByName(steps.select(*CHAIN_FIELDS))
+    # not under a condition, where the parsed text would be parsed again for each use
+    chains = placed.where(is_kind("chain")).withColumns({"input": chain_input_text(F.col("input")), "output": chain_output_text(F.col("output"))})
+    return chains.select(*CHAIN_FIELDS).unionByName(placed.where(is_kind("tool")).select(*CHAIN_FIELDS)).unionByName(steps.select(*CHAIN_FIELDS))
 
 
 def chain_tool_calls(spans: DataFrame) -> DataFrame:
