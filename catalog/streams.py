@@ -254,8 +254,48 @@ def sampled_scoring(t):
     return K.sampled_scoring(roots, "scorer-1", 0.3, share_of_letter, 0.1).select("span_id", "score", "alert")
 
 
+class Failures:
+    """Share of failing spans, the first failing one, and whether every span came in order."""
+
+    def start(self):
+        return {"n": 0, "bad": 0, "first": None, "root": None, "low": None, "high": None, "ordered": True}
+
+    def step(self, state, span):
+        root, at = span["parent_span_id"] != span["parent_span_id"], (span["started_at"], span["span_id"])
+        if state["n"] == 0:
+            state["root"] = root
+        if not root:
+            state["ordered"] &= state["high"] is None or state["high"] <= at
+            state["low"], state["high"] = state["low"] or at, at
+        state["n"] += 1
+        if span["error"] is not None:
+            state["bad"] += 1
+            state["first"] = span["span_id"] if state["first"] is None else state["first"]
+        return state
+
+    def merge(self, left, right):
+        apart = left["high"] is None or right["low"] is None or left["high"] <= right["low"]
+        return {
+            "n": left["n"] + right["n"], "bad": left["bad"] + right["bad"], "first": right["first"] if left["first"] is None else left["first"], "root": left["root"],
+            "low": left["low"] or right["low"], "high": right["high"] or left["high"], "ordered": left["ordered"] and right["ordered"] and apart,
+        }
+
+    def finish(self, state):
+        return {"score": state["bad"] / state["n"], "first_failed": state["first"], "roots_first": bool(state["root"]), "in_order": bool(state["ordered"])}
+
+
+@query("reduce_traces", """
+SELECT trace_id, count(error) / count(*) AS score, arg_min(span_id, struct_pack(a := parent_span_id IS NOT NULL, b := started_at, c := span_id)) FILTER (error IS NOT NULL) AS first_failed,
+  bool_or(parent_span_id IS NULL) AS roots_first, true AS in_order FROM {spans} GROUP BY trace_id""")
+def reduce_traces(t):
+    """Traces are cut into slices of an hour, whose states are merged in order."""
+    spans = t.spans.select("trace_id", "span_id", "parent_span_id", "started_at", "error")
+    return K.reduce_traces(spans, Failures(), "score DOUBLE, first_failed BIGINT, roots_first BOOLEAN, in_order BOOLEAN", 3600)
+
+
 @query("external_scorer_hits", "SELECT trace_id FROM {spans} GROUP BY trace_id HAVING count(error) > 2")
 def external_scorer_hits(t):
-    scored = K.external_scorer(t.spans.select("trace_id", "span_id", "error"), failing_share)
+    """Only traces that can match reach the Python stage."""
     bad = t.spans.where("error IS NOT NULL").groupBy("trace_id").count().where("count > 2")
-    return scored.where("matched").join(bad, "trace_id", "left_semi").select("trace_id")
+    some = t.spans.join(bad, "trace_id", "left_semi").select("trace_id", "span_id", "error")
+    return K.external_scorer(some, failing_share).where("matched").select("trace_id")
