@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,9 +11,6 @@ TRACE_PREFIX = "dbx:"
 SESSION_PREFIX = "dbx_"
 SOURCE = "databricks"
 
-#: Spans of a document up to which a parent is looked up among its ids.
-LOOKUP = 1000
-
 SPAN = (
     "STRUCT<span_id: STRING, parent_id: STRING, name: STRING, span_type: STRING, start_time_ns: BIGINT, end_time_ns: BIGINT, "
     "inputs: STRING, outputs: STRING, status: STRUCT<status_code: STRING, description: STRING>>"
@@ -47,31 +42,10 @@ def skip_in_progress(docs: DataFrame) -> DataFrame:
 def import_traces(docs: DataFrame, override: str | None = None) -> DataFrame:
     """Span rows with stable ids, sessions and, on the root, the tool-call mirror.
 
-    Everything a span needs is in its own document, so the import is one projection and one explode: whether its parent is known is noted on
-    each span before the explode, and the tool calls go with the root alone, so no array is copied into every row.
-    Looking a parent up in a document takes as many comparisons as it has spans; documents of more than ``LOOKUP`` spans are
-    exploded first and joined with their ids instead, so the work is linear in the spans.
+    Everything a span needs is in its own document, so the whole import is one projection and one
+    explode, without a shuffle. Parents that the document does not hold are found by one hashed set difference, so
+    a span is not compared with the ids of all others; in sound documents none are.
     """
-    size = F.size(F.col("data.spans"))
-    small = _flat(docs.where(size <= LOOKUP), lambda ids, parent: F.array_contains(ids, parent))
-    large = _flat(docs.where(size > LOOKUP), None)
-    ids = large.select(F.col("trace").alias("t"), F.col("s.span_id").alias("i")).distinct()
-    held = large.drop("known").join(ids, (F.col("trace") == F.col("t")) & (F.col("s.parent_id") == F.col("i")), "left")
-    flat = small.unionByName(held.withColumn("known", F.col("i").isNotNull()).drop("t", "i"))
-    return _rows(flat, override)
-
-
-def _failed(s: Column) -> Column:
-    return F.upper(F.coalesce(s["status"]["status_code"], F.lit(""))).contains("ERROR")
-
-
-def _took(s: Column) -> Column:
-    start, end = s["start_time_ns"], s["end_time_ns"]
-    return F.when((start > 0) & (end > start), F.floor((end - start) / 1_000_000).cast("long"))
-
-
-def _flat(docs: DataFrame, known: Callable[[Column, Column], Column] | None) -> DataFrame:
-    """One row per span: trace, session, id of the root, the span, and on the root the tools of the document."""
     spans = F.col("data.spans")
     sound = docs.where((F.coalesce("info.trace_id", F.lit("")) != "") & (F.size(spans) > 0))
     no_parent = F.filter(spans, lambda s: F.coalesce(s["parent_id"], F.lit("")) == "")
@@ -80,36 +54,35 @@ def _flat(docs: DataFrame, known: Callable[[Column, Column], Column] | None) ->
     tags, meta = F.col("info.tags"), F.col("info.trace_metadata")
     named = [F.nullif(F.when(F.map_contains_key(tags, k), tags[k]).otherwise(meta[k]), F.lit("")) for k in SESSION_KEYS]
 
+    def failed(s: Column) -> Column:
+        return F.upper(F.coalesce(s["status"]["status_code"], F.lit(""))).contains("ERROR")
+
+    def took(s: Column) -> Column:
+        start, end = s["start_time_ns"], s["end_time_ns"]
+        return F.when((start > 0) & (end > start), F.floor((end - start) / 1_000_000).cast("long"))
+
     tools = F.transform(
         F.filter(spans, lambda s: F.upper(F.coalesce(s["span_type"], F.lit(""))) == "TOOL"),
         lambda s: F.struct(
             F.coalesce(s["name"], F.lit("tool")).alias("name"), s["inputs"].alias("input"), s["outputs"].alias("output"),
-            _took(s).alias("latency_ms"), (~_failed(s)).alias("success"),
+            took(s).alias("latency_ms"), (~failed(s)).alias("success"),
         ),
     )
-    ids = F.transform(spans, lambda s: s["span_id"])
-    root_pos = F.array_position(spans, root) - 1
-    marked = F.transform(
-        spans,
-        lambda s, i: F.struct(
-            s.alias("s"), (i == root_pos).alias("is_root"), F.when(i == root_pos, tools).alias("tools"),
-            (F.lit(False) if known is None else known(ids, s["parent_id"])).alias("known"),
-        ),
-    )
-    return sound.select(
+    flat = sound.select(
         F.col("info.trace_id").alias("trace"),
         F.col("info.experiment_id").alias("experiment_id"),
         F.concat(F.lit(SESSION_PREFIX), F.coalesce(*named)).alias("session_id"),
         F.coalesce(F.nullif(root["span_id"], F.lit("")), F.lit("root")).alias("root_id"),
-        F.explode(marked).alias("m"),
-    ).select("trace", "experiment_id", "session_id", "root_id", "m.*")
-
-
-def _rows(flat: DataFrame, override: str | None) -> DataFrame:
-    s, is_root = F.col("s"), F.col("is_root")
+        F.array_position(spans, root).alias("root_pos"),
+        F.array_except(F.transform(spans, lambda s: s["parent_id"]), F.transform(spans, lambda s: s["span_id"])).alias("lost"),
+        tools.alias("tools"),
+        spans.alias("spans"),
+    ).select("*", F.posexplode("spans").alias("pos", "s"))
+    s = F.col("s")
+    is_root = F.col("pos") + 1 == F.col("root_pos")
     own_id = F.coalesce(F.nullif(s["span_id"], F.lit("")), F.lit("span"))
     parent = F.coalesce(s["parent_id"], F.lit(""))
-    known_parent = F.coalesce("known", F.lit(False)) & (parent != "") & (parent != F.col("root_id"))
+    known_parent = ~F.array_contains("lost", parent) & (parent != "") & (parent != F.col("root_id"))
     return flat.select(
         F.when(is_root & F.lit(override is not None), F.lit(override)).otherwise(F.coalesce(s["name"], F.lit("span"))).alias("name"),
         F.lit(SOURCE).alias("framework"),
@@ -117,10 +90,10 @@ def _rows(flat: DataFrame, override: str | None) -> DataFrame:
         F.when(~is_root, wire_span_id(F.col("trace"), parent, ~known_parent)).alias("parent_span_id"),
         "session_id",
         F.when(s["start_time_ns"] > 0, s["start_time_ns"]).alias("started_at_ns"),
-        _took(s).alias("latency_ms"),
+        took(s).alias("latency_ms"),
         s["inputs"].alias("input"),
         s["outputs"].alias("output"),
-        F.when(_failed(s), F.coalesce(F.nullif(s["status"]["description"], F.lit("")), F.lit("error"))).alias("error"),
+        F.when(failed(s), F.coalesce(F.nullif(s["status"]["description"], F.lit("")), F.lit("error"))).alias("error"),
         F.when(is_root, F.col("trace")).alias("source_trace_id"),
         F.when(is_root, F.nullif("experiment_id", F.lit(""))).alias("experiment_id"),
         F.when(is_root & (F.size("tools") > 0), F.col("tools")).alias("tool_calls"),
