@@ -314,7 +314,7 @@ SELECT doc_id, CASE WHEN n > 0 AND total <= 12000 THEN least(n, 20) END AS kept
   1 + list_sum(list_transform(w[1:20], lambda x: length(x) + 3)) AS total FROM (SELECT doc_id, string_split(regexp_replace(text, '["\\\\\\n\\t\\r]', '', 'g'), ' ') AS w FROM {documents}))""")
 def tool_defs_cap(t):
     words = F.split(F.regexp_replace("text", r'["\\\n\t\r]', ""), " ", -1)
-    return t.documents.select("doc_id", F.size(MS.tool_defs_cap(F.array(words))).cast("long").alias("n")).select(
+    return t.documents.select("doc_id", F.size(MS.tool_defs_cap(F.array(words), 20, 12_000)).cast("long").alias("n")).select(
         "doc_id", F.when(F.col("n") > 0, F.col("n")).alias("kept")
     )
 

@@ -107,7 +107,7 @@ def pair_positional(t):
 SELECT o.run_id, o.step, coalesce(o.name, n.description, 'Task ' || o.step) AS name, 'agent' AS span_kind, n.description AS input, CASE WHEN o.error IS NOT NULL THEN 'ERROR: ' || o.error ELSE n.raw END AS output, o.start_at, coalesce(o.end_at, o.start_at) AS end_at, o.duration_ms
 FROM ({ORDERED}) o LEFT JOIN ({NUMBERED_OUT}) n ON o.run_id = n.run_id AND o.step = n.step""")
 def norm_crew_log(t):
-    return L.norm_crew_log(t.sql(TASKS), t.sql(TASK_OUT))
+    return L.norm_crew_log(t.sql(TASKS), t.sql(TASK_OUT), 100)
 
 
 RUN_TIMES = "SELECT span_id AS run_id, span_id * 1000 AS start_ms, latency_ms FROM {spans} WHERE parent_span_id IS NULL"

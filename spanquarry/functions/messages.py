@@ -201,7 +201,12 @@ def fold_system(system: Column, messages: Column) -> Column:
     return F.when(F.coalesce(system, F.lit("")) == "", messages).otherwise(folded)
 
 
-def tool_defs_cap(tools: Column, max_tools: int = 20, max_chars: int = 12_000) -> Column:
-    """First tool definitions of a nested declaration list; null when their JSON is too long."""
-    kept = F.slice(F.flatten(F.filter(tools, lambda t: t.isNotNull())), 1, max_tools)
-    return F.when((F.size(kept) > 0) & (F.length(F.to_json(kept)) <= max_chars), kept)
+def tool_defs_cap(tools: Column, max_tools: int | None = None, max_chars: int | None = None) -> Column:
+    """Tool definitions of a nested declaration list: the first ``max_tools``, and null when their JSON is longer than ``max_chars``.
+
+    Without limits, the default, all are kept. An empty list is null.
+    """
+    kept = F.flatten(F.filter(tools, lambda t: t.isNotNull()))
+    kept = kept if max_tools is None else F.slice(kept, 1, max_tools)
+    short = F.lit(True) if max_chars is None else F.length(F.to_json(kept)) <= max_chars
+    return F.when((F.size(kept) > 0) & short, kept)

@@ -223,16 +223,18 @@ def trace_event_coerce(events_json: Column) -> Column:
     return F.transform(items, one)
 
 
-# Fixed value: ceiling of one trace payload in bytes.
+# Fixed value: the wire's ceiling of one trace payload in bytes, for callers that send it.
 TRACE_BYTES = 20_000
 
 
-def trace_budget_prefix(events: Column, limit: int = TRACE_BYTES) -> Column:
-    """Longest prefix of serialised events that fits the byte budget.
+def trace_budget_prefix(events: Column, limit: int | None = None) -> Column:
+    """Longest prefix of serialised events that fits the byte budget; without a budget, the default, all events.
 
     Everything is kept when the whole payload fits; otherwise each event costs its bytes plus one,
     on top of two for the brackets.
     """
+    if limit is None:
+        return events
     sizes = F.transform(events, lambda e: F.octet_length(e).cast("long"))
     whole = F.aggregate(sizes, F.lit(0).cast("long"), lambda a, s: a + s) + F.lit(14) + 2 * F.greatest(F.size(events) - 1, F.lit(0))
     start = F.struct(F.lit(2).cast("long").alias("used"), F.lit(0).alias("n"), F.lit(True).alias("open"))

@@ -249,8 +249,8 @@ def team_totals(messages: DataFrame) -> DataFrame:
     )
 
 
-def norm_crew_log(timings: DataFrame, outputs: DataFrame) -> DataFrame:
-    """Crew tasks to agent spans in real start order.
+def norm_crew_log(timings: DataFrame, outputs: DataFrame, name_limit: int | None = None) -> DataFrame:
+    """Crew tasks to agent spans in real start order; names keep their first ``name_limit`` characters (default: all).
 
     ``timings(run_id, pos, name, start_at, end_at, error)``, ``outputs(run_id, pos, description, raw)``.
     """
@@ -258,7 +258,7 @@ def norm_crew_log(timings: DataFrame, outputs: DataFrame) -> DataFrame:
     label = F.coalesce(F.nullif("name", F.lit("")), F.nullif("description", F.lit("")), F.concat(F.lit("Task "), F.col("step").cast("string")))
     failed = F.coalesce("error", F.lit("")) != ""
     return paired.select(
-        "run_id", "step", F.left(label, F.lit(100)).alias("name"), F.lit("agent").alias("span_kind"),
+        "run_id", "step", (label if name_limit is None else F.left(label, F.lit(name_limit))).alias("name"), F.lit("agent").alias("span_kind"),
         F.col("description").alias("input"),
         F.when(failed, F.concat(F.lit("ERROR: "), F.col("error"))).otherwise(F.col("raw")).alias("output"),
         "start_at", "end_at", "duration_ms",
