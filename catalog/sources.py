@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.base import query, view
 from spanquarry.lineage import shared_base
 from spanquarry.sources import conversations as CV
-from spanquarry.sources import csv_cases, ndjson, tables, trace_docs
+from spanquarry.sources import csv_cases, ndjson, store, tables, trace_docs
 
 EVENT_ROW = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE"
 
@@ -156,6 +156,26 @@ def import_conversations(t):
     return out.select(named.alias("named"), "span_id", "session_id", "started_at_ns", "latency_ms", "input", "output", "n_calls")
 
 
+@query("import_metadata", f"""
+SELECT concat('mw:', CAST(i.interaction_id AS STRING)) AS span_id, epoch_us(created_time) // 1000000 AS started_s, CASE WHEN resolved_time >= created_time THEN (i.interaction_id % 9 - 2) * 1000 END AS latency_ms,
+  concat('{{{{"source":"moveworks","conversationId":', CAST(i.conversation_id AS STRING), ',"interactionId":"', CAST(i.interaction_id AS STRING), '"', CASE WHEN i.interaction_id % 2 = 0 THEN ',"interactionType":"form"' ELSE '' END,
+    coalesce(',"domain":"' || coalesce(nullif(i.domain, ''), c.domain) || '"', ''), coalesce(',"route":"' || coalesce(i.route, c.route) || '"', ''), CASE WHEN i.interaction_id % 7 <> 0 THEN concat(',"userId":"u', CAST(i.interaction_id % 7 AS STRING), '"') ELSE '' END, '}}}}') AS metadata
+FROM ({INTER}) i LEFT JOIN ({CONV_LAST}) c ON i.conversation_id = c.conversation_id WHERE created_time IS NOT NULL""")
+def import_metadata(t):
+    """Times come as ISO text with and without a zone, as seconds and as milliseconds, under either of two names."""
+    at, ended, k = F.col("created_time"), F.col("resolved_time"), F.col("interaction_id") % 4
+    iso = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")
+    mixed = F.when(k == 0, F.unix_seconds(at).cast("string")).when(k == 1, F.unix_millis(at).cast("string")).when(k == 2, F.concat(iso, F.lit("Z"))).otherwise(iso)
+    raw = t.sql(INTER).select(
+        "interaction_id", "conversation_id", "domain", "route",
+        F.when(k % 2 == 0, mixed).otherwise("").alias("created_time"), F.when(k % 2 == 1, mixed).alias("created_at"), F.unix_millis(ended).alias("completed_time"),
+        F.when(F.col("interaction_id") % 2 == 0, "form").alias("type"),
+        F.when(F.col("interaction_id") % 7 != 0, F.concat(F.lit("u"), (F.col("interaction_id") % 7).cast("string"))).alias("user_id"),
+    )
+    out = CV.import_conversations(raw, t.sql(CONV), t.plugin_calls)
+    return out.select("span_id", F.expr("started_at_ns div 1000000000").alias("started_s"), "latency_ms", "metadata")
+
+
 @query("skip_untimed", f"SELECT interaction_id FROM ({INTER}) WHERE created_time IS NULL")
 def skip_untimed(t):
     return tables.valid_split(t.sql(INTER), F.col("created_time").isNotNull())[1].select("interaction_id")
@@ -226,3 +246,36 @@ def explode_mlflow(t):
 @query("skip_in_progress", "SELECT event_id FROM {events} WHERE event_id % 10 <> 3")
 def skip_in_progress(t):
     return trace_docs.skip_in_progress(docs(t)).select(F.col("info.trace_id").cast("long").alias("event_id"))
+
+
+# -- table by day ------------------------------------------------------------------------------
+
+KEEP_UNTIL = "2024-01-30 12:00:00"
+
+
+@query("retention_store", f"""
+SELECT event_id, CASE WHEN day(ts) % 4 = 0 THEN upper(event_type) ELSE event_type END AS event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM {{events}}
+WHERE ts >= TIMESTAMP '{KEEP_UNTIL}' - INTERVAL 20 DAY AND (day(ts) % 4 <> 0 OR event_id % 3 <> 0)""")
+def retention_store(t):
+    """All days are written, every fourth is replaced by corrected rows, the old ones are dropped."""
+    folder = scratch(t.spark, "days")
+    rows = t.events.select("event_id", "event_type", "ts")
+    store.replace_days(rows, folder, "ts")
+    fourth = rows.where((F.dayofmonth("ts") % 4 == 0) & (F.col("event_id") % 3 != 0))
+    store.replace_days(fourth.withColumn("event_type", F.upper("event_type")), folder, "ts")
+    store.expire(t.spark, folder, KEEP_UNTIL, 20)
+    return store.retained(t.spark, folder, "ts", KEEP_UNTIL, 20).select("event_id", "event_type", F.col("day").cast("string").alias("day"))
+
+
+@query("append_store", """
+SELECT event_id AS idempotency_key, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, CAST(1 AS BIGINT) AS copies, (SELECT count(*) FROM {events} WHERE event_id % 3 <> 0 AND event_type <> 'error') AS duplicate,
+  (SELECT count(*) FROM {events} WHERE event_type = 'error') AS invalid FROM {events} WHERE event_type <> 'error'""")
+def append_store(t):
+    """Two thirds of the results are appended, then all of them are delivered; blank outputs without an error are refused."""
+    folder = scratch(t.spark, "results")
+    output = F.when(F.col("event_type") == "error", "").otherwise(F.col("event_type"))
+    batch = t.events.select(F.col("event_id").alias("idempotency_key"), F.col("event_id").alias("arrival"), output.alias("output"), F.lit(None).cast("string").alias("error"), "ts")
+    store.append_batch(t.spark, batch.where("idempotency_key % 3 <> 0"), folder, "ts")
+    said = store.append_batch(t.spark, batch, folder, "ts")
+    found = store.read_days(t.spark, folder, "ts").groupBy("idempotency_key", F.col("day").cast("string").alias("day")).agg(F.count("*").alias("copies"))
+    return found.select("*", F.lit(said["duplicate"]).cast("bigint").alias("duplicate"), F.lit(said["invalid"]).cast("bigint").alias("invalid"))

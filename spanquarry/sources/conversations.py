@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spanquarry.functions.normalize import agent_name, first_field
-from spanquarry.functions.times import latency_ms
+from spanquarry.functions.times import epoch_time, latency_ms, parse_mixed_time
 
 # Name and id formats of this source.
 NAME_PREFIX = "moveworks-"
@@ -18,9 +21,27 @@ DEFAULT_TOOL = "moveworks-plugin"
 # Candidate columns in order.
 TEXT_FIELDS = ("utterance", "user_input", "text", "message", "query", "content")
 RESPONSE_FIELDS = ("response", "bot_response", "reply", "answer")
+START_FIELDS = ("created_time", "created_at", "timestamp", "event_time", "time", "start_time")
 END_FIELDS = ("resolved_time", "completed_time", "end_time", "updated_time")
 
 
+def record_time(df: DataFrame, *names: str) -> Column:
+    """Instant of the first of these columns that is not blank in the row; null if it is no time.
+
+    Columns may hold timestamps, epoch seconds or milliseconds, or text of either kind.
+    """
+    cases = []
+    for name in (n for n in names if n in df.columns):
+        value, kind = F.col(name), df.schema[name].dataType
+        if isinstance(kind, T.StringType):
+            cases.append((value.isNotNull() & (value != ""), parse_mixed_time(value)))
+        else:
+            cases.append((value.isNotNull(), epoch_time(value) if isinstance(kind, T.NumericType) else value.cast("timestamp")))
+    if not cases:
+        return F.lit(None).cast("timestamp")
+    return reduce(lambda chain, case: chain.when(*case), cases[1:], F.when(*cases[0]))
+
+
 def enrich_conversation(interactions: DataFrame, conversations: DataFrame) -> DataFrame:
     """Domain and route of an interaction, else of its conversation.
 
@@ -77,27 +98,39 @@ def attach_calls(interactions: DataFrame, calls: DataFrame) -> DataFrame:
 
 
 def import_conversations(interactions: DataFrame, conversations: DataFrame, calls: DataFrame, override: str | None = None) -> DataFrame:
-    """Trace rows of the interactions that have a time; the others are skipped."""
-    timed = interactions.where("created_time IS NOT NULL")
+    """Trace rows of the interactions that have a time; the others are skipped.
+
+    ``metadata`` is JSON of the source and of those of conversation, interaction, type, domain, route and user that are known.
+    """
+    started, ended = record_time(interactions, *START_FIELDS), record_time(interactions, *END_FIELDS)
+    timed = interactions.withColumns({"__started": started, "__ended": ended}).where("__started IS NOT NULL")
     rich = attach_calls(enrich_conversation(timed, conversations), calls)
     columns = rich.columns
     conversation = F.nullif(F.col("conversation_id").cast("string"), F.lit(""))
     interaction = F.nullif(F.col("interaction_id").cast("string"), F.lit(""))
     kind = first_field(columns, "interaction_type", "type")
-    ended = F.coalesce(*[F.col(c).cast("timestamp") for c in END_FIELDS if c in columns], F.lit(None).cast("timestamp"))
+    known = {
+        "conversationId": F.when(conversation.isNotNull(), F.col("conversation_id")),
+        "interactionId": interaction,
+        "interactionType": kind,
+        "domain": F.col("domain"),
+        "route": F.col("route"),
+        "userId": first_field(columns, "user_id"),
+    }
     return rich.select(
         agent_name(override, F.col("domain"), NAME_PREFIX, DEFAULT_NAME).alias("name"),
         F.lit(FRAMEWORK).alias("framework"),
         F.concat(F.lit(SPAN_PREFIX), interaction).alias("span_id"),
         F.concat(F.lit(SESSION_PREFIX), conversation).alias("session_id"),
-        (F.unix_micros("created_time") * 1000).alias("started_at_ns"),
-        latency_ms(F.col("created_time"), ended).alias("latency_ms"),
+        (F.unix_micros("__started") * 1000).alias("started_at_ns"),
+        latency_ms(F.col("__started"), F.col("__ended")).alias("latency_ms"),
         F.coalesce(
             first_field(columns, *TEXT_FIELDS), F.to_json(F.struct(F.coalesce(kind, F.lit("unknown")).alias("interaction_type")))
         ).alias("input"),
         first_field(columns, *RESPONSE_FIELDS).alias("output"),
         "domain",
         "route",
+        F.to_json(F.struct(F.lit(FRAMEWORK).alias("source"), *[v.alias(k) for k, v in known.items()])).alias("metadata"),
         "calls_key",
         "n_calls",
     )
@@ -110,7 +143,7 @@ def sync_report(raw: DataFrame, imported: DataFrame, existing: DataFrame) -> Dat
     stored = imported.join(known, "span_id", "left").select(
         nil.cast("boolean").alias("timed"), F.col("__known").isNotNull().alias("known"), "n_calls", "session_id"
     )
-    read = raw.select(F.col("created_time").isNotNull().alias("timed"), nil.cast("boolean").alias("known"), nil.cast("long").alias("n_calls"), nil.cast("string").alias("session_id"))
+    read = raw.select(record_time(raw, *START_FIELDS).isNotNull().alias("timed"), nil.cast("boolean").alias("known"), nil.cast("long").alias("n_calls"), nil.cast("string").alias("session_id"))
     return read.unionByName(stored).agg(
         F.count("timed").alias("interactions"),
         F.count_if(~F.col("timed")).alias("skipped_no_time"),
