@@ -1,75 +1,121 @@
-"""Benchmark decontamination by runs of equal words, in DataFrame functions only.
+"""Benchmark decontamination by spaced seeds, in DataFrame functions only.
 
-Of ``width`` words of which ``need`` must be equal, the others cut the equal ones into at most width - need + 1 runs, so one of
-them has need / (width - need + 1) words, rounded up (4 of 20 with 16 equal). Hashes of all runs of that length in the
-benchmark are joined with those of all documents, so no alignment within the tolerance is missed; around every hit the
-document is laid over the item and words are compared place by place.
+A mask is a word pattern of ones and zeros; words under a zero are ignored. The words under the ones are hashed at every place of the
+benchmark and of the documents and the hashes are joined, which proposes an alignment; around every hit the document is laid over the
+item and words are compared place by place. The masks are complete: :func:`escape` shows that no choice of replaced words within
+the tolerance touches every place of every mask, so an overlap within the tolerance is always proposed.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Masks of the SQL in ``oracle`` (1: the word counts); the operator needs none.
-MASKS = ("11111111", "110110010111", "110101101101", "111100110011")
+#: Five words each; together complete for stretches of 8 to 20 words of which four fifths, rounded up, are equal.
+MASKS = ("111011", "1101011", "1110000101")
 #: Items of fewer words are short.
 SHORT = 8
 #: Words compared around a hit, and how many of them must be equal.
 OVERLAP, EQUAL = 20, 16
-#: Benchmark hashes that are broadcast (about 40 bytes each); beyond it both sides are shuffled.
-MOST_SEEDS = 1_000_000
+#: Bytes of benchmark hashes, or of the items' words, that are broadcast; beyond it they are shuffled.
+MOST_BYTES = 64 << 20
 
 WORD_BREAK = r"[^\p{L}\p{N}]+"
 
 
+def escape(masks: tuple[str, ...], width: int, spare: int) -> tuple[int, ...] | None:
+    """At most ``spare`` places of a stretch of ``width`` words that touch all masks wherever they lie, or None if there are none."""
+    lain = [{at + i for i, bit in enumerate(m) if bit == "1"} for m in masks for at in range(width - len(m) + 1)]
+
+    def touch(chosen: tuple[int, ...]) -> tuple[int, ...] | None:
+        free = next((places for places in lain if not places & set(chosen)), None)
+        if free is None:
+            return chosen
+        if len(chosen) == spare:
+            return None
+        # one of the places of a mask that is not touched yet has to be chosen
+        return next((found for place in sorted(free) if (found := touch((*chosen, place))) is not None), None)
+
+    return touch(())
+
+
+def check_masks(masks: tuple[str, ...], overlap: int, equal: int) -> None:
+    """Refuse masks that some overlap within the tolerance escapes."""
+    for width in range(SHORT, overlap + 1):
+        missed = escape(masks, width, width - math.ceil(width * equal / overlap))
+        if missed is not None:
+            raise ValueError(f"{width} words with places {missed} replaced escape the masks")
+
+
 def _hashes(text: str) -> Column:
     """One hash per word; a text that begins or ends with a break has an empty word there."""
     words = F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), WORD_BREAK)
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _run(words: str, at: str, run: Column) -> Column:
-    """Hash of the ``run`` words that begin at ``at``."""
-    return F.xxhash64(run, F.slice(F.col(words), F.col(at) + 1, run))
+def _seed(at: Column, masks: tuple[str, ...], number: int) -> Column:
+    """Hash of the mask's number and the words under its ones that begin at ``at``; null where it runs over the end."""
+    under = [F.get(F.col("words"), at + i) for i, bit in enumerate(masks[number]) if bit == "1"]
+    return F.when(at + len(masks[number]) <= F.size("words"), F.xxhash64(F.lit(number), *under))
+
+
+def _placed(words: DataFrame, masks: tuple[str, ...], numbers: list[int], *columns: str) -> DataFrame:
+    """``columns``, place and seed of these masks at every place of every row."""
+    placed = words.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words") - 1)))
+    seeds = F.array(*[_seed(F.col("at"), masks, n) for n in numbers])
+    return placed.select(*columns, "at", F.explode(seeds).alias("seed")).where("seed IS NOT NULL")
 
 
 def _items(benchmark: DataFrame, overlap: int, equal: int, short_items: bool) -> DataFrame:
-    """item_id, item_words, width compared, words of it that must be equal, and the run that any such stretch has."""
-    table = benchmark.select("item_id", _hashes("text").alias("item_words"))
-    short = F.size("item_words") < SHORT
+    """item_id, words, width compared, words of it that must be equal, whether short."""
+    table = benchmark.select("item_id", _hashes("text").alias("words"))
+    short = F.size("words") < SHORT
     table = table.withColumn("short", short).where(F.lit(short_items) | ~short)
     # a short item has no words to spare for a break at its begin or end
-    table = table.withColumn("item_words", F.when(F.col("short"), F.array_remove("item_words", F.xxhash64(F.lit("")))).otherwise(F.col("item_words")))
-    table = table.where(F.size("item_words") > 0).withColumn("width", F.least(F.size("item_words"), F.lit(overlap)))
+    table = table.withColumn("words", F.when(F.col("short"), F.array_remove("words", F.xxhash64(F.lit("")))).otherwise(F.col("words")))
+    table = table.where(F.size("words") > 0).withColumn("width", F.least(F.size("words"), F.lit(overlap)))
     need = F.when(F.col("short"), F.col("width")).otherwise(F.ceil(F.col("width") * equal / overlap).cast("int"))
-    run = F.ceil(F.col("need") / (F.col("width") - F.col("need") + 1)).cast("int")
-    return table.withColumn("need", need).withColumn("run", F.greatest(run, F.lit(1))).drop("short")
+    return table.withColumn("need", need)
 
 
-def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, overlap: int = OVERLAP, equal: int = EQUAL, short_items: bool = False) -> DataFrame:
+def contaminated_pairs(
+    docs: DataFrame, benchmark: DataFrame, overlap: int = OVERLAP, equal: int = EQUAL, short_items: bool = False, masks: tuple[str, ...] = MASKS
+) -> DataFrame:
     """(doc_id, item_id, n_equal, n_compared): the best overlap of every document that holds part of an item.
 
     A pair is reported if in some alignment some ``overlap`` consecutive words of the item (all of them, if it is
     shorter) have at least ``equal`` (in proportion, if shorter) equal words; ``n_equal`` is the most equal words in such a
     stretch of ``n_compared``. Case and punctuation do not count. Items of fewer than eight words give nothing, or with
-    ``short_items`` only whole exact copies.
+    ``short_items`` only whole exact copies. Masks that are not complete for another tolerance are refused.
 
-    Null and empty texts give nothing; repeated rows of one id are one; other columns are ignored; empty tables give no rows.
+    Null and empty texts give nothing; repeated rows of one id count as one document; other columns are ignored; empty tables give no rows.
     """
+    check_masks(masks, overlap, equal)
     known = _items(benchmark, overlap, equal, short_items)
-    runs = sorted(r.run for r in known.select("run").distinct().collect()) or [1]
-    begins = known.withColumn("item_at", F.explode(F.sequence(F.lit(0), F.size("item_words") - F.col("run"))))
-    seeds = begins.select(_run("item_words", "item_at", F.col("run")).alias("seed"), "item_id", "item_at").distinct()
-    if seeds.count() <= MOST_SEEDS:
-        seeds = F.broadcast(seeds)
-    hashed = docs.select("doc_id", _hashes("text").alias("words")).where(F.size("words") >= runs[0])
-    placed = hashed.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words") - runs[0])))
-    hashes = [_run("words", "at", F.lit(n)) for n in runs]
-    windows = placed.select("doc_id", "words", "at", (F.explode(F.array(*hashes)) if len(runs) > 1 else hashes[0]).alias("seed"))
-    hits = windows.join(seeds, "seed").select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "words")
-    size = known.count()
-    laid = hits.join(F.broadcast(known) if size * 2 <= MOST_SEEDS else known, "item_id")
+    # the lengths of short items, at most SHORT - 1 of them, are masks of ones
+    sizes = sorted(r.width for r in known.where("short").select("width").distinct().collect())
+    every = (*masks, *("1" * n for n in sizes))
+    plain = _placed(known.where("NOT short"), every, list(range(len(masks))), "item_id")
+    whole = [_placed(known.where(F.col("short") & (F.col("width") == n)), every, [len(masks) + i], "item_id") for i, n in enumerate(sizes)]
+    seeds = plain
+    for part in whole:
+        seeds = seeds.unionByName(part)
+    seeds = seeds.select("seed", "item_id", F.col("at").alias("item_at")).distinct()
+    key = F.octet_length(F.coalesce(F.col("item_id").cast("string"), F.lit("")))
+    small = (seeds.agg(F.sum(key + 32)).first()[0] or 0) <= MOST_BYTES
+    texts = docs.select("doc_id", _hashes("text").alias("words"))
+    shift = (F.col("at") - F.col("item_at")).alias("shift")
+    if small:
+        hits = _placed(texts, every, list(range(len(every))), "doc_id", "words").join(F.broadcast(seeds), "seed").select("doc_id", "item_id", shift, "words")
+    else:
+        # only hashes and places are shuffled; words are fetched for what was hit
+        hits = _placed(texts, every, list(range(len(every))), "doc_id").join(seeds, "seed").select(F.col("doc_id").alias("hit_id"), "item_id", shift).distinct()
+        hits = hits.join(texts, F.equal_null("hit_id", "doc_id")).select("doc_id", "item_id", "shift", "words")
+    known = known.withColumnRenamed("words", "item_words")
+    few = (known.agg(F.sum(F.size("item_words") * 8 + key + 32)).first()[0] or 0) <= MOST_BYTES
+    laid = hits.join(F.broadcast(known) if few else known, "item_id")
     n = F.size("item_words")
     # words of the document under the item's; places before its begin or after its end hold null
     under = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.when(i + F.col("shift") >= 0, F.get(F.col("words"), i + F.col("shift"))))
@@ -95,19 +141,14 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, short_items: bool =
 
 
 def oracle() -> str:
-    """The same pairs in DuckDB SQL, by masked words instead of hashes."""
-
-    def seeds(n: int, mask: str, key: str, source: str, place: str) -> str:
-        words = " || ' ' || ".join(f"w[i + {k + 1}]" for k, bit in enumerate(mask) if bit == "1")
-        return f"SELECT {key}, i AS {place}, {n} AS mask, {words} AS seed FROM (SELECT {key}, w, unnest(range(len(w) - {len(mask) - 1})) AS i FROM {source} WHERE len(w) >= {len(mask)})"
-
-    docs = " UNION ALL ".join(seeds(n, m, "doc_id", "d", "pos") for n, m in enumerate(MASKS))
-    items = " UNION ALL ".join(seeds(n, m, "item_id", "b", "item_pos") for n, m in enumerate(MASKS))
+    """The same pairs in DuckDB SQL without seeds: every alignment in which any word is equal is counted."""
     split = r"regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+')"
     return f"""
-WITH d AS (SELECT doc_id, {split} AS w FROM documents), b AS (SELECT item_id, {split} AS w FROM benchmark),
-hits AS (SELECT DISTINCT doc_id, item_id, pos - item_pos AS shift FROM ({docs}) JOIN ({items}) USING (mask, seed)),
-same AS (SELECT doc_id, item_id, list_transform(range(len(b.w)), lambda i: CASE WHEN i + shift >= 0 AND d.w[i + shift + 1] = b.w[i + 1] THEN 1 ELSE 0 END) AS e, least(len(b.w), {OVERLAP}) AS n
-  FROM hits JOIN d USING (doc_id) JOIN b USING (item_id)),
-scored AS (SELECT doc_id, item_id, list_max(list_transform(range(1, len(e) - n + 2), lambda i: list_sum(e[i:i + n - 1]))) AS s, n FROM same)
-SELECT doc_id, item_id, CAST(max(s) AS INTEGER) AS n_equal, CAST(max(n) AS INTEGER) AS n_compared FROM scored WHERE s * {OVERLAP} >= n * {EQUAL} GROUP BY doc_id, item_id"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {split} AS w FROM documents),
+b AS (SELECT item_id, CASE WHEN len(w) < {SHORT} THEN list_filter(w, lambda x: x <> '') ELSE w END AS w, len(w) < {SHORT} AS short FROM (SELECT item_id, {split} AS w FROM benchmark)),
+items AS (SELECT item_id, w, least(len(w), {OVERLAP}) AS n, CASE WHEN short THEN len(w) ELSE CAST(ceil(least(len(w), {OVERLAP}) * {EQUAL} / {OVERLAP}) AS BIGINT) END AS need FROM b WHERE len(w) > 0),
+words AS (SELECT r, doc_id, unnest(w) AS x, unnest(range(len(w))) AS pos FROM d), asked AS (SELECT item_id, n, need, unnest(w) AS x, unnest(range(len(w))) AS item_pos FROM items),
+same AS (SELECT r, doc_id, item_id, n, need, pos - item_pos AS shift, item_pos FROM words JOIN asked USING (x)),
+likely AS (SELECT * FROM same QUALIFY count(*) OVER (PARTITION BY r, item_id, shift) >= need),
+runs AS (SELECT doc_id, item_id, n, need, count(*) OVER (PARTITION BY r, item_id, shift ORDER BY item_pos RANGE BETWEEN CURRENT ROW AND n - 1 FOLLOWING) AS s FROM likely)
+SELECT doc_id, item_id, CAST(max(s) AS INTEGER) AS n_equal, CAST(max(n) AS INTEGER) AS n_compared FROM runs WHERE s >= need GROUP BY doc_id, item_id"""

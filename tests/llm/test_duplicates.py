@@ -1,5 +1,7 @@
 """Near-duplicates, repeated substrings and decontamination against brute force."""
 
+import itertools
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -10,6 +12,7 @@ import pytest
 from helpers import docs, prose
 from pyspark.sql import functions as F
 
+from spanquarry.llm import decontaminate as D
 from spanquarry.llm import near_dups as N
 from spanquarry.llm import substrings as S
 from spanquarry.llm.decontaminate import contaminated_pairs, drop_contaminated
@@ -216,30 +219,6 @@ def test_automaton_matches_every_earlier_place():
 ITEMS = "item_id bigint, text string, doc_id string"
 
 
-def brute_pairs(rows, items):
-    masks = ("11111111", "110110010111", "110101101101", "111100110011")
-    words = lambda t: re.split(r"[^\w]+|_", (t or "").lower())
-    out = {}
-    for key, text in rows:
-        d = words(text)
-        for item, passage in items:
-            b, shifts = words(passage), set()
-            for m in masks:
-                pick = lambda w, i: tuple(w[i + k] for k, bit in enumerate(m) if bit == "1")  # noqa: E731,B023
-                own = defaultdict(list)
-                for j in range(len(b) - len(m) + 1):
-                    own[pick(b, j)].append(j)
-                for i in range(len(d) - len(m) + 1):
-                    shifts.update(i - j for j in own.get(pick(d, i), ()))
-            for s in shifts:
-                same = [int(0 <= j + s < len(d) and d[j + s] == b[j]) for j in range(len(b))]
-                n = min(20, len(b))
-                best = max(sum(same[i : i + n]) for i in range(len(same) - n + 1))
-                if best * 20 >= n * 16:
-                    out[key, item] = max(out.get((key, item), (0, 0)), (best, n))
-    return {(*k, *v) for k, v in out.items()}
-
-
 def test_contaminated_pairs(spark):
     items = [(i, prose(300 + i, n, 500)) for i, n in enumerate((40, 25, 12, 9, 7))] + [(8, None), (9, "")]
     rows = [(i, prose(i, 80, 500)) for i in range(12)]
@@ -254,7 +233,7 @@ def test_contaminated_pairs(spark):
     table = docs(spark, rows).withColumns({"at": F.lit(1), "words": F.lit("x"), "seed": F.lit(2)})
     bench = spark.createDataFrame([(i, t, "z") for i, t in items], ITEMS)
     got = {tuple(r) for r in contaminated_pairs(table, bench).collect()}
-    assert got == brute_pairs(rows, items)
+    assert got == every_pair(rows, items)
     assert {(k, i) for k, i, *_ in got} >= {(20, 0), (21, 0), (22, 0), (24, 1), (25, 2), (26, 3)}
     kept = {r.doc_id for r in drop_contaminated(table, bench).collect()}
     assert kept == {k for k, _ in rows} - {k for k, *_ in got}
@@ -270,6 +249,8 @@ def every_pair(rows, items):
         d = words(text)
         for item, passage in items:
             b = words(passage)
+            if len(b) < 8:
+                continue
             n, best = min(20, len(b)), 0
             for s in range(1 - len(b), len(d)):
                 same = [int(0 <= j + s < len(d) and d[j + s] == b[j]) for j in range(len(b))]
@@ -300,3 +281,24 @@ def test_short_items_match_as_whole_exact_copies(spark):
     bench = spark.createDataFrame([(i, t, "z") for i, t in items], ITEMS)
     assert {tuple(x) for x in contaminated_pairs(docs(spark, rows), bench, short_items=True).collect()} == {(1, 1, 3, 3), (3, 2, 7, 7)}
     assert contaminated_pairs(docs(spark, rows), bench).count() == 0
+
+
+def test_no_pattern_within_the_tolerance_escapes_the_masks():
+    for width in range(8, 21):
+        spare = width - math.ceil(width * 16 / 20)
+        lain = [{at + i for i, bit in enumerate(m) if bit == "1"} for m in D.MASKS for at in range(width - len(m) + 1)]
+        assert all(any(not places & set(gone) for places in lain) for gone in itertools.combinations(range(width), spare)), width
+        assert D.escape(D.MASKS, width, spare) is None
+    assert D.escape(("11111111",), 20, 4) is not None
+    with pytest.raises(ValueError, match="escape the masks"):
+        D.check_masks(D.MASKS, 20, 12)
+
+
+def test_shuffled_seeds_give_the_same_pairs(spark, monkeypatch):
+    items = [(i, prose(300 + i, n, 500)) for i, n in enumerate((40, 25, 12, 9, 5))]
+    rows = [(i, prose(i, 60, 500) + " " + items[i % 5][1]) for i in range(20)] + [(None, items[0][1]), (3, None), (19, prose(19, 60, 500) + " " + items[4][1])]
+    bench, table = spark.createDataFrame([(i, t, "z") for i, t in items], ITEMS), docs(spark, rows)
+    near = sorted(map(tuple, contaminated_pairs(table, bench, short_items=True).collect()), key=str)
+    monkeypatch.setattr(D, "MOST_BYTES", 0)
+    assert sorted(map(tuple, contaminated_pairs(table, bench, short_items=True).collect()), key=str) == near
+    assert {(i, i % 5) for i in range(20)} | {(None, 0)} <= {x[:2] for x in near}
