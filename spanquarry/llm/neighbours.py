@@ -9,9 +9,11 @@ visited is widened until a sample of queries finds the wanted share of its true
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,8 @@ BRANCHES, LEAF = 8, 40
 CALIBRATION, RECALL = 100, 0.97
 #: Rows of neighbouring leaves (a shelf) compared in one group; a larger shelf is dealt into blocks.
 BLOCK = 4_096
+#: Queries, about, that one group compares with a block.
+PORTION = 8_192
 
 
 class Tree:
@@ -52,6 +56,7 @@ class Tree:
                 self.leaf.append(-1)
                 todo.append((len(centres) - 1, part))
         self.centres = np.array(centres)
+        self.kids = [c.tolist() for c in self.children]
 
     @staticmethod
     def _split(rows: np.ndarray, random) -> list[np.ndarray]:
@@ -81,20 +86,37 @@ class Tree:
                 c = self.centres[self.children[n]]
                 node[at] = self.children[n][(np.square(c).sum(axis=1) - 2 * rows[at] @ c.T).argmin(axis=1)]
 
-    def visits(self, query: np.ndarray, most: int) -> list[int]:
-        """Leaves in the order best bin first."""
-        query = np.append(query.astype(np.float64) / (np.linalg.norm(query) or 1), 0.0)
+    @classmethod
+    def of(cls, state: dict) -> Tree:
+        """The tree of a broadcast state, which holds arrays and lists only, as executors may not be able to import this class."""
+        tree = cls.__new__(cls)
+        tree.__dict__.update(state)
+        return tree
+
+    def far(self, queries: np.ndarray) -> np.ndarray:
+        """Squared distance of each query, scaled to the sphere, from every centre, but for a constant of the query."""
+        q = queries.astype(np.float64)
+        q = q / np.maximum(np.linalg.norm(q, axis=1), 1e-300)[:, None]
+        return np.square(self.centres).sum(axis=1) - 2 * q @ self.centres[:, :-1].T
+
+    def walk(self, far: np.ndarray, most: int) -> list[int]:
+        """Leaves in the order best bin first, of one query's distances."""
+        far, kids, leaf = far.tolist(), self.kids, self.leaf
         queue, out = [(0.0, 0)], []
         while queue and len(out) < most:
             _, node = heapq.heappop(queue)
-            kids = self.children[node]
-            if not len(kids):
-                out.append(self.leaf[node])
-                continue
-            for far, kid in zip(np.square(self.centres[kids] - query).sum(axis=1).tolist(), kids.tolist()):
-                heapq.heappush(queue, (far, kid))
+            if not kids[node]:
+                out.append(leaf[node])
+            for kid in kids[node]:
+                heapq.heappush(queue, (far[kid], kid))
         return out
 
+    def visits(self, queries: np.ndarray, most: int) -> Iterator[list[int]]:
+        """The walk of each query; distances are computed for some hundred queries at a time."""
+        for at in range(0, len(queries), 256):
+            for far in self.far(queries[at : at + 256]):
+                yield self.walk(far, most)
+
 
 def _matrix(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
@@ -121,10 +143,10 @@ def top(ids: np.ndarray, rows: np.ndarray, query: np.ndarray, own: int, k: int,
 
 
 def usable(vectors: DataFrame, key: str, column: str) -> DataFrame:
-    """Rows whose vector is not null, not all zero and holds only finite numbers."""
+    """Rows with an id whose vector is not null, not all zero and holds only finite numbers."""
     finite = F.forall(column, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     return vectors.select(F.col(key).alias("vec_id"), F.col(column).alias("vector")).where(
-        F.col("vector").isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists("vector", lambda x: x != 0)
+        F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists("vector", lambda x: x != 0)
     )
 
 
@@ -158,7 +180,7 @@ def nearest(
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` rows found of largest inner product for every query.
 
-    ``queries`` has the columns of ``vectors``. Null, zero and non-finite vectors take no part; a query never
+    ``queries`` has the columns of ``vectors``. Rows without an id and null, zero and non-finite vectors take no part; a query never
     finds rows of its own id; ties go to the smaller id; equal ids are expected not to occur; a table without usable
     vectors gives no rows. Vectors must be of one length.
     """
@@ -171,12 +193,12 @@ def nearest(
     share = min(1.0, 1.2 * MOST_SAMPLED / size["n"])
     sample = rows.where(mixed < int(share * (1 << 30))).select("vector").limit(MOST_SAMPLED).toArrow().column("vector").combine_chunks()
     tree = Tree(_matrix(sample), size["longest"])
-    held = spark.sparkContext.broadcast(tree)
+    held = spark.sparkContext.broadcast(vars(tree))
 
     def file(batches):
         for batch in batches:
             if batch.num_rows:
-                leaf = held.value.file(_matrix(batch.column("vector"))).astype(np.int32)
+                leaf = Tree.of(held.value).file(_matrix(batch.column("vector"))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(leaf), batch.column("vector")], names=["vec_id", "leaf", "vector"])
 
     kind = rows.schema["vector"].dataType.simpleString()
@@ -189,7 +211,7 @@ def nearest(
     true = _merged(rows.mapInArrow(_exact(lookup, k), RESULT), k)
     homes = true.join(filed.select("vec_id", "leaf"), "vec_id").select("query_id", "leaf").toArrow()
     places = []
-    orders = {q: {leaf: n for n, leaf in enumerate(tree.visits(v, tree.leaves))} for q, v in lookup.items()}
+    orders = {q: {leaf: n for n, leaf in enumerate(order)} for q, order in zip(lookup, tree.visits(np.array(list(lookup.values())), tree.leaves))}
     for q, leaf in zip(homes.column("query_id").to_pylist(), homes.column("leaf").to_pylist()):
         places.append(orders[q][leaf])
     visits = int(np.sort(places)[int(np.ceil(recall * len(places))) - 1]) + 1 if places else 1
@@ -201,38 +223,50 @@ def nearest(
     members = filed.withColumn("shelf", shelf).join(blocks, "shelf")
     members = members.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")).select("shelf", "block", "leaf", "vec_id", "vector")
 
+    names = ["shelf", "query_id", "query", "wanted"]
+
     def walk(batches):
-        for batch in batches:
-            found = [held.value.visits(v, visits) for v in _matrix(batch.column("vector"))] if batch.num_rows else []
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id"), batch.column("vector"), pa.array(found, pa.list_(pa.int32()))], names=["query_id", "query", "found"]
-            )
-
-    walks = asked.mapInArrow(walk, f"query_id bigint, query {kind}, found array<int>")
-    # the leaves of each shelf that a query enters stay together
-    entered = F.array_distinct(F.transform("found", lambda leaf: F.floor(leaf / leaves).cast("int")))
-    walks = walks.withColumn("shelf", F.explode(entered)).withColumn(
-        "wanted", F.filter("found", lambda leaf: F.floor(leaf / leaves).cast("int") == F.col("shelf"))
-    )
+        """One row for each shelf that a query enters, with the leaves it wants there."""
+        for part in (batch.slice(at, 256) for batch in batches for at in range(0, batch.num_rows, 256)):
+            shelves, asker, wanted = [], [], []
+            for n, order in enumerate(Tree.of(held.value).visits(_matrix(part.column("vector")), visits)):
+                order = np.sort(np.array(order, np.int32))
+                entered, begin = np.unique(order // leaves, return_index=True)
+                shelves.append(entered)
+                asker.append(np.full(len(entered), n))
+                wanted.extend(np.split(order, begin[1:]))
+            one = part.take(pa.array(np.concatenate(asker)))
+            shelf = pa.array(np.concatenate(shelves).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([shelf, one.column("vec_id"), one.column("vector"), pa.array(wanted, pa.list_(pa.int32()))], names=names)
+
+    walks = asked.mapInArrow(walk, f"shelf int, query_id bigint, query {kind}, wanted array<int>")
     walks = walks.join(blocks, "shelf").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
 
     def search(shelved: pa.Table, queries: pa.Table) -> pa.Table:
         if not shelved.num_rows or not queries.num_rows:
             return _RESULT.empty_table()
         ids, base = shelved.column("vec_id").to_numpy(), _matrix(shelved.column("vector").combine_chunks()).astype(np.float64)
-        of_leaf = shelved.column("leaf").to_numpy()
+        # leaves of the shelf by number; rows of the others are at -inf
+        own, of_leaf = np.unique(shelved.column("leaf").to_numpy(), return_inverse=True)
         out = []
         for part in queries.to_batches(max_chunksize=256):
             keys, points = part.column("query_id").to_pylist(), _matrix(part.column("query")).astype(np.float64)
-            wanted = part.column("wanted").to_pylist()
-            rough = np.full((len(keys), len(ids)), -np.inf)
-            for leaf in set().union(*wanted):
-                mine, theirs = [n for n, w in enumerate(wanted) if leaf in w], np.flatnonzero(of_leaf == leaf)
-                rough[np.ix_(mine, theirs)] = points[mine] @ base[theirs].T
+            wanted = part.column("wanted")
+            asker = np.repeat(np.arange(len(keys)), pc.list_value_length(wanted).to_numpy(zero_copy_only=False))
+            leaf = wanted.flatten().to_numpy(zero_copy_only=False)
+            at = np.minimum(np.searchsorted(own, leaf), len(own) - 1)
+            enters = np.zeros((len(keys), len(own)), bool)
+            enters[asker[own[at] == leaf], at[own[at] == leaf]] = True
+            rough = np.where(enters[:, of_leaf], points @ base.T, -np.inf)
             found = [(q, *(x.tolist() for x in top(ids, base, p, q, k, r))) for q, p, r in zip(keys, points, rough)]
             out.append(batch_of(_RESULT, *zip(*found)))
         return pa.Table.from_batches(out)
 
-    walks = walks.select("shelf", "block", "query_id", "query", "wanted")
-    parts = members.groupBy("shelf", "block").cogroup(walks.toDF(*walks.columns).groupBy("shelf", "block"))
+    # a shelf may be entered by every query, so the queries are dealt into portions and each meets the shelf's rows on its own
+    portions = -(-asked.count() // PORTION)
+    members = members.withColumn("portion", F.explode(F.sequence(F.lit(0), F.lit(max(portions, 1) - 1))))
+    walks = walks.withColumn("portion", F.pmod(F.xxhash64("query_id"), F.lit(max(portions, 1))).cast("int"))
+    walks = walks.select("shelf", "block", "portion", "query_id", "query", "wanted")
+    keys = ["shelf", "block", "portion"]
+    parts = members.groupBy(*keys).cogroup(walks.toDF(*walks.columns).groupBy(*keys))
     return _merged(parts.applyInArrow(search, RESULT), k)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from spanquarry.llm import languages as L
+from spanquarry.llm import neighbours
 from spanquarry.llm.licenses import license_scan
 from spanquarry.llm.neighbours import Tree, nearest
 from spanquarry.llm.pages import extract_text, main_text
@@ -89,12 +90,13 @@ def test_extract_text(spark):
 VECTORS = "vec_id bigint, embedding array<float>, label int"
 
 
-def test_nearest(spark):
+def test_nearest(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "PORTION", 25)
     r = np.random.default_rng(2)
     base = r.normal(size=(1200, 16)).astype(np.float32)
     base[40] *= 9
     rows = [(i, v.tolist(), 0) for i, v in enumerate(base)] + [(2000 + i, base[40].tolist(), 1) for i in range(60)]
-    bad = [(5000, None, 0), (5020, [0.0] * 16, 0), (5040, [float("nan")] + [1.0] * 15, 0), (5060, [None] + [1.0] * 15, 0), (5080, [float("inf")] * 16, 0)]
+    bad = [(5000, None, 0), (5020, [0.0] * 16, 0), (5040, [float("nan")] + [1.0] * 15, 0), (5060, [None] + [1.0] * 15, 0), (5080, [float("inf")] * 16, 0), (None, [1.0] * 16, 0)]
     table = spark.createDataFrame(rows + bad, VECTORS).withColumn("leaf", F.lit("x"))
     got = {}
     for x in nearest(table, table.where("vec_id % 20 = 0")).collect():
@@ -118,10 +120,33 @@ def test_nearest(spark):
     assert nearest(few.where("false"), few.where("false")).count() == 0
 
 
+def test_recall_of_queries_that_did_not_set_the_visits(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    asked = table.where("vec_id % 5 = 0")
+    mixed = asked.orderBy(F.xxhash64("vec_id"), "vec_id").select("vec_id", "embedding").collect()
+    others = {x.vec_id: np.array(x.embedding, np.float64) for x in mixed[neighbours.CALIBRATION :][:100]}
+    found = {}
+    for x in nearest(table, asked).where(F.col("query_id").isin(list(others))).collect():
+        found.setdefault(x.query_id, set()).add(x.vec_id)
+    rows = table.select("vec_id", "embedding").toArrow()
+    ids, matrix = rows.column("vec_id").to_numpy(), np.array(rows.column("embedding").to_pylist(), np.float64)
+    share = []
+    for q, v in others.items():
+        score = np.where(ids == q, -np.inf, matrix @ v)
+        share.append(len(found[q] & set(ids[np.lexsort((ids, -score))[:20]].tolist())) / 20)
+    assert len(share) == 100 and np.mean(share) >= 0.9
+
+
 def test_tree_visits_every_leaf_once():
     r = np.random.default_rng(3)
     tree = Tree(r.normal(size=(700, 8)), 9.0)
-    assert sorted(tree.visits(r.normal(size=8), 10**6)) == list(range(tree.leaves))
+    for order in tree.visits(r.normal(size=(300, 8)), 10**6):
+        assert sorted(order) == list(range(tree.leaves))
+    query = r.normal(size=8)
+    order = next(Tree.of(vars(tree)).visits(query[None], 5))
+    centre = {tree.leaf[n]: c for n, c in enumerate(tree.centres)}
+    unit = np.append(query / np.linalg.norm(query), 0)
+    assert len(order) == 5 and np.square(centre[order[0]] - unit).sum() <= np.median([np.square(c - unit).sum() for c in centre.values()])
     assert Tree(np.ones((500, 4)), 2.0).leaves == 1
 
 
