@@ -7,8 +7,8 @@ exact counts over all documents of hashed words, so the table has a fixed size w
 Texts that are equal form one class first; the rest works on one representative of each. In every band bucket
 the members are verified against the bucket's leader only, so a bucket of n gives n - 1 pairs. The leader is the member with the
 most bucket mates over all bands: of an original and its copies that is the original. Members that do not match the
-leader are compared by their signatures, block by block, with the bucket's members of other classes, and the most
-similar few are verified; the next round goes on behind them in the same order, with twice as many, until no member
+leader are compared by their signatures, block by block, with the bucket's members of other classes: mates that five standard errors
+of the banded samples leave open by further 512 samples, drawn for these members alone. The most similar few are verified; the next round goes on behind them in the same order, with twice as many, until no member
 has an untried mate of another class above the margin.
 """
 
@@ -30,6 +30,8 @@ SAMPLES, ROWS = 64, 4
 FREQUENCIES = 1 << 20
 #: Members in a block when a bucket is compared by signatures, and how many partners each tries in the first round.
 BLOCK, TRIES = 512, 4
+#: Further samples of the members of buckets in which some do not match the leader; a byte of each is kept.
+MORE = 512
 #: Standard errors below the threshold down to which an estimate by signatures still leads to verification.
 SIGMAS = 5
 
@@ -109,18 +111,18 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(a[o].astype(np.float32) for a, o in zip((gamma, np.log(gamma), uniform), order))
 
 
-def signatures(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def signatures(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, samples: int = SAMPLES, skip: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Rows that have shingles, and for each the smallest sample of every hash function.
 
     For shingle k with weight S: t = floor(ln S / r + b), ln y = r (t - b), ln a = ln c - ln y - r with r, c ~ Gamma(2, 1) and
     b uniform, all drawn by hashing k. The shingle of the smallest a, with its t, is the sample; a itself is the
-    same number in two texts exactly when both are, so it stands for the pair.
+    same number in two texts exactly when both are, so it stands for the pair. ``skip`` leaves out the first hash functions.
     """
     gamma, log_gamma, uniform = _tables()
     first = np.flatnonzero(np.diff(doc, prepend=-1))
     rows = doc[first]
-    out = np.empty((len(rows), SAMPLES), np.float32)
-    seeds = mix(np.arange(1, SAMPLES + 1, dtype=_U)) | _U(1)
+    out = np.empty((len(rows), samples), np.float32)
+    seeds = mix(np.arange(1 + skip, samples + skip + 1, dtype=_U)) | _U(1)
     cuts = [0]
     while cuts[-1] < len(first):  # whole rows, about 60,000 shingles at once
         cuts.append(max(cuts[-1] + 1, int(np.searchsorted(first, first[cuts[-1]] + 60_000))))
@@ -128,7 +130,7 @@ def signatures(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray) -> tupl
         b = min(b, len(first))
         end = first[b] if b < len(first) else len(doc)
         h, log_s, begin = mix(shingle[first[a] : end] + _U(1)), np.log(weight[first[a] : end]), first[a:b] - first[a]
-        for j in range(SAMPLES):
+        for j in range(samples):
             x = h * seeds[j]
             r = gamma[(x >> _U(48)).astype(np.intp)]
             u = uniform[((x >> _U(32)) & _U(0xFFFF)).astype(np.intp)]
@@ -178,6 +180,21 @@ def _sketch(idf):
     return sketch
 
 
+def _more(idf):
+    """One byte of each of ``MORE`` further samples: equal samples have equal bytes, others one time in 256."""
+    schema = pa.schema([("rep", pa.int64()), ("more", pa.binary())])
+
+    def more(batches):
+        for batch in batches:
+            texts = batch.column("text")
+            for begin, size in parts(texts):
+                rows, found = signatures(*shingles(texts.slice(begin, size), idf), MORE, SAMPLES)
+                short = (mix(found.view(np.uint32).astype(_U)) >> _U(56)).astype(np.uint8)
+                yield batch_of(schema, batch.column("doc_id").slice(begin, size).take(pa.array(rows)), [s.tobytes() for s in short])
+
+    return more
+
+
 def _bands():
     schema = pa.schema([("rep", pa.int64()), ("band", pa.int64())])
 
@@ -240,25 +257,28 @@ def joined_classes(labels: DataFrame, links: DataFrame) -> DataFrame:
     return stored(labels.join(new, "label", "left").select("rep", F.coalesce("low", "label").alias("label")), "classes")
 
 
-def _closest(margin: float, tries: int):
+def _closest(margin: float, sure: float, tries: int):
     """For each unmatched member of one block its next members of other classes in the bucket: most equal samples first, then
-    by doc_id, behind the mate of (``seen``, ``last``). ``more`` marks the last one taken where others follow."""
+    by doc_id, behind the mate of (``seen``, ``last``). Mates below ``margin`` by the samples or below ``sure`` by the further samples are
+    not looked at. ``more`` marks the last one taken where others follow."""
     schema = pa.schema([("band", pa.int64()), ("rep", pa.int64()), ("mate", pa.int64()), ("same", pa.int32()), ("more", pa.bool_())])
 
     def closest(mine: pa.Table, others: pa.Table) -> pa.Table:
         def arrays(t):
             raw = b"".join(t.column("samples").to_pylist())
-            return t.column("rep").to_numpy(), t.column("label").to_numpy(), np.frombuffer(raw, np.uint32).reshape(-1, SAMPLES)
+            further = np.frombuffer(b"".join(t.column("more").to_pylist()), np.uint8).reshape(-1, MORE)
+            return t.column("rep").to_numpy(), t.column("label").to_numpy(), np.frombuffer(raw, np.uint32).reshape(-1, SAMPLES), further
 
         if not mine.num_rows or not others.num_rows:
             return schema.empty_table()
-        rep, label, samples = arrays(mine)
-        other, other_label, other_samples = arrays(others)
+        rep, label, samples, further = arrays(mine)
+        other, other_label, other_samples, other_further = arrays(others)
         columns = np.ascontiguousarray(other_samples.T)
         found = []
-        for x, own, s, seen, last in zip(rep.tolist(), label.tolist(), samples, mine.column("seen").to_pylist(), mine.column("last").to_pylist()):
+        for x, own, s, m, seen, last in zip(rep.tolist(), label.tolist(), samples, further, mine.column("seen").to_pylist(), mine.column("last").to_pylist()):
             same = (columns == s[:, None]).sum(axis=0, dtype=np.int32)
             at = np.flatnonzero((same >= margin * SAMPLES) & (other_label != own) & ((same < seen) | ((same == seen) & (other > last))))
+            at = at[(other_further[at] == m).sum(axis=1, dtype=np.int32) >= sure * MORE]
             best = at[np.lexsort((other[at], -same[at]))[:tries]]
             more = len(at) > tries
             found += [(x, y, n, more and k == tries - 1) for k, (y, n) in enumerate(zip(other[best].tolist(), same[best].tolist()))]
@@ -312,8 +332,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     tried = stored(to_leader.distinct(), "pairs")
     links = verified(tried)
     labels = joined_classes(texts.select("rep", F.col("rep").alias("label")), links)
-    margin = threshold - SIGMAS * (threshold * (1 - threshold) / SAMPLES) ** 0.5
-    left, tries = None, TRIES
+    margin, sure = (threshold - SIGMAS * (threshold * (1 - threshold) / n) ** 0.5 for n in (SAMPLES, MORE))
+    left, tries, further = None, TRIES, None
     while True:
         placed = buckets.join(labels, "rep").join(labels.select(F.col("rep").alias("leader"), F.col("label").alias("lead")), "leader")
         if left is None:
@@ -322,12 +342,16 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
             placed = placed.join(left, ["band", "rep"], "left")
         placed = placed.withColumn("apart", (F.col("label") != F.col("lead")) & F.col("seen").isNotNull())
         blocks = stored(placed.where("apart").groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "blocks")
-        members = stored(placed.join(blocks, "band").join(texts.select("rep", "samples"), "rep"), "open")
-        cols = ["band", "block", "rep", "label", "samples"]
+        if further is None:
+            # classes only merge, so later rounds are about these buckets
+            open_ = placed.join(blocks, "band").select(F.col("rep").alias("doc_id")).distinct()
+            further = stored(some.join(open_, "doc_id").mapInArrow(_more(table), "rep bigint, more binary"), "further")
+        members = stored(placed.join(blocks, "band").join(texts.select("rep", "samples"), "rep").join(further, "rep"), "open")
+        cols = ["band", "block", "rep", "label", "samples", "more"]
         mine = members.where("apart").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).select(*cols, "seen", "last")
         others = members.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(cols).toDF(*cols)
         near = mine.groupBy("band", "block").cogroup(others.groupBy("band", "block"))
-        found = stored(near.applyInArrow(_closest(margin, tries), "band bigint, rep bigint, mate bigint, same int, more boolean"), "found")
+        found = stored(near.applyInArrow(_closest(margin, sure, tries), "band bigint, rep bigint, mate bigint, same int, more boolean"), "found")
         pairs = found.select(F.least("rep", "mate").alias("a"), F.greatest("rep", "mate").alias("b")).distinct()
         pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         more = verified(pairs)
@@ -338,6 +362,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         if left.isEmpty():
             break
         tried, tries = tried.unionByName(pairs), tries * 2
+    idf.destroy()  # everything that reads it is stored
     ends = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
     known = texts.select("h1", "h2", "rep").join(labels, "rep").join(ends, "rep", "left")
     return sketches.join(known, ["h1", "h2"]).select(

@@ -135,17 +135,48 @@ def test_partner_behind_many_similar_mates_is_found(spark):
 
 def test_closest_goes_on_behind_the_last_mate():
     samples = np.arange(N.SAMPLES, dtype=np.uint32)
-    others = [np.where(np.arange(N.SAMPLES) < k, 10**6, samples).astype(np.uint32).tobytes() for k in (5, 3, 3, 9, 30)]
-    others = pa.table({"band": [7] * 5, "block": [0] * 5, "rep": [1, 3, 2, 4, 5], "label": [1, 3, 2, 0, 5], "samples": others})
-    mine = {"band": [7], "block": [0], "rep": [0], "label": [0], "samples": [samples.tobytes()]}
+    others = [np.where(np.arange(N.SAMPLES) < k, 10**6, samples).astype(np.uint32).tobytes() for k in (5, 3, 3, 9, 30, 2)]
+    # the last has the most equal samples but too few equal further ones
+    more = [b"x" * N.MORE] * 5 + [b"x" * 300 + b"y" * (N.MORE - 300)]
+    others = pa.table({"band": [7] * 6, "block": [0] * 6, "rep": [1, 3, 2, 4, 5, 6], "label": [1, 3, 2, 0, 5, 6], "samples": others, "more": more})
+    mine = {"band": [7], "block": [0], "rep": [0], "label": [0], "samples": [samples.tobytes()], "more": more[:1]}
     seen, last, taken = N.SAMPLES + 1, 0, []
     for _ in range(3):
-        out = N._closest(0.55, 1)(pa.table(mine | {"seen": [seen], "last": [last]}), others).to_pylist()
+        out = N._closest(0.55, 0.7, 1)(pa.table(mine | {"seen": [seen], "last": [last]}), others).to_pylist()
         taken += [(o["mate"], o["more"]) for o in out]
         seen, last = out[-1]["same"], out[-1]["mate"]
     assert taken == [(2, True), (3, True), (1, False)]
 
 
+def test_classes_are_the_components_of_all_pairs(spark):
+    """Given documents, and a family whose pairs lie on both sides of the threshold."""
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").where("text IS NOT NULL")
+    base = prose(40, 300)
+    rows = [(r.doc_id, r.text) for r in given.collect()] + [(10**6 + k, edited(base, k, share)) for k, share in enumerate([0.02, 0.025, 0.03, 0.035] * 10)]
+    table = docs(spark, rows)
+    got = {r.doc_id: r.class_id for r in N.near_duplicates(table).collect()}
+    doc, shingle, weight = N.shingles(pa.array([t for _, t in rows]), N.idf_levels(*N.word_frequencies(table)))
+    edge = np.searchsorted(doc, np.arange(len(rows) + 1))
+    vectors = [(shingle[a:b], weight[a:b]) for a, b in zip(edge, edge[1:])]
+    holders, above = defaultdict(list), {i: i for i in range(len(rows))}
+    for i, (mine, _) in enumerate(vectors):
+        for k in mine.tolist():
+            holders[k].append(i)
+
+    def top(i):
+        while above[i] != i:
+            i = above[i]
+        return i
+
+    for i, j in {(i, j) for some in holders.values() for i, j in itertools.combinations(some, 2)}:
+        if N.weighted_jaccard(vectors[i], vectors[j]) >= 0.8:
+            above[max(top(i), top(j))] = min(top(i), top(j))
+    least = defaultdict(lambda: 10**9)
+    for i, (key, _) in enumerate(rows):
+        least[top(i)] = min(least[top(i)], key)
+    assert got == {key: least[top(i)] for i, (key, _) in enumerate(rows)}
+
+
 # repeated substrings
 
 
