@@ -183,6 +183,27 @@ def report_stats(t):
     return EV.report_stats(scored(t).where(~F.col("is_smoke_test_variant")))
 
 
+# vectors of an answer and of what was expected, as the answers' documents and those four further on
+VECTORED = f"""
+SELECT s.*, CASE WHEN s.jaccard IS NOT NULL THEN list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda z: z[1]::DOUBLE * z[2]::DOUBLE))
+  / (sqrt(list_sum(list_transform(a.embedding, lambda x: x::DOUBLE * x::DOUBLE))) * sqrt(list_sum(list_transform(b.embedding, lambda x: x::DOUBLE * x::DOUBLE)))) END AS cosine
+FROM ({SCORED}) s LEFT JOIN {{embeddings}} a ON a.vec_id = s.doc_id LEFT JOIN {{embeddings}} b ON b.vec_id = s.doc_id + 4"""
+
+
+def vectored(t):
+    a = t.embeddings.select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("va"))
+    b = t.embeddings.select((F.col("vec_id") - 4).alias("doc_id"), F.col("embedding").alias("vb"))
+    both = scored(t).join(a, "doc_id", "left").join(b, "doc_id", "left")
+    return both.withColumn("cosine", F.when(F.col("jaccard").isNotNull(), text.cosine(F.col("va"), F.col("vb")))).drop("va", "vb")
+
+
+@query("report_metrics", f"""
+SELECT run_id, count(*) AS number_of_runs, round(avg(rating), 6) AS average_rating, min(rating) AS min_rating, max(rating) AS max_rating, round(avg(cosine), 6) AS average_cosine, round(avg(jaccard), 6) AS average_jaccard
+FROM ({VECTORED}) WHERE NOT is_smoke_test_variant GROUP BY run_id""")
+def report_metrics(t):
+    return EV.report_stats(vectored(t).where(~F.col("is_smoke_test_variant")))
+
+
 @query("model_matrix", f"""
 SELECT model, count(*) AS runs, round(avg(rating), 6) AS average_rating, min(rating) AS min_rating, max(rating) AS max_rating, round(var_pop(rating), 6) AS rating_variance,
   round(avg(jaccard), 6) AS average_jaccard, round(avg(latency_ms), 6) AS average_latency_ms, CAST(sum(input_tokens) AS BIGINT) AS input_tokens, CAST(sum(output_tokens) AS BIGINT) AS output_tokens,
