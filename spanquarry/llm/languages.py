@@ -138,19 +138,19 @@ def viterbi(scores: list[np.ndarray], switch: float = SWITCH) -> list[np.ndarray
     flat = np.concatenate([scores[i] for i in order])
     base = np.cumsum(sizes) - sizes
     value = np.zeros((len(scores), states), np.float32)
-    back = np.empty((int(alive.sum()), states), np.int8)
+    back = np.empty((int(alive.sum()), states), np.int16)
     at = np.concatenate([[0], np.cumsum(alive)])
-    own = np.arange(states, dtype=np.int8)
+    own = np.arange(states, dtype=np.int16)
     for t in range(steps):
         n = alive[t]
         held = value[:n]
         best = held.argmax(axis=1)
         top = held[np.arange(n), best] - np.float32(switch)
         move = top[:, None] > held
-        back[at[t] : at[t + 1]] = np.where(move, best[:, None].astype(np.int8), own)
+        back[at[t] : at[t + 1]] = np.where(move, best[:, None].astype(np.int16), own)
         value[:n] = np.where(move, top[:, None], held) + flat[base[:n] + t]
     state = value.argmax(axis=1)
-    path = np.empty(len(flat), np.int8)
+    path = np.empty(len(flat), np.int16)
     for t in range(steps - 1, -1, -1):
         n = alive[t]
         path[base[:n] + t] = state[:n]
@@ -209,15 +209,20 @@ def predict(docs: DataFrame, model: Model, keep_spans: bool = False) -> DataFram
     """``docs`` with lang_pred (`und` if the text is null or has no letter) and score, the share of the letters that
     Viterbi gives to that language; with ``keep_spans`` also the labelled spans of words.
 
-    Only the text is used. Ties go to the language that sorts first; empty tables give no rows.
+    Only the text is used. Ties go to the language that sorts first; empty tables give no rows; columns of ``docs`` that are
+    named like one of these are replaced.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    # the state alone: executors may not be able to import the class
+    held = docs.sparkSession.sparkContext.broadcast(vars(model))
+    docs = docs.drop(*["lang_pred", "score", "spans"][: 2 + keep_spans])
     columns = docs.columns
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     made = pa.schema([("lang_pred", pa.string()), ("score", pa.float64()), ("spans", pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int32())])))])
 
     def label(batches):
-        labeller = Labeller(held.value)
+        known = Model.__new__(Model)
+        known.__dict__.update(held.value)
+        labeller = Labeller(known)
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for a, b in slices([len(t) for t in texts], 1_000_000):

@@ -41,6 +41,18 @@ def test_viterbi_equals_brute_force():
         best = max(itertools.product(range(3), repeat=len(scores)), key=value)
         assert value(path.tolist()) == pytest.approx(value(best), abs=1e-4)
     assert L.viterbi([]) == []
+    many = np.zeros((5, 300), np.float32)
+    many[:, 250] = 1
+    assert L.viterbi([many])[0].tolist() == [250] * 5
+
+
+def test_columns_named_like_the_result_are_replaced(spark, model):
+    table = docs(spark, [(1, shuffled(EN, 500)), (2, None)]).withColumns({"lang_pred": F.lit("x"), "score": F.lit("y"), "spans": F.lit(7)})
+    got = L.predict(table, model)
+    assert sorted(got.columns) == sorted(table.columns) and {(r.doc_id, r.lang_pred, r.spans) for r in got.collect()} == {(1, "en", 7), (2, "und", 7)}
+    assert [len(r.spans) for r in L.predict(table, model, keep_spans=True).where("doc_id = 1").collect()] == [1]
+    named = L.predict(table, model).where((F.col("lang_pred") != "und") & (F.col("score") >= 0.5))
+    assert [r.doc_id for r in named.select(table.columns).collect()] == [1]
 
 
 def test_languages(spark, model):
