@@ -156,3 +156,16 @@ def test_reviews_are_queued_once(spark, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "routes"))
     assert sorted(r["span_id"] for r in stored.where("action = 'review'").collect()) == [1, 2]
     assert stored.where(F.col("action") == "dataset").count() == 3
+
+
+def test_tables_that_are_folders_are_streamed_whole(spark, tmp_path):
+    from catalog import streams
+    from catalog.base import Tables
+
+    rows = spark.createDataFrame([(i, f"t{i}") for i in range(20)], "doc_id BIGINT, text STRING")
+    rows.repartition(3).write.parquet(str(tmp_path / "a" / "documents.parquet"))
+    rows.toPandas().to_parquet(tmp_path / "documents.parquet")
+    for folder in (tmp_path / "a", tmp_path):
+        t = Tables(spark, str(folder))
+        got = streams.finish(t, streams.Streamed(t).documents)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.collect()))
