@@ -286,41 +286,66 @@ def idle_sessions(turns: DataFrame, idle_seconds: int = 120, watermark: str = "1
     )
 
 
-class OpenRun(Timed):
-    """A run until its limit: what is delivered again by then changes nothing; see :func:`ttl_sweep_stream`."""
+class OpenRuns(Timed):
+    """The open runs of a bucket until their limits: what is delivered again by then changes nothing; see :func:`ttl_sweep_stream`."""
 
-    def __init__(self, ttl_micros: int):
-        self.ttl = ttl_micros
+    NEVER = 2**63 - 1
+
+    def __init__(self, ttl_micros: int, kind: str):
+        self.ttl, self.kind = ttl_micros, kind
 
     def init(self, handle) -> None:
         super().init(handle)
-        self.run = handle.getValueState("run", "started BIGINT, ended BIGINT")
+        self.runs = handle.getValueState("runs", f"ids ARRAY<{self.kind}>, started ARRAY<BIGINT>, ended ARRAY<BIGINT>")
+
+    def _held(self) -> pd.DataFrame:
+        ids, started, ended = self.runs.get() or ([], [], [])
+        return pd.DataFrame({"run_id": list(ids), "started": pd.Series(list(started), dtype="int64"), "ended": pd.Series(list(ended), dtype="int64")})
+
+    @staticmethod
+    def _first(frames: list[pd.DataFrame]) -> pd.DataFrame:
+        """The earliest start and end of each run."""
+        return pd.concat([f for f in frames if len(f)]).groupby("run_id", sort=False, dropna=False).min().reset_index()
+
+    def _due(self, runs: pd.DataFrame) -> pd.Series:
+        return runs["started"].where(runs["started"] != self.NEVER, runs["ended"]) + self.ttl
+
+    def _keep(self, runs: pd.DataFrame, fired: bool) -> None:
+        if len(runs):
+            self.runs.update((runs["run_id"].tolist(), runs["started"].tolist(), runs["ended"].tolist()))
+        else:
+            self.runs.clear()
+        self.set_timer(int(self._due(runs).min()) if len(runs) else None, fired)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         yield from ()
-        started, ended = self.run.get() if self.run.exists() else (None, None)
+        frames = [self._held()]
         for frame in rows:
             at, end = micros(frame["at"]), frame["is_end"].to_numpy(bool)
-            if (~end).any():
-                started = min(x for x in (started, int(at[~end].min())) if x is not None)
-            if end.any():
-                ended = min(x for x in (ended, int(at[end].min())) if x is not None)
-        self.run.update((started, ended))
-        self.set_timer((started if started is not None else ended) + self.ttl)
+            started, ended = at.copy(), at.copy()
+            started[end], ended[~end] = self.NEVER, self.NEVER
+            frames.append(self._first([pd.DataFrame({"run_id": frame["run_id"].to_numpy(), "started": started, "ended": ended})]))
+        self._keep(self._first(frames), False)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.run.exists():
-            started, ended = self.run.get()
-            self.run.clear()
-            if started is not None and (ended is None or not started <= ended <= started + self.ttl):
-                yield pd.DataFrame({"run_id": [key[0]], "started_at": [moment(started)], "dropped_at": [moment(started + self.ttl)]})
+        runs = self._held()
+        over = -(-self._due(runs) // 1000) <= timerValues.getCurrentWatermarkInMs()
+        self._keep(runs[~over], True)
+        told = runs[over]
+        told = told[(told["started"] != self.NEVER) & ((told["ended"] < told["started"]) | (told["ended"] - self.ttl > told["started"]))]
+        if len(told):
+            started = told["started"].to_numpy()
+            yield pd.DataFrame({"run_id": told["run_id"].to_numpy(), "started_at": started.view("datetime64[us]"), "dropped_at": (started + self.ttl).view("datetime64[us]")})
 
 
-def ttl_sweep_stream(starts: DataFrame, ends: DataFrame, ttl_seconds: int = 3600, watermark: str = "10 minutes") -> DataFrame:
+def ttl_sweep_stream(starts: DataFrame, ends: DataFrame, ttl_seconds: int = 3600, watermark: str = "10 minutes", buckets: int = 1024) -> DataFrame:
     """Runs (run_id, started_at, dropped_at) whose end did not come within the limit, told and forgotten when it has passed.
 
     ``starts(run_id, started_at)``, ``ends(run_id, ended_at)``; an end that comes later finds nothing, as in
     :func:`~spanquarry.operators.logs.ttl_sweep` with ``ended_at``.
+
+    Runs are dealt into ``buckets`` by a hash of their id and the open ones of a bucket are one state under one timer: a state per run costs
+    a dozen calls to the store. A bucket is read whole when one of its runs comes, so it should hold some thousand open runs.
     """
     kind = starts.schema["run_id"].dataType.simpleString()
     both = starts.select("run_id", F.col("started_at").alias("at"), F.lit(False).alias("is_end")).unionByName(
@@ -328,9 +353,10 @@ def ttl_sweep_stream(starts: DataFrame, ends: DataFrame, ttl_seconds: int = 3600
     )
     return (
         keyed(both, "run_id", "at", watermark)
-        .groupBy("run_id")
+        .withColumn("bucket", F.pmod(F.xxhash64("run_id"), F.lit(buckets)))
+        .groupBy("bucket")
         .transformWithStateInPandas(
-            OpenRun(ttl_seconds * 1_000_000), f"run_id {kind}, started_at TIMESTAMP, dropped_at TIMESTAMP", "Append", "EventTime",
+            OpenRuns(ttl_seconds * 1_000_000, kind), f"run_id {kind}, started_at TIMESTAMP, dropped_at TIMESTAMP", "Append", "EventTime",
             eventTimeColumnName="dropped_at",
         )
     )

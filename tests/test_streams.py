@@ -169,3 +169,67 @@ def test_tables_that_are_folders_are_streamed_whole(spark, tmp_path):
         t = Tables(spark, str(folder))
         got = streams.finish(t, streams.Streamed(t).documents)
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.collect()))
+
+
+class Store:
+    """A stand-in for the handle of a processor that counts the calls."""
+
+    def __init__(self):
+        self.calls, self.value, self.timers = 0, None, []
+
+    def getValueState(self, name, schema):
+        return self
+
+    def _count(self):
+        self.calls += 1
+
+    def get(self):
+        self._count()
+        return self.value
+
+    def update(self, value):
+        self._count()
+        self.value = value
+
+    def clear(self):
+        self._count()
+        self.value = None
+
+    def listTimers(self):
+        self._count()
+        return iter(list(self.timers))
+
+    def registerTimer(self, at):
+        self._count()
+        self.timers.append(at)
+
+    def deleteTimer(self, at):
+        self._count()
+        self.timers.remove(at)
+
+
+class At:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def test_open_runs_of_a_bucket_are_one_state(spark):
+    import pandas as pd
+
+    store, ttl, n = Store(), 3600, 5000
+    processor = P.OpenRuns(ttl * 1_000_000, "bigint")
+    processor.init(store)
+    start = pd.Timestamp(T0)
+    ids = [2**60 + i for i in range(n)]
+    frame = lambda ids, at, end: pd.DataFrame({"run_id": ids, "at": pd.Series([at] * len(ids), dtype="datetime64[ns]"), "is_end": end})
+    assert not list(processor.handleInputRows((1,), iter([frame(ids[:3000], start, False), frame(ids[3000:], start, False)]), At(0)))
+    assert not list(processor.handleInputRows((1,), iter([frame(ids[::2], start + pd.Timedelta(seconds=ttl), True)]), At(0)))
+    later = start + pd.Timedelta(seconds=ttl + 1)
+    assert not list(processor.handleInputRows((1,), iter([frame(ids[:2], later, True), frame([7], later, False)]), At(0)))
+    told = pd.concat(processor.handleExpiredTimer((1,), At((start.value // 10**6) + ttl * 1000), None))
+    assert sorted(told["run_id"]) == ids[1::2]
+    assert set(told["dropped_at"]) == {start + pd.Timedelta(seconds=ttl)}
+    assert store.value[0] == [7] and store.calls < 30
