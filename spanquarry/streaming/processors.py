@@ -47,14 +47,13 @@ class Timed(StatefulProcessor):
     def init(self, handle) -> None:
         self.handle = handle
 
-    def set_timer(self, at_micros: int | None, fired: bool = False) -> None:
-        """The key's only timer; one that has ``fired`` is removed by the engine, and removing it earlier upsets the walk over the others."""
-        wanted = None if at_micros is None else -(-at_micros // 1000)
-        for old in [] if fired else list(self.handle.listTimers()):
-            if old == wanted:
-                return
+    def set_timer(self, at_micros: int | None, before: int | None = None) -> None:
+        """The key's only timer; ``before`` is the one it replaces, None where that has fired: the engine removes it, and doing so earlier upsets
+        the walk over the others."""
+        wanted, old = (None if x is None else -(-x // 1000) for x in (at_micros, before))
+        if old is not None and old != wanted:
             self.handle.deleteTimer(old)
-        if wanted is not None:
+        if wanted is not None and old != wanted:
             self.handle.registerTimer(wanted)
 
     def close(self) -> None:
@@ -77,112 +76,116 @@ class ChunkAssembler(Timed):
     def init(self, handle) -> None:
         super().init(handle)
         self.facts = handle.getValueState("facts", self.FACTS)
-        # fragments by (text of a choice, arguments or name of a tool, numbers seen; index; slice of the sequence)
-        self.parts = handle.getMapState("parts", "kind STRING, place BIGINT, slice BIGINT", "seqs ARRAY<BIGINT>, texts ARRAY<STRING>")
-
-    def _held(self, key: tuple) -> tuple[list, list]:
-        if not self.parts.containsKey(key):
-            return [], []
-        seqs, texts = self.parts.getValue(key)
-        return list(seqs), list(texts)
-
-    def _unseen(self, rows: pd.DataFrame) -> pd.DataFrame:
-        """Rows of new sequence numbers; a slice of which all are seen is kept as their count."""
-        new = []
-        for number, group in rows.groupby(rows["seq"] // self.slice_size):
-            key = ("seen", 0, int(number))
-            seqs, full = self._held(key)
-            if full:
+        # by slice of the sequence: whether all of it came, else the numbers seen; fragments: text of a choice, arguments or name of a tool
+        self.parts = handle.getMapState(
+            "parts", "slice BIGINT", "full BOOLEAN, seen ARRAY<BIGINT>, kinds ARRAY<STRING>, places ARRAY<BIGINT>, seqs ARRAY<BIGINT>, texts ARRAY<STRING>"
+        )
+
+    def _slice(self, number: int, touched: dict, stored: bool) -> dict:
+        if number not in touched:
+            value = self.parts.getValue((number,)) if stored else None
+            full, seen, *parts = value or (False, [], [], [], [], [])
+            touched[number] = {"full": full, "seen": set(seen), "parts": list(zip(*parts))}
+        return touched[number]
+
+    def _store(self, touched: dict) -> None:
+        for number, held in touched.items():
+            parts = held["parts"]
+            if held["full"]:  # nothing of this slice can come any more
+                joined: dict = {}
+                for kind, place, seq, text in sorted(parts, key=lambda p: p[2]):
+                    joined[kind, place] = text if kind == "name" else joined.get((kind, place), "") + text
+                seqs = {(kind, place): seq for kind, place, seq, _ in sorted(parts, key=lambda p: p[2])}
+                parts = [(*of, seqs[of], text) for of, text in joined.items()]
+            lists = list(map(list, zip(*parts))) or [[], [], [], []]
+            self.parts.updateValue((number,), (held["full"], [] if held["full"] else sorted(held["seen"]), *lists))
+
+    def _fed(self, facts: dict, frame: pd.DataFrame, touched: dict, stored: bool) -> dict:
+        """The facts after the chunks of new sequence numbers, whose fragments go to ``touched``."""
+        known = lambda v: v is not None and v == v
+        columns = ("seq", "choice", "delta", "tool_index", "tool_name", "tool_args", "model", "input_tokens", "output_tokens", "has_usage", "error", "last")
+        ended = []
+        for at, seq, choice, delta, index, name, args, model, given, made, usage, error, last in zip(micros(frame["at"]).tolist(), *(frame[c].tolist() for c in columns)):
+            if not known(seq):
                 continue
-            fresh = group[~group["seq"].isin(seqs)].drop_duplicates("seq")
-            seqs += [int(s) for s in fresh["seq"]]
-            done = len(seqs) == self.slice_size
-            self.parts.updateValue(key, ([], ["all"]) if done else (seqs, []))
-            new.append(fresh)
-        return pd.concat(new) if new else rows.iloc[:0]
-
-    def _add(self, kind: str, place: pd.Series, text: pd.Series, seq: pd.Series) -> None:
-        frame = pd.DataFrame({"place": place, "slice": seq // self.slice_size, "seq": seq, "text": text})
-        for (index, number), group in frame.groupby(["place", "slice"]):
-            key = (kind, int(index), int(number))
-            seqs, texts = self._held(key)
-            there = group[group["text"].notna()]
-            both = sorted([*zip(seqs, texts), *zip(map(int, there["seq"]), there["text"])])
-            if self.parts.containsKey(("seen", 0, int(number))) and self._held(("seen", 0, int(number)))[1]:
-                both = [(both[0][0], "".join(t for _, t in both))] if both else []  # nothing of this slice can come any more
-            self.parts.updateValue(key, ([s for s, _ in both], [t for _, t in both]))
-
-    def _fed(self, facts: dict, rows: pd.DataFrame) -> dict:
-        delta, index = rows["delta"], rows["tool_index"]
-        spoken, tools = delta.notna() & (delta != ""), index.notna()
-        if spoken.any():
-            self._add("text", rows["choice"].fillna(0)[spoken].astype("int64"), delta[spoken], rows["seq"][spoken])
-        if tools.any():
-            self._add("tool", index[tools].astype("int64"), rows["tool_args"][tools], rows["seq"][tools])
-            named = rows[tools & rows["tool_name"].notna() & (rows["tool_name"] != "")]
-            for row in named.itertuples():
-                key = ("name", int(row.tool_index), 0)
-                if (self._held(key)[0] or [-1])[0] < row.seq:
-                    self.parts.updateValue(key, ([int(row.seq)], [row.tool_name]))
-        for row in rows[rows["model"].notna() & (rows["model"] != "")].itertuples():
-            if facts["model_seq"] is None or row.seq < facts["model_seq"]:
-                facts |= {"model": row.model, "model_seq": int(row.seq)}
-        for row in rows[rows["has_usage"].fillna(False).astype(bool)].itertuples():
-            if facts["usage_seq"] is None or row.seq > facts["usage_seq"]:
-                count = lambda v: None if pd.isna(v) else int(v)
-                facts |= {"input_tokens": count(row.input_tokens), "output_tokens": count(row.output_tokens), "usage_seq": int(row.seq)}
-        for row in rows[rows["error"].notna()].itertuples():
-            if facts["error_seq"] is None or row.seq > facts["error_seq"]:
-                facts |= {"error": row.error, "error_seq": int(row.seq)}
-        ended = rows["seq"][rows["last"].fillna(False).astype(bool)]
-        if len(ended):
-            facts["last_seq"] = int(ended.max())
-        at = micros(rows["at"])
-        facts["first_at"] = int(min(at.min(), facts["first_at"] if facts["first_at"] is not None else at.min()))
-        facts["end_at"] = int(max(at.max(), facts["end_at"] if facts["end_at"] is not None else at.max()))
-        facts["n"] += len(rows)
+            seq = int(seq)
+            held = self._slice(seq // self.slice_size, touched, stored)
+            if held["full"] or seq in held["seen"]:
+                continue  # a chunk delivered again
+            held["seen"].add(seq)
+            held["full"] = len(held["seen"]) == self.slice_size
+            if known(delta) and delta != "":
+                held["parts"].append(("text", int(choice) if known(choice) else 0, seq, delta))
+            if known(index):
+                held["parts"].append(("tool", int(index), seq, args if known(args) else ""))
+                if known(name) and name != "":
+                    held["parts"].append(("name", int(index), seq, name))
+            if known(model) and model != "" and (facts["model_seq"] is None or seq < facts["model_seq"]):
+                facts |= {"model": model, "model_seq": seq}
+            if known(usage) and usage and (facts["usage_seq"] is None or seq > facts["usage_seq"]):
+                facts |= {"input_tokens": int(given) if known(given) else None, "output_tokens": int(made) if known(made) else None, "usage_seq": seq}
+            if known(error) and (facts["error_seq"] is None or seq > facts["error_seq"]):
+                facts |= {"error": error, "error_seq": seq}
+            if known(last) and last:
+                ended.append(seq)
+            facts["first_at"] = at if facts["first_at"] is None else min(at, facts["first_at"])
+            facts["end_at"] = at if facts["end_at"] is None else max(at, facts["end_at"])
+            facts["n"] += 1
+        if ended:
+            facts["last_seq"] = max(ended)
         return facts
 
-    def _row(self, key: tuple, facts: dict, complete: bool) -> pd.DataFrame:
+    def _row(self, key: tuple, facts: dict, complete: bool, touched: dict, stored: bool) -> pd.DataFrame:
+        parts = [p for held in touched.values() for p in held["parts"]]
+        if stored:
+            for (number,), (_, _, *lists) in self.parts.iterator():
+                if number not in touched:
+                    parts += zip(*lists)
         texts, args, names = {}, {}, {}
-        for (kind, place, number), (_, parts) in self.parts.iterator():
+        for kind, place, _, text in sorted(parts, key=lambda p: p[2]):
             if kind == "name":
-                names[place] = parts[0]
-            elif kind != "seen":
-                (texts if kind == "text" else args).setdefault(place, []).append((number, "".join(parts)))
-        join = lambda pieces: "".join(t for _, t in sorted(pieces))
-        output = "\n".join(join(texts[c]) for c in sorted(texts)) or None
+                names[place] = text
+            else:
+                (texts if kind == "text" else args).setdefault(place, []).append(text)
+        output = "\n".join("".join(texts[c]) for c in sorted(texts)) or None
         if output is None and args:
-            output = "[tool call] " + ", ".join(f"{names.get(i, 'unknown')}({join(args[i])})" for i in sorted(args))
-        kept = {n: [facts[n]] for n in ("model", "input_tokens", "output_tokens", "error")}
-        out = pd.DataFrame({"call_id": [key[0]], "output": [output], **kept, "complete": [complete], "first_at": [moment(facts["first_at"])], "end_at": [moment(facts["end_at"])]})
-        return out.astype({"input_tokens": "Int64", "output_tokens": "Int64"})
+            output = "[tool call] " + ", ".join(f"{names.get(i, 'unknown')}({''.join(args[i])})" for i in sorted(args))
+        counts = {n: pd.array([facts[n]], "Int64") for n in ("input_tokens", "output_tokens")}
+        times = {n: [moment(facts[n])] for n in ("first_at", "end_at")}
+        return pd.DataFrame({"call_id": [key[0]], "output": [output], "model": [facts["model"]], **counts, "error": [facts["error"]], "complete": [complete], **times})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         names = [f.split()[0] for f in self.FACTS.split(", ")]
-        facts = dict(zip(names, self.facts.get() if self.facts.exists() else self.EMPTY))
+        held = self.facts.get()
+        facts, stored, touched = dict(zip(names, held or self.EMPTY)), held is not None, {}
+        if facts["closed"]:
+            return  # chunks delivered again
+        before = facts["end_at"]
         for frame in rows:
-            if facts["closed"]:
-                continue  # a chunk delivered again
-            fresh = self._unseen(frame)
-            if len(fresh):
-                facts = self._fed(facts, fresh)
-        if not facts["closed"] and facts["last_seq"] is not None and facts["n"] > facts["last_seq"]:
-            yield self._row(key, facts, True)
-            self.parts.clear()
+            if touched:  # no more than the slices of a frame are held
+                self._store(touched)
+                touched, stored = {}, True
+            facts = self._fed(facts, frame, touched, stored)
+        if facts["last_seq"] is not None and facts["n"] > facts["last_seq"]:
+            yield self._row(key, facts, True, touched, stored)
+            if stored:
+                self.parts.clear()
             facts = dict(zip(names, self.EMPTY)) | {"closed": True, "end_at": facts["end_at"]}
+        else:
+            self._store(touched)
         if facts["end_at"] is not None:
             self.facts.update(tuple(facts.values()))
-            self.set_timer(facts["end_at"] + self.expire)
+            self.set_timer(facts["end_at"] + self.expire, None if before is None else before + self.expire)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.facts.exists():
-            names = [f.split()[0] for f in self.FACTS.split(", ")]
-            facts = dict(zip(names, self.facts.get()))
+        names = [f.split()[0] for f in self.FACTS.split(", ")]
+        held = self.facts.get()
+        if held is not None:
+            facts = dict(zip(names, held))
             if not facts["closed"]:
-                yield self._row(key, facts, False)
+                yield self._row(key, facts, False, {}, True)
+                self.parts.clear()
             self.facts.clear()
-            self.parts.clear()
 
 
 def assemble_chunks_stream(chunks: DataFrame, watermark: str = "10 minutes", expire_seconds: int = 86400, slice_size: int = 1000) -> DataFrame:
@@ -225,64 +228,86 @@ def local_bursts(turns: DataFrame, idle_seconds: int) -> DataFrame:
     return made.withColumn("session_id", F.col("session_id").cast(kind))
 
 
-class IdleSession(Timed):
-    """Bursts that may still grow, and the number of turns before them; see :func:`idle_sessions`."""
+class IdleSessions(Timed):
+    """The bursts of a bucket of sessions that may still grow, and the number of turns of each session before them; see :func:`idle_sessions`."""
 
-    def __init__(self, idle_micros: int):
-        self.idle = idle_micros
+    def __init__(self, idle_micros: int, kind: str):
+        self.idle, self.kind = idle_micros, kind
 
     def init(self, handle) -> None:
         super().init(handle)
-        self.session = handle.getValueState("session", "turns BIGINT, firsts ARRAY<BIGINT>, lasts ARRAY<BIGINT>, counts ARRAY<BIGINT>")
+        self.open = handle.getValueState("open", f"ids ARRAY<{self.kind}>, firsts ARRAY<BIGINT>, lasts ARRAY<BIGINT>, counts ARRAY<BIGINT>")
+        self.settled = handle.getMapState("settled", f"session_id {self.kind}", "turns BIGINT")
+
+    def _timer(self, bursts: list) -> int | None:
+        return min(b[2] for b in bursts) + self.idle if bursts else None
 
-    def _settle(self, key, turns: int, bursts: list, watermark: int, fired: bool) -> Iterator[pd.DataFrame]:
-        out, left = [], []
-        for first, last, n in bursts:
+    def _settle(self, bursts: list, watermark: int, before: int | None = None) -> Iterator[pd.DataFrame]:
+        """``bursts`` (session, first, last, n), those of a session in order of time."""
+        turns, out, left = {}, [], []
+        for burst in bursts:
+            session, _, last, n = burst
             if last + self.idle <= watermark:
-                turns += n
-                if turns >= 2:
-                    out.append((key[0], moment(last + self.idle), turns))
+                if session not in turns:
+                    held = self.settled.getValue((session,))
+                    turns[session] = held[0] if held else 0
+                turns[session] += n
+                if turns[session] >= 2:
+                    out.append((session, last + self.idle, turns[session]))
             else:
-                left.append((first, last, n))
-        self.session.update((turns, *([b[i] for b in left] for i in range(3))))
-        self.set_timer(left[0][1] + self.idle if left else None, fired)
+                left.append(burst)
+        for session, n in turns.items():
+            self.settled.updateValue((session,), (n,))
+        if left:
+            self.open.update(tuple(map(list, zip(*left))))
+        else:
+            self.open.clear()
+        self.set_timer(self._timer(left), before)
         if out:
-            yield pd.DataFrame(out, columns=["session_id", "idle_at", "turns"])
+            ids, at, n = zip(*out)
+            yield pd.DataFrame({"session_id": ids, "idle_at": pd.Series(at, dtype="int64").to_numpy().view("datetime64[us]"), "turns": n})
 
-    def _held(self) -> tuple[int, list]:
-        if not self.session.exists():
-            return 0, []
-        turns, *lists = self.session.get()
-        return turns, list(zip(*lists))
+    def _held(self) -> list:
+        return list(zip(*(self.open.get() or ())))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        turns, bursts = self._held()
+        held = self._held()
+        own: dict = {}
+        for session, *burst in held:
+            own.setdefault(session, []).append(tuple(burst))
         for frame in rows:
-            bursts += zip(micros(frame["first_at"]).tolist(), micros(frame["last_at"]).tolist(), map(int, frame["n"]))
+            for session, *burst in zip(frame["session_id"].tolist(), micros(frame["first_at"]).tolist(), micros(frame["last_at"]).tolist(), map(int, frame["n"])):
+                own.setdefault(session, []).append(tuple(burst))
         merged = []
-        for first, last, n in sorted(bursts):
-            if merged and first - merged[-1][1] < self.idle:
-                merged[-1] = (merged[-1][0], max(last, merged[-1][1]), merged[-1][2] + n)
-            else:
-                merged.append((first, last, n))
-        yield from self._settle(key, turns, merged, timerValues.getCurrentWatermarkInMs() * 1000, False)
+        for session, bursts in own.items():
+            first, last, n = None, None, 0
+            for a, b, k in sorted(bursts):
+                if n and a - last < self.idle:
+                    last, n = max(b, last), n + k
+                    continue
+                if n:
+                    merged.append((session, first, last, n))
+                first, last, n = a, b, k
+            merged.append((session, first, last, n))
+        yield from self._settle(merged, timerValues.getCurrentWatermarkInMs() * 1000, self._timer(held))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._settle(key, *self._held(), timerValues.getCurrentWatermarkInMs() * 1000, True)
+        yield from self._settle(self._held(), timerValues.getCurrentWatermarkInMs() * 1000)
 
 
-def idle_sessions(turns: DataFrame, idle_seconds: int = 120, watermark: str = "10 minutes") -> DataFrame:
+def idle_sessions(turns: DataFrame, idle_seconds: int = 120, watermark: str = "10 minutes", buckets: int = 1024) -> DataFrame:
     """The streaming twin of :func:`~spanquarry.operators.monitoring.idle_points`: session_id, idle_at, turns.
 
     A session of at least two turns is told each time it has been quiet for ``idle_seconds``, with all its turns so far: one that resumes
-    is told again as a whole. Its state is the count of settled turns and the bursts that the watermark has not passed, under one timer
-    that every turn sets anew.
+    is told again as a whole. Sessions are dealt into ``buckets`` by a hash of their id. The state of a bucket is the bursts that the
+    watermark has not passed, read whole when a turn comes, under one timer, and for each session the count of settled turns, read when one settles.
     """
     kind = turns.schema["session_id"].dataType.simpleString()
     return (
         keyed(local_bursts(turns, idle_seconds), "session_id", "last_at", watermark)
-        .groupBy("session_id")
-        .transformWithStateInPandas(IdleSession(idle_seconds * 1_000_000), f"session_id {kind}, idle_at TIMESTAMP, turns BIGINT", "Append", "EventTime")
+        .withColumn("bucket", F.pmod(F.xxhash64("session_id"), F.lit(buckets)))
+        .groupBy("bucket")
+        .transformWithStateInPandas(IdleSessions(idle_seconds * 1_000_000, kind), f"session_id {kind}, idle_at TIMESTAMP, turns BIGINT", "Append", "EventTime")
     )
 
 
@@ -310,27 +335,31 @@ class OpenRuns(Timed):
     def _due(self, runs: pd.DataFrame) -> pd.Series:
         return runs["started"].where(runs["started"] != self.NEVER, runs["ended"]) + self.ttl
 
-    def _keep(self, runs: pd.DataFrame, fired: bool) -> None:
+    def _timer(self, runs: pd.DataFrame) -> int | None:
+        return int(self._due(runs).min()) if len(runs) else None
+
+    def _keep(self, runs: pd.DataFrame, before: int | None = None) -> None:
         if len(runs):
             self.runs.update((runs["run_id"].tolist(), runs["started"].tolist(), runs["ended"].tolist()))
         else:
             self.runs.clear()
-        self.set_timer(int(self._due(runs).min()) if len(runs) else None, fired)
+        self.set_timer(self._timer(runs), before)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         yield from ()
-        frames = [self._held()]
+        held = self._held()
+        frames = [held]
         for frame in rows:
             at, end = micros(frame["at"]), frame["is_end"].to_numpy(bool)
             started, ended = at.copy(), at.copy()
             started[end], ended[~end] = self.NEVER, self.NEVER
             frames.append(self._first([pd.DataFrame({"run_id": frame["run_id"].to_numpy(), "started": started, "ended": ended})]))
-        self._keep(self._first(frames), False)
+        self._keep(self._first(frames), self._timer(held))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         runs = self._held()
         over = -(-self._due(runs) // 1000) <= timerValues.getCurrentWatermarkInMs()
-        self._keep(runs[~over], True)
+        self._keep(runs[~over])
         told = runs[over]
         told = told[(told["started"] != self.NEVER) & ((told["ended"] < told["started"]) | (told["ended"] - self.ttl > told["started"]))]
         if len(told):

@@ -180,6 +180,14 @@ class Store:
     def getValueState(self, name, schema):
         return self
 
+    def getMapState(self, name, key, value):
+        self.map = Places(self)
+        return self.map
+
+    def exists(self):
+        self._count()
+        return self.value is not None
+
     def _count(self):
         self.calls += 1
 
@@ -208,6 +216,33 @@ class Store:
         self.timers.remove(at)
 
 
+class Places(dict):
+    """Map state of a :class:`Store`."""
+
+    def __init__(self, store):
+        self.store = store
+
+    def containsKey(self, key):
+        self.store._count()
+        return key in self
+
+    def getValue(self, key):
+        self.store._count()
+        return self.get(key)
+
+    def updateValue(self, key, value):
+        self.store._count()
+        self[key] = value
+
+    def iterator(self):
+        self.store._count()
+        return iter(list(self.items()))
+
+    def clear(self):
+        self.store._count()
+        super().clear()
+
+
 class At:
     def __init__(self, ms):
         self.ms = ms
@@ -233,3 +268,47 @@ def test_open_runs_of_a_bucket_are_one_state(spark):
     assert sorted(told["run_id"]) == ids[1::2]
     assert set(told["dropped_at"]) == {start + pd.Timedelta(seconds=ttl)}
     assert store.value[0] == [7] and store.calls < 30
+
+
+def test_sessions_of_a_bucket_are_one_state(spark):
+    import pandas as pd
+
+    store, n = Store(), 2000
+    processor = P.IdleSessions(120 * 1_000_000, "bigint")
+    processor.init(store)
+    at = lambda m: pd.Series([minutes(m)] * n, dtype="datetime64[us]")
+    frame = lambda m: pd.DataFrame({"session_id": range(n), "first_at": at(m), "last_at": at(m), "n": [2] * n})
+    low = int(pd.Timestamp(T0).value // 10**6)
+    assert not list(processor.handleInputRows((1,), iter([frame(0), frame(1)]), At(low)))
+    assert store.calls < 10  # nothing by session before it settles
+    told = pd.concat(processor.handleExpiredTimer((1,), At(low + 3 * 60_000), None))
+    assert len(told) == n and set(told["turns"]) == {4} and set(told["idle_at"]) == {pd.Timestamp(minutes(3))}
+    assert not list(processor.handleInputRows((1,), iter([frame(30)]), At(low + 4 * 60_000)))
+    told = pd.concat(processor.handleExpiredTimer((1,), At(low + 40 * 60_000), None))
+    assert set(told["turns"]) == {6} and store.value is None
+
+
+def test_a_call_in_one_batch_costs_few_calls_to_the_store(spark):
+    import pandas as pd
+
+    store = Store()
+    processor = P.ChunkAssembler(3600 * 1_000_000, 2)
+    processor.init(store)
+    names = [f.split()[0] for f in CHUNK.split(", ")]
+
+    def frame(rows):
+        return pd.DataFrame(rows, columns=names).astype({"at": "datetime64[us]"})
+
+    whole = [chunk(5, n, n, f"t{n}", choice=n % 2, tool=(n % 3, f"f{n}", f"a{n}"), model=f"m{n}", usage=n, last=n == 5) for n in range(6)]
+    whole += whole[::2]
+    (row,) = pd.concat(processor.handleInputRows((5,), iter([frame(whole)]), At(0))).to_dict("records")
+    assert row["complete"] and row["output"] == "t0t2t4\nt1t3t5" and row["model"] == "m0" and row["output_tokens"] == 5
+    assert store.calls <= 4 and not store.map
+    store.__init__()
+    processor.init(store)
+    for rows in (whole[:1], whole[3:6], whole[:2]):
+        rows = [r[:4] + (None,) + r[5:] for r in rows]
+        done = list(processor.handleInputRows((5,), iter([frame(rows[:1]), frame(rows[1:])] if rows[1:] else [frame(rows)]), At(0)))
+    assert not done
+    (row,) = pd.concat(processor.handleInputRows((5,), iter([frame([r[:4] + (None,) + r[5:] for r in whole[2:3]])]), At(0))).to_dict("records")
+    assert row["complete"] and row["output"] == "[tool call] f3(a0a3), f4(a1a4), f5(a2a5)" and not store.map
