@@ -141,34 +141,39 @@ def _lowest(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _runs(length: int, buckets: int):
     reach = length - GRAM + 1
 
+    def part(texts: pa.Array, doc: np.ndarray, twin: np.ndarray):
+        words = Words(texts, SPACES)
+        if len(words.hash) < length:
+            return
+        grams = words.grams(GRAM)
+        key = sliding_min(grams, reach)
+        at = np.flatnonzero(words.whole(length))
+        if not len(at):
+            return
+        new = np.ones(len(at), bool)
+        new[1:] = (np.diff(at) > 1) | (key[at[1:]] != key[at[:-1]]) | (words.doc[at[1:]] != words.doc[at[:-1]])
+        head = np.flatnonzero(new)
+        count = np.diff(np.append(head, len(at)))
+        start = at[head]
+        rows = np.empty(len(head), _RUN)
+        row = words.doc[start]
+        rows["key"], rows["n"] = key[start], np.where(_twice(grams, key[start], start, count + reach - 1), -count, count)
+        rows["text"] = words.span_hashes(start, start + count + length - 1)
+        rows["doc"], rows["twin"] = doc[row], twin[row]
+        rows["start"] = start - words.of_doc[row]
+        del words, grams, key, at, new, head, count, start, row  # of the size of the texts; the consumer works meanwhile
+        # of equal runs in this part only the first place and one later place are passed on
+        rows, lead = _lowest(rows)
+        yield from _told(rows[~lead])
+        yield _both(_packed(_with_count(rows, lead), buckets))
+
     def find(batches):
         for batch in batches:
             texts = batch.column("text")
             doc, twin = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "twin"))
             for begin, n in parts(texts):
-                words = Words(texts.slice(begin, n), SPACES)
-                if len(words.hash) < length:
-                    continue
-                grams = words.grams(GRAM)
-                key = sliding_min(grams, reach)
-                at = np.flatnonzero(words.whole(length))
-                if not len(at):
-                    continue
-                new = np.ones(len(at), bool)
-                new[1:] = (np.diff(at) > 1) | (key[at[1:]] != key[at[:-1]]) | (words.doc[at[1:]] != words.doc[at[:-1]])
-                head = np.flatnonzero(new)
-                count = np.diff(np.append(head, len(at)))
-                start = at[head]
-                rows = np.empty(len(head), _RUN)
-                row = words.doc[start]
-                rows["key"], rows["n"] = key[start], np.where(_twice(grams, key[start], start, count + reach - 1), -count, count)
-                rows["text"] = words.span_hashes(start, start + count + length - 1)
-                rows["doc"], rows["twin"] = doc[begin + row], twin[begin + row]
-                rows["start"] = start - words.of_doc[row]
-                # of equal runs in this batch only the first place and one later place are passed on
-                rows, lead = _lowest(rows)
-                yield from _told(rows[~lead])
-                yield _both(_packed(_with_count(rows, lead), buckets))
+                yield from part(texts.slice(begin, n), doc[begin : begin + n], twin[begin : begin + n])
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     return find
 

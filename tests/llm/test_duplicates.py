@@ -333,3 +333,22 @@ def test_shuffled_seeds_give_the_same_pairs(spark, monkeypatch):
     monkeypatch.setattr(D, "MOST_BYTES", 0)
     assert sorted(map(tuple, contaminated_pairs(table, bench, short_items=True).collect()), key=str) == near
     assert {(i, i % 5) for i in range(20)} | {(None, 0)} <= {x[:2] for x in near}
+
+
+def test_runs_of_a_part_do_not_hold_the_words(spark):
+    import tracemalloc
+
+    from spanquarry.llm import substrings
+
+    rng = np.random.default_rng(3)
+    texts = [" ".join(map(str, rng.integers(0, 10**6, 60_000))) for _ in range(20)]
+    batch = pa.record_batch({"text": texts, "doc": pa.array(range(20), pa.int64()), "twin": pa.array(range(20), pa.int32())})
+    held, peak = [], 0
+    tracemalloc.start()
+    try:
+        for _ in substrings._runs(20, 4)(iter([batch])):
+            held.append(tracemalloc.get_traced_memory()[0])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(held) >= 2 and max(held) < peak / 6
