@@ -2,8 +2,12 @@
 
 Both public vocabularies cut a text before every single space that stands between two non-space
 characters, so the ids of a text are those of its words (each with the space before it) one after the
-other. A word is encoded once per task. New words are encoded together, one line with a separator
-between them, because a call per word costs more than the encoding itself.
+other. A word is encoded once per task. New words are encoded together, many to a line, because a call per word
+costs more than the encoding itself. Where their ids begin is told by the vocabulary's mark of a space (byte-level) or of a
+word's end (words of letters only); others get a separator between them.
+
+The words of many texts are numbered by Arrow, so the memo is asked once for each different word of a batch, and
+the ids of all its texts are one gathering by number.
 """
 
 from __future__ import annotations
@@ -12,8 +16,11 @@ import os
 import re
 import sys
 import types
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Characters of words held in a memo before it becomes the old one and the old one goes.
 MEMO_CHARS = 5_000_000
@@ -21,7 +28,8 @@ MEMO_CHARS = 5_000_000
 BATCH_CHARS = 4_000_000
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_TAIL = re.compile(r"(.*[^\W_])([!-&(-\/:-@\[-^`{-~]+)\Z", re.S)
+#: ASCII punctuation but for ' and _: after a letter or digit its ids do not depend on the word before.
+_TAIL = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "'_")
 
 
 class Encoder:
@@ -49,6 +57,11 @@ class Encoder:
         if len(between) != 1:
             raise ValueError("the separator must be one token")
         self.mark = between[0]
+        vocabulary = self.model.get_vocab()
+        #: Tokens that hold the space before a word; or, where spaces leave no trace, those that end a word.
+        self.spaced = any(token.startswith("Ġ") for token in vocabulary) and not any(token.endswith("</w>") for token in vocabulary)
+        self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.edge[[i for token, i in vocabulary.items() if (token.startswith("Ġ") if self.spaced else token.endswith("</w>"))]] = True
 
     def _ids(self, text: str) -> list[int]:
         return self.model.encode(text, add_special_tokens=False).ids
@@ -56,12 +69,29 @@ class Encoder:
     def _raw(self, text: str) -> bytes:
         return np.array(self._ids(text), np.uint32).tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        memo, glue = self.memo, f" {self.SEPARATOR} "
+    def _lines(self, words: list[str], between: str, end: str):
+        """Some words and the ids of the line "a" and these words; a few lines are encoded at once."""
         parts = [words[n : n + 2_000] for n in range(0, len(words), 2_000)]
-        lines = [f"a{glue}{glue.join(part)}{glue[:-1]}" for part in parts]
-        for part, line in zip(parts, self.model.encode_batch_fast(lines, add_special_tokens=False)):
-            ids = np.array(line.ids, np.uint32)
+        for n in range(0, len(parts), 16):
+            some = parts[n : n + 16]
+            lines = self.model.encode_batch_fast([f"a{between}{between.join(part)}{end}" for part in some], add_special_tokens=False)
+            for part, line in zip(some, lines):
+                yield part, np.array(line.ids, np.uint32)
+
+    def _learn(self, words: list[str]) -> None:
+        memo = self.memo
+        plain = words if self.spaced else [word for word in words if word.isalpha()]
+        apart = [] if self.spaced else [word for word in words if not word.isalpha()]
+        for part, ids in self._lines(plain, " ", ""):
+            at = np.flatnonzero(self.edge[ids])
+            at = np.append(at, len(ids)) if self.spaced else at + 1
+            if len(at) == len(part) + 1:
+                at, raw = (at * 4).tolist(), ids.tobytes()
+                memo.update(zip(part, [raw[a:b] for a, b in zip(at, at[1:])]))
+            else:  # a letter that the vocabulary's normalizer takes apart
+                apart += part
+        glue = f" {self.SEPARATOR} "
+        for part, ids in self._lines(apart, glue, glue[:-1]):
             at = (np.flatnonzero(ids == self.mark) * 4).tolist()
             if len(at) != len(part) + 1:
                 raise ValueError("separators were lost")
@@ -76,10 +106,12 @@ class Encoder:
         self.held += sum(map(len, known))
         new = new.difference(known)
         for word in new:
-            if not word or word[0].isspace() or word[-1].isspace() or self.SEPARATOR in word:
+            if word.isalpha():
+                plain.add(word)
+            elif not word or word[0].isspace() or word[-1].isspace() or self.SEPARATOR in word:
                 memo[word] = None
-            elif m := _TAIL.match(word):
-                head, tail = m.groups()
+            elif (head := word.rstrip(_TAIL)) != word and head and head[-1].isalnum():
+                tail = word[len(head) :]
                 split.append((word, head, tail))
                 if head not in memo:
                     if head in self.old:
@@ -95,26 +127,45 @@ class Encoder:
             memo[word] = memo[head] + tails[tail]
         self.held += sum(map(len, new)) + sum(map(len, plain))
 
-    def encode_many(self, texts: list[str]) -> list[bytes]:
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and where each text's ids end; null counts as empty."""
         if self.held > MEMO_CHARS:
             self.old, self.memo, self.held = self.memo, {}, 0
             self.firsts.clear()
             self.tails.clear()
-        cut = [text.split(" ") for text in texts]
-        self._meet(set().union(*cut).difference(self.memo))
-        get, firsts, out = self.memo.__getitem__, self.firsts, []
-        for text, words in zip(texts, cut):
-            first = words[0]
-            if first not in firsts:
-                firsts[first] = self._raw(first)
-                self.held += len(first)
-            try:
-                if self.memo[first] is None:
-                    raise TypeError
-                out.append(firsts[first] + b"".join(map(get, words[1:])))
-            except TypeError:
-                out.append(self._uneven(text))
-        return out
+        texts = pc.fill_null(texts, "")
+        cut = pc.split_pattern(texts, " ")
+        edge = cut.offsets.to_numpy().astype(np.int64)
+        edge -= edge[0]
+        coded = cut.flatten().dictionary_encode()
+        at, words = coded.indices.to_numpy().copy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        del cut, coded
+        self._meet(set(words).difference(self.memo))
+        pieces = [*map(self.memo.__getitem__, words)]
+        odd = np.fromiter((piece is None for piece in pieces), bool, len(pieces))
+        uneven = np.flatnonzero(np.logical_or.reduceat(odd[at], edge[:-1])) if odd.any() else ()
+        begin, firsts = edge[:-1], self.firsts
+        which, first = np.unique(at[begin], return_inverse=True)
+        for word in map(words.__getitem__, which.tolist()):
+            if word not in firsts:
+                firsts[word] = self._raw(word)
+                self.held += len(word)
+        at[begin] = len(pieces) + first
+        pieces += [firsts[words[i]] for i in which.tolist()]
+        nothing = len(pieces)
+        pieces.append(b"")
+        for i in uneven:
+            at[edge[i] : edge[i + 1]] = nothing
+            at[edge[i]] = len(pieces)
+            pieces.append(self._uneven(texts[int(i)].as_py()))
+        _, offsets, data = pa.array(pieces, pa.large_binary()).take(pa.array(at)).buffers()
+        ends = np.frombuffer(offsets, np.int64)[edge[1:]] // 4
+        return np.frombuffer(data or b"", np.uint32, int(ends[-1])), ends
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        values, ends = self.encode_array(pa.array(texts, pa.string()))
+        raw, ends = values.tobytes(), (ends * 4).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
     def _uneven(self, text: str) -> bytes:
         """A text with runs of white space or the separator: only what lies between sure cuts is taken from the memo."""
@@ -140,6 +191,21 @@ def encoder(path: str) -> Encoder:
     return held[path]
 
 
+def forget() -> None:
+    """Let the encoders of this Python worker go: other work that needs its memory begins."""
+    sys.modules.pop("spanquarry_worker_memo", None)
+
+
+def encoded(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """doc_ids, the ids of their texts one after the other, each with ``end_id`` behind it, and where each one ends."""
+    memo = encoder(tokenizer)
+    for batch in batches:
+        keys, texts = batch.column("doc_id"), batch.column("text")
+        for a, b in slices(pc.fill_null(pc.utf8_length(texts), 0).to_pylist()):
+            values, ends = memo.encode_array(texts.slice(a, b - a))
+            yield keys.slice(a, b - a).to_pylist(), np.insert(values, ends, end_id), ends + np.arange(1, len(ends) + 1)
+
+
 def slices(lengths: list[int], most: int = BATCH_CHARS):
     """Ranges of rows of about so many characters; a longer text is a range of its own."""
     begin = held = 0

@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanquarry.llm.encoding import encoder, slices
-from spanquarry.llm.tables import batch_of, rows_of, stored
+from spanquarry.llm.encoding import encoded
+from spanquarry.llm.tables import batch_of, stored
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -96,22 +96,17 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, ke
     """
     fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
     schema = pa.schema(fields + [("ids", pa.binary())] * keep_ids)
-    end = np.array([end_id], np.uint32).tobytes()
 
     def cut(batches):
-        memo = encoder(tokenizer)
-        for keys, texts in rows_of(batches, "doc_id", "text"):
-            texts = [t or "" for t in texts]
-            for a, b in slices([len(t) for t in texts]):
-                rows = []
-                for key, raw in zip(keys[a:b], memo.encode_many(texts[a:b])):
-                    raw += end
-                    n = len(raw) // 4
-                    ends = [*range(n % capacity or capacity, n + 1, capacity)]
-                    for piece, (x, y) in enumerate(zip([0, *ends], ends)):
-                        ids = raw[4 * x : 4 * y]
-                        rows.append((key, piece, x, y - x, zlib.crc32(ids), ids))
-                yield batch_of(schema, *list(zip(*rows))[: len(schema)])
+        for keys, values, ends in encoded(batches, tokenizer, end_id):
+            raw, rows, ends = memoryview(values).cast("B"), [], ends.tolist()
+            for key, begin, end in zip(keys, [0, *ends], ends):
+                n = end - begin
+                edges = [*range(n % capacity or capacity, n + 1, capacity)]
+                for piece, (x, y) in enumerate(zip([0, *edges], edges)):
+                    ids = raw[4 * (begin + x) : 4 * (begin + y)]
+                    rows.append((key, piece, x, y - x, zlib.crc32(ids), bytes(ids) if keep_ids else None))
+            yield batch_of(schema, *list(zip(*rows))[: len(schema)])
 
     return docs.select("doc_id", "text").mapInArrow(cut, PIECES + ", ids binary" * keep_ids)
 

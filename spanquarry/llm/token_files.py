@@ -10,8 +10,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanquarry.llm.encoding import encoder, slices
-from spanquarry.llm.tables import batch_of, rows_of
+from spanquarry.llm.encoding import encoded
+from spanquarry.llm.tables import batch_of
 
 #: Layout of a token file: ``start`` counts ids from the first document of the file's ``part``.
 LAYOUT = "doc_id bigint, part int, start bigint, ids array<int>"
@@ -32,18 +32,12 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     schema = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("start", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def encode(batches):
-        memo, part, done = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], np.uint32).tobytes()
-        for keys, texts in rows_of(batches, "doc_id", "text"):
-            texts = [t or "" for t in texts]
-            for a, b in slices([len(t) for t in texts]):
-                raw = [r + end for r in memo.encode_many(texts[a:b])]
-                ends = np.cumsum([len(r) // 4 for r in raw])
-                starts = np.concatenate([[0], ends[:-1]])
-                values = pa.array(np.frombuffer(b"".join(raw), np.int32))
-                lists = pa.ListArray.from_arrays(pa.array(np.append(starts, ends[-1]), pa.int32()), values)
-                yield batch_of(schema, keys[a:b], [part] * (b - a), starts + done, lists)
-                done += int(ends[-1])
+        part, done = TaskContext.get().partitionId(), 0
+        for keys, values, ends in encoded(batches, tokenizer, end_id):
+            starts = np.concatenate([[0], ends[:-1]])
+            lists = pa.ListArray.from_arrays(pa.array(np.append(starts, ends[-1]), pa.int32()), pa.array(values.view(np.int32)))
+            yield batch_of(schema, keys, [part] * len(keys), starts + done, lists)
+            done += int(ends[-1])
 
     dealt = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     dealt.mapInArrow(encode, LAYOUT).write.options(

@@ -3,9 +3,11 @@
 import math
 import random
 import zlib
+from collections import Counter as Counts
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import docs, prose
 from hypothesis import given, settings
@@ -13,7 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from spanquarry.llm.encoding import Encoder
+from spanquarry.llm.encoding import Encoder, encoder, forget
 from spanquarry.llm.packing import Capacities, best_fit_pack, pack_lengths
 from spanquarry.llm.tables import shared_folder
 from spanquarry.llm.token_counts import Counter, Unigram, token_counts
@@ -52,6 +54,33 @@ def test_encoder_forgets_without_changing_results(monkeypatch):
         assert np.frombuffer(memo.encode_many([text])[0], np.uint32).tolist() == encode(text)
 
 
+def test_words_of_a_batch_are_looked_up_once_and_letters_need_no_separator(monkeypatch):
+    text, looked = prose(1, 500, 60) + " ǰ J̌ Straße İx " + prose(2, 500, 60), []
+
+    class Memo(dict):
+        def __getitem__(self, word):
+            looked.append(word)
+            return super().__getitem__(word)
+
+    for name in NAMES:
+        encode, memo, lines = plain(name), Encoder(public_tokenizers.path(name)), []
+        memo.memo, inner = Memo(), memo._lines
+        monkeypatch.setattr(memo, "_lines", lambda words, *glue: lines.append((glue[0], len(words))) or inner(words, *glue))
+        values, ends = memo.encode_array(pa.array([text, None, "", text + "  a"]))
+        both = encode(text) + encode(text + "  a")
+        assert values.tolist() == both and ends.tolist() == [len(encode(text))] * 3 + [len(both)]
+        assert max(Counts(looked).values()) <= 2
+        assert dict(lines)[" "] > 0
+        looked.clear()
+
+
+def test_encoders_are_let_go():
+    first = encoder(public_tokenizers.path(NAMES[0]))
+    assert encoder(public_tokenizers.path(NAMES[0])) is first
+    forget()
+    assert encoder(public_tokenizers.path(NAMES[0])) is not first
+
+
 def best_fit(lengths, capacity):
     """Best-fit decreasing, one item after the other."""
     room = []
