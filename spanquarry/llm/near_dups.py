@@ -8,8 +8,9 @@ Texts that are equal form one class first; the rest works on one representative
 the members are verified against the bucket's leader only, so a bucket of n gives n - 1 pairs. The leader is the member with the
 most bucket mates over all bands: of an original and its copies that is the original. Members that do not match the
 leader are compared by their signatures, block by block, with the bucket's members of other classes: mates that five standard errors
-of the banded samples leave open by further 512 samples, drawn for these members alone. The most similar few are verified; the next round goes on behind them in the same order, with twice as many, until no member
-has an untried mate of another class above the margin.
+of the banded samples leave open by further 512 samples, drawn for these members alone. The most similar few are verified as pairs. Of members that have more such mates the texts
+themselves go to squares of a bucket's members, where all their mates behind those few are verified, each pair in the first bucket that it shares. A square gives only the links
+that join classes, so the rows that leave it grow with its members and not with its pairs.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanquarry.llm.encoding import forget
 from spanquarry.llm.tables import batch_of, stored
 from spanquarry.llm.words import Words, mix, parts
 
@@ -30,6 +32,8 @@ SAMPLES, ROWS = 64, 4
 FREQUENCIES = 1 << 20
 #: Members in a block when a bucket is compared by signatures, and how many partners each tries in the first round.
 BLOCK, TRIES = 512, 4
+#: Members that a block is compared with in one task when their texts come along.
+SQUARE = 1024
 #: Further samples of the members of buckets in which some do not match the leader; a byte of each is kept.
 MORE = 512
 #: Standard errors below the threshold down to which an estimate by signatures still leads to verification.
@@ -48,6 +52,7 @@ def word_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     schema = pa.schema([("word", pa.int32()), ("n", pa.int64())])
 
     def count(batches):
+        forget()
         seen, n = np.zeros(FREQUENCIES, np.int64), 0
         for batch in batches:
             texts = batch.column(0)
@@ -209,14 +214,15 @@ def _bands():
     return bands
 
 
+def vectors(texts: pa.Array, idf) -> list[tuple[np.ndarray, np.ndarray]]:
+    doc, shingle, weight = shingles(texts, idf)
+    edge = np.searchsorted(doc, np.arange(len(texts) + 1))
+    return [(shingle[x:y], weight[x:y]) for x, y in zip(edge, edge[1:])]
+
+
 def _verify(idf, threshold: float):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("similarity", pa.float64())])
 
-    def vectors(texts: pa.Array) -> list:
-        doc, shingle, weight = shingles(texts, idf)
-        edge = np.searchsorted(doc, np.arange(len(texts) + 1))
-        return [(shingle[x:y], weight[x:y]) for x, y in zip(edge, edge[1:])]
-
     def verify(batches):
         held = {}
         for batch in batches:
@@ -226,8 +232,8 @@ def _verify(idf, threshold: float):
                 new = {key: i for i, key in enumerate(a) if key not in held}
                 held = {key: held[key] for key in set(a) if key in held}
                 if new:
-                    held |= dict(zip(new, vectors(cut.column("text_a").take(pa.array(list(new.values()))))))
-                score = [weighted_jaccard(held[x], y) for x, y in zip(a, vectors(cut.column("text_b")))]
+                    held |= dict(zip(new, vectors(cut.column("text_a").take(pa.array(list(new.values()))), idf)))
+                score = [weighted_jaccard(held[x], y) for x, y in zip(a, vectors(cut.column("text_b"), idf))]
                 ok = [i for i, s in enumerate(score) if s >= threshold]
                 yield batch_of(schema, [a[i] for i in ok], [b[i] for i in ok], [score[i] for i in ok])
 
@@ -257,6 +263,12 @@ def joined_classes(labels: DataFrame, links: DataFrame) -> DataFrame:
     return stored(labels.join(new, "label", "left").select("rep", F.coalesce("low", "label").alias("label")), "classes")
 
 
+def _arrays(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    raw = b"".join(t.column("samples").to_pylist())
+    further = np.frombuffer(b"".join(t.column("more").to_pylist()), np.uint8).reshape(-1, MORE)
+    return t.column("rep").to_numpy(), t.column("label").to_numpy(), np.frombuffer(raw, np.uint32).reshape(-1, SAMPLES), further
+
+
 def _closest(margin: float, sure: float, tries: int):
     """For each unmatched member of one block its next members of other classes in the bucket: most equal samples first, then
     by doc_id, behind the mate of (``seen``, ``last``). Mates below ``margin`` by the samples or below ``sure`` by the further samples are
@@ -264,15 +276,10 @@ def _closest(margin: float, sure: float, tries: int):
     schema = pa.schema([("band", pa.int64()), ("rep", pa.int64()), ("mate", pa.int64()), ("same", pa.int32()), ("more", pa.bool_())])
 
     def closest(mine: pa.Table, others: pa.Table) -> pa.Table:
-        def arrays(t):
-            raw = b"".join(t.column("samples").to_pylist())
-            further = np.frombuffer(b"".join(t.column("more").to_pylist()), np.uint8).reshape(-1, MORE)
-            return t.column("rep").to_numpy(), t.column("label").to_numpy(), np.frombuffer(raw, np.uint32).reshape(-1, SAMPLES), further
-
         if not mine.num_rows or not others.num_rows:
             return schema.empty_table()
-        rep, label, samples, further = arrays(mine)
-        other, other_label, other_samples, other_further = arrays(others)
+        rep, label, samples, further = _arrays(mine)
+        other, other_label, other_samples, other_further = _arrays(others)
         columns = np.ascontiguousarray(other_samples.T)
         found = []
         for x, own, s, m, seen, last in zip(rep.tolist(), label.tolist(), samples, further, mine.column("seen").to_pylist(), mine.column("last").to_pylist()):
@@ -288,6 +295,58 @@ def _closest(margin: float, sure: float, tries: int):
     return closest
 
 
+def _joining(idf, threshold: float, margin: float, sure: float):
+    """Links that join classes, between the members of one block and those of one part of the bucket: all mates that :func:`_closest`
+    would come to behind (``seen``, ``last``) are verified, the most similar first, but for pairs that links of this square join already and
+    for pairs that share an earlier band: there one of the two has the other among its mates as well."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("similarity", pa.float64())])
+
+    def joining(mine: pa.Table, others: pa.Table) -> pa.Table:
+        if not mine.num_rows or not others.num_rows:
+            return schema.empty_table()
+        rep, label, samples, further = _arrays(mine)
+        other, other_label, other_samples, other_further = _arrays(others)
+        columns = np.ascontiguousarray(other_samples.T)
+        band = int(np.argmax(band_keys(samples[:1].view(np.float32))[0].view(np.int64) == mine.column("band")[0].as_py()))
+        tries = []
+        for x, (seen, last) in enumerate(zip(mine.column("seen").to_pylist(), mine.column("last").to_pylist())):
+            equal = columns == samples[x][:, None]
+            same = equal.sum(axis=0, dtype=np.int32)
+            at = np.flatnonzero((same >= margin * SAMPLES) & (other_label != label[x]) & ((same < seen) | ((same == seen) & (other > last))))
+            at = at[(other_further[at] == further[x]).sum(axis=1, dtype=np.int32) >= sure * MORE]
+            at = at[~equal[: band * ROWS, at].reshape(band, ROWS, len(at)).all(axis=1).any(axis=0)]
+            tries.append(np.stack([np.full(len(at), x), at, same[at]]))
+        x, y, same = np.concatenate(tries, axis=1)
+        order = np.lexsort((other[y], rep[x], -same))
+        x, y = x[order], y[order]
+
+        def read(t: pa.Table, rows: np.ndarray) -> dict:
+            rows, texts = np.unique(rows), t.column("text").combine_chunks()
+            texts, out = texts.take(pa.array(rows)), []
+            for begin, size in parts(texts):
+                out += vectors(texts.slice(begin, size), idf)
+            return dict(zip(rows.tolist(), out))
+
+        left, right = read(mine, x), read(others, y)
+        top: dict[int, int] = {}
+
+        def find(k: int) -> int:
+            while (up := top.get(k, k)) != k:
+                top[k] = top.get(up, up)
+                k = up
+            return k
+
+        found = []
+        for i, j in zip(x.tolist(), y.tolist()):
+            p, q = find(int(label[i])), find(int(other_label[j]))
+            if p != q and (score := weighted_jaccard(left[i], right[j])) >= threshold:
+                top[p] = q
+                found.append((*sorted((int(rep[i]), int(other[j]))), score))
+        return pa.table([pa.array([f[k] for f in found], schema.types[k]) for k in range(3)], schema=schema)
+
+    return joining
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """doc_id, class_id (smallest doc_id of the class), rep (smallest doc_id with the same text), n_links (other
     texts that the text's representative was verified against with success).
@@ -333,35 +392,48 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     links = verified(tried)
     labels = joined_classes(texts.select("rep", F.col("rep").alias("label")), links)
     margin, sure = (threshold - SIGMAS * (threshold * (1 - threshold) / n) ** 0.5 for n in (SAMPLES, MORE))
-    left, tries, further = None, TRIES, None
-    while True:
-        placed = buckets.join(labels, "rep").join(labels.select(F.col("rep").alias("leader"), F.col("label").alias("lead")), "leader")
-        if left is None:
-            placed = placed.withColumns({"seen": F.lit(SAMPLES + 1), "last": F.lit(0).cast("bigint")})
-        else:
-            placed = placed.join(left, ["band", "rep"], "left")
-        placed = placed.withColumn("apart", (F.col("label") != F.col("lead")) & F.col("seen").isNotNull())
-        blocks = stored(placed.where("apart").groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "blocks")
-        if further is None:
-            # classes only merge, so later rounds are about these buckets
-            open_ = placed.join(blocks, "band").select(F.col("rep").alias("doc_id")).distinct()
-            further = stored(some.join(open_, "doc_id").mapInArrow(_more(table), "rep bigint, more binary"), "further")
-        members = stored(placed.join(blocks, "band").join(texts.select("rep", "samples"), "rep").join(further, "rep"), "open")
-        cols = ["band", "block", "rep", "label", "samples", "more"]
-        mine = members.where("apart").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).select(*cols, "seen", "last")
-        others = members.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(cols).toDF(*cols)
-        near = mine.groupBy("band", "block").cogroup(others.groupBy("band", "block"))
-        found = stored(near.applyInArrow(_closest(margin, sure, tries), "band bigint, rep bigint, mate bigint, same int, more boolean"), "found")
-        pairs = found.select(F.least("rep", "mate").alias("a"), F.greatest("rep", "mate").alias("b")).distinct()
-        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        more = verified(pairs)
+    cols = ["band", "block", "rep", "label", "samples", "more"]
+
+    def placed(labels: DataFrame) -> DataFrame:
+        return buckets.join(labels, "rep").join(labels.select(F.col("rep").alias("leader"), F.col("label").alias("lead")), "leader")
+
+    def dealt(members: DataFrame) -> DataFrame:
+        return members.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+
+    def steps(n: str):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    first = placed(labels).withColumn("apart", F.col("label") != F.col("lead"))
+    blocks = stored(first.where("apart").groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "blocks")
+    # classes only merge, so what follows is about these buckets
+    open_ = first.join(blocks, "band").select(F.col("rep").alias("doc_id")).distinct()
+    further = stored(some.join(open_, "doc_id").mapInArrow(_more(table), "rep bigint, more binary"), "further")
+    members = stored(first.join(blocks, "band").join(texts.select("rep", "samples"), "rep").join(further, "rep"), "open")
+    mine = dealt(members.where("apart")).select(*cols, F.lit(SAMPLES + 1).alias("seen"), F.lit(0).cast("bigint").alias("last"))
+    others = members.withColumn("block", steps("blocks")).select(cols)
+    near = mine.groupBy("band", "block").cogroup(others.groupBy("band", "block"))
+    found = stored(near.applyInArrow(_closest(margin, sure, TRIES), "band bigint, rep bigint, mate bigint, same int, more boolean"), "found")
+    pairs = found.select(F.least("rep", "mate").alias("a"), F.greatest("rep", "mate").alias("b")).distinct()
+    more = verified(stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs"))
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        labels = joined_classes(labels, more)
+    left = found.where("more").select("band", "rep", F.col("same").alias("seen"), F.col("mate").alias("last"))
+    if not left.isEmpty():
+        rest = placed(labels).join(left, ["band", "rep"], "left").withColumn("apart", (F.col("label") != F.col("lead")) & F.col("seen").isNotNull())
+        sizes = rest.groupBy("band").agg(
+            F.ceil(F.count_if("apart") / BLOCK).cast("int").alias("blocks"), F.ceil(F.count("*") / SQUARE).cast("int").alias("squares")
+        )
+        members = rest.join(stored(sizes.where("blocks > 0"), "blocks"), "band").join(texts.select("rep", "samples"), "rep").join(further, "rep")
+        members = stored(members.join(some.select(F.col("doc_id").alias("rep"), "text"), "rep"), "open")
+        mine = dealt(members.where("apart")).withColumn("square", steps("squares")).select("square", *cols, "seen", "last", "text")
+        others = members.withColumn("square", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("squares")).cast("int")).withColumn("block", steps("blocks"))
+        near = mine.groupBy("band", "block", "square").cogroup(others.select("square", *cols, "text").groupBy("band", "block", "square"))
+        more = near.applyInArrow(_joining(table, threshold, margin, sure), "a bigint, b bigint, similarity double")
+        more = stored(more.dropDuplicates(["a", "b"]), "links")
         if not more.isEmpty():
             links = links.unionByName(more)
             labels = joined_classes(labels, more)
-        left = found.where("more").select("band", "rep", F.col("same").alias("seen"), F.col("mate").alias("last"))
-        if left.isEmpty():
-            break
-        tried, tries = tried.unionByName(pairs), tries * 2
     idf.destroy()  # everything that reads it is stored
     ends = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
     known = texts.select("h1", "h2", "rep").join(labels, "rep").join(ends, "rep", "left")

@@ -133,6 +133,33 @@ def test_partner_behind_many_similar_mates_is_found(spark):
     assert got == {i: i - i % 2 if i < 16 else i for i, _ in rows}
 
 
+def test_rows_follow_the_members_of_a_family_below_the_threshold(spark, monkeypatch):
+    """Members just below the threshold with two pairs above it, in blocks and squares smaller than a bucket."""
+    monkeypatch.setattr(N, "BLOCK", 16)
+    monkeypatch.setattr(N, "SQUARE", 24)
+    written, store = Counter(), N.stored
+
+    def counted(df, name):
+        out = store(df, name)
+        written[name] += out.count() if name in ("found", "links") else 0
+        return out
+
+    monkeypatch.setattr(N, "stored", counted)
+    base, sizes = prose(7, 1600).split(" "), []
+    for n in (40, 120):
+        r, rows = random.Random(8), []
+        for i in range(n):
+            at = {8 * k + 4 for k in r.sample(range(198), 24)}
+            rows.append((100 + i, " ".join(f"x{i}-{j}" if j in at else w for j, w in enumerate(base))))
+        for k in (0, 1):  # a text of its own family and one edit of it
+            rows.append((k, edited(rows[k][1], k, 0.001)))
+        got = {x.doc_id: x.class_id for x in N.near_duplicates(docs(spark, rows)).collect()}
+        assert got == {key: key - 100 if key in (100, 101) else key for key, _ in rows}
+        sizes.append(written["found"] + written["links"])
+        written.clear()
+    assert sizes[1] < 5 * sizes[0]
+
+
 def test_closest_goes_on_behind_the_last_mate():
     samples = np.arange(N.SAMPLES, dtype=np.uint32)
     others = [np.where(np.arange(N.SAMPLES) < k, 10**6, samples).astype(np.uint32).tobytes() for k in (5, 3, 3, 9, 30, 2)]
