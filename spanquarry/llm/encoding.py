@@ -7,13 +7,15 @@ costs more than the encoding itself. Where their ids begin is told by the vocabu
 word's end (words of letters only); others get a separator between them.
 
 The words of many texts are numbered by Arrow, so the memo is asked once for each different word of a batch, and
-the ids of all its texts are one gathering by number.
+the ids of all its texts are one gathering by number. Where a vocabulary knows neither spaces, line ends nor capitals,
+these and the punctuation behind words are taken apart before, so that fewer different words are left to be encoded.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import string
 import sys
 import types
 from collections.abc import Iterator
@@ -30,13 +32,16 @@ BATCH_CHARS = 4_000_000
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: ASCII punctuation but for ' and _: after a letter or digit its ids do not depend on the word before.
 _TAIL = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "'_")
+_BEFORE_TAIL = f"([a-zA-Z0-9])([{re.escape(_TAIL)}])"
+#: A mark may compose with the small letter but not with the capital, so these stay.
+_MARKED = r"[A-Z]\p{M}"
 
 
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, equal to ``encode(text, add_special_tokens=False)``.
 
     Special-token strings inside a text are ordinary text. ``SEPARATOR`` is one token in both
-    vocabularies; words that hold it or unusual white space are encoded with their neighbours.
+    vocabularies; words that hold it or, where spaces count, unusual white space are encoded apart.
     """
 
     SEPARATOR = "^"
@@ -62,6 +67,9 @@ class Encoder:
         self.spaced = any(token.startswith("Ġ") for token in vocabulary) and not any(token.endswith("</w>") for token in vocabulary)
         self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
         self.edge[[i for token, i in vocabulary.items() if (token.startswith("Ġ") if self.spaced else token.endswith("</w>"))]] = True
+        #: Neither white space, ASCII capitals nor a space before punctuation leave a trace.
+        probe = "\t".join(string.ascii_uppercase) + "".join(f"\r\n1{c}\na{c}" for c in _TAIL)
+        self.loose = not self.spaced and self._ids(probe) == self._ids(re.sub(_BEFORE_TAIL, r"\1 \2", re.sub(r"\s", " ", probe)).lower())
 
     def _ids(self, text: str) -> list[int]:
         return self.model.encode(text, add_special_tokens=False).ids
@@ -108,8 +116,8 @@ class Encoder:
         for word in new:
             if word.isalpha():
                 plain.add(word)
-            elif not word or word[0].isspace() or word[-1].isspace() or self.SEPARATOR in word:
-                memo[word] = None
+            elif not word or self.SEPARATOR in word or not self.loose and (word[0].isspace() or word[-1].isspace()):
+                memo[word] = self._raw(word) if self.loose else None
             elif (head := word.rstrip(_TAIL)) != word and head and head[-1].isalnum():
                 tail = word[len(head) :]
                 split.append((word, head, tail))
@@ -134,6 +142,8 @@ class Encoder:
             self.firsts.clear()
             self.tails.clear()
         texts = pc.fill_null(texts, "")
+        if self.loose:
+            texts = self._loosened(texts)
         cut = pc.split_pattern(texts, " ")
         edge = cut.offsets.to_numpy().astype(np.int64)
         edge -= edge[0]
@@ -142,6 +152,21 @@ class Encoder:
         del cut, coded
         self._meet(set(words).difference(self.memo))
         pieces = [*map(self.memo.__getitem__, words)]
+        if not self.loose:
+            self._corrected(texts, words, edge, at, pieces)
+        _, offsets, data = pa.array(pieces, pa.large_binary()).take(pa.array(at)).buffers()
+        ends = np.frombuffer(offsets, np.int64)[edge[1:]] // 4
+        return np.frombuffer(data or b"", np.uint32, int(ends[-1])), ends
+
+    def _loosened(self, texts: pa.Array) -> pa.Array:
+        """The texts with fewer different words and the same ids, for a vocabulary in which spaces and capitals leave no trace."""
+        for space in "\n\r\t":
+            texts = pc.replace_substring(texts, space, " ")
+        texts = pc.if_else(pc.match_substring_regex(texts, _MARKED), texts, pc.ascii_lower(texts))
+        return pc.replace_substring_regex(texts, _BEFORE_TAIL, r"\1 \2")
+
+    def _corrected(self, texts: pa.Array, words: list[str], edge: np.ndarray, at: np.ndarray, pieces: list[bytes | None]) -> None:
+        """Where spaces count: the first word of a text has none before it, and some words depend on their neighbours."""
         odd = np.fromiter((piece is None for piece in pieces), bool, len(pieces))
         uneven = np.flatnonzero(np.logical_or.reduceat(odd[at], edge[:-1])) if odd.any() else ()
         begin, firsts = edge[:-1], self.firsts
@@ -158,9 +183,6 @@ class Encoder:
             at[edge[i] : edge[i + 1]] = nothing
             at[edge[i]] = len(pieces)
             pieces.append(self._uneven(texts[int(i)].as_py()))
-        _, offsets, data = pa.array(pieces, pa.large_binary()).take(pa.array(at)).buffers()
-        ends = np.frombuffer(offsets, np.int64)[edge[1:]] // 4
-        return np.frombuffer(data or b"", np.uint32, int(ends[-1])), ends
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         values, ends = self.encode_array(pa.array(texts, pa.string()))

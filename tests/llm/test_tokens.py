@@ -74,6 +74,20 @@ def test_words_of_a_batch_are_looked_up_once_and_letters_need_no_separator(monke
         looked.clear()
 
 
+def test_capitals_line_ends_and_punctuation_make_no_new_words(monkeypatch):
+    text = "The end.\nThe End, the\r\nEND! (the end)\tthe  end.\n\nEnd; a J̌ a T̈, Ḱ."
+    encode, memo, seen = plain(NAMES[1]), Encoder(public_tokenizers.path(NAMES[1])), []
+    inner = memo._lines
+    monkeypatch.setattr(memo, "_lines", lambda words, *glue: seen.extend(words) or inner(words, *glue))
+    plain_text = text[: text.index(" a J")]
+    for some in ([plain_text, None, "", "THE\nEND"], [text, "The ^ x^{2} a^B"]):
+        values, ends = memo.encode_array(pa.array(some))
+        assert values.tolist() == [i for t in some for i in encode(t or "")]
+        assert ends.tolist() == np.cumsum([len(encode(t or "")) for t in some]).tolist()
+        if some[0] is plain_text:
+            assert {w for w in seen if w[-1].isalpha()} == {"the", "end", "(the"} and len(seen) == len(set(seen))
+
+
 def test_encoders_are_let_go():
     first = encoder(public_tokenizers.path(NAMES[0]))
     assert encoder(public_tokenizers.path(NAMES[0])) is first
