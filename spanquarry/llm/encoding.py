@@ -18,6 +18,7 @@ import re
 import string
 import sys
 import types
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ MEMO_CHARS = 5_000_000
 BATCH_CHARS = 4_000_000
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-#: ASCII punctuation but for ' and _: after a letter or digit its ids do not depend on the word before.
+#: ASCII punctuation but for ' and _: after a letter or digit, also as normalized, its ids do not depend on the word before.
 _TAIL = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "'_")
 _BEFORE_TAIL = f"([a-zA-Z0-9])([{re.escape(_TAIL)}])"
 #: A mark may compose with the small letter but not with the capital, so these stay.
@@ -118,7 +119,7 @@ class Encoder:
                 plain.add(word)
             elif not word or self.SEPARATOR in word or not self.loose and (word[0].isspace() or word[-1].isspace()):
                 memo[word] = self._raw(word) if self.loose else None
-            elif (head := word.rstrip(_TAIL)) != word and head and head[-1].isalnum():
+            elif (head := word.rstrip(_TAIL)) != word and head and unicodedata.normalize("NFC", head[-1]).lower()[-1].isalnum():
                 tail = word[len(head) :]
                 split.append((word, head, tail))
                 if head not in memo:

@@ -88,6 +88,13 @@ def test_capitals_line_ends_and_punctuation_make_no_new_words(monkeypatch):
             assert {w for w in seen if w[-1].isalpha()} == {"the", "end", "(the"} and len(seen) == len(set(seen))
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_punctuation_behind_letters_that_are_taken_apart(name):
+    encode, memo = plain(name), Encoder(public_tokenizers.path(name))
+    texts = ["a \u0130! a\u0130. b", "a \u0958, \u0958!", "a é! É.", "a \u0a33.\n\u095c;"]
+    assert [np.frombuffer(g, np.uint32).tolist() for g in memo.encode_many(texts)] == [encode(t) for t in texts]
+
+
 def test_encoders_are_let_go():
     first = encoder(public_tokenizers.path(NAMES[0]))
     assert encoder(public_tokenizers.path(NAMES[0])) is first
