@@ -9,6 +9,7 @@ the tolerance touches every place of every mask, so an overlap within the tolera
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,8 +20,12 @@ MASKS = ("111011", "1101011", "1110000101")
 SHORT = 8
 #: Words compared around a hit, and how many of them must be equal.
 OVERLAP, EQUAL = 20, 16
-#: Bytes of benchmark hashes, or of the items' words, that are broadcast; beyond it they are shuffled.
+#: Bytes of seeds, of their bits, or of the items' words that are broadcast; beyond it seeds and words are shuffled.
 MOST_BYTES = 64 << 20
+#: Bytes that a broadcast seed takes in an executor.
+SEED_BYTES = 100
+#: The table that tells which seeds the benchmark may have: lanes of 64 bits in a block, and bytes that a broadcast block takes.
+LANES, BLOCK_BYTES = 16, 168
 
 WORD_BREAK = r"[^\p{L}\p{N}]+"
 
@@ -62,15 +67,15 @@ def _seed(at: Column, masks: tuple[str, ...], number: int) -> Column:
 
 
 def _placed(words: DataFrame, masks: tuple[str, ...], numbers: list[int], *columns: str) -> DataFrame:
-    """``columns``, place and seed of these masks at every place of every row."""
+    """``columns``, place, which one of these masks and seed at every place of every row."""
     placed = words.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words") - 1)))
     seeds = F.array(*[_seed(F.col("at"), masks, n) for n in numbers])
-    return placed.select(*columns, "at", F.explode(seeds).alias("seed")).where("seed IS NOT NULL")
+    return placed.select(*columns, "at", F.posexplode(seeds).alias("mask", "seed")).where("seed IS NOT NULL")
 
 
 def _items(benchmark: DataFrame, overlap: int, equal: int, short_items: bool) -> DataFrame:
     """item_id, words, width compared, words of it that must be equal, whether short."""
-    table = benchmark.select("item_id", _hashes("text").alias("words"))
+    table = benchmark.where("item_id IS NOT NULL").select("item_id", _hashes("text").alias("words"))
     short = F.size("words") < SHORT
     table = table.withColumn("short", short).where(F.lit(short_items) | ~short)
     # a short item has no words to spare for a break at its begin or end
@@ -80,6 +85,25 @@ def _items(benchmark: DataFrame, overlap: int, equal: int, short_items: bool) ->
     return table.withColumn("need", need)
 
 
+def _bits() -> Column:
+    """The bits that stand for a seed in its lane."""
+    return F.expr(" | ".join(f"shiftleft(1L, CAST(shiftrightunsigned(seed, {at}) & 63 AS INT))" for at in (34, 40, 46, 52)))
+
+
+def _likely(placed: DataFrame, seeds: DataFrame, n_seeds: int) -> DataFrame:
+    """The rows of ``placed`` whose seed may be among ``seeds``; of the others about one in 500 stays as well.
+
+    Every seed sets four bits of one lane of its block, and the blocks are broadcast: 24 bits a seed, fewer if that is beyond the bound.
+    """
+    blocks = max(1, min(-(-n_seeds * 24 // (LANES * 64)), MOST_BYTES // BLOCK_BYTES))
+    block, lane = F.pmod("seed", F.lit(blocks).cast("bigint")), F.shiftrightunsigned("seed", 60).cast("int")
+    lanes = seeds.groupBy(block.alias("block"), lane.alias("lane")).agg(F.bit_or(_bits()).alias("bits"))
+    table = lanes.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("lane", "bits"))).alias("set"))
+    full = F.transform(F.sequence(F.lit(0), F.lit(LANES - 1)), lambda i: F.coalesce(F.try_element_at("set", i), F.lit(0).cast("bigint")))
+    table = table.select("block", full.alias("lanes"))
+    return placed.join(F.broadcast(table), block == F.col("block")).where(F.get("lanes", lane).bitwiseAND(_bits()) == _bits()).select(placed.columns)
+
+
 def contaminated_pairs(
     docs: DataFrame, benchmark: DataFrame, overlap: int = OVERLAP, equal: int = EQUAL, short_items: bool = False, masks: tuple[str, ...] = MASKS
 ) -> DataFrame:
@@ -90,45 +114,46 @@ def contaminated_pairs(
     stretch of ``n_compared``. Case and punctuation do not count. Items of fewer than eight words give nothing, or with
     ``short_items`` only whole exact copies. Masks that are not complete for another tolerance are refused.
 
-    Null and empty texts give nothing; repeated rows of one id count as one document; other columns are ignored; empty tables give no rows.
+    Null and empty texts and null item_ids give nothing; repeated rows of one id count as one document; other columns are ignored; empty
+    tables give no rows. Items of the same words are compared once.
     """
     check_masks(masks, overlap, equal)
-    known = _items(benchmark, overlap, equal, short_items)
+    items = _items(benchmark, overlap, equal, short_items).withColumn("kind", F.xxhash64("words"))
+    known = items.select("kind", "words", "width", "need").distinct()
+    size = F.size("words")
     # the lengths of short items, at most SHORT - 1 of them, are masks of ones
-    sizes = sorted(r.width for r in known.where("short").select("width").distinct().collect())
+    whole = F.sort_array(F.collect_set(F.when(size < SHORT, F.col("width"))))
+    n_words, n_kinds, sizes = known.agg(F.sum(size), F.count("*"), whole).first()
     every = (*masks, *("1" * n for n in sizes))
-    plain = _placed(known.where("NOT short"), every, list(range(len(masks))), "item_id")
-    whole = [_placed(known.where(F.col("short") & (F.col("width") == n)), every, [len(masks) + i], "item_id") for i, n in enumerate(sizes)]
-    seeds = plain
-    for part in whole:
-        seeds = seeds.unionByName(part)
-    seeds = seeds.select("seed", "item_id", F.col("at").alias("item_at")).distinct()
-    key = F.octet_length(F.coalesce(F.col("item_id").cast("string"), F.lit("")))
-    small = (seeds.agg(F.sum(key + 32)).first()[0] or 0) <= MOST_BYTES
-    texts = docs.select("doc_id", _hashes("text").alias("words"))
-    shift = (F.col("at") - F.col("item_at")).alias("shift")
-    if small:
-        hits = _placed(texts, every, list(range(len(every))), "doc_id", "words").join(F.broadcast(seeds), "seed").select("doc_id", "item_id", shift, "words")
+    parts = [(size >= SHORT, list(range(len(masks)))), *(((size < SHORT) & (F.col("width") == n), [len(masks) + i]) for i, n in enumerate(sizes))]
+    seeds = reduce(DataFrame.unionByName, (_placed(known.where(which), every, numbers, "kind") for which, numbers in parts))
+    seeds = seeds.select("seed", "kind", F.col("at").alias("item_at"))
+    n_seeds = (n_words or 0) * len(masks)
+    placed = _placed(docs.select("doc_id", _hashes("text").alias("words")), every, list(range(len(every))), "doc_id", "words")
+    # the words that any stretch over the place may need; a short item's stretch begins there
+    spaced = F.col("mask") < len(masks)
+    before = F.when(spaced, F.least(F.col("at"), F.lit(overlap - 1))).otherwise(0)
+    around = F.slice("words", F.col("at") - before + 1, before + F.when(spaced, overlap).otherwise(SHORT - 1))
+    if n_seeds * SEED_BYTES <= MOST_BYTES:
+        hits = placed.join(F.broadcast(seeds), "seed").select("doc_id", around.alias("around"), before.alias("before"), "kind", "item_at")
     else:
-        # only hashes and places are shuffled; words are fetched for what was hit
-        hits = _placed(texts, every, list(range(len(every))), "doc_id").join(seeds, "seed").select(F.col("doc_id").alias("hit_id"), "item_id", shift).distinct()
-        hits = hits.join(texts, F.equal_null("hit_id", "doc_id")).select("doc_id", "item_id", "shift", "words")
-    known = known.withColumnRenamed("words", "item_words")
-    few = (known.agg(F.sum(F.size("item_words") * 8 + key + 32)).first()[0] or 0) <= MOST_BYTES
-    laid = hits.join(F.broadcast(known) if few else known, "item_id")
-    n = F.size("item_words")
-    # words of the document under the item's; places before its begin or after its end hold null
-    under = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.when(i + F.col("shift") >= 0, F.get(F.col("words"), i + F.col("shift"))))
-    same = F.zip_with("item_words", under, lambda a, b: F.when(a == b, 1).otherwise(0))
-    found = laid.select("doc_id", "item_id", "shift", same.alias("same"), "width", "need").distinct()
-    width = F.col("width")
-    sums = F.transform(
-        F.sequence(F.lit(1), F.size("same") - width + 1),
-        lambda i: F.aggregate(F.slice("same", i, width), F.lit(0), lambda s, x: s + x),
-    )
-    scored = found.select("doc_id", "item_id", F.array_max(sums).alias("n_equal"), width.alias("n_compared"), "need")
+        # only places that likely hit are shuffled, each with the words around it
+        likely = _likely(placed, seeds, n_seeds).select("doc_id", "seed", around.alias("around"), before.alias("before"))
+        hits = likely.join(seeds, "seed").drop("seed")
+    laid = known.withColumnRenamed("words", "item_words")
+    few = (n_words or 0) * 8 + n_kinds * 64 <= MOST_BYTES
+    laid = hits.join(F.broadcast(laid) if few else laid, "kind")
+    # stretches of the item over the place; a stretch within the tolerance has a seed of its own, so no other is looked at here
+    at, width = F.col("item_at"), F.col("width")
+    starts = F.sequence(F.greatest(at - width + 1, F.lit(0)), F.least(at, F.size("item_words") - width))
+    shift = F.col("before") - at
+    # places before the begin or after the end of the document hold null
+    same = lambda i: F.get("item_words", i) == F.get("around", i + shift)
+    sums = F.transform(starts, lambda s: F.size(F.filter(F.sequence(s, s + width - 1), same)))
+    best = laid.select("doc_id", "kind", F.array_max(sums).alias("n_equal"), width.alias("n_compared"), "need").where("n_equal >= need")
+    best = best.groupBy("doc_id", "kind", "n_compared").agg(F.max("n_equal").alias("n_equal"))
     return (
-        scored.where("n_equal >= need")
+        best.join(items.select("kind", "item_id").distinct(), "kind")
         .groupBy("doc_id", "item_id")
         .agg(F.max(F.struct("n_equal", "n_compared")).alias("best"))
         .select("doc_id", "item_id", "best.n_equal", "best.n_compared")

@@ -362,6 +362,32 @@ def test_shuffled_seeds_give_the_same_pairs(spark, monkeypatch):
     assert {(i, i % 5) for i in range(20)} | {(None, 0)} <= {x[:2] for x in near}
 
 
+def test_places_that_cannot_hit_are_not_shuffled(spark):
+    held = spark.range(20_000).select(F.xxhash64("id").alias("seed"))
+    rows = held.union(spark.range(20_000, 120_000).select(F.xxhash64("id")))
+    left = D._likely(rows, held, 20_000)
+    assert left.columns == ["seed"] and held.exceptAll(left).count() == 0
+    assert left.count() < 20_000 + 100_000 / 100
+    assert D._likely(rows, held.limit(0), 0).count() == 0
+
+
+def test_large_benchmarks_give_every_pair(spark, monkeypatch):
+    """Equal items under many ids, one id of two texts, rows without an id, one id twice, and short items that begin or end a document."""
+    items = [(i, prose(300 + i % 5, (60, 25, 12, 9, 8)[i % 5], 500)) for i in range(40)] + [(3, prose(300, 60, 500)), (50, "Yes"), (51, "yes!"), (52, "to be or not")]
+    rows = [(i, prose(i, 30, 500) + " " + edited(items[i % 5][1], i, 0.15) + " " + prose(90 + i, 30, 500)) for i in range(20)]
+    rows += [(20, " ".join(items[0][1].split(" ")[33:])), (21, items[0][1][:120]), (7, items[0][1]), (22, "yes"), (23, "To be or not, yes")]
+    rows += [(None, items[1][1]), (None, items[2][1]), (None, "no")]
+    bench = spark.createDataFrame([(i, t, "z") for i, t in [*items, (None, items[1][1])]], ITEMS)
+    best = {}
+    for key, item, n, width in every_pair(rows, items):
+        best[key, item] = max(best.get((key, item), (0, 0)), (n, width))
+    whole = {(22, 50): (1, 1), (22, 51): (1, 1), (23, 50): (1, 1), (23, 51): (1, 1), (23, 52): (4, 4)}
+    for most in (D.MOST_BYTES, 2000, 0):
+        monkeypatch.setattr(D, "MOST_BYTES", most)
+        got = contaminated_pairs(docs(spark, rows), bench, short_items=True).collect()
+        assert len(got) == len(best | whole) and {(r.doc_id, r.item_id): (r.n_equal, r.n_compared) for r in got} == best | whole
+
+
 def test_runs_of_a_part_do_not_hold_the_words(spark):
     import tracemalloc
 
